@@ -294,7 +294,7 @@ def _recon(spark, sf) -> DataFrame:
     month = F.date_format("l_shipdate", "yyyyMM").alias("periode")
     left = (li.groupBy(month, F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"))
             .agg(F.count_distinct("l_suppkey").alias("n_suppliers")))
-    right = (li.where(F.col("l_discount") > 0.02)
+    right = (li.where(F.col("l_discount") > 0.05)
              .groupBy(month, F.col("l_returnflag").alias("flag"))
              .agg(F.count_distinct("l_suppkey").alias("n_suppliers")))
     return reconcile(left, right, ["periode", "flag"], "n_suppliers", "n_suppliers",

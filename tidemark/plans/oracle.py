@@ -191,7 +191,7 @@ WITH fak AS (
 ), arena AS (
   SELECT strftime(l_shipdate, '%Y%m') AS periode, l_returnflag AS flag,
          COUNT(DISTINCT l_suppkey) AS n_suppliers_right
-  FROM lineitem WHERE l_discount > 0.02 GROUP BY 1, 2
+  FROM lineitem WHERE l_discount > 0.05 GROUP BY 1, 2
 ), diff AS (
   SELECT fak.*, arena.n_suppliers_right, fak.n_suppliers - arena.n_suppliers_right AS diff
   FROM fak LEFT JOIN arena ON fak.periode = arena.periode AND fak.flag = arena.flag
