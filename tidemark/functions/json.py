@@ -26,12 +26,18 @@ def json_path(*keys: str, separator: str | None = None) -> str:
 
 
 def json_value(doc: str | Column, path: str) -> Column:
-    """Scalar at ``path`` as text, NULL for missing / null / object / array / bad JSON."""
+    """Scalar at ``path`` as text, NULL for missing / null / object / array / bad JSON.
+
+    The variant parse that tells an object or array from a string runs only for
+    values whose text starts with ``{`` or ``[`` (CASE evaluates lazily), so
+    plain scalars cost one ``get_json_object`` call.
+    """
     d = _as_col(doc)
     text = F.get_json_object(d, path)
+    looks_nested = text.startswith("{") | text.startswith("[")
     shape = F.schema_of_variant(F.try_variant_get(F.try_parse_json(d), F.lit(path), "variant"))
     is_container = shape.startswith("OBJECT") | shape.startswith("ARRAY")
-    return F.when(is_container, F.lit(None).cast("string")).otherwise(text)
+    return F.when(looks_nested & is_container, F.lit(None).cast("string")).otherwise(text)
 
 
 def json_key(doc: str | Column, key: str, separator: str = "/") -> Column:

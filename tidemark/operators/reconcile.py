@@ -22,10 +22,20 @@ def unpivot_nonnull(df: DataFrame, ids: Sequence[str], values: Mapping[str, str]
 
 def distinct_by_code(df: DataFrame, ids: Sequence[str], values: Mapping[str, str], entity: str,
                      label: str = "code", name: str = "n_distinct") -> DataFrame:
-    """``count(distinct case when value is not null then entity end)`` per ids + label."""
-    long = unpivot_nonnull(df, [*ids, entity], values, label, "_v")
-    return (long.groupBy(*ids, label)
-            .agg(F.count_distinct(F.when(F.col("_v").isNotNull(), F.col(entity))).alias(name)))
+    """``count(distinct case when value is not null then entity end)`` per ids + label,
+    over the unpivoted table (NULL cells dropped).
+
+    Equivalent plan without multiplying the rows first: collapse to one row per
+    (ids, entity) with a has-value flag per column (map-side partial aggregate,
+    so the shuffle carries at most one row per entity and group), unpivot those
+    flags and count entities.  A group appears for a label exactly when some row
+    of it has a value there, as with ``UNPIVOT``; NULL entities are not counted.
+    """
+    flags = [F.max(F.col(c).isNotNull()).alias(lab) for lab, c in values.items()]
+    per_entity = df.groupBy(*ids, entity).agg(*flags)
+    long = (per_entity.unpivot([*ids, entity], list(values), label, "_has")
+            .where(F.col("_has")))
+    return long.groupBy(*ids, label).agg(F.count(entity).alias(name))
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], left_value: str,
