@@ -11,11 +11,15 @@ followed by a filter.  That plan puts a whole stream in one task, so a hot
 topic holding a third of all rows becomes one giant sort.  ``offset_gaps``
 computes the same pairs with the work split into fixed-width offset buckets:
 
-1. hash-partition rows on (stream, bucket) - one shuffle; a hot stream spreads
-   over all of its buckets;
-2. collapse duplicate offsets and take LEAD inside each bucket (no extra
-   shuffle: both are clustered on a superset of (stream, bucket));
-3. aggregate each bucket to (first, last) offset - one row per bucket;
+1. collapse duplicate offsets with a map-side partial aggregate on
+   (stream, bucket, offset), so a message landed many times - even one copy
+   group holding a third of all rows - costs one row per map task in the
+   shuffle;
+2. take LEAD inside each (stream, bucket); a bucket holds at most
+   ``bucket_width`` distinct offsets, so no window partition can grow with the
+   row count, and a hot stream spreads over all of its buckets;
+3. aggregate each bucket to (first, last) offset - partial aggregate again,
+   one row per bucket;
 4. LEAD over the bucket summary per stream links the last offset of a bucket
    with the first offset of the next non-empty bucket.  The summary has one
    row per non-empty bucket, so its size is bounded by the offset range divided
@@ -71,7 +75,7 @@ def offset_gaps(df: DataFrame, offset: str, by: str | Sequence[str] | None = Non
         src = src.where(off > F.lit(offset_floor))
     sel = [*keys, offset] + ([carry] if carry else [])
     b = F.expr(f"`{offset}` div {int(bucket_width)}").alias("_bucket")
-    rows = src.select(*sel, b).repartition(*keys, "_bucket")
+    rows = src.select(*sel, b)
 
     if carry:
         distinct = rows.groupBy(*keys, "_bucket", offset).agg(F.max(carry).alias(carry))
@@ -87,6 +91,7 @@ def offset_gaps(df: DataFrame, offset: str, by: str | Sequence[str] | None = Non
 
     aggs = [F.min(offset).alias("_first"), F.max(offset).alias("_last")]
     if carry:
+        # carry of the last offset; offsets are distinct here, so no ties
         aggs.append(F.max_by(carry, offset).alias(carry))
     summary = distinct.groupBy(*keys, "_bucket").agg(*aggs)
     w_b = Window.partitionBy(*keys).orderBy("_bucket")

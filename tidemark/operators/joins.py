@@ -60,16 +60,18 @@ def not_in_values(values: DataFrame, col: str, domain: DataFrame, domain_col: st
     domain is empty.  Spark plans SQL ``NOT IN`` as a null-aware anti join only
     when the domain can be broadcast and falls back to a nested-loop join
     otherwise.  This form is a hash anti join on the non-null domain plus two
-    scalar subqueries (domain row count, domain NULL count), each one row, so it
-    scales with both sides.
+    scalar subquery (domain row count and NULL count, one row), so it scales
+    with both sides.
     """
     out = name or col
     v = values.select(F.col(col).alias(out))
     if distinct:
         v = v.distinct()
     dom = domain.select(F.col(domain_col).alias("_dv"))
-    n_all = dom.select(F.count(F.lit(1))).scalar()
-    n_null = dom.select(F.count_if(F.col("_dv").isNull())).scalar()
+    # one scalar subquery, one scan of the domain: (rows, NULL rows)
+    stats = dom.select(F.struct(F.count(F.lit(1)).alias("n"),
+                                F.count_if(F.col("_dv").isNull()).alias("n_null"))).scalar()
+    n_all, n_null = stats["n"], stats["n_null"]
     non_null = dom.where(F.col("_dv").isNotNull()).distinct()
     anti = v.join(non_null, F.col(out) == F.col("_dv"), "left_anti")
     return anti.where((n_all == 0) | (F.col(out).isNotNull() & (n_null == 0)))
