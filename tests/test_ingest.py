@@ -128,3 +128,12 @@ def test_binary_message_spec(spark):
     df = apply_spec(_env(spark, [("abc", "t", 1, 0, 0)]), spec)
     assert dict(df.dtypes)["melding"] == "binary"
     assert df.select(F.col("melding").cast("string")).first()[0] == "abc"
+
+
+def test_skip_duplicates_prunes_target_per_topic(spark):
+    target = _env(spark, [("m", "a", 1, 0, 0), ("m", "a", 50, 0, 0), ("m", "b", 3, 0, 0)])
+    incoming = _env(spark, [("m", "a", 50, 0, 0), ("m", "a", 51, 0, 0), ("m", "b", 3, 0, 0),
+                            ("m", "c", 9, 0, 0), ("m", None, 4, 0, 0)])
+    out = skip_duplicates(incoming, target, ["kafka_topic", "kafka_offset"])
+    assert sorted((r["kafka_topic"] or "", r["kafka_offset"]) for r in out.collect()) == \
+        [("", 4), ("a", 51), ("c", 9)]

@@ -56,3 +56,20 @@ def test_query_matches_oracle(spark, duck, key):
     res = duck.sql(oracle_sql()[key])
     assert sorted(df.columns) == sorted(res.columns)
     assert _key(s_rows, df.columns) == _key(res.fetchall(), res.columns)
+
+
+ZONE_KEYS = ["local_decision_day", "unix_ms_local", "interval_slice", "recent_count", "recent_days",
+             "period_filter", "ingest_map", "run_success_counts", "prev_period", "gap_count_since"]
+
+
+@pytest.mark.parametrize("key", ZONE_KEYS)
+def test_results_do_not_depend_on_session_zone(spark, duck, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = queries()[key](spark, SF_SMALL)
+        s_rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.sql(oracle_sql()[key])
+    assert _key(s_rows, df.columns) == _key(res.fetchall(), res.columns)

@@ -123,14 +123,47 @@ def apply_spec(envelope: DataFrame, spec: IngestSpec,
     return envelope.select(*[field_column(f, spec, batch_time) for f in spec.transform])
 
 
+MAX_PRUNE_TOPICS = 64
+
+
+def _target_prune(incoming: DataFrame, keys: Sequence[str], offset_col: str | None,
+                  topic_col: str | None):
+    """Filter for the target: the offset range of the batch, per topic when the
+    batch holds at most ``MAX_PRUNE_TOPICS`` topics (checked with a bounded
+    ``limit``), else one global range.  Only literals reach the driver."""
+    if not offset_col or offset_col not in keys:
+        return None
+    off = F.col(offset_col)
+    if topic_col and topic_col in keys:
+        ranges = (incoming.groupBy(topic_col)
+                  .agg(F.min(offset_col).alias("lo"), F.max(offset_col).alias("hi"))
+                  .limit(MAX_PRUNE_TOPICS + 1).collect())
+        if not ranges:
+            return F.lit(False)
+        if len(ranges) <= MAX_PRUNE_TOPICS:
+            cond = None
+            for r in ranges:
+                if r["lo"] is None:
+                    continue
+                c = (F.col(topic_col).eqNullSafe(F.lit(r[topic_col]))) & off.between(r["lo"], r["hi"])
+                cond = c if cond is None else cond | c
+            return cond if cond is not None else F.lit(False)
+    lo_hi = incoming.agg(F.min(offset_col).alias("lo"), F.max(offset_col).alias("hi")).first()
+    if lo_hi is None or lo_hi["lo"] is None:
+        return F.lit(False)
+    return off.between(lo_hi["lo"], lo_hi["hi"])
+
+
 def skip_duplicates(incoming: DataFrame, target: DataFrame | None, keys: Sequence[str],
-                    offset_col: str | None = "kafka_offset") -> DataFrame:
+                    offset_col: str | None = "kafka_offset",
+                    topic_col: str | None = "kafka_topic") -> DataFrame:
     """Incoming rows whose key is neither repeated in the batch nor already in the target.
 
-    The target only grows; before the anti join it is pruned to the offset range
-    of the batch (one aggregated row, taken to the driver as two literals), so
-    the scan of the target skips files by their statistics.  An empty key list
-    appends everything (one consumer has no duplicate check).
+    The target only grows; before the anti join it is pruned to the offset
+    range of the batch (per topic for a few topics), so the scan of the target
+    skips row groups and files by their statistics.  An empty key list appends
+    everything (one consumer has no duplicate check).  Rows with a NULL key
+    match nothing and are always kept.
     """
     keys = list(keys)
     if not keys:
@@ -139,11 +172,9 @@ def skip_duplicates(incoming: DataFrame, target: DataFrame | None, keys: Sequenc
     if target is None:
         return batch
     tgt = target.select(*keys)
-    if offset_col and offset_col in keys:
-        lo_hi = incoming.agg(F.min(offset_col).alias("lo"), F.max(offset_col).alias("hi")).first()
-        if lo_hi is None or lo_hi["lo"] is None:
-            return batch
-        tgt = tgt.where(F.col(offset_col).between(lo_hi["lo"], lo_hi["hi"]))
+    prune = _target_prune(incoming, keys, offset_col, topic_col)
+    if prune is not None:
+        tgt = tgt.where(prune)
     return batch.join(tgt, keys, "left_anti")
 
 
