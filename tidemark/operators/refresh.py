@@ -30,8 +30,14 @@ from tidemark.session import delete_path, path_exists, work_dir
 
 
 def write_periodic(df: DataFrame, path: str, period_col: str, mode: str = "overwrite") -> None:
-    """Write a table partitioned by its period column."""
-    df.write.mode(mode).partitionBy(period_col).parquet(path)
+    """Write a table partitioned by its period column.
+
+    ``REBALANCE(period)`` clusters rows of a period into few tasks (few files
+    per partition folder instead of one per task and period); AQE splits a
+    period that is larger than the advisory partition size over several tasks,
+    so a hot period does not end up in one writer.
+    """
+    df.hint("rebalance", period_col).write.mode(mode).partitionBy(period_col).parquet(path)
 
 
 def read_periodic(spark: SparkSession, path: str, schema, columns: Sequence[str]) -> DataFrame:
