@@ -142,3 +142,36 @@ def test_dot_line(spark):
     df = spark.createDataFrame([("Count", 12)], "l string, v long")
     line = df.select(dot_line("l", "v", 12)).first()[0]
     assert line == "Count.......12"
+
+
+def test_minute_truncation_ignores_session_zone(spark):
+    from tidemark.functions import minute
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 31, 2, 30, 59, 999999),),
+                                (dt.datetime(2024, 3, 10, 2, 15, 1),)], "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Europe/Oslo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [r[0] for r in df.select(minute("ts")).collect()]
+            assert got == [dt.datetime(2024, 3, 31, 2, 30), dt.datetime(2024, 3, 10, 2, 15)], zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_epoch_ms_and_month_text_in_a_dst_gap(spark):
+    from tidemark.functions.periods import month_text
+    from tidemark.functions.timez import unix_ms_to_ntz
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 1, 500000),),
+                                (dt.datetime(2024, 3, 31, 23, 30),)], "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "America/Santiago"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            rows = df.select(ntz_to_unix_ms("ts").alias("ms"), month_text("ts").alias("m"),
+                             unix_ms_to_ntz(ntz_to_unix_ms("ts")).alias("back")).collect()
+            assert [r["ms"] for r in rows] == [1710037801500, 1711927800000], zone
+            assert [r["m"] for r in rows] == ["202403", "202403"], zone
+            assert [r["back"] for r in rows] == [dt.datetime(2024, 3, 10, 2, 30, 1, 500000),
+                                                 dt.datetime(2024, 3, 31, 23, 30)], zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

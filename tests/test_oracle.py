@@ -59,6 +59,7 @@ def test_query_matches_oracle(spark, duck, key):
 
 
 ZONE_KEYS = ["local_decision_day", "unix_ms_local", "interval_slice", "recent_count", "recent_days",
+             "unpivot_distinct", "reconcile_diff", "star_distinct", "patched_rows",
              "period_filter", "ingest_map", "run_success_counts", "prev_period", "gap_count_since"]
 
 

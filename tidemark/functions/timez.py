@@ -19,8 +19,16 @@ def _as_col(c: str | Column) -> Column:
 
 
 def ntz_to_unix_ms(ts: str | Column) -> Column:
-    """Milliseconds since the epoch of a UTC wall-clock ``TIMESTAMP_NTZ``."""
-    return F.timestamp_diff("MILLISECOND", F.expr(EPOCH_NTZ), _as_col(ts))
+    """Milliseconds since the epoch of a UTC wall-clock ``TIMESTAMP_NTZ`` (floor).
+
+    Built from the value's fields: ``timestamp_diff`` would route the zone-less
+    value through the session zone, which moves times in a DST gap.
+    """
+    t = _as_col(ts)
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long")
+    sec_ms = F.floor(F.extract(F.lit("SECOND"), t) * 1000).cast("long")
+    return (days * 86_400_000 + F.hour(t).cast("long") * 3_600_000
+            + F.minute(t).cast("long") * 60_000 + sec_ms)
 
 
 def unix_ms_to_ntz(ms: str | Column) -> Column:
@@ -63,8 +71,14 @@ def parse_ts_ms(text: str | Column, lenient: bool = True) -> Column:
 
 
 def minute(ts: str | Column) -> Column:
-    """``trunc(x, 'Mi')``."""
-    return F.date_trunc("minute", _as_col(ts))
+    """``trunc(x, 'Mi')`` of a ``TIMESTAMP_NTZ``, built from its fields.
+
+    ``date_trunc`` would cast the zone-less value through the session zone
+    first, which moves wall-clock times that fall into a DST gap of that zone.
+    """
+    t = _as_col(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
+                                F.lit(0))
 
 
 def ts_literal(value: _dt.datetime | _dt.date | str) -> Column:

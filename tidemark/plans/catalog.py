@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.json import json_value
-from tidemark.functions.periods import (blank_default, coupled_default, daily_window,
+from tidemark.functions.periods import (blank_default, coupled_default, daily_window, month_text,
                                         period_range, period_type, period_window,
                                         prev_month_end, prev_period, week_cycle)
 from tidemark.functions.timez import (date_text, local_day, minute, ntz_to_unix_ms, ts_literal,
@@ -257,7 +257,7 @@ AMOUNT_COLUMNS = {"TAX": "tax", "DISCOUNT": "discount", "QUANTITY": "quantity"}
 
 def wide_amounts(spark, sf) -> DataFrame:
     li = table(spark, sf, "lineitem")
-    return li.select(F.date_format("l_shipdate", "yyyyMM").alias("periode"),
+    return li.select(month_text("l_shipdate").alias("periode"),
                      F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
                      "l_suppkey",
                      F.nullif(F.col("l_tax"), F.lit(0.0)).alias("tax"),
@@ -283,7 +283,7 @@ def q_star_distinct(spark, sf):
     fact = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
             .join(c, F.col("o_custkey") == F.col("c_custkey"))
             .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
-    return (fact.groupBy(F.date_format("l_shipdate", "yyyyMM").alias("periode"),
+    return (fact.groupBy(month_text("l_shipdate").alias("periode"),
                          F.col("c_mktsegment").alias("segment"),
                          F.col("o_orderstatus").alias("status"))
             .agg(F.count_distinct("o_custkey").alias("n_customers")))
@@ -291,7 +291,7 @@ def q_star_distinct(spark, sf):
 
 def _recon(spark, sf) -> DataFrame:
     li = table(spark, sf, "lineitem")
-    month = F.date_format("l_shipdate", "yyyyMM").alias("periode")
+    month = month_text("l_shipdate").alias("periode")
     left = (li.groupBy(month, F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"))
             .agg(F.count_distinct("l_suppkey").alias("n_suppliers")))
     right = (li.where(F.col("l_discount") > 0.05)
@@ -479,7 +479,7 @@ REFRESH_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "
 
 
 def q_period_refresh(spark, sf):
-    o = table(spark, sf, "orders").withColumn("periode", F.date_format("o_orderdate", "yyyyMM"))
+    o = table(spark, sf, "orders").withColumn("periode", month_text("o_orderdate"))
     target = work_dir(spark, "refresh-target")
     write_periodic(o.select(*REFRESH_COLUMNS), target, "periode")
     source = (o.where(F.col("periode") == REFRESH_PERIOD)
