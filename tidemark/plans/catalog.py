@@ -27,7 +27,7 @@ from tidemark.functions.periods import (blank_default, coupled_default, daily_wi
                                         period_range, period_type, period_window,
                                         prev_month_end, prev_period, week_cycle)
 from tidemark.functions.timez import (date_text, local_day, minute, ntz_to_unix_ms, ts_literal,
-                                      unix_ms_to_local)
+                                      unix_ms_to_local, unix_ms_to_ntz)
 from tidemark.operators.counts import (calendar_bound, count_metrics, recent_counts,
                                        recent_distinct, rolling_bound, typed_counts)
 from tidemark.operators.gaps import gap_count, offset_gaps
@@ -185,7 +185,7 @@ def identity_dim(spark, sf) -> DataFrame:
     c = table(spark, sf, "customer")
     base = F.lit("2024-01-01").cast("date")
     key = F.col("c_custkey").cast("string").alias("off_id")
-    code = (F.col("c_nationkey") % 8).alias("skjermet_kode")
+    code = F.col("c_nationkey").alias("skjermet_kode")
     first = c.select(key, code,
                      F.date_add(base, (F.col("c_custkey") % 20).cast("int")).alias("gyldig_fra_dato"),
                      F.date_add(base, (F.col("c_custkey") % 20 + F.col("c_custkey") % 7).cast("int"))
@@ -210,9 +210,12 @@ def q_validity_join_count(spark, sf):
     return _validity_count(spark, sf, json_value("props", "$.k"))
 
 
+UNPACKED_EXCEPT = "HOUSEHOLD"   # cases of this segment are "not unpacked"
+
+
 def q_unmatched_messages(spark, sf):
     ev = table(spark, sf, "events").where(calendar_bound("ts", AS_OF, 7))
-    cases = (table(spark, sf, "customer").where(F.col("c_custkey") % 3 == 0)
+    cases = (table(spark, sf, "customer").where(F.col("c_mktsegment") != UNPACKED_EXCEPT)
              .select(F.col("c_custkey").cast("string").alias("case_id")))
     msgs = ev.select(json_value("props", "$.k").alias("case_ref"))
     return unmatched(msgs, cases, "case_ref", "case_id").agg(F.count(F.lit(1)).alias("n_unmatched"))
@@ -346,12 +349,21 @@ def q_ingest_map(spark, sf):
     return apply_spec(events_envelope(spark, sf), landing_spec(), BATCH_TIME)
 
 
+LANDED_UNTIL = _dt.datetime(2024, 1, 20)
+INCOMING_FROM = _dt.datetime(2024, 1, 15)
+REPEATED_FROM = _dt.datetime(2024, 1, 28)
+
+
 def q_skip_duplicates(spark, sf):
+    """Target = messages landed before Jan 20; incoming = everything from Jan 15
+    on, with the last days delivered twice.  Result: the rows to append."""
     env = events_envelope(spark, sf)
     cols = [F.col("kafka_topic"), F.col("kafka_partition"), F.col("kafka_offset"),
             F.col("kafka_message").alias("melding")]
-    target = env.where(F.col("kafka_offset") % 2 == 0).select(*cols)
-    incoming = env.select(*cols).unionByName(env.where(F.col("kafka_offset") % 5 == 0).select(*cols))
+    ts = unix_ms_to_ntz(F.col("kafka_timestamp"))
+    target = env.where(ts < ts_literal(LANDED_UNTIL)).select(*cols)
+    incoming = (env.where(ts >= ts_literal(INCOMING_FROM)).select(*cols)
+                .unionByName(env.where(ts >= ts_literal(REPEATED_FROM)).select(*cols)))
     return skip_duplicates(incoming, target, ["kafka_topic", "kafka_partition", "kafka_offset"])
 
 
@@ -450,9 +462,11 @@ def q_week_cycle(spark, sf):
 
 def q_blank_default(spark, sf):
     c = table(spark, sf, "customer")
-    setting = F.when(F.col("c_custkey") % 2 == 0, F.lit("")).otherwise(
-        F.col("c_nationkey").cast("string"))
-    period_setting = F.when(F.col("c_custkey") % 3 == 0, F.lit("")).otherwise(
+    seg = F.col("c_mktsegment")
+    setting = (F.when(seg == "BUILDING", F.lit(""))
+               .when(seg == "AUTOMOBILE", F.lit(None).cast("string"))
+               .otherwise(F.col("c_nationkey").cast("string")))
+    period_setting = F.when(seg.isin("BUILDING", "MACHINERY"), F.lit("")).otherwise(
         F.concat(F.lit("1998"), F.lpad(((F.col("c_nationkey") % 12) + 1).cast("string"), 2, "0")))
     flag_setting = F.col("c_nationkey") % 2
     staged = c.select("c_custkey", setting.alias("setting"), period_setting.alias("period_setting"),

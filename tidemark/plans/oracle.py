@@ -95,12 +95,12 @@ SELECT event_id, {_ms('ts')} AS kafka_timestamp, {_oslo(_ms('ts'))} AS kafka_mot
 MESSAGE_HASH = "SELECT event_id, sha256(props) AS kafka_hash FROM events"
 
 IDENTITY_DIM = """
-  SELECT CAST(c_custkey AS VARCHAR) AS off_id, c_nationkey % 8 AS skjermet_kode,
+  SELECT CAST(c_custkey AS VARCHAR) AS off_id, c_nationkey AS skjermet_kode,
          DATE '2024-01-01' + CAST(c_custkey % 20 AS INTEGER) AS gyldig_fra_dato,
          DATE '2024-01-01' + CAST(c_custkey % 20 + c_custkey % 7 AS INTEGER) AS gyldig_til_dato
   FROM customer
   UNION ALL
-  SELECT CAST(c_custkey AS VARCHAR), c_nationkey % 8,
+  SELECT CAST(c_custkey AS VARCHAR), c_nationkey,
          DATE '2024-01-01' + CAST(c_custkey % 5 + 20 AS INTEGER),
          DATE '2024-01-01' + CAST(c_custkey % 5 + 30 AS INTEGER)
   FROM customer
@@ -125,7 +125,8 @@ VALIDITY_JOIN_COUNT = _validity(_jv("props", "$.k"))
 UNMATCHED_MESSAGES = f"""
 SELECT COUNT(1) AS n_unmatched
 FROM events meta
-LEFT OUTER JOIN (SELECT CAST(c_custkey AS VARCHAR) AS case_id FROM customer WHERE c_custkey % 3 = 0) fagsak
+LEFT OUTER JOIN (SELECT CAST(c_custkey AS VARCHAR) AS case_id FROM customer
+                 WHERE c_mktsegment <> 'HOUSEHOLD') fagsak
   ON {_jv('meta.props', '$.k')} = fagsak.case_id
 WHERE fagsak.case_id IS NULL
   AND CAST(meta.ts AS DATE) >= CAST({AS_OF} AS DATE) - 7
@@ -231,7 +232,7 @@ FROM events
 SKIP_DUPLICATES = """
 SELECT event_type AS kafka_topic, CAST(user_id % 4 AS INTEGER) AS kafka_partition,
        event_id AS kafka_offset, props AS melding
-FROM events WHERE event_id % 2 = 1
+FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'
 """
 
 FAN_IN_INGEST = f"""
@@ -306,8 +307,10 @@ FROM {_DAYS} t
 BLANK_DEFAULT = """
 WITH s AS (
   SELECT c_custkey,
-         CASE WHEN c_custkey % 2 = 0 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS setting,
-         CASE WHEN c_custkey % 3 = 0 THEN ''
+         CASE WHEN c_mktsegment = 'BUILDING' THEN ''
+              WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL
+              ELSE CAST(c_nationkey AS VARCHAR) END AS setting,
+         CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN ''
               ELSE '1998' || lpad(CAST(c_nationkey % 12 + 1 AS VARCHAR), 2, '0') END AS period_setting,
          c_nationkey % 2 AS flag_setting
   FROM customer
