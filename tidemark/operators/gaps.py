@@ -41,6 +41,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_WIDTH = 1 << 20
+MIN_BUCKET_WIDTH = 1 << 10
+MAX_BUCKET_WIDTH = 1 << 24
+
+
+def auto_bucket_width(df: DataFrame, offset: str, keys: Sequence[str]) -> int:
+    """Bucket width ~ sqrt(largest offset range of one stream), a power of two.
+
+    A bucket holds at most ``width`` distinct offsets (one window partition);
+    the per-stream summary holds ``range / width`` rows (one task per stream).
+    The square root balances the two.  One aggregate job with a one-row
+    result; clamped to [2^10, 2^24].
+    """
+    spans = df.groupBy(*keys).agg((F.max(offset) - F.min(offset)).alias("_span"))
+    row = spans.agg(F.max("_span").alias("s")).first()
+    span = int(row["s"] or 0) if row else 0
+    width = MIN_BUCKET_WIDTH
+    while width * width < span and width < MAX_BUCKET_WIDTH:
+        width <<= 1
+    return width
 
 
 def _cols(by: str | Sequence[str] | None) -> list[str]:
@@ -54,25 +73,29 @@ def _cols(by: str | Sequence[str] | None) -> list[str]:
 def offset_gaps(df: DataFrame, offset: str, by: str | Sequence[str] | None = None, *,
                 min_gap: int = 1, offset_floor: int | None = None,
                 carry: str | None = None,
-                bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                bucket_width: int | None = None) -> DataFrame:
     """All gaps larger than ``min_gap`` between consecutive distinct offsets.
 
     Returns ``by..., gap_from, gap_to, missing`` (+ ``carry`` = max of the
     carried column over the rows at ``gap_from``).
 
+    ``bucket_width`` ``None`` picks it from the data (``auto_bucket_width``).
+
     ``offset_floor``: only gaps whose ``gap_from`` is above this value.  LEAD
     looks forward, so rows at or below the floor cannot change a gap above it;
     the filter is therefore applied before the shuffle and reaches the scan.
     Any filter meant to be applied *before* LEAD should be applied to ``df`` by
     the caller; a filter meant for *after* LEAD goes on the result (``carry``).
     """
-    if bucket_width < 1:
-        raise ValueError("bucket_width must be positive")
     keys = _cols(by)
     off = F.col(offset)
     src = df.where(off.isNotNull())
     if offset_floor is not None:
         src = src.where(off > F.lit(offset_floor))
+    if bucket_width is None:
+        bucket_width = auto_bucket_width(src, offset, keys)
+    if bucket_width < 1:
+        raise ValueError("bucket_width must be positive")
     sel = [*keys, offset] + ([carry] if carry else [])
     b = F.expr(f"`{offset}` div {int(bucket_width)}").alias("_bucket")
     rows = src.select(*sel, b)
@@ -131,7 +154,7 @@ def offset_gaps_lead(df: DataFrame, offset: str, by: str | Sequence[str] | None
 def gap_count(df: DataFrame, offset: str, by: str | Sequence[str] | None = None, *,
               min_gap: int = 1, offset_floor: int | None = None,
               after: Column | None = None, carry: str | None = None,
-              name: str = "gap_count", bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+              name: str = "gap_count", bucket_width: int | None = None) -> DataFrame:
     """One row ``name`` = number of gaps; ``after`` filters gap rows after LEAD.
 
     ``after`` may refer to ``carry`` (e.g. ``F.col("loaded") > date``).
@@ -143,4 +166,5 @@ def gap_count(df: DataFrame, offset: str, by: str | Sequence[str] | None = None,
     return gaps.agg(F.count(F.lit(1)).alias(name))
 
 
-__all__ = ["offset_gaps", "offset_gaps_lead", "gap_count", "DEFAULT_BUCKET_WIDTH"]
+__all__ = ["offset_gaps", "offset_gaps_lead", "gap_count", "auto_bucket_width",
+           "DEFAULT_BUCKET_WIDTH"]
