@@ -130,3 +130,27 @@ def test_period_refresh(spark):
     # a source without the period still deletes it
     out2 = period_refresh(spark, target, src.where(F.col("periode") == "202403"), "periode", "202401")
     assert sorted(r["id"] for r in out2.collect()) == [3, 4, 5, 5]
+
+
+def test_monthly_reconciliation(spark):
+    from tidemark.plans.reports import monthly_reconciliation
+    wide = spark.createDataFrame([
+        ("202401", "G1", "n1", 1, 10.0, None),
+        ("202401", "G1", "n1", 2, None, None),
+        ("202401", "G1", "n1", 3, 5.0, 1.0),
+        ("202402", "G1", "n1", 1, 1.0, None),
+    ], "periode string, grp string, grp_name string, person long, a double, b double")
+    fact = spark.createDataFrame([
+        ("202401", "G1", "A", "area x", 3),   # 3 > 2 -> kept
+        ("202401", "G1", "B", "area x", 1),   # 1 = 1 -> dropped
+        ("202401", "G1", "B", "area y", 2),   # 2 > 1 -> kept (two left rows meet one right)
+        ("202402", "G1", "B", "area x", 4),   # no wide row for B in 202402 -> NULL diff
+    ], "periode string, grp string, code string, area string, n_distinct long")
+    out = monthly_reconciliation(wide, ["periode", "grp", "grp_name"], {"A": "a", "B": "b"}, "person",
+                                 fact, ["periode", "grp", "code"])
+    got = sorted((r["periode"], r["code"], r["area"], r["diff_n_distinct"]) for r in out.collect())
+    assert got == [("202401", "A", "area x", 1), ("202401", "B", "area y", 1)]
+    only = monthly_reconciliation(wide, ["periode", "grp", "grp_name"], {"A": "a", "B": "b"}, "person",
+                                  fact, ["periode", "grp", "code"], period="202402",
+                                  report_missing=True)
+    assert [(r["code"], r["diff_n_distinct"]) for r in only.collect()] == [("B", None)]

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import REPORT_WIDTH, dot_line
+from tidemark.operators.reconcile import distinct_by_code, reconcile
 
 
 def metric_rows(row: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
@@ -61,5 +62,28 @@ def gap_alert(gap_counts: Mapping[str, DataFrame]) -> DataFrame:
         .otherwise(F.concat(F.lit(GAPS_PREFIX), names, F.lit(GAPS_SUFFIX))).alias("alert"))
 
 
-__all__ = ["metric_rows", "union_metrics", "report_lines", "gap_alert", "NO_GAPS_TEXT",
+def monthly_reconciliation(wide: DataFrame, wide_ids: Sequence[str], values: Mapping[str, str],
+                           entity: str, fact_counts: DataFrame, keys: Sequence[str],
+                           count_col: str = "n_distinct", code: str = "code",
+                           period_col: str = "periode", period: str | None = None,
+                           report_missing: bool = False) -> DataFrame:
+    """Distinct entities per code in a wide table against the same count from facts.
+
+    ``wide``: one column per code (NULL = no amount); counted with
+    ``distinct_by_code`` after an unpivot that drops NULL cells.  ``fact_counts``
+    already holds the fact side, one row per ``keys`` (+ extra columns), with
+    ``count_col``.  Rows whose fact count exceeds the wide-table count are kept;
+    ``period`` restricts the result to one period (the comparison value is an
+    argument, not a literal in the query).
+    """
+    wide_counts = distinct_by_code(wide, wide_ids, values, entity, label=code, name=count_col)
+    out = reconcile(fact_counts, wide_counts, keys, count_col, count_col,
+                    right_name=f"{count_col}_wide", diff=f"diff_{count_col}",
+                    report_missing=report_missing)
+    if period is not None:
+        out = out.where(F.col(period_col) == F.lit(period))
+    return out
+
+
+__all__ = ["monthly_reconciliation", "metric_rows", "union_metrics", "report_lines", "gap_alert", "NO_GAPS_TEXT",
            "GAPS_PREFIX", "GAPS_SUFFIX"]
