@@ -154,3 +154,24 @@ def test_monthly_reconciliation(spark):
                                   fact, ["periode", "grp", "code"], period="202402",
                                   report_missing=True)
     assert [(r["code"], r["diff_n_distinct"]) for r in only.collect()] == [("B", None)]
+
+
+def test_salted_joins_equal_plain(spark):
+    facts = spark.createDataFrame(
+        [("hot", dt.date(2024, 1, 1 + i % 20), i) for i in range(300)]
+        + [("cold", dt.date(2024, 1, 5), 1000), (None, dt.date(2024, 1, 5), 1001)],
+        "person string, day date, n long")
+    dim = spark.createDataFrame([("hot", dt.date(2024, 1, 1), dt.date(2024, 1, 10)),
+                                 ("hot", dt.date(2024, 1, 8), dt.date(2024, 1, 31)),
+                                 ("cold", dt.date(2024, 2, 1), dt.date(2024, 2, 2))],
+                                "off_id string, fra date, til date")
+    plain = validity_join(facts, dim, "person", "off_id", "day", "fra", "til")
+    salted = validity_join(facts, dim, "person", "off_id", "day", "fra", "til", salt=7)
+    assert salted.columns == plain.columns
+    assert _vals(salted) == _vals(plain)
+    right = spark.createDataFrame([("hot",), ("hot",)], "c string")
+    a = unmatched(facts, right, "person", "c")
+    b = unmatched(facts, right, "person", "c", salt=5)
+    assert b.columns == facts.columns
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert b.count() == 2

@@ -12,30 +12,59 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SALT = "_salt"
+
+
+def _salted(facts: DataFrame, other: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
+    """Split hot keys over ``salt`` tasks: each fact row gets a salt from a hash
+    of its own columns (deterministic, so a retried task computes the same
+    rows), the other side is copied once per salt value (a fixed factor)."""
+    f = facts.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt)))
+    o = other.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+    return f, o
+
 
 def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_day: str,
-                  valid_from: str, valid_to: str, how: str = "inner") -> DataFrame:
+                  valid_from: str, valid_to: str, how: str = "inner", salt: int = 1) -> DataFrame:
     """Rows of ``facts`` joined with every ``dim`` row whose interval holds the day.
 
     Equi join on the key with ``day BETWEEN valid_from AND valid_to`` (both ends
     inclusive) as residual condition, so it plans as a hash / sort-merge join on
     the key, never a nested loop.  Overlapping intervals give one row each.
+
+    ``salt > 1`` spreads each key over ``salt`` tasks (for a key holding a large
+    share of the facts when AQE's skew split is not available); the dimension
+    is copied ``salt`` times.
     """
+    if salt > 1:
+        facts, dim = _salted(facts, dim, salt)
     f = facts.alias("_f")
     d = dim.alias("_d")
     cond = (F.col(f"_f.{fact_key}") == F.col(f"_d.{dim_key}")) & \
         F.col(f"_f.{fact_day}").between(F.col(f"_d.{valid_from}"), F.col(f"_d.{valid_to}"))
+    if salt > 1:
+        cond = cond & (F.col(f"_f.{SALT}") == F.col(f"_d.{SALT}"))
+        out = f.join(d, cond, how)
+        return out.drop(F.col(f"_f.{SALT}")).drop(F.col(f"_d.{SALT}"))
     return f.join(d, cond, how)
 
 
-def unmatched(left: DataFrame, right: DataFrame, left_key: str | Column, right_key: str) -> DataFrame:
+def unmatched(left: DataFrame, right: DataFrame, left_key: str | Column, right_key: str,
+              salt: int = 1) -> DataFrame:
     """Rows of ``left`` with no equal key in ``right`` (``LEFT JOIN ... IS NULL``).
 
     A left anti join: the same count, no duplication when the right side repeats
     a key, and rows with a NULL left key are kept (they match nothing).
+    ``salt > 1`` spreads a hot left key over ``salt`` tasks; the distinct right
+    keys are copied ``salt`` times.
     """
     lk = F.col(left_key) if isinstance(left_key, str) else left_key
-    r = right.select(F.col(right_key).alias("_rk")).where(F.col("_rk").isNotNull())
+    r = right.select(F.col(right_key).alias("_rk")).where(F.col("_rk").isNotNull()).distinct()
+    if salt > 1:
+        cols = left.columns
+        left_s, r_s = _salted(left, r, salt)
+        cond = (lk == F.col("_rk")) & (left_s[SALT] == r_s[SALT])
+        return left_s.join(r_s, cond, "left_anti").select(*cols)
     return left.join(r, lk == F.col("_rk"), "left_anti")
 
 
