@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove reliable-checkpoint files (ingest deltas) once they are unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -31,8 +31,15 @@ def start_ingest(envelope_stream: DataFrame, spec: IngestSpec, target_path: str,
         bt = batch_time(epoch_id) if callable(batch_time) else batch_time
         if bt is None:
             bt = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        ingest_batch(batch.sparkSession, spec, batch, target_path, bt,
-                     partition_by=partition_by, dedupe_keys=dedupe_keys)
+        # the batch is read twice (target pruning, then the write); keep it
+        # instead of reading the source again.  A lost cached block is
+        # recomputed from the batch's lineage.
+        batch.persist()
+        try:
+            ingest_batch(batch.sparkSession, spec, batch, target_path, bt,
+                         partition_by=partition_by, dedupe_keys=dedupe_keys)
+        finally:
+            batch.unpersist()
 
     w = (envelope_stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint_path))
