@@ -299,7 +299,7 @@ SELECT d, strftime(d - INTERVAL 4 MONTH, '%Y%m') AS periode_fom,
 FROM {_DAYS} t
 """
 WEEK_CYCLE = f"""
-SELECT d, weekofyear(d) AS week,
+SELECT d, CAST(weekofyear(d) AS INTEGER) AS week,
        ['Ada', 'Bjorn', 'Cato', 'Dina'][((weekofyear(d) - 1) % 4) + 1] AS on_duty
 FROM {_DAYS} t
 """
