@@ -137,3 +137,20 @@ def test_skip_duplicates_prunes_target_per_topic(spark):
     out = skip_duplicates(incoming, target, ["kafka_topic", "kafka_offset"])
     assert sorted((r["kafka_topic"] or "", r["kafka_offset"]) for r in out.collect()) == \
         [("", 4), ("a", 51), ("c", 9)]
+
+
+def test_ingest_many_fan_in(spark):
+    from tidemark.operators.ingest import ingest_many
+    base = IngestSpec.from_yaml(SPEC_YAML)
+    parts = []
+    for topic, lit in (("t1", "ONE"), ("t2", "TWO")):
+        tr = tuple(f if f.dst != "kind" else type(f)(f"${lit}", "kind") for f in base.transform)
+        spec = IngestSpec(**{**base.__dict__, "transform": tr, "topic": topic})
+        rows = [(_msg(i), topic, i, 1_700_000_000_000 + i, 0) for i in range(5)]
+        parts.append((spec, _env(spark, rows + rows[:2])))   # repeats inside the batch
+    target = work_dir(spark, "t-fan-in")
+    assert ingest_many(spark, parts, target, BT).count() == 10
+    assert ingest_many(spark, parts, target, BT).count() == 0
+    landed = spark.read.parquet(target)
+    assert sorted((r["kafka_topic"], r["kind"]) for r in landed.select("kafka_topic", "kind")
+                  .distinct().collect()) == [("t1", "ONE"), ("t2", "TWO")]

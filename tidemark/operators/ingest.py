@@ -199,5 +199,31 @@ def ingest_batch(spark: SparkSession, spec: IngestSpec, envelope: DataFrame, tar
     return staged
 
 
-__all__ = ["FieldMap", "IngestSpec", "apply_spec", "skip_duplicates", "ingest_batch",
+def ingest_many(spark: SparkSession, parts: Sequence[tuple[IngestSpec, DataFrame]], target_path: str,
+                batch_time: _dt.datetime | None = None, partition_by: Sequence[str] = (),
+                dedupe_keys: Sequence[str] | None = None) -> DataFrame:
+    """Fan-in: several specs (one per topic) into one shared target in one job.
+
+    Each envelope is mapped by its own spec; the results are unioned by column
+    name (the specs must produce the same columns), checked for duplicates once
+    and appended once.
+    """
+    if not parts:
+        raise ValueError("nothing to ingest")
+    mapped = None
+    for spec, env in parts:
+        m = apply_spec(env, spec, batch_time)
+        mapped = m if mapped is None else mapped.unionByName(m)
+    keys = list(dedupe_keys) if dedupe_keys is not None else parts[0][0].dedupe_keys()
+    target = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
+    delta = skip_duplicates(mapped, target, keys)
+    staged = delta.checkpoint(eager=True) if target is not None else delta
+    w = staged.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(target_path)
+    return staged
+
+
+__all__ = ["FieldMap", "IngestSpec", "apply_spec", "skip_duplicates", "ingest_batch", "ingest_many",
            "field_column", "ENVELOPE_COLUMNS", "BATCH_TIME", "FUN_UNIX_MS_LOCAL"]

@@ -31,7 +31,8 @@ from tidemark.functions.timez import (date_text, local_day, minute, ntz_to_unix_
 from tidemark.operators.counts import (calendar_bound, count_metrics, recent_counts,
                                        recent_distinct, rolling_bound, typed_counts)
 from tidemark.operators.gaps import gap_count, offset_gaps
-from tidemark.operators.ingest import FieldMap, IngestSpec, apply_spec, ingest_batch, skip_duplicates
+from tidemark.operators.ingest import (FieldMap, IngestSpec, apply_spec, ingest_batch, ingest_many,
+                                       skip_duplicates)
 from tidemark.operators.joins import new_values, not_in_values, unmatched, validity_join
 from tidemark.operators.reconcile import distinct_by_code, reconcile
 from tidemark.operators.refresh import period_refresh, write_periodic
@@ -371,14 +372,14 @@ FAN_IN = {"click": "CLICK", "view": "VIEW", "purchase": "PURCHASE"}
 
 
 def q_fan_in_ingest(spark, sf):
+    """Three topics, three type literals, one shared target (one dedupe, one append)."""
     target = work_dir(spark, "fan-in")
-    spec0 = spec_without(landing_spec(), "ytelse_type", "kafka_mottatt_dato")
+    parts = []
     for topic, literal in FAN_IN.items():
-        spec = landing_spec(topic, literal)
-        spec = spec_without(spec, "ytelse_type", "kafka_mottatt_dato")
-        env = events_envelope(spark, sf).where(F.col("kafka_topic") == topic)
-        ingest_batch(spark, spec, env, target, BATCH_TIME)
-    return spark.read.parquet(target).select(*spec0.columns)
+        spec = spec_without(landing_spec(topic, literal), "ytelse_type", "kafka_mottatt_dato")
+        parts.append((spec, events_envelope(spark, sf).where(F.col("kafka_topic") == topic)))
+    ingest_many(spark, parts, target, BATCH_TIME)
+    return spark.read.parquet(target).select(*parts[0][0].columns)
 
 
 def q_replay_idempotent(spark, sf):
