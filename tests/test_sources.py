@@ -82,3 +82,11 @@ def test_refresh_strict_rejects_other_periods(spark):
         assert "outside period" in str(e)
     else:
         raise AssertionError("strict refresh accepted rows of another period")
+
+
+def test_slice_bounds():
+    from tidemark.sources.kafka import slice_bounds
+    a, b = slice_bounds(dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 10, 1))
+    assert (a, b) == (1704844800000, 1704848400000)
+    oslo = dt.timezone(dt.timedelta(hours=1))
+    assert slice_bounds(dt.datetime(2024, 1, 10, 1, tzinfo=oslo), dt.datetime(2024, 1, 10, 2, tzinfo=oslo)) == (a, b)

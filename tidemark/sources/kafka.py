@@ -8,6 +8,7 @@ drive the same code with envelope DataFrames built from parquet tables.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,30 @@ def read_stream(spark: SparkSession, bootstrap_servers: str, topic: str, start_m
     return kafka_to_envelope(r.load(), message_type)
 
 
+def slice_bounds(start: _dt.datetime, end: _dt.datetime) -> tuple[int, int]:
+    """Epoch-ms bounds of a scheduler interval (``data_interval`` x 1000).
+
+    Naive datetimes are taken as UTC.
+    """
+    def ms(t: _dt.datetime) -> int:
+        if t.tzinfo is None:
+            t = t.replace(tzinfo=_dt.timezone.utc)
+        return int(t.timestamp() * 1000)
+    return ms(start), ms(end)
+
+
+def stream_for_spec(spark: SparkSession, spec, bootstrap_servers: str,
+                    start_ms: int | None = None,
+                    options: Mapping[str, str] | None = None) -> DataFrame:
+    """Kafka stream of an ingest spec: its topic, ``batch-size`` as the per-trigger
+    limit, and its payload type (text or binary)."""
+    if not spec.topic:
+        raise ValueError("the spec has no topic; fill it with IngestSpec.from_dict(..., topic=)")
+    return read_stream(spark, bootstrap_servers, spec.topic, start_ms=start_ms,
+                       max_offsets_per_trigger=spec.batch_size, message_type=spec.message_type,
+                       options=options)
+
+
 def slice_envelope(envelope: DataFrame, start_ms: int, stop_ms: int,
                    ts_col: str = "kafka_timestamp") -> DataFrame:
     """Rows of an envelope with ``start_ms <= timestamp < stop_ms``."""
@@ -101,4 +126,5 @@ def table_as_envelope(df: DataFrame, message: str, topic: str, offset: str, ts:
     )
 
 
-__all__ = ["kafka_to_envelope", "read_slice", "read_stream", "slice_envelope", "table_as_envelope"]
+__all__ = ["kafka_to_envelope", "read_slice", "read_stream", "slice_bounds", "slice_envelope",
+           "stream_for_spec", "table_as_envelope"]
