@@ -68,3 +68,13 @@ def test_bucketed_equals_lead(spark, a, b, width, min_gap, floor):
     fast = offset_gaps(df, "off", "topic", min_gap=min_gap, offset_floor=floor, bucket_width=width)
     slow = offset_gaps_lead(df, "off", "topic", min_gap=min_gap, offset_floor=floor)
     assert _rows(fast) == _rows(slow)
+
+
+def test_type_filter_inside_shows_other_types_as_gaps(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("t", 0, o, t0, "A" if o % 3 else "B") for o in range(1, 13)]
+    df = spark.createDataFrame(rows, SCHEMA + ", typ string")
+    inside = gap_count(df.where(F.col("typ") == "A"), "off", "topic").first()[0]
+    # offsets 3, 6, 9 are type B: filtered out before LEAD they become three gaps
+    assert inside == 3
+    assert gap_count(df, "off", "topic").first()[0] == 0
