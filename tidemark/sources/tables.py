@@ -40,15 +40,29 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False, mode: str =
     return path
 
 
-def load_csv(spark: SparkSession, path: str, infer_schema: bool = True) -> DataFrame:
-    """Read header CSV, inferring column types (``autodetect``)."""
-    return spark.read.option("header", True).option("inferSchema", infer_schema).csv(path)
+def load_csv(spark: SparkSession, path: str, infer_schema: bool = True, schema=None,
+             sampling_ratio: float | None = None) -> DataFrame:
+    """Read header CSV.
+
+    Types are inferred (``autodetect``) unless ``schema`` is given.  Inference
+    reads the data once more before the load; ``sampling_ratio`` makes it read
+    a fraction of the rows instead (the load itself always reads all rows).
+    """
+    r = spark.read.option("header", True)
+    if schema is not None:
+        return r.schema(schema).csv(path)
+    r = r.option("inferSchema", infer_schema)
+    if sampling_ratio is not None:
+        r = r.option("samplingRatio", sampling_ratio)
+    return r.csv(path)
 
 
 def load_csv_replace(spark: SparkSession, csv_path: str, target_path: str,
-                     fmt: str = "parquet") -> DataFrame:
-    """Load staged CSV with inferred schema and replace the target (``WRITE_TRUNCATE``)."""
-    load_csv(spark, csv_path).write.mode("overwrite").format(fmt).save(target_path)
+                     fmt: str = "parquet", schema=None,
+                     sampling_ratio: float | None = None) -> DataFrame:
+    """Load staged CSV and replace the target (``WRITE_TRUNCATE``)."""
+    (load_csv(spark, csv_path, schema=schema, sampling_ratio=sampling_ratio)
+     .write.mode("overwrite").format(fmt).save(target_path))
     return spark.read.format(fmt).load(target_path)
 
 
