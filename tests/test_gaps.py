@@ -78,3 +78,12 @@ def test_type_filter_inside_shows_other_types_as_gaps(spark):
     # offsets 3, 6, 9 are type B: filtered out before LEAD they become three gaps
     assert inside == 3
     assert gap_count(df, "off", "topic").first()[0] == 0
+
+
+def test_auto_width_python_and_subquery_agree(spark):
+    from tidemark.operators.gaps import auto_bucket_width, auto_bucket_width_col
+    for span in (0, 5, 2_000_000, 10**12):
+        df = spark.createDataFrame([("a", 0), ("a", span), ("b", 3)], "topic string, off long")
+        py = auto_bucket_width(df, "off", ["topic"])
+        sq = spark.range(1).select(auto_bucket_width_col(df, "off", ["topic"])).first()[0]
+        assert py == sq, span

@@ -62,6 +62,17 @@ def auto_bucket_width(df: DataFrame, offset: str, keys: Sequence[str]) -> int:
     return width
 
 
+def auto_bucket_width_col(df: DataFrame, offset: str, keys: Sequence[str]):
+    """``auto_bucket_width`` as a scalar subquery, evaluated once inside the query
+    that uses it (no separate driver round trip)."""
+    spans = df.groupBy(*keys).agg((F.max(offset) - F.min(offset)).alias("_span"))
+    span = F.greatest(F.max("_span"), F.lit(1)).cast("double")
+    exp = F.ceil(F.log2(F.sqrt(span)))
+    lo, hi = MIN_BUCKET_WIDTH.bit_length() - 1, MAX_BUCKET_WIDTH.bit_length() - 1
+    exp = F.least(F.greatest(exp, F.lit(lo)), F.lit(hi)).cast("int")
+    return spans.agg(F.pow(F.lit(2.0), exp).cast("long")).scalar()
+
+
 def _cols(by: str | Sequence[str] | None) -> list[str]:
     if by is None:
         return []
@@ -79,7 +90,9 @@ def offset_gaps(df: DataFrame, offset: str, by: str | Sequence[str] | None = Non
     Returns ``by..., gap_from, gap_to, missing`` (+ ``carry`` = max of the
     carried column over the rows at ``gap_from``).
 
-    ``bucket_width`` ``None`` picks it from the data (``auto_bucket_width``).
+    ``bucket_width`` ``None`` picks it from the data (``auto_bucket_width_col``,
+    a scalar subquery run once inside this query; building the DataFrame runs
+    no job).
 
     ``offset_floor``: only gaps whose ``gap_from`` is above this value.  LEAD
     looks forward, so rows at or below the floor cannot change a gap above it;
@@ -93,12 +106,14 @@ def offset_gaps(df: DataFrame, offset: str, by: str | Sequence[str] | None = Non
     if offset_floor is not None:
         src = src.where(off > F.lit(offset_floor))
     if bucket_width is None:
-        bucket_width = auto_bucket_width(src, offset, keys)
-    if bucket_width < 1:
+        width = auto_bucket_width_col(src, offset, keys)
+    elif bucket_width < 1:
         raise ValueError("bucket_width must be positive")
+    else:
+        width = F.lit(int(bucket_width)).cast("long")
     sel = [*keys, offset] + ([carry] if carry else [])
-    b = F.expr(f"`{offset}` div {int(bucket_width)}").alias("_bucket")
-    rows = src.select(*sel, b)
+    rows = (src.select(*sel, width.alias("_w"))
+            .select(*sel, F.expr(f"`{offset}` div _w").alias("_bucket")))
 
     if carry:
         distinct = rows.groupBy(*keys, "_bucket", offset).agg(F.max(carry).alias(carry))
@@ -166,5 +181,5 @@ def gap_count(df: DataFrame, offset: str, by: str | Sequence[str] | None = None,
     return gaps.agg(F.count(F.lit(1)).alias(name))
 
 
-__all__ = ["offset_gaps", "offset_gaps_lead", "gap_count", "auto_bucket_width",
+__all__ = ["offset_gaps", "offset_gaps_lead", "gap_count", "auto_bucket_width", "auto_bucket_width_col",
            "DEFAULT_BUCKET_WIDTH"]
