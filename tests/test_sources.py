@@ -90,3 +90,18 @@ def test_slice_bounds():
     assert (a, b) == (1704844800000, 1704848400000)
     oslo = dt.timezone(dt.timedelta(hours=1))
     assert slice_bounds(dt.datetime(2024, 1, 10, 1, tzinfo=oslo), dt.datetime(2024, 1, 10, 2, tzinfo=oslo)) == (a, b)
+
+
+def test_kafka_rows_to_envelope(spark):
+    import hashlib
+    from tidemark.sources.kafka import kafka_to_envelope
+    ts = dt.datetime(2024, 3, 31, 1, 0, tzinfo=dt.timezone.utc)
+    raw = spark.createDataFrame([(b'{"k": 1}', "topic-a", 7, ts, 2)],
+                                "value binary, topic string, offset long, timestamp timestamp, "
+                                "partition int")
+    r = kafka_to_envelope(raw).first().asDict()
+    assert r["kafka_message"] == '{"k": 1}' and r["kafka_topic"] == "topic-a"
+    assert (r["kafka_offset"], r["kafka_partition"]) == (7, 2)
+    assert r["kafka_timestamp"] == int(ts.timestamp() * 1000)
+    assert r["kafka_hash"] == hashlib.sha256(b'{"k": 1}').hexdigest()
+    assert dict(kafka_to_envelope(raw, "binary").dtypes)["kafka_message"] == "binary"
