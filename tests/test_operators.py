@@ -175,3 +175,20 @@ def test_salted_joins_equal_plain(spark):
     assert b.columns == facts.columns
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
     assert b.count() == 2
+
+
+def test_pre_aggregated_counts_equal_row_counts(spark):
+    from tidemark.operators.joins import unmatched_count, validity_join_count
+    facts = spark.createDataFrame(
+        [("hot", dt.date(2024, 1, 1 + i % 20)) for i in range(300)]
+        + [("hot", dt.date(2024, 1, 3))] * 50 + [("cold", dt.date(2024, 1, 5)), (None, dt.date(2024, 1, 5))],
+        "person string, day date")
+    dim = spark.createDataFrame([("hot", dt.date(2024, 1, 1), dt.date(2024, 1, 10)),
+                                 ("hot", dt.date(2024, 1, 8), dt.date(2024, 1, 31)),
+                                 ("cold", dt.date(2024, 2, 1), dt.date(2024, 2, 2))],
+                                "off_id string, fra date, til date")
+    rows = validity_join(facts, dim, "person", "off_id", "day", "fra", "til").count()
+    assert validity_join_count(facts, dim, "person", "off_id", "day", "fra", "til").first()[0] == rows
+    right = spark.createDataFrame([("hot",)], "c string")
+    assert unmatched_count(facts, right, "person", "c").first()[0] == \
+        unmatched(facts, right, "person", "c").count() == 2

@@ -16,10 +16,15 @@ SALT = "_salt"
 
 
 def _salted(facts: DataFrame, other: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
-    """Split hot keys over ``salt`` tasks: each fact row gets a salt from a hash
-    of its own columns (deterministic, so a retried task computes the same
-    rows), the other side is copied once per salt value (a fixed factor)."""
-    f = facts.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt)))
+    """Split hot keys over ``salt`` tasks.
+
+    Each fact row gets a salt from its position (so even identical copies of a
+    row spread), the other side is copied once per salt value (a fixed
+    factor).  The salt only chooses the task: every salt value meets a full
+    copy of the other side, so the result does not depend on it, and Spark
+    reruns the dependent stage as a whole if a salted map stage is retried.
+    """
+    f = facts.withColumn(SALT, F.pmod(F.monotonically_increasing_id(), F.lit(salt)))
     o = other.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
     return f, o
 
@@ -34,7 +39,8 @@ def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
     ``salt > 1`` spreads each key over ``salt`` tasks (for a key holding a large
     share of the facts when AQE's skew split is not available); the dimension
-    is copied ``salt`` times.
+    is copied ``salt`` times.  When only the number of join rows is needed,
+    ``validity_join_count`` pre-aggregates instead.
     """
     if salt > 1:
         facts, dim = _salted(facts, dim, salt)
@@ -49,6 +55,29 @@ def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     return f.join(d, cond, how)
 
 
+def validity_join_count(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+                        fact_day: str, valid_from: str, valid_to: str,
+                        name: str = "n_rows") -> DataFrame:
+    """Number of join rows of ``validity_join`` without materialising them.
+
+    Facts are first collapsed to (key, day, n) with a map-side partial
+    aggregate, so a key holding a third of all facts costs at most one row per
+    day and map task; the join then runs on those rows and sums ``n``.
+    """
+    per_day = facts.groupBy(F.col(fact_key).alias(fact_key), F.col(fact_day).alias(fact_day)) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    j = validity_join(per_day, dim, fact_key, dim_key, fact_day, valid_from, valid_to)
+    return j.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias(name))
+
+
+def unmatched_count(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                    name: str = "n_unmatched") -> DataFrame:
+    """Number of ``left`` rows with no equal key in ``right``, pre-aggregated by key."""
+    per_key = left.groupBy(F.col(left_key).alias(left_key)).agg(F.count(F.lit(1)).alias("_n"))
+    return (unmatched(per_key, right, left_key, right_key)
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias(name)))
+
+
 def unmatched(left: DataFrame, right: DataFrame, left_key: str | Column, right_key: str,
               salt: int = 1) -> DataFrame:
     """Rows of ``left`` with no equal key in ``right`` (``LEFT JOIN ... IS NULL``).
@@ -106,4 +135,5 @@ def not_in_values(values: DataFrame, col: str, domain: DataFrame, domain_col: st
     return anti.where((n_all == 0) | (F.col(out).isNotNull() & (n_null == 0)))
 
 
-__all__ = ["validity_join", "unmatched", "new_values", "not_in_values"]
+__all__ = ["validity_join", "validity_join_count", "unmatched", "unmatched_count", "new_values",
+           "not_in_values"]

@@ -33,7 +33,8 @@ from tidemark.operators.counts import (calendar_bound, count_metrics, recent_cou
 from tidemark.operators.gaps import gap_count, offset_gaps
 from tidemark.operators.ingest import (FieldMap, IngestSpec, apply_spec, ingest_batch, ingest_many,
                                        skip_duplicates)
-from tidemark.operators.joins import new_values, not_in_values, unmatched, validity_join
+from tidemark.operators.joins import (new_values, not_in_values, unmatched_count,
+                                      validity_join_count)
 from tidemark.operators.reconcile import distinct_by_code, reconcile
 from tidemark.operators.refresh import period_refresh, write_periodic
 from tidemark.operators.runs import run_success_counts, run_success_report
@@ -202,9 +203,8 @@ def _validity_count(spark, sf, key_col) -> DataFrame:
     facts = ev.select(key_col.alias("person"),
                       local_day("ts", "UTC", "Europe/Belgrade").alias("decision_day"))
     dim = identity_dim(spark, sf).where(F.col("skjermet_kode").isin(6, 7))
-    j = validity_join(facts, dim, "person", "off_id", "decision_day", "gyldig_fra_dato",
-                      "gyldig_til_dato")
-    return j.agg(F.count(F.lit(1)).alias("n_rows"))
+    return validity_join_count(facts, dim, "person", "off_id", "decision_day", "gyldig_fra_dato",
+                               "gyldig_til_dato", name="n_rows")
 
 
 def q_validity_join_count(spark, sf):
@@ -219,7 +219,7 @@ def q_unmatched_messages(spark, sf):
     cases = (table(spark, sf, "customer").where(F.col("c_mktsegment") != UNPACKED_EXCEPT)
              .select(F.col("c_custkey").cast("string").alias("case_id")))
     msgs = ev.select(json_value("props", "$.k").alias("case_ref"))
-    return unmatched(msgs, cases, "case_ref", "case_id").agg(F.count(F.lit(1)).alias("n_unmatched"))
+    return unmatched_count(msgs, cases, "case_ref", "case_id", name="n_unmatched")
 
 
 def _sold_big(spark, sf) -> DataFrame:
