@@ -190,9 +190,20 @@ def ingest_batch(spark: SparkSession, spec: IngestSpec, envelope: DataFrame, tar
     keys = list(dedupe_keys) if dedupe_keys is not None else spec.dedupe_keys()
     target = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
     delta = skip_duplicates(mapped, target, keys)
-    # The delta is read twice (write + return); materialise it once.
-    staged = delta.checkpoint(eager=True) if target is not None else delta
-    w = staged.write.mode("append")
+    return _append(delta, target is not None, target_path, partition_by)
+
+
+def _append(delta: DataFrame, target_exists: bool, target_path: str,
+            partition_by: Sequence[str]) -> DataFrame:
+    """Append the delta; rows are sorted by (topic, offset) inside each file so
+    the files' min/max statistics stay narrow and later duplicate checks skip
+    most of the target."""
+    # The delta is read twice (write + return); materialise it once when it
+    # depends on the target that the write changes.
+    staged = delta.checkpoint(eager=True) if target_exists else delta
+    order = [c for c in ("kafka_topic", "kafka_partition", "kafka_offset") if c in staged.columns]
+    out = staged.sortWithinPartitions(*order) if order else staged
+    w = out.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target_path)
@@ -217,12 +228,7 @@ def ingest_many(spark: SparkSession, parts: Sequence[tuple[IngestSpec, DataFrame
     keys = list(dedupe_keys) if dedupe_keys is not None else parts[0][0].dedupe_keys()
     target = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
     delta = skip_duplicates(mapped, target, keys)
-    staged = delta.checkpoint(eager=True) if target is not None else delta
-    w = staged.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target_path)
-    return staged
+    return _append(delta, target is not None, target_path, partition_by)
 
 
 __all__ = ["FieldMap", "IngestSpec", "apply_spec", "skip_duplicates", "ingest_batch", "ingest_many",
