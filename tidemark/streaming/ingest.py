@@ -25,7 +25,13 @@ def start_ingest(envelope_stream: DataFrame, spec: IngestSpec, target_path: str,
                  checkpoint_path: str, batch_time: BatchTime = None,
                  dedupe_keys: Sequence[str] | None = None, partition_by: Sequence[str] = (),
                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start the ingest query; ``batch_time`` is fixed or a function of the epoch id."""
+    """Start the ingest query; ``batch_time`` is fixed or a function of the epoch id.
+
+    ``available_now`` runs what is there and stops (the scheduled hourly run);
+    otherwise the query runs continuously with a processing-time trigger of
+    ``processing_time`` or the spec's ``batch-interval`` (taken as seconds; the
+    configs do not state the unit).
+    """
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         bt = batch_time(epoch_id) if callable(batch_time) else batch_time
@@ -45,8 +51,11 @@ def start_ingest(envelope_stream: DataFrame, spec: IngestSpec, target_path: str,
          .option("checkpointLocation", checkpoint_path))
     if available_now:
         w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
+    else:
+        interval = processing_time or (f"{spec.batch_interval} seconds" if spec.batch_interval
+                                       else None)
+        if interval:
+            w = w.trigger(processingTime=interval)
     return w.start()
 
 
