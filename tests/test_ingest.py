@@ -154,3 +154,23 @@ def test_ingest_many_fan_in(spark):
     landed = spark.read.parquet(target)
     assert sorted((r["kafka_topic"], r["kind"]) for r in landed.select("kafka_topic", "kind")
                   .distinct().collect()) == [("t1", "ONE"), ("t2", "TWO")]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(offsets=st.lists(st.integers(0, 40), min_size=1, max_size=30),
+       cuts=st.lists(st.tuples(st.integers(0, 29), st.integers(1, 30)), min_size=1, max_size=3))
+def test_overlapping_slices_land_each_message_once(spark, offsets, cuts):
+    spec = IngestSpec.from_yaml(SPEC_YAML, topic="t")
+    rows = [(_msg(o), "t", o, 1_700_000_000_000 + o, 0) for o in offsets]
+    target = work_dir(spark, "t-prop-ingest")
+    for a, n in cuts:
+        part = rows[a:a + n]
+        if part:
+            ingest_batch(spark, spec, _env(spark, part), target, BT)
+    ingest_batch(spark, spec, _env(spark, rows), target, BT)   # final full replay
+    landed = sorted(r["kafka_offset"] for r in spark.read.parquet(target).collect())
+    assert landed == sorted(set(offsets))
