@@ -28,10 +28,14 @@ from tidemark.functions.json import json_key
 from tidemark.functions.timez import ts_literal, unix_ms_to_local
 from tidemark.session import path_exists
 
+# Fixed values of the consumer-spec format (they must equal the existing specs):
+#   envelope columns: kafka_message, kafka_topic, kafka_offset, kafka_timestamp,
+#                     kafka_partition, kafka_hash
+#   batch-time token: $$$BATCH_TIME ; literal prefix: $
+#   the only field function: "int-unix-ms -> datetime-no", local zone Europe/Oslo
 ENVELOPE_COLUMNS = ("kafka_message", "kafka_topic", "kafka_offset", "kafka_timestamp",
                     "kafka_partition", "kafka_hash")
 BATCH_TIME = "$$$BATCH_TIME"
-# Fixed value: the only field function the specs use, and the zone it means.
 FUN_UNIX_MS_LOCAL = "int-unix-ms -> datetime-no"
 LOCAL_ZONE = "Europe/Oslo"
 

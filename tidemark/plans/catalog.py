@@ -73,6 +73,11 @@ def events_envelope(spark: SparkSession, sf_dir: str, start_ms: int | None = Non
                              n_partitions=N_PARTITIONS, start_ms=start_ms, stop_ms=stop_ms)
 
 
+# Column names of the warehouse tables that users query.
+#   landing table: melding, kafka_topic, kafka_offset, kafka_mottatt_dato,
+#                  kafka_partition, lastet_dato, ytelse_type, type_stonad
+#   identity dimension: off_id, skjermet_kode, gyldig_fra_dato, gyldig_til_dato
+#   period settings: periode, periode_fom, periode_tom, max_vedtaksdato, gyldig_flagg
 # Ingest spec in the shape of the consumer configs (our own topic and literal).
 LANDING_SPEC = {
     "source": {"type": "kafka", "batch-size": 10000, "batch-interval": 5, "topic": "{}",

@@ -113,10 +113,10 @@ SELECT COUNT(1) AS n_rows FROM (
   SELECT {person} AS person, {_belgrade_day('ts')} AS decision_day
   FROM events WHERE ts >= {AS_OF} - INTERVAL 7 DAY
 ) m
-INNER JOIN ({IDENTITY_DIM}) ident
-  ON m.person = ident.off_id
- AND m.decision_day BETWEEN ident.gyldig_fra_dato AND ident.gyldig_til_dato
- AND ident.skjermet_kode IN (6, 7)
+INNER JOIN ({IDENTITY_DIM}) dim
+  ON m.person = dim.off_id
+ AND m.decision_day BETWEEN dim.gyldig_fra_dato AND dim.gyldig_til_dato
+ AND dim.skjermet_kode IN (6, 7)
 """
 
 
@@ -124,12 +124,12 @@ VALIDITY_JOIN_COUNT = _validity(_jv("props", "$.k"))
 
 UNMATCHED_MESSAGES = f"""
 SELECT COUNT(1) AS n_unmatched
-FROM events meta
+FROM events e
 LEFT OUTER JOIN (SELECT CAST(c_custkey AS VARCHAR) AS case_id FROM customer
-                 WHERE c_mktsegment <> 'HOUSEHOLD') fagsak
-  ON {_jv('meta.props', '$.k')} = fagsak.case_id
-WHERE fagsak.case_id IS NULL
-  AND CAST(meta.ts AS DATE) >= CAST({AS_OF} AS DATE) - 7
+                 WHERE c_mktsegment <> 'HOUSEHOLD') cases
+  ON {_jv('e.props', '$.k')} = cases.case_id
+WHERE cases.case_id IS NULL
+  AND CAST(e.ts AS DATE) >= CAST({AS_OF} AS DATE) - 7
 """
 
 NEW_CODES = """
@@ -185,19 +185,19 @@ GROUP BY strftime(l.l_shipdate, '%Y%m'), c.c_mktsegment, o.o_orderstatus
 """
 
 _RECON = """
-WITH fak AS (
+WITH all_rows AS (
   SELECT strftime(l_shipdate, '%Y%m') AS periode, l_returnflag AS flag, l_linestatus AS status,
          COUNT(DISTINCT l_suppkey) AS n_suppliers
   FROM lineitem GROUP BY 1, 2, 3
-), arena AS (
+), discounted AS (
   SELECT strftime(l_shipdate, '%Y%m') AS periode, l_returnflag AS flag,
          COUNT(DISTINCT l_suppkey) AS n_suppliers_right
   FROM lineitem WHERE l_discount > 0.05 GROUP BY 1, 2
-), diff AS (
-  SELECT fak.*, arena.n_suppliers_right, fak.n_suppliers - arena.n_suppliers_right AS diff
-  FROM fak LEFT JOIN arena ON fak.periode = arena.periode AND fak.flag = arena.flag
+), compared AS (
+  SELECT a.*, d.n_suppliers_right, a.n_suppliers - d.n_suppliers_right AS diff
+  FROM all_rows a LEFT JOIN discounted d ON a.periode = d.periode AND a.flag = d.flag
 )
-SELECT * FROM diff WHERE diff > 0
+SELECT * FROM compared WHERE diff > 0
 """
 
 RECONCILE_DIFF = _RECON
