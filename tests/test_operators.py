@@ -192,3 +192,10 @@ def test_pre_aggregated_counts_equal_row_counts(spark):
     right = spark.createDataFrame([("hot",)], "c string")
     assert unmatched_count(facts, right, "person", "c").first()[0] == \
         unmatched(facts, right, "person", "c").count() == 2
+
+
+def test_report_text_orders_lines(spark):
+    from tidemark.plans.reports import report_text
+    lines = spark.createDataFrame([(2, "b...2"), (1, "a...1")], "pos int, line string")
+    assert report_text(lines, "Head").first()[0] == "Head\na...1\nb...2"
+    assert report_text(lines).first()[0] == "a...1\nb...2"

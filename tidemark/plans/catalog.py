@@ -38,7 +38,8 @@ from tidemark.operators.joins import (new_values, not_in_values, unmatched_count
 from tidemark.operators.reconcile import distinct_by_code, reconcile
 from tidemark.operators.refresh import period_refresh, write_periodic
 from tidemark.operators.runs import run_success_counts, run_success_report
-from tidemark.plans.reports import gap_alert, metric_rows, report_lines, union_metrics
+from tidemark.plans.reports import (gap_alert, metric_rows, report_lines, report_text,
+                                    union_metrics)
 from tidemark.session import work_dir
 from tidemark.sources.kafka import slice_envelope, table_as_envelope
 from tidemark.sources.tables import copy_table, read_table
@@ -555,6 +556,13 @@ def q_report_lines(spark, sf):
     return report_lines(q_daily_report(spark, sf), DAILY_LABELS)
 
 
+DAILY_HEADER = "Daily report, messages read since 2024-01-30 00:00:00"
+
+
+def q_daily_report_text(spark, sf):
+    return report_text(q_report_lines(spark, sf), DAILY_HEADER)
+
+
 def q_gap_alert(spark, sf):
     return gap_alert({
         "events": q_gap_count(spark, sf),
@@ -625,6 +633,7 @@ QUERIES: dict[str, Query] = {
     "period_refresh": q_period_refresh,
     "daily_report": q_daily_report,
     "report_lines": q_report_lines,
+    "daily_report_text": q_daily_report_text,
     "gap_alert": q_gap_alert,
     "weekly_report": q_weekly_report,
 }

@@ -368,6 +368,12 @@ REPORT_LINES = "\nUNION ALL\n".join(
     f"FROM events"
     for i, (name, expr) in enumerate(_DAILY_PARTS))
 
+DAILY_REPORT_TEXT = f"""
+SELECT 'Daily report, messages read since 2024-01-30 00:00:00' || chr(10)
+       || string_agg(line, chr(10) ORDER BY pos) AS text
+FROM ({REPORT_LINES}) r
+"""
+
 GAP_ALERT = f"""
 WITH g AS (
   SELECT 'events' AS name, ({GAP_COUNT}) AS n
@@ -441,6 +447,7 @@ ORACLE_SQL: dict[str, str] = {
     "period_refresh": PERIOD_REFRESH,
     "daily_report": DAILY_REPORT,
     "report_lines": REPORT_LINES,
+    "daily_report_text": DAILY_REPORT_TEXT,
     "gap_alert": GAP_ALERT,
     "weekly_report": WEEKLY_REPORT,
 }

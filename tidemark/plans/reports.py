@@ -47,6 +47,15 @@ def report_lines(metrics: DataFrame, labels: Mapping[str, str],
                           dot_line(F.coalesce(label, F.col("metric")), F.col("value"), width).alias("line"))
 
 
+def report_text(lines: DataFrame, header: str | None = None) -> DataFrame:
+    """One row ``text``: the report lines in ``pos`` order, joined by newlines,
+    under an optional header.  The input has one row per metric, so the text is
+    bounded by the number of metrics."""
+    body = F.expr("listagg(line, '\\n') WITHIN GROUP (ORDER BY pos)")
+    text = F.concat(F.lit(header + "\n"), body) if header else body
+    return lines.agg(text.alias("text"))
+
+
 # Fixed texts of the gap alert (ours, in English).
 NO_GAPS_TEXT = "No gaps found in any topic."
 GAPS_PREFIX = "Gaps found in: "
@@ -85,5 +94,5 @@ def monthly_reconciliation(wide: DataFrame, wide_ids: Sequence[str], values: Map
     return out
 
 
-__all__ = ["monthly_reconciliation", "metric_rows", "union_metrics", "report_lines", "gap_alert", "NO_GAPS_TEXT",
+__all__ = ["monthly_reconciliation", "report_text", "metric_rows", "union_metrics", "report_lines", "gap_alert", "NO_GAPS_TEXT",
            "GAPS_PREFIX", "GAPS_SUFFIX"]
