@@ -189,19 +189,19 @@ def q_message_hash(spark, sf):
 # ------------------------------------------------------------------------- joins
 
 def identity_dim(spark, sf) -> DataFrame:
-    """Validity intervals per customer (two rule-based intervals, some overlapping)."""
+    """Validity intervals per customer (two rule-based intervals, some overlapping),
+    produced in one scan of ``customer``."""
     c = table(spark, sf, "customer")
     base = F.lit("2024-01-01").cast("date")
-    key = F.col("c_custkey").cast("string").alias("off_id")
-    code = F.col("c_nationkey").alias("skjermet_kode")
-    first = c.select(key, code,
-                     F.date_add(base, (F.col("c_custkey") % 20).cast("int")).alias("gyldig_fra_dato"),
-                     F.date_add(base, (F.col("c_custkey") % 20 + F.col("c_custkey") % 7).cast("int"))
-                     .alias("gyldig_til_dato"))
-    second = c.select(key, code,
-                      F.date_add(base, (F.col("c_custkey") % 5 + 20).cast("int")).alias("gyldig_fra_dato"),
-                      F.date_add(base, (F.col("c_custkey") % 5 + 30).cast("int")).alias("gyldig_til_dato"))
-    return first.unionByName(second)
+    k = F.col("c_custkey")
+
+    def interval(lo, hi):
+        return F.struct(F.date_add(base, lo.cast("int")).alias("gyldig_fra_dato"),
+                        F.date_add(base, hi.cast("int")).alias("gyldig_til_dato"))
+
+    spans = F.array(interval(k % 20, k % 20 + k % 7), interval(k % 5 + 20, k % 5 + 30))
+    return c.select(k.cast("string").alias("off_id"), F.col("c_nationkey").alias("skjermet_kode"),
+                    F.inline(spans))
 
 
 def _validity_count(spark, sf, key_col) -> DataFrame:
