@@ -105,3 +105,16 @@ def test_kafka_rows_to_envelope(spark):
     assert r["kafka_timestamp"] == int(ts.timestamp() * 1000)
     assert r["kafka_hash"] == hashlib.sha256(b'{"k": 1}').hexdigest()
     assert dict(kafka_to_envelope(raw, "binary").dtypes)["kafka_message"] == "binary"
+
+
+def test_stream_table_file_and_directory(spark):
+    from tidemark.sources.tables import stream_table
+    schema = read_table(spark, f"{SF_SMALL}/nation.parquet").schema
+    d = work_dir(spark, "t-stream-dir")
+    read_table(spark, f"{SF_SMALL}/nation.parquet").repartition(3).write.parquet(d)
+    for path in (f"{SF_SMALL}/nation.parquet", d):
+        name = "t_stream_" + str(abs(hash(path)))
+        q = (stream_table(spark, path, schema).writeStream.format("memory").queryName(name)
+             .trigger(availableNow=True).start())
+        q.awaitTermination(120)
+        assert spark.sql(f"SELECT COUNT(*) FROM {name}").first()[0] == 25

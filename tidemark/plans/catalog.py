@@ -42,7 +42,7 @@ from tidemark.plans.reports import (gap_alert, metric_rows, report_lines, report
                                     union_metrics)
 from tidemark.session import work_dir
 from tidemark.sources.kafka import slice_envelope, table_as_envelope
-from tidemark.sources.tables import copy_table, read_table
+from tidemark.sources.tables import copy_table, read_table, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -406,10 +406,8 @@ def q_replay_idempotent(spark, sf):
 def q_stream_ingest(spark, sf):
     from tidemark.streaming.ingest import run_ingest
 
-    src_dir = sf.rstrip("/")
-    schema = table(spark, sf, "events").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(src_dir))
+    path = f"{sf.rstrip('/')}/events.parquet"
+    stream = stream_table(spark, path, table(spark, sf, "events").schema)
     env = table_as_envelope(stream, message="props", topic="event_type", offset="event_id",
                             ts="ts", partition="user_id", n_partitions=N_PARTITIONS)
     target = work_dir(spark, "stream-target")

@@ -3,7 +3,8 @@
 from tidemark.sources.kafka import (kafka_to_envelope, read_slice, read_stream, slice_envelope,
                                     table_as_envelope)
 from tidemark.sources.tables import (copy_table, copy_tables, export_csv, load_csv,
-                                     load_csv_replace, read_table)
+                                     load_csv_replace, read_table, stream_table)
 
 __all__ = ["kafka_to_envelope", "read_slice", "read_stream", "slice_envelope", "table_as_envelope",
-           "copy_table", "copy_tables", "export_csv", "load_csv", "load_csv_replace", "read_table"]
+           "copy_table", "copy_tables", "export_csv", "load_csv", "load_csv_replace", "read_table",
+           "stream_table"]
