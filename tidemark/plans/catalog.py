@@ -584,6 +584,23 @@ def q_weekly_report(spark, sf):
     })
 
 
+# Fixed report labels of the weekly report (ours).
+WEEKLY_LABELS = {
+    "validity_by_payload_key": "Protected persons by payload key, not unpacked",
+    "validity_by_user": "Protected persons by user, not unpacked",
+    "unmatched_messages": "Messages not unpacked",
+    "new_part_codes": "New part codes",
+    "new_supplier_codes": "New supplier codes",
+    "new_part_codes_not_in": "New part codes (NOT IN)",
+    "patched_rows": "Rows changed after creation",
+}
+WEEKLY_HEADER = "Weekly report, messages read since 2024-01-24 00:00:00"
+
+
+def q_weekly_report_text(spark, sf):
+    return report_text(report_lines(q_weekly_report(spark, sf), WEEKLY_LABELS), WEEKLY_HEADER)
+
+
 QUERIES: dict[str, Query] = {
     "gap_count": q_gap_count,
     "gap_count_typed": q_gap_count_typed,
@@ -634,4 +651,5 @@ QUERIES: dict[str, Query] = {
     "daily_report_text": q_daily_report_text,
     "gap_alert": q_gap_alert,
     "weekly_report": q_weekly_report,
+    "weekly_report_text": q_weekly_report_text,
 }

@@ -400,6 +400,24 @@ UNION ALL SELECT 6, 'new_part_codes_not_in', (SELECT COUNT(*) FROM ({NEW_CODES_N
 UNION ALL SELECT 7, 'patched_rows', ({PATCHED_ROWS})
 """
 
+_WEEKLY_LABELS = {
+    "validity_by_payload_key": "Protected persons by payload key, not unpacked",
+    "validity_by_user": "Protected persons by user, not unpacked",
+    "unmatched_messages": "Messages not unpacked",
+    "new_part_codes": "New part codes",
+    "new_supplier_codes": "New supplier codes",
+    "new_part_codes_not_in": "New part codes (NOT IN)",
+    "patched_rows": "Rows changed after creation",
+}
+_WEEKLY_LABEL_CASE = "CASE metric " + " ".join(
+    f"WHEN '{m}' THEN '{t}'" for m, t in _WEEKLY_LABELS.items()) + " ELSE metric END"
+WEEKLY_REPORT_TEXT = f"""
+SELECT 'Weekly report, messages read since 2024-01-24 00:00:00' || chr(10)
+       || string_agg(rpad({_WEEKLY_LABEL_CASE}, 60, '.') || CAST(value AS VARCHAR), chr(10)
+                     ORDER BY pos) AS text
+FROM ({WEEKLY_REPORT}) w
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "gap_count": GAP_COUNT,
     "gap_count_typed": GAP_COUNT_TYPED,
@@ -450,4 +468,5 @@ ORACLE_SQL: dict[str, str] = {
     "daily_report_text": DAILY_REPORT_TEXT,
     "gap_alert": GAP_ALERT,
     "weekly_report": WEEKLY_REPORT,
+    "weekly_report_text": WEEKLY_REPORT_TEXT,
 }
