@@ -131,11 +131,15 @@ def test_year_label_switch(spark):
 
 
 def test_blank_and_coupled_defaults(spark):
-    df = spark.createDataFrame([("", "", 0), (None, None, 0), ("7", "202305", 0), (" ", "202306", 1)],
+    df = spark.createDataFrame([("", "", 0), (None, None, 0), ("7", "202305", 0), ("8", "202306", 1)],
                                "v string, p string, f int")
     p, f = coupled_default("p", "f", "202312")
     got = [tuple(r) for r in df.select(blank_default("v", 1, "int"), p, f).collect()]
-    assert got == [(1, "202312", 1), (1, "202312", 1), (7, "202305", 0), (1, "202306", 1)]
+    # "" is blank everywhere; NULL is blank for settings with a default, while the
+    # coupled period keeps NULL (the monthly job compares with "" only)
+    assert got == [(1, "202312", 1), (1, None, 0), (7, "202305", 0), (8, "202306", 1)]
+    p2, f2 = coupled_default("p", "f", "202312", null_is_blank=True)
+    assert [tuple(r) for r in df.select(p2, f2).collect()][1] == ("202312", 1)
 
 
 def test_dot_line(spark):

@@ -95,23 +95,37 @@ def daily_window(d: str | Column, back_months: int = 4, ahead_months: int = 14,
     }
 
 
-def blank_default(value: str | Column, default: Column | str | int, cast: str | None = None) -> Column:
-    """Setting with a default: blank text or NULL -> default, else ``cast(value)``."""
+def _blank(v: Column, null_is_blank: bool) -> Column:
+    """Exactly the empty text (no trimming), and NULL when ``null_is_blank``."""
+    empty = v.cast("string") == ""
+    return (v.isNull() | empty) if null_is_blank else F.coalesce(empty, F.lit(False))
+
+
+def blank_default(value: str | Column, default: Column | str | int, cast: str | None = None,
+                  null_is_blank: bool = True) -> Column:
+    """Setting with a default: ``""`` (or NULL) -> default, else ``cast(value)``.
+
+    Only the empty text counts as blank; a value of spaces is cast like any other.
+    """
     v = _as_col(value)
     dflt = default if isinstance(default, Column) else F.lit(default)
     given = v.cast(cast) if cast else v
     if cast:
         dflt = dflt.cast(cast)
-    return F.when(v.isNull() | (F.trim(v.cast("string")) == ""), dflt).otherwise(given)
+    return F.when(_blank(v, null_is_blank), dflt).otherwise(given)
 
 
 def coupled_default(period: str | Column, flag: str | Column, default_period: Column | str,
-                    default_flag: int = 1) -> tuple[Column, Column]:
-    """A blank period sets both the period *and* the flag to their defaults."""
+                    default_flag: int = 1, null_is_blank: bool = False) -> tuple[Column, Column]:
+    """A blank period sets both the period *and* the flag to their defaults.
+
+    The monthly job compares the period with ``""`` only, so by default a NULL
+    period is kept (with the given flag); ``null_is_blank=True`` treats it as blank.
+    """
     p = _as_col(period)
     f = _as_col(flag)
     dp = default_period if isinstance(default_period, Column) else F.lit(default_period)
-    blank = p.isNull() | (F.trim(p.cast("string")) == "")
+    blank = _blank(p, null_is_blank)
     return (F.when(blank, dp).otherwise(p.cast("string")),
             F.when(blank, F.lit(default_flag)).otherwise(f.cast("int")))
 

@@ -316,11 +316,9 @@ WITH s AS (
   FROM customer
 )
 SELECT c_custkey, setting,
-       CASE WHEN setting IS NULL OR trim(setting) = '' THEN 1 ELSE CAST(setting AS INTEGER) END AS value,
-       CASE WHEN period_setting IS NULL OR trim(period_setting) = '' THEN '202312'
-            ELSE period_setting END AS periode,
-       CASE WHEN period_setting IS NULL OR trim(period_setting) = '' THEN 1
-            ELSE CAST(flag_setting AS INTEGER) END AS gyldig_flagg
+       CASE WHEN setting IS NULL OR setting = '' THEN 1 ELSE CAST(setting AS INTEGER) END AS value,
+       CASE WHEN period_setting = '' THEN '202312' ELSE period_setting END AS periode,
+       CASE WHEN period_setting = '' THEN 1 ELSE CAST(flag_setting AS INTEGER) END AS gyldig_flagg
 FROM s
 """
 
