@@ -181,5 +181,5 @@ def gap_count(df: DataFrame, offset: str, by: str | Sequence[str] | None = None,
     return gaps.agg(F.count(F.lit(1)).alias(name))
 
 
-__all__ = ["offset_gaps", "offset_gaps_lead", "gap_count", "auto_bucket_width", "auto_bucket_width_col",
-           "DEFAULT_BUCKET_WIDTH"]
+__all__ = ["offset_gaps", "offset_gaps_lead", "gap_count", "auto_bucket_width",
+           "auto_bucket_width_col", "DEFAULT_BUCKET_WIDTH"]

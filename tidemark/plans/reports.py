@@ -94,5 +94,5 @@ def monthly_reconciliation(wide: DataFrame, wide_ids: Sequence[str], values: Map
     return out
 
 
-__all__ = ["monthly_reconciliation", "report_text", "metric_rows", "union_metrics", "report_lines", "gap_alert", "NO_GAPS_TEXT",
-           "GAPS_PREFIX", "GAPS_SUFFIX"]
+__all__ = ["monthly_reconciliation", "report_text", "metric_rows", "union_metrics", "report_lines",
+           "gap_alert", "NO_GAPS_TEXT", "GAPS_PREFIX", "GAPS_SUFFIX"]
