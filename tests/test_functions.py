@@ -179,3 +179,16 @@ def test_epoch_ms_and_month_text_in_a_dst_gap(spark):
                                                  dt.datetime(2024, 3, 31, 23, 30)], zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_period_range_bounds(spark):
+    from tidemark.functions import period_range
+    ts = [dt.datetime(2023, 12, 31, 23, 59), dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 15, 23, 59),
+          dt.datetime(2024, 3, 16), dt.datetime(2024, 3, 31, 12), dt.datetime(2024, 4, 1)]
+    df = spark.createDataFrame([(t,) for t in ts], "ts timestamp_ntz")
+    a = [r[0] for r in df.where(period_range("ts", "202401", "202403")).collect()]
+    assert a == ts[1:5]
+    b = [r[0] for r in df.where(period_range("ts", "202401", "202403", "20240315")).collect()]
+    assert b == ts[1:3]   # the max date is inclusive for the whole day
+    c = [r[0] for r in df.where(period_range("ts", "202312", "202312")).collect()]
+    assert c == ts[:1]    # December rolls over to January
