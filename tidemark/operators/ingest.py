@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.json import json_key
 from tidemark.functions.timez import ts_literal, unix_ms_to_local
-from tidemark.session import path_exists
+from tidemark.session import ensure_checkpoint_dir, path_exists
 
 # Fixed values of the consumer-spec format (they must equal the existing specs):
 #   envelope columns: kafka_message, kafka_topic, kafka_offset, kafka_timestamp,
@@ -204,6 +204,8 @@ def _append(delta: DataFrame, target_exists: bool, target_path: str,
     most of the target."""
     # The delta is read twice (write + return); materialise it once when it
     # depends on the target that the write changes.
+    if target_exists:
+        ensure_checkpoint_dir(delta.sparkSession)
     staged = delta.checkpoint(eager=True) if target_exists else delta
     order = [c for c in ("kafka_topic", "kafka_partition", "kafka_offset") if c in staged.columns]
     out = staged.sortWithinPartitions(*order) if order else staged
