@@ -58,8 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        # spark.checkpoint.dir cannot be changed at run time; the context's
+        # checkpoint folder can, and later calls read it back from there
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
