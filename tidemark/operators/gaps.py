@@ -25,6 +25,12 @@ computes the same pairs with the work split into fixed-width offset buckets:
    row per non-empty bucket, so its size is bounded by the offset range divided
    by the bucket width, not by the row count.
 
+A variant that collects each bucket's distinct offsets into an array
+(``collect_set``, map-side deduplicated) and pairs neighbours with array
+functions saves one shuffle and measured 25-35 % faster on one hot topic
+locally, but slower for many small streams, and it must hold a whole bucket
+in memory; the window form spills to disk.  The window form is kept.
+
 Duplicated offsets never form a gap (difference 0), so collapsing them keeps
 the count whenever the final filter only looks at the offset.  When a filter on
 another column is applied *after* LEAD (``carry``), the copy that carries the
