@@ -115,48 +115,57 @@ def spec_without(spec: IngestSpec, *dst: str) -> IngestSpec:
 # --------------------------------------------------------------------------- gaps
 
 def q_gap_count(spark, sf):
+    """Gaps per topic, offsets above the floor (floor pushed below LEAD)."""
     ev = table(spark, sf, "events")
     return gap_count(ev, "event_id", "event_type", min_gap=1, offset_floor=OFFSET_FLOOR)
 
 
 def q_gap_count_typed(spark, sf):
+    """Type filter applied before LEAD."""
     ev = table(spark, sf, "events").where(F.col("event_type") == "click")
     return gap_count(ev, "event_id", "event_type", min_gap=1, offset_floor=OFFSET_FLOOR)
 
 
 def q_gap_count_since(spark, sf):
+    """Load-date bound applied after LEAD (carried column)."""
     ev = table(spark, sf, "events")
     return gap_count(ev, "event_id", "event_type", carry="ts",
                      after=F.col("ts") > date_text("15.01.2024"))
 
 
 def q_gap_count_partitioned(spark, sf):
+    """Per (supplier, line number) over order keys, date filter inside, gap > 900."""
     li = table(spark, sf, "lineitem").where(F.col("l_shipdate") > date_text("16.04.1996"))
     return gap_count(li, "l_orderkey", ["l_suppkey", "l_linenumber"], min_gap=900)
 
 
 def q_gap_list(spark, sf):
+    """Every gap as (topic, from, to, missing)."""
     return offset_gaps(table(spark, sf, "events"), "event_id", "event_type")
 
 
 # ------------------------------------------------------------------------- counts
 
 def q_recent_count(spark, sf):
+    """F1/A1: counts in rolling windows (>= 1 and 7 days, > 8 days) in one pass."""
     return recent_counts(table(spark, sf, "events"), "ts", AS_OF,
                          {"n_1d": (1, True), "n_7d": (7, True), "n_8d_excl": (8, False)})
 
 
 def q_recent_days(spark, sf):
+    """calendar-day window written as a range on the timestamp."""
     ev = table(spark, sf, "events")
     return count_metrics(ev, {"n_recent_days": None}, where=calendar_bound("ts", AS_OF, 7))
 
 
 def q_typed_counts(spark, sf):
+    """Total plus three types in one pass."""
     return typed_counts(table(spark, sf, "events"), "ts", AS_OF, 7, "event_type",
                         {"n_click": "click", "n_view": "view", "n_purchase": "purchase"})
 
 
 def q_distinct_count(spark, sf):
+    """A2: exact distinct users in the last day."""
     return recent_distinct(table(spark, sf, "events"), "ts", AS_OF, 1, "user_id",
                            name="n_distinct_users")
 
@@ -164,17 +173,20 @@ def q_distinct_count(spark, sf):
 # ----------------------------------------------------------------- scalar / time
 
 def q_json_value(spark, sf):
+    """JSON_VALUE of a present and a missing key."""
     ev = table(spark, sf, "events")
     return ev.select("event_id", json_value("props", "$.k").alias("k"),
                      json_value("props", "$.missing").alias("missing"))
 
 
 def q_local_decision_day(spark, sf):
+    """UTC wall clock to Europe/Belgrade day."""
     ev = table(spark, sf, "events")
     return ev.select("event_id", local_day("ts", "UTC", "Europe/Belgrade").alias("decision_day"))
 
 
 def q_unix_ms_local(spark, sf):
+    """P5: epoch milliseconds and their Europe/Oslo wall clock."""
     ev = table(spark, sf, "events")
     ms = ntz_to_unix_ms("ts")
     return ev.select("event_id", ms.alias("kafka_timestamp"),
@@ -182,6 +194,7 @@ def q_unix_ms_local(spark, sf):
 
 
 def q_message_hash(spark, sf):
+    """SHA-256 of the message text."""
     ev = table(spark, sf, "events")
     return ev.select("event_id", F.sha2(F.col("props"), 256).alias("kafka_hash"))
 
@@ -214,6 +227,7 @@ def _validity_count(spark, sf, key_col) -> DataFrame:
 
 
 def q_validity_join_count(spark, sf):
+    """Join rows of messages with protected validity intervals."""
     return _validity_count(spark, sf, json_value("props", "$.k"))
 
 
@@ -221,6 +235,7 @@ UNPACKED_EXCEPT = "HOUSEHOLD"   # cases of this segment are "not unpacked"
 
 
 def q_unmatched_messages(spark, sf):
+    """Recent messages whose case is not unpacked."""
     ev = table(spark, sf, "events").where(calendar_bound("ts", AS_OF, 7))
     cases = (table(spark, sf, "customer").where(F.col("c_mktsegment") != UNPACKED_EXCEPT)
              .select(F.col("c_custkey").cast("string").alias("case_id")))
@@ -233,16 +248,19 @@ def _sold_big(spark, sf) -> DataFrame:
 
 
 def q_new_codes(spark, sf):
+    """Part keys not among parts sold in quantities above 49 (NULL counts as new)."""
     return new_values(table(spark, sf, "part"), "p_partkey", _sold_big(spark, sf), "l_partkey",
                       name="code")
 
 
 def q_new_codes_not_in(spark, sf):
+    """The same with NOT IN semantics."""
     return not_in_values(table(spark, sf, "part"), "p_partkey", _sold_big(spark, sf), "l_partkey",
                          name="code")
 
 
 def q_new_codes_not_in_null(spark, sf):
+    """NOT IN against a domain holding NULL (no rows)."""
     li = table(spark, sf, "lineitem").select(
         F.when(F.col("l_quantity") > 49, F.col("l_partkey")).alias("l_partkey"))
     return not_in_values(table(spark, sf, "part"), "p_partkey", li, "l_partkey", name="code")
@@ -283,6 +301,7 @@ def wide_amounts(spark, sf) -> DataFrame:
 
 
 def q_unpivot_distinct(spark, sf):
+    """Distinct suppliers per month, flag, status and amount code."""
     return distinct_by_code(wide_amounts(spark, sf), ["periode", "flag", "status"], AMOUNT_COLUMNS,
                             "l_suppkey", label="code", name="n_suppliers")
 
@@ -291,6 +310,7 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "MACHINERY")
 
 
 def q_star_distinct(spark, sf):
+    """Distinct customers per month, segment and status over a star join."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
     o = table(spark, sf, "orders").where(F.col("o_orderstatus").isin("F", "O")) \
         .select("o_orderkey", "o_custkey", "o_orderstatus")
@@ -319,6 +339,7 @@ def _recon(spark, sf) -> DataFrame:
 
 
 def q_reconcile_diff(spark, sf):
+    """Rows whose count exceeds the compared count."""
     return _recon(spark, sf)
 
 
@@ -326,6 +347,7 @@ RECON_PERIOD = "199806"
 
 
 def q_reconcile_first(spark, sf):
+    """O2: the first reconciliation row of one period (top 1 by difference)."""
     return (_recon(spark, sf).where(F.col("periode") == RECON_PERIOD)
             .orderBy(F.col("diff").desc(), "periode", "flag", "status").limit(1))
 
@@ -333,14 +355,17 @@ def q_reconcile_first(spark, sf):
 # ---------------------------------------------------------------- sources / sinks
 
 def q_interval_slice(spark, sf):
+    """One closed time slice of the landing table as an envelope."""
     return slice_envelope(events_envelope(spark, sf, *SLICE), *SLICE)
 
 
 def q_table_scan(spark, sf):
+    """A column list read."""
     return read_table(spark, f"{sf.rstrip('/')}/nation.parquet", ["n_nationkey", "n_name"])
 
 
 def q_table_scan_all(spark, sf):
+    """A ``*`` read."""
     return read_table(spark, f"{sf.rstrip('/')}/nation.parquet")
 
 
@@ -348,11 +373,13 @@ COPY_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
 
 
 def q_table_copy(spark, sf):
+    """Full-refresh copy with a column list."""
     return copy_table(spark, table(spark, sf, "customer"), work_dir(spark, "copy-customer"),
                       COPY_COLUMNS)
 
 
 def q_csv_roundtrip(spark, sf):
+    """CSV stage and load with inferred types, replacing the target."""
     return copy_table(spark, table(spark, sf, "customer"), work_dir(spark, "csv-customer"),
                       via_csv=True)
 
@@ -360,6 +387,7 @@ def q_csv_roundtrip(spark, sf):
 # ------------------------------------------------------------------------ ingest
 
 def q_ingest_map(spark, sf):
+    """The config-driven field maps of one batch."""
     return apply_spec(events_envelope(spark, sf), landing_spec(), BATCH_TIME)
 
 
@@ -396,6 +424,7 @@ def q_fan_in_ingest(spark, sf):
 
 
 def q_replay_idempotent(spark, sf):
+    """ST2: two overlapping slices land each message once."""
     target = work_dir(spark, "replay")
     spec = spec_without(landing_spec(), "ytelse_type", "type_stonad")
     ingest_batch(spark, spec, events_envelope(spark, sf, *REPLAY_A), target, BATCH_TIME)
@@ -404,6 +433,7 @@ def q_replay_idempotent(spark, sf):
 
 
 def q_stream_ingest(spark, sf):
+    """ST1: file stream, availableNow, foreachBatch duplicate skip and append."""
     from tidemark.streaming.ingest import run_ingest
 
     path = f"{sf.rstrip('/')}/events.parquet"
@@ -428,10 +458,12 @@ def _runs(spark, sf) -> DataFrame:
 
 
 def q_run_success_counts(spark, sf):
+    """Successful runs per job in a half-open window."""
     return _runs(spark, sf)
 
 
 def q_run_success_report(spark, sf):
+    """The run counts as report text."""
     return run_success_report(_runs(spark, sf))
 
 
@@ -442,23 +474,28 @@ def ship_days(spark, sf) -> DataFrame:
 
 
 def q_prev_period(spark, sf):
+    """Previous month."""
     return ship_days(spark, sf).select("d", prev_period("d").alias("prev_period"))
 
 
 def q_prev_month_end(spark, sf):
+    """Last day of the previous month."""
     return ship_days(spark, sf).select("d", prev_month_end("d").alias("prev_month_end"))
 
 
 def q_period_type(spark, sf):
+    """Run type of a date."""
     return ship_days(spark, sf).select("d", period_type("d").alias("period_type"))
 
 
 def q_period_window(spark, sf):
+    """T4: period window and label by run type."""
     cols = period_window("d", shift_days=1)
     return ship_days(spark, sf).select("d", *[c.alias(n) for n, c in cols.items()])
 
 
 def q_daily_window(spark, sf):
+    """T5: daily rolling period window."""
     cols = daily_window("d")
     return ship_days(spark, sf).select("d", *[c.alias(n) for n, c in cols.items()])
 
@@ -468,11 +505,13 @@ ROSTER = ("Ada", "Bjorn", "Cato", "Dina")
 
 
 def q_week_cycle(spark, sf):
+    """Person on duty by ISO week."""
     return ship_days(spark, sf).select("d", F.weekofyear("d").alias("week"),
                                        week_cycle("d", ROSTER).alias("on_duty"))
 
 
 def q_blank_default(spark, sf):
+    """Settings with defaults and the coupled period/flag default."""
     c = table(spark, sf, "customer")
     seg = F.col("c_mktsegment")
     setting = (F.when(seg == "BUILDING", F.lit(""))
@@ -494,6 +533,7 @@ PERIOD_FILTER = ("199801", "199806", "19980615")
 
 
 def q_period_filter(spark, sf):
+    """F8: month range and latest decision date as a pushed-down range."""
     li = table(spark, sf, "lineitem")
     return (li.where(period_range("l_shipdate", *PERIOD_FILTER))
             .select("l_orderkey", "l_linenumber", "l_shipdate", F.lit(1).alias("gyldig_flagg")))
@@ -505,6 +545,7 @@ REFRESH_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "
 
 
 def q_period_refresh(spark, sf):
+    """M1: replace one period of the table with the source rows."""
     o = table(spark, sf, "orders").withColumn("periode", month_text("o_orderdate"))
     target = work_dir(spark, "refresh-target")
     write_periodic(o.select(*REFRESH_COLUMNS), target, "periode")
@@ -547,10 +588,12 @@ def daily_counts(spark, sf) -> DataFrame:
 
 
 def q_daily_report(spark, sf):
+    """The daily metrics as (pos, metric, value) rows."""
     return metric_rows(daily_counts(spark, sf), DAILY_ORDER)
 
 
 def q_report_lines(spark, sf):
+    """Dot-leader report lines."""
     return report_lines(q_daily_report(spark, sf), DAILY_LABELS)
 
 
@@ -558,10 +601,12 @@ DAILY_HEADER = "Daily report, messages read since 2024-01-30 00:00:00"
 
 
 def q_daily_report_text(spark, sf):
+    """The daily report text."""
     return report_text(q_report_lines(spark, sf), DAILY_HEADER)
 
 
 def q_gap_alert(spark, sf):
+    """Names of the checks that found gaps, or the all-clear text."""
     return gap_alert({
         "events": q_gap_count(spark, sf),
         "events click": q_gap_count_typed(spark, sf),
@@ -571,6 +616,7 @@ def q_gap_alert(spark, sf):
 
 
 def q_weekly_report(spark, sf):
+    """The weekly metrics."""
     li = table(spark, sf, "lineitem")
     sup = table(spark, sf, "supplier").where(F.col("s_acctbal") > 0)
     return union_metrics({
@@ -598,6 +644,7 @@ WEEKLY_HEADER = "Weekly report, messages read since 2024-01-24 00:00:00"
 
 
 def q_weekly_report_text(spark, sf):
+    """The weekly report text."""
     return report_text(report_lines(q_weekly_report(spark, sf), WEEKLY_LABELS), WEEKLY_HEADER)
 
 
