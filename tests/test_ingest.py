@@ -174,3 +174,14 @@ def test_overlapping_slices_land_each_message_once(spark, offsets, cuts):
     ingest_batch(spark, spec, _env(spark, rows), target, BT)   # final full replay
     landed = sorted(r["kafka_offset"] for r in spark.read.parquet(target).collect())
     assert landed == sorted(set(offsets))
+
+
+def test_ingest_partitioned_by_numeric_looking_topic(spark):
+    spec = IngestSpec.from_yaml(SPEC_YAML, topic="123")
+    rows = [(_msg(i), "123", i, 1_700_000_000_000 + i, 0) for i in range(6)]
+    target = work_dir(spark, "t-part-ingest")
+    assert ingest_batch(spark, spec, _env(spark, rows[:4]), target, BT,
+                        partition_by=["kafka_topic"]).count() == 4
+    assert ingest_batch(spark, spec, _env(spark, rows), target, BT,
+                        partition_by=["kafka_topic"]).count() == 2
+    assert spark.read.parquet(target).count() == 6

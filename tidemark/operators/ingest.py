@@ -192,9 +192,16 @@ def ingest_batch(spark: SparkSession, spec: IngestSpec, envelope: DataFrame, tar
     """
     mapped = apply_spec(envelope, spec, batch_time)
     keys = list(dedupe_keys) if dedupe_keys is not None else spec.dedupe_keys()
-    target = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
-    delta = skip_duplicates(mapped, target, keys)
-    return _append(delta, target is not None, target_path, partition_by)
+    delta = skip_duplicates(mapped, _read_target(spark, target_path, mapped), keys)
+    return _append(delta, path_exists(spark, target_path), target_path, partition_by)
+
+
+def _read_target(spark: SparkSession, target_path: str, like: DataFrame) -> DataFrame | None:
+    """The landing table with the batch's schema, so partition columns keep
+    their types (a topic named ``123`` stays text)."""
+    if not path_exists(spark, target_path):
+        return None
+    return spark.read.schema(like.schema).parquet(target_path)
 
 
 def _append(delta: DataFrame, target_exists: bool, target_path: str,
@@ -232,7 +239,7 @@ def ingest_many(spark: SparkSession, parts: Sequence[tuple[IngestSpec, DataFrame
         m = apply_spec(env, spec, batch_time)
         mapped = m if mapped is None else mapped.unionByName(m)
     keys = list(dedupe_keys) if dedupe_keys is not None else parts[0][0].dedupe_keys()
-    target = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
+    target = _read_target(spark, target_path, mapped)
     delta = skip_duplicates(mapped, target, keys)
     return _append(delta, target is not None, target_path, partition_by)
 
