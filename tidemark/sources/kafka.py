@@ -10,12 +10,16 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.timez import ntz_to_unix_ms
 
+if TYPE_CHECKING:  # the spec module imports sources; avoid a cycle at run time
+    from tidemark.operators.ingest import IngestSpec
+
 
 def kafka_to_envelope(raw: DataFrame, message_type: str = "string") -> DataFrame:
     """Spark Kafka rows (value, topic, offset, timestamp, partition) as an envelope.
@@ -75,7 +79,7 @@ def slice_bounds(start: _dt.datetime, end: _dt.datetime) -> tuple[int, int]:
     return ms(start), ms(end)
 
 
-def stream_for_spec(spark: SparkSession, spec, bootstrap_servers: str,
+def stream_for_spec(spark: SparkSession, spec: "IngestSpec", bootstrap_servers: str,
                     start_ms: int | None = None,
                     options: Mapping[str, str] | None = None) -> DataFrame:
     """Kafka stream of an ingest spec: its topic, ``batch-size`` as the per-trigger
