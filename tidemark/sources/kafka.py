@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timez import ntz_to_unix_ms
 
-if TYPE_CHECKING:  # the spec module imports sources; avoid a cycle at run time
+if TYPE_CHECKING:  # for annotations only; sources do not depend on operators at run time
     from tidemark.operators.ingest import IngestSpec
 
 
