@@ -185,3 +185,15 @@ def test_ingest_partitioned_by_numeric_looking_topic(spark):
     assert ingest_batch(spark, spec, _env(spark, rows), target, BT,
                         partition_by=["kafka_topic"]).count() == 2
     assert spark.read.parquet(target).count() == 6
+
+
+def test_hash_pass_through_or_computed(spark):
+    import hashlib
+    spec = IngestSpec.from_dict({"source": {"topic": "t"}, "target": {"table": "x"},
+                                 "transform": [{"src": "kafka_message", "dst": "melding"},
+                                               {"src": "kafka_hash", "dst": "kafka_hash"}]})
+    env = _env(spark, [('{"a": 1}', "t", 1, 0, 0)])
+    computed = apply_spec(env, spec).first()["kafka_hash"]
+    assert computed == hashlib.sha256(b'{"a": 1}').hexdigest()
+    given = apply_spec(env.withColumn("kafka_hash", F.lit("h1")), spec).first()["kafka_hash"]
+    assert given == "h1"

@@ -100,8 +100,16 @@ class IngestSpec:
         return [f.dst for f in self.transform]
 
 
-def field_column(f: FieldMap, spec: IngestSpec, batch_time: _dt.datetime | None) -> Column:
-    """The Column for one field map."""
+def field_column(f: FieldMap, spec: IngestSpec, batch_time: _dt.datetime | None,
+                 available: Sequence[str] | None = None) -> Column:
+    """The Column for one field map.
+
+    ``kafka_hash`` is passed through when the envelope has it; otherwise it is
+    SHA-256 of the message bytes (our choice; the original algorithm is not
+    documented).
+    """
+    if f.src == "kafka_hash" and available is not None and "kafka_hash" not in available:
+        return F.sha2(F.col("kafka_message").cast("binary"), 256).alias(f.dst)
     if f.src == BATCH_TIME:
         if batch_time is None:
             raise ValueError("batch_time is required by this spec")
@@ -124,7 +132,8 @@ def field_column(f: FieldMap, spec: IngestSpec, batch_time: _dt.datetime | None)
 def apply_spec(envelope: DataFrame, spec: IngestSpec,
                batch_time: _dt.datetime | None = None) -> DataFrame:
     """Lower the spec's field maps to one projection of the envelope."""
-    return envelope.select(*[field_column(f, spec, batch_time) for f in spec.transform])
+    cols = envelope.columns
+    return envelope.select(*[field_column(f, spec, batch_time, cols) for f in spec.transform])
 
 
 MAX_PRUNE_TOPICS = 64
