@@ -197,3 +197,9 @@ def test_hash_pass_through_or_computed(spark):
     assert computed == hashlib.sha256(b'{"a": 1}').hexdigest()
     given = apply_spec(env.withColumn("kafka_hash", F.lit("h1")), spec).first()["kafka_hash"]
     assert given == "h1"
+
+
+def test_unfilled_topic_placeholder():
+    assert IngestSpec.from_yaml(SPEC_YAML).topic is None
+    assert IngestSpec.from_yaml(SPEC_YAML.replace("topic: {}", "topic: fixed.topic")).topic == "fixed.topic"
+    assert IngestSpec.from_yaml(SPEC_YAML, topic="x").topic == "x"

@@ -72,8 +72,10 @@ class IngestSpec:
         t = src.get("topic")
         if topic is not None:
             t = topic
+        # an unfilled "{}" placeholder (YAML reads it as an empty mapping) means no topic yet
+        unfilled = t is None or t == "{}" or (isinstance(t, dict) and not t)
         return IngestSpec(
-            topic=None if t in (None, "{}") else str(t),
+            topic=None if unfilled else str(t),
             table=str(tgt.get("table", "")),
             transform=tuple(FieldMap(str(x["src"]), str(x["dst"]), x.get("fun"))
                             for x in d.get("transform", [])),
