@@ -118,3 +118,12 @@ def test_stream_table_file_and_directory(spark):
              .trigger(availableNow=True).start())
         q.awaitTermination(120)
         assert spark.sql(f"SELECT COUNT(*) FROM {name}").first()[0] == 25
+
+
+def test_refresh_period_with_escaped_characters(spark):
+    schema = "periode string, id long"
+    t = work_dir(spark, "t-r-esc")
+    write_periodic(spark.createDataFrame([("2024/01:a", 1), ("2024-02", 2)], schema), t, "periode")
+    out = period_refresh(spark, t, spark.createDataFrame([("2024/01:a", 9)], schema), "periode",
+                         "2024/01:a")
+    assert sorted(tuple(r) for r in out.collect()) == [("2024-02", 2), ("2024/01:a", 9)]

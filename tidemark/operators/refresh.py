@@ -29,6 +29,19 @@ from pyspark.sql import functions as F
 from tidemark.session import delete_path, path_exists, work_dir
 
 
+# Characters that Spark percent-escapes in partition folder names
+# (control characters too), so a folder path can be built for any period value.
+_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def partition_folder(column: str, value: str) -> str:
+    """``column=value`` with the escaping Spark uses for partition folders."""
+    def esc(text: str) -> str:
+        return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED or ord(ch) < 0x20 else ch
+                       for ch in text)
+    return f"{esc(column)}={esc(value)}"
+
+
 def write_periodic(df: DataFrame, path: str, period_col: str, mode: str = "overwrite") -> None:
     """Write a table partitioned by its period column.
 
@@ -58,7 +71,7 @@ def period_refresh(spark: SparkSession, target_path: str, source: DataFrame, per
     schema = src.schema
     stage = work_dir(spark, "refresh-stage")
     write_periodic(src, stage, period_col)
-    part = f"{target_path.rstrip('/')}/{period_col}={period}"
+    part = f"{target_path.rstrip('/')}/{partition_folder(period_col, period)}"
     if path_exists(spark, part):
         delete_path(spark, part)
     staged = spark.read.schema(schema).parquet(stage).select(*cols)
@@ -67,4 +80,4 @@ def period_refresh(spark: SparkSession, target_path: str, source: DataFrame, per
     return read_periodic(spark, target_path, schema, cols)
 
 
-__all__ = ["period_refresh", "write_periodic", "read_periodic"]
+__all__ = ["period_refresh", "write_periodic", "read_periodic", "partition_folder"]
