@@ -192,3 +192,13 @@ def test_period_range_bounds(spark):
     assert b == ts[1:3]   # the max date is inclusive for the whole day
     c = [r[0] for r in df.where(period_range("ts", "202312", "202312")).collect()]
     assert c == ts[:1]    # December rolls over to January
+
+
+def test_parse_ts_strict_raises_on_bad_text(spark):
+    import pytest
+    ok = spark.createDataFrame([("2024-01-02T03:04:05.678",)], "s string")
+    assert ok.select(parse_ts_ms("s", lenient=False)).first()[0] == dt.datetime(2024, 1, 2, 3, 4, 5, 678000)
+    if spark.conf.get("spark.sql.ansi.enabled") == "true":
+        bad = spark.createDataFrame([("nonsense",)], "s string")
+        with pytest.raises(Exception):
+            bad.select(parse_ts_ms("s", lenient=False)).collect()
