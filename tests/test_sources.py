@@ -127,3 +127,14 @@ def test_refresh_period_with_escaped_characters(spark):
     out = period_refresh(spark, t, spark.createDataFrame([("2024/01:a", 9)], schema), "periode",
                          "2024/01:a")
     assert sorted(tuple(r) for r in out.collect()) == [("2024-02", 2), ("2024/01:a", 9)]
+
+
+def test_csv_load_with_schema_or_sampling(spark):
+    src = read_table(spark, f"{SF_SMALL}/customer.parquet").select("c_custkey", "c_acctbal")
+    out = work_dir(spark, "t-csv-schema")
+    export_csv(src, out)
+    typed = load_csv(spark, out, schema="c_custkey long, c_acctbal double")
+    assert dict(typed.dtypes) == {"c_custkey": "bigint", "c_acctbal": "double"}
+    assert sorted(map(tuple, typed.collect())) == sorted(map(tuple, src.collect()))
+    sampled = load_csv(spark, out, sampling_ratio=0.5)
+    assert sampled.count() == 150
