@@ -53,6 +53,9 @@ def test_filter_after_lead_uses_latest_copy(spark):
     n = gap_count(df, "off", "topic", carry="loaded", after=after, bucket_width=2).first()[0]
     # gaps 1->5 (latest copy of 1 loaded in Feb) and 6->9 (loaded Feb); 5->6 is no gap
     assert n == 2
+    for width in (2, 100):
+        assert gap_count(df, "off", "topic", carry="loaded", after=after, bucket_width=width,
+                         collapse_copies=False).first()[0] == 2
 
 
 offsets = st.lists(st.integers(min_value=0, max_value=60), min_size=0, max_size=40)
@@ -67,7 +70,9 @@ def test_bucketed_equals_lead(spark, a, b, width, min_gap, floor):
     df = spark.createDataFrame(data, SCHEMA)
     fast = offset_gaps(df, "off", "topic", min_gap=min_gap, offset_floor=floor, bucket_width=width)
     slow = offset_gaps_lead(df, "off", "topic", min_gap=min_gap, offset_floor=floor)
-    assert _rows(fast) == _rows(slow)
+    one_shuffle = offset_gaps(df, "off", "topic", min_gap=min_gap, offset_floor=floor,
+                              bucket_width=width, collapse_copies=False)
+    assert _rows(fast) == _rows(slow) == _rows(one_shuffle)
 
 
 def test_type_filter_inside_shows_other_types_as_gaps(spark):
@@ -87,3 +92,18 @@ def test_auto_width_python_and_subquery_agree(spark):
         py = auto_bucket_width(df, "off", ["topic"])
         sq = spark.range(1).select(auto_bucket_width_col(df, "off", ["topic"])).first()[0]
         assert py == sq, span
+
+
+pairs = st.lists(st.tuples(st.integers(0, 40), st.integers(1, 28)), min_size=0, max_size=40)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(a=pairs, width=st.integers(min_value=1, max_value=13), collapse=st.booleans())
+def test_carry_with_copies_equals_lead(spark, a, width, collapse):
+    data = [("a", 0, o, dt.datetime(2024, 1, d)) for o, d in a]
+    df = spark.createDataFrame(data, SCHEMA)
+    fast = offset_gaps(df, "off", "topic", carry="loaded", bucket_width=width,
+                       collapse_copies=collapse)
+    slow = offset_gaps_lead(df, "off", "topic", carry="loaded")
+    assert _rows(fast.select("topic", "gap_from", "gap_to", "loaded", "missing")) == \
+        _rows(slow.select("topic", "gap_from", "gap_to", "loaded", "missing"))

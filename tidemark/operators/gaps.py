@@ -90,7 +90,8 @@ def _cols(by: str | Sequence[str] | None) -> list[str]:
 def offset_gaps(df: DataFrame, offset: str, by: str | Sequence[str] | None = None, *,
                 min_gap: int = 1, offset_floor: int | None = None,
                 carry: str | None = None,
-                bucket_width: int | None = None) -> DataFrame:
+                bucket_width: int | None = None,
+                collapse_copies: bool = True) -> DataFrame:
     """All gaps larger than ``min_gap`` between consecutive distinct offsets.
 
     Returns ``by..., gap_from, gap_to, missing`` (+ ``carry`` = max of the
@@ -100,6 +101,14 @@ def offset_gaps(df: DataFrame, offset: str, by: str | Sequence[str] | None = Non
     a scalar subquery run once inside this query; building the DataFrame runs
     no job).
 
+    ``collapse_copies`` (default) removes repeated offsets with a map-side
+    partial aggregate before the window shuffle, so a group of copies holding a
+    large share of the rows cannot overload one task.  ``False`` skips that
+    step - one full shuffle instead of two - for tables known to hold few
+    copies (e.g. a deduplicated landing table checked per topic and
+    partition).  The result is the same either way: a repeated offset meets
+    itself (difference 0) and only its last copy carries the successor.
+
     ``offset_floor``: only gaps whose ``gap_from`` is above this value.  LEAD
     looks forward, so rows at or below the floor cannot change a gap above it;
     the filter is therefore applied before the shuffle and reaches the scan.
@@ -121,12 +130,15 @@ def offset_gaps(df: DataFrame, offset: str, by: str | Sequence[str] | None = Non
     rows = (src.select(*sel, width.alias("_w"))
             .select(*sel, F.expr(f"`{offset}` div _w").alias("_bucket")))
 
-    if carry:
+    if not collapse_copies:
+        distinct = rows
+    elif carry:
         distinct = rows.groupBy(*keys, "_bucket", offset).agg(F.max(carry).alias(carry))
     else:
         distinct = rows.select(*keys, "_bucket", offset).distinct()
 
-    w_in = Window.partitionBy(*keys, "_bucket").orderBy(offset)
+    order = [F.col(offset)] + ([F.col(carry)] if carry and not collapse_copies else [])
+    w_in = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     inner = (distinct
              .withColumn("_next", F.lead(offset).over(w_in))
              .where(F.col("_next").isNotNull())
@@ -135,8 +147,9 @@ def offset_gaps(df: DataFrame, offset: str, by: str | Sequence[str] | None = Non
 
     aggs = [F.min(offset).alias("_first"), F.max(offset).alias("_last")]
     if carry:
-        # carry of the last offset; offsets are distinct here, so no ties
-        aggs.append(F.max_by(carry, offset).alias(carry))
+        # carry of the last offset (the largest one among its copies)
+        aggs.append(F.max(F.struct(F.col(offset).alias("o"), F.col(carry).alias("c")))["c"]
+                    .alias(carry))
     summary = distinct.groupBy(*keys, "_bucket").agg(*aggs)
     w_b = Window.partitionBy(*keys).orderBy("_bucket")
     edges = (summary
@@ -175,13 +188,14 @@ def offset_gaps_lead(df: DataFrame, offset: str, by: str | Sequence[str] | None
 def gap_count(df: DataFrame, offset: str, by: str | Sequence[str] | None = None, *,
               min_gap: int = 1, offset_floor: int | None = None,
               after: Column | None = None, carry: str | None = None,
-              name: str = "gap_count", bucket_width: int | None = None) -> DataFrame:
+              name: str = "gap_count", bucket_width: int | None = None,
+              collapse_copies: bool = True) -> DataFrame:
     """One row ``name`` = number of gaps; ``after`` filters gap rows after LEAD.
 
     ``after`` may refer to ``carry`` (e.g. ``F.col("loaded") > date``).
     """
     gaps = offset_gaps(df, offset, by, min_gap=min_gap, offset_floor=offset_floor,
-                       carry=carry, bucket_width=bucket_width)
+                       carry=carry, bucket_width=bucket_width, collapse_copies=collapse_copies)
     if after is not None:
         gaps = gaps.where(after)
     return gaps.agg(F.count(F.lit(1)).alias(name))
