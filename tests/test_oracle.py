@@ -82,3 +82,12 @@ def test_results_do_not_depend_on_session_zone(spark, duck, key):
         spark.conf.set("spark.sql.session.timeZone", old)
     res = duck.sql(oracle_sql()[key])
     assert _key(s_rows, df.columns) == _key(res.fetchall(), res.columns)
+
+
+def test_gap_checks_in_one_report_equal_standalone(spark):
+    from tidemark.plans import catalog as c
+    from tidemark.plans.reports import union_metrics
+    parts = {"a": c.q_gap_count(spark, SF_SMALL), "b": c.q_gap_count_typed(spark, SF_SMALL),
+             "c": c.q_gap_count_since(spark, SF_SMALL), "d": c.q_gap_count_partitioned(spark, SF_SMALL)}
+    together = {r["metric"]: r["value"] for r in union_metrics(parts).collect()}
+    assert together == {k: v.first()[0] for k, v in parts.items()}
