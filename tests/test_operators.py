@@ -199,3 +199,23 @@ def test_report_text_orders_lines(spark):
     lines = spark.createDataFrame([(2, "b...2"), (1, "a...1")], "pos int, line string")
     assert report_text(lines, "Head").first()[0] == "Head\na...1\nb...2"
     assert report_text(lines).first()[0] == "a...1\nb...2"
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+maybe_ints = st.lists(st.one_of(st.none(), st.integers(0, 9)), min_size=0, max_size=15)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=maybe_ints, domain=maybe_ints, distinct=st.booleans())
+def test_not_in_equals_sql_not_in(spark, values, domain, distinct):
+    v = spark.createDataFrame([(x,) for x in values], "v long")
+    d = spark.createDataFrame([(x,) for x in domain], "d long")
+    v.createOrReplaceTempView("p_vals")
+    d.createOrReplaceTempView("p_dom")
+    sel = "SELECT DISTINCT v" if distinct else "SELECT v"
+    want = spark.sql(f"{sel} FROM p_vals WHERE v NOT IN (SELECT d FROM p_dom)").collect()
+    got = not_in_values(v, "v", d, "d", distinct=distinct).collect()
+    key = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, want), key=key)
