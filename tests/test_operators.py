@@ -219,3 +219,21 @@ def test_not_in_equals_sql_not_in(spark, values, domain, distinct):
     got = not_in_values(v, "v", d, "d", distinct=distinct).collect()
     key = lambda r: (r[0] is None, r[0] or 0)
     assert sorted(map(tuple, got), key=key) == sorted(map(tuple, want), key=key)
+
+
+wide_rows = st.lists(st.tuples(st.sampled_from(["g1", "g2"]), st.one_of(st.none(), st.integers(0, 5)),
+                               st.one_of(st.none(), st.integers(1, 3)),
+                               st.one_of(st.none(), st.integers(1, 3))), min_size=0, max_size=25)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=wide_rows)
+def test_distinct_by_code_equals_sql_unpivot(spark, rows):
+    df = spark.createDataFrame(rows, "g string, e long, a long, b long")
+    df.createOrReplaceTempView("p_wide")
+    want = spark.sql("""
+        SELECT g, code, COUNT(DISTINCT CASE WHEN amount IS NOT NULL THEN e END) AS n
+        FROM p_wide UNPIVOT (amount FOR code IN (a AS A, b AS B))
+        GROUP BY g, code""").collect()
+    got = distinct_by_code(df, ["g"], {"A": "a", "B": "b"}, "e", name="n").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
