@@ -237,3 +237,25 @@ def test_distinct_by_code_equals_sql_unpivot(spark, rows):
         GROUP BY g, code""").collect()
     got = distinct_by_code(df, ["g"], {"A": "a", "B": "b"}, "e", name="n").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+fact_rows = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["p", "q", "r"])),
+                               st.integers(1, 10)), min_size=0, max_size=30)
+dim_rows = st.lists(st.tuples(st.sampled_from(["p", "q", "s"]), st.integers(1, 10), st.integers(0, 4)),
+                    min_size=0, max_size=6)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(facts=fact_rows, dims=dim_rows, salt=st.integers(2, 5))
+def test_join_rewrites_equal_plain_join(spark, facts, dims, salt):
+    from tidemark.operators.joins import unmatched_count, validity_join_count
+    base = dt.date(2024, 1, 1)
+    f = spark.createDataFrame([(k, base + dt.timedelta(days=d)) for k, d in facts], "person string, day date")
+    d = spark.createDataFrame([(k, base + dt.timedelta(days=lo), base + dt.timedelta(days=lo + w))
+                               for k, lo, w in dims], "off_id string, fra date, til date")
+    plain = validity_join(f, d, "person", "off_id", "day", "fra", "til").count()
+    assert validity_join_count(f, d, "person", "off_id", "day", "fra", "til").first()[0] == plain
+    assert validity_join(f, d, "person", "off_id", "day", "fra", "til", salt=salt).count() == plain
+    n_un = unmatched(f, d, "person", "off_id").count()
+    assert unmatched_count(f, d, "person", "off_id").first()[0] == n_un
+    assert unmatched(f, d, "person", "off_id", salt=salt).count() == n_un
