@@ -138,3 +138,22 @@ def test_csv_load_with_schema_or_sampling(spark):
     assert sorted(map(tuple, typed.collect())) == sorted(map(tuple, src.collect()))
     sampled = load_csv(spark, out, sampling_ratio=0.5)
     assert sampled.count() == 150
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+period_rows = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["202401", "202402", "202403"])),
+                                 st.integers(0, 99)), min_size=0, max_size=12)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=period_rows, source=period_rows, p=st.sampled_from(["202401", "202402", "202404"]))
+def test_refresh_matches_delete_then_insert(spark, target, source, p):
+    schema = "periode string, id long"
+    t = work_dir(spark, "t-r-prop")
+    write_periodic(spark.createDataFrame(target, schema), t, "periode")
+    out = period_refresh(spark, t, spark.createDataFrame(source, schema), "periode", p)
+    want = [r for r in target if r[0] != p] + list(source)   # NULL periods are kept
+    key = lambda r: (r[0] or "", r[1])
+    assert sorted(map(tuple, out.collect()), key=key) == sorted(want, key=key)
