@@ -259,3 +259,19 @@ def test_join_rewrites_equal_plain_join(spark, facts, dims, salt):
     n_un = unmatched(f, d, "person", "off_id").count()
     assert unmatched_count(f, d, "person", "off_id").first()[0] == n_un
     assert unmatched(f, d, "person", "off_id", salt=salt).count() == n_un
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(minutes=st.lists(st.integers(0, 12 * 24 * 60), min_size=0, max_size=40),
+       edge=st.booleans())
+def test_recent_counts_equal_python(spark, minutes, edge):
+    as_of = dt.datetime(2024, 1, 31)
+    ts = [as_of - dt.timedelta(minutes=m) for m in minutes]
+    if edge:   # values exactly on the bounds
+        ts += [as_of - dt.timedelta(days=1), as_of - dt.timedelta(days=7), as_of - dt.timedelta(days=8)]
+    df = spark.createDataFrame([(t,) for t in ts], "ts timestamp_ntz")
+    r = recent_counts(df, "ts", as_of, {"d1": (1, True), "d7": (7, True), "d8x": (8, False)}).first()
+    want = (sum(t >= as_of - dt.timedelta(days=1) for t in ts),
+            sum(t >= as_of - dt.timedelta(days=7) for t in ts),
+            sum(t > as_of - dt.timedelta(days=8) for t in ts))
+    assert tuple(r) == want
