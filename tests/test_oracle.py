@@ -91,3 +91,19 @@ def test_gap_checks_in_one_report_equal_standalone(spark):
              "c": c.q_gap_count_since(spark, SF_SMALL), "d": c.q_gap_count_partitioned(spark, SF_SMALL)}
     together = {r["metric"]: r["value"] for r in union_metrics(parts).collect()}
     assert together == {k: v.first()[0] for k, v in parts.items()}
+
+
+FORBIDDEN_PLAN_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas",
+                        "FlatMapGroupsInPandas", "BroadcastNestedLoopJoin", "CartesianProduct")
+
+
+@pytest.mark.parametrize("key", sorted(queries()))
+def test_plans_have_no_python_and_no_nested_loops(spark, key):
+    import contextlib
+    import io
+    df = queries()[key](spark, SF_SMALL)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    plan = buf.getvalue()
+    assert not [n for n in FORBIDDEN_PLAN_NODES if n in plan], plan[:2000]
