@@ -107,3 +107,29 @@ def test_plans_have_no_python_and_no_nested_loops(spark, key):
         df.explain("formatted")
     plan = buf.getvalue()
     assert not [n for n in FORBIDDEN_PLAN_NODES if n in plan], plan[:2000]
+
+
+PUSHDOWN = {
+    "gap_count": "GreaterThan(event_id,1000)",
+    "interval_slice": "GreaterThanOrEqual(ts,2024-01-10T00:00)",
+    "recent_days": "GreaterThanOrEqual(ts,2024-01-24T00:00)",
+    "period_filter": "LessThan(l_shipdate,1998-06-16T00:00)",
+    "run_success_counts": "EqualTo(o_orderstatus,F)",
+    "gap_count_partitioned": "GreaterThan(l_shipdate,1996-04-16T00:00)",
+}
+
+
+@pytest.mark.parametrize("key", sorted(PUSHDOWN))
+def test_bounds_reach_the_parquet_scan(spark, key):
+    import contextlib
+    import io
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            queries()[key](spark, SF_SMALL).explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    pushed = [line for line in buf.getvalue().splitlines() if line.startswith("PushedFilters")]
+    assert any(PUSHDOWN[key] in line for line in pushed), pushed
