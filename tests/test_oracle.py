@@ -133,3 +133,21 @@ def test_bounds_reach_the_parquet_scan(spark, key):
         spark.conf.set("spark.sql.maxMetadataStringLength", old)
     pushed = [line for line in buf.getvalue().splitlines() if line.startswith("PushedFilters")]
     assert any(PUSHDOWN[key] in line for line in pushed), pushed
+
+
+READ_COLUMNS = {"gap_count": {"event_id", "event_type"}, "recent_count": {"ts"},
+                "typed_counts": {"ts", "event_type"}, "table_scan": {"n_nationkey", "n_name"}}
+
+
+@pytest.mark.parametrize("key", sorted(READ_COLUMNS))
+def test_scans_read_only_needed_columns(spark, key):
+    import contextlib
+    import io
+    import re
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        queries()[key](spark, SF_SMALL).explain("formatted")
+    for line in buf.getvalue().splitlines():
+        if line.startswith("ReadSchema"):
+            cols = set(re.findall(r"([A-Za-z_][A-Za-z0-9_]*):", line.split("struct<", 1)[1]))
+            assert cols <= READ_COLUMNS[key], line
