@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import ship_package, table
 from tidemark.llm.near_dedup import op4
+from tidemark.llm.packing import op2
 from tidemark.llm.substring_dedup import op8
 from tidemark.llm.suffix_dedup import op9
 
@@ -22,6 +23,7 @@ def _on_documents(fn: Callable[[SparkSession, DataFrame], DataFrame]) -> Callabl
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": _on_documents(op2),
     "op4_near_dedup": _on_documents(op4),
     "op8_substring_dedup": _on_documents(op8),
     "op9_suffix_dedup": _on_documents(op9),
