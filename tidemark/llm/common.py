@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import delete_path, ensure_checkpoint_dir
 
@@ -72,8 +73,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id`` (long), ``text`` (null: empty) and the columns named in ``more``."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
+    doc_id = F.col("doc_id")
+    if docs.schema["doc_id"].dataType != T.LongType():  # an alias of its own would keep exchanges from being reused
+        doc_id = doc_id.cast("long").alias("doc_id")
+    return docs.select(doc_id, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
 def n_buckets(df: DataFrame) -> int:

@@ -6,7 +6,8 @@ blobs (differences of sorted hashes, a few bytes each).  A bucket's task merges
 the runs that meet there and answers with the repeated hashes, by document.
 
 A hash that a third of all documents share is one entry per chunk in its bucket:
-copies within the chunk are settled where they are.
+copies within the chunk are settled where they are.  Answers travel packed too,
+by buckets of documents, so that rows follow tasks and documents, not windows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from tidemark.llm.bytesops import mix
 
 U = np.uint64
 #: Windows that a map task holds before it sorts and deals them out.
@@ -25,10 +27,8 @@ CHUNK = 5_000_000
 SLICE = 1 << 20
 
 ENTRY, KNOWN, ANSWER = 0, 1, 2
-DEALT = "bucket int, kind int, doc_id long, h binary, d binary"
-_DEALT = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()),
-                    ("h", pa.binary()), ("d", pa.binary())])
-ANSWERS = "doc_id long, h binary"
+DEALT = "bucket int, kind int, h binary, d binary"
+_DEALT = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("h", pa.binary()), ("d", pa.binary())])
 _ANSWERS = pa.schema([("doc_id", pa.int64()), ("h", pa.binary())])
 
 
@@ -76,31 +76,45 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _by_doc(h: np.ndarray, d: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(document, packed distinct hashes)."""
+def _answers(h: np.ndarray, d: np.ndarray, buckets: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """Dealt rows of (hash, document) answers, one for each bucket of documents."""
+    to = (mix(d.view(np.uint64)) % U(buckets)).astype(np.int32)
+    order = np.lexsort((h, d, to))
+    h, d, to = h[order], d[order], to[order]
+    at = np.append(_runs(to), len(to))
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        yield int(to[a]), ANSWER, pack_ids(h[a:b].view(np.int64)), pack_ids(d[a:b])
+
+
+def _collected(t: pa.Table) -> pa.Table:
+    """One row per document: its distinct answers, packed."""
+    h = np.concatenate([unpack_ids(x.as_buffer()) for x in t.column("h")]).view(np.uint64)
+    d = np.concatenate([unpack_ids(x.as_buffer()) for x in t.column("d")])
     order = np.lexsort((h, d))
     h, d = h[order], d[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
     h, d = h[new], d[new]
     at = np.append(_runs(d), len(d))
-    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-        yield int(d[a]), pack(h[a:b])
+    blobs = [pack(h[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+    return pa.Table.from_arrays([pa.array(d[at[:-1]]), pa.array(blobs, pa.binary())], schema=_ANSWERS)
 
 
 def _settle(h: np.ndarray, d: np.ndarray, known: np.ndarray | None, rule: str):
-    """Sort and group; (h, d, run starts, mask of rows that repeat)."""
+    """Sort and group: (h, d, run starts, mask of rows to answer).
+
+    ``known`` entries were answered where they come from and only tell others.
+    """
     order = np.argsort(h)
     h, d = h[order], d[order]
     at = _runs(h)
     n = np.diff(np.append(at, len(h)))
     if rule == "earlier":
-        least = np.minimum.reduceat(d, at)
-        return h, d, at, least, d > np.repeat(least, n)
-    many = n > 1
-    if known is not None:
-        many |= np.add.reduceat(known[order].astype(np.int64), at) > 0
-    return h, d, at, None, np.repeat(many, n)
+        return h, d, at, d > np.repeat(np.minimum.reduceat(d, at), n)
+    if known is None:
+        return h, d, at, np.repeat(n > 1, n)
+    known = known[order]
+    return h, d, at, np.repeat((n > 1) | np.logical_or.reduceat(known, at), n) & ~known
 
 
 class Dealer:
@@ -125,12 +139,10 @@ class Dealer:
             return
         h, d = np.concatenate(self.h) >> self.shift, np.concatenate(self.d)
         self.h, self.d, self.n = [], [], 0
-        h, d, at, least, repeats = _settle(h, d, None, self.rule)
-        rows = []
-        for doc, blob in _by_doc(h[repeats], d[repeats]):
-            rows.append((doc % self.buckets, ANSWER, doc, blob, None))
+        h, d, at, repeats = _settle(h, d, None, self.rule)
+        rows = list(_answers(h[repeats], d[repeats], self.buckets))
         if self.rule == "earlier":
-            sets = [(ENTRY, h[at], least)]
+            sets = [(ENTRY, h[at], np.minimum.reduceat(d, at))]
         else:
             many = repeats[at]
             sets = [(ENTRY, h[at][~many], d[at][~many]), (KNOWN, h[at][many], None)]
@@ -142,17 +154,21 @@ class Dealer:
             for b in range(self.buckets):
                 lo, hi = int(cut[b]), int(cut[b + 1])
                 if lo < hi:
-                    rows.append((b, kind, None, pack(x[lo:hi]), None if ids is None else pack_ids(ids[lo:hi])))
+                    rows.append((b, kind, pack(x[lo:hi]), None if ids is None else pack_ids(ids[lo:hi])))
         for i in range(0, len(rows), 2000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i:i + 2000]), _DEALT)],
-                                             schema=_DEALT)
+            yield from _dealt(rows[i:i + 2000]).to_batches()
+
+
+def _dealt(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 4, _DEALT)],
+                                schema=_DEALT)
 
 
-def _meet(rule: str) -> Callable[[pa.Table], pa.Table]:
+def _meet(rule: str, buckets: int) -> Callable[[pa.Table], pa.Table]:
     def answer(t: pa.Table) -> pa.Table:
         kinds = t.column("kind").to_numpy()
+        passed = t.filter(pa.array(kinds == ANSWER)).cast(_DEALT)
         hs, ds = t.column("h"), t.column("d")
-        passed = t.filter(pa.array(kinds == ANSWER)).select(["doc_id", "h"])
         h, d, known = [], [], []
         for i in np.flatnonzero(kinds != ANSWER).tolist():
             x = unpack(hs[i].as_buffer())
@@ -161,39 +177,21 @@ def _meet(rule: str) -> Callable[[pa.Table], pa.Table]:
             known.append(np.full(len(x), kinds[i] == KNOWN))
         if not h:
             return passed
-        known = np.concatenate(known)
-        order_h, order_d = np.concatenate(h), np.concatenate(d)
-        del h, d
-        if rule == "any":
-            # entries known to repeat were answered where they are; they only tell the others
-            order = np.argsort(order_h)
-            hs_, ds_, kn = order_h[order], order_d[order], known[order]
-            at = _runs(hs_)
-            n = np.diff(np.append(at, len(hs_)))
-            repeats = np.repeat((n > 1) | (np.add.reduceat(kn.astype(np.int64), at) > 0), n) & ~kn
-        else:
-            hs_, ds_, _, _, repeats = _settle(order_h, order_d, None, rule)
-        found = list(_by_doc(hs_[repeats], ds_[repeats]))
-        mine = pa.Table.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.binary())],
-                                    schema=_ANSWERS)
-        return pa.concat_tables([passed.cast(_ANSWERS), mine])
+        h, d, known = np.concatenate(h), np.concatenate(d), np.concatenate(known)
+        h, d, _, repeats = _settle(h, d, known, rule)
+        return pa.concat_tables([passed, _dealt(list(_answers(h[repeats], d[repeats], buckets)))])
 
     return answer
 
 
-def repeated(dealt: DataFrame, rule: str) -> DataFrame:
-    """Answers by document: ``doc_id``, ``h`` array of packed hashes that repeat.
+def repeated(dealt: DataFrame, rule: str, buckets: int) -> DataFrame:
+    """Answers by document: ``doc_id``, ``h`` (its packed repeated hashes).
 
     ``rule``: ``any`` (the hash occurs at another place, in whichever document)
     or ``earlier`` (it occurs in a document with a smaller id).
     """
-    answers = dealt.groupBy("bucket").applyInArrow(_meet(rule), ANSWERS)
-    return answers.groupBy("doc_id").agg(F.collect_list("h").alias("h"))
-
-
-def unpacked(blobs: list[bytes] | None) -> np.ndarray:
-    """The sorted distinct hashes of a document's answers."""
-    return np.unique(np.concatenate([unpack(b) for b in blobs])) if blobs else np.zeros(0, np.uint64)
+    met = dealt.groupBy("bucket").applyInArrow(_meet(rule, buckets), DEALT)
+    return met.groupBy("bucket").applyInArrow(_collected, "doc_id long, h binary")
 
 
 def among(x: np.ndarray, found: np.ndarray) -> np.ndarray:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bytesops import covered, spans_of, word_windows, words
 from tidemark.llm.common import doc_slices, longs, n_buckets, text_buffer, texts
-from tidemark.llm.repeats import DEALT, SLICE, Dealer, among, repeated, unpacked
+from tidemark.llm.repeats import DEALT, SLICE, Dealer, among, repeated, unpack
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
                   ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
@@ -63,7 +63,7 @@ def substring_dedup(docs: DataFrame, width: int = 13) -> DataFrame:
                 gone = []
                 if answers:
                     h, _ = word_windows(hashes[counts[i]:counts[i + 1]], np.array([0, len(tokens)]), width)
-                    starts = np.flatnonzero(among(h, unpacked(answers)))
+                    starts = np.flatnonzero(among(h, unpack(answers)))
                     mask = covered(starts, starts + width, len(tokens))
                     gone = [{"start": a, "end": b} for a, b in zip(*(x.tolist() for x in spans_of(mask)))]
                     tokens = compress(tokens, (~mask).tolist())
@@ -73,7 +73,7 @@ def substring_dedup(docs: DataFrame, width: int = 13) -> DataFrame:
                 [part.column("doc_id"), pa.array(np.diff(counts)), pa.array(spans, _OUT.field("spans").type),
                  pa.array(kept, pa.binary()).cast(pa.string())], schema=_OUT)
 
-    found = repeated(rows.filter("doc_id IS NOT NULL").mapInArrow(deal, DEALT), "earlier")
+    found = repeated(rows.filter("doc_id IS NOT NULL").mapInArrow(deal, DEALT), "earlier", buckets)
     return rows.join(found, "doc_id", "left").select("doc_id", "text", "h").mapInArrow(
         remove, "doc_id long, n_words long, spans array<struct<start: long, end: long>>, kept_text string")
 
