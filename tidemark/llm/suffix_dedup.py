@@ -15,7 +15,8 @@ inside them have equal contexts of ``length - 90`` bytes.
    one bucket in memory; equal neighbours are the ties of at least ``length``.
 3. Bytes that tied suffixes cover are merged into maximal intervals and removed.
 
-The texts are shuffled once: the plan reads the same exchange in steps 2 and 3.
+The texts are dealt by document once: the plan reads that exchange in steps 2 and
+3.  In step 2 those with a candidate move once more, to stand with their copies.
 """
 
 from __future__ import annotations
@@ -28,13 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytesops import covered, spans_of, window_hash
-from tidemark.llm.common import doc_slices, longs, n_buckets, text_buffer, texts
-from tidemark.llm.repeats import DEALT, SLICE, Dealer, among, repeated, unpacked
+from tidemark.llm.common import BUCKET_BYTES, doc_slices, longs, n_buckets, text_buffer, texts
+from tidemark.llm.repeats import DEALT, SLICE, Dealer, among, repeated, unpack
 
 #: Perfect difference set: every residue modulo 91 is a difference of two of these.
 COVER_MOD, COVER = 91, (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
-#: Low bits that a rank leaves out; a chance tie only makes a candidate more.
-RANK_SHIFT = 16
+#: Bits that a rank has beyond those that number the input's bytes; a chance tie
+#: (one in 2**RANK_BITS places) only makes a candidate more.
+RANK_BITS = 10
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()),
                   ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
@@ -79,9 +81,10 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
     context = length - COVER_MOD + 1
     rows = texts(docs)
     buckets = n_buckets(rows)
+    shift = 64 - min(64, (buckets * 4 * BUCKET_BYTES).bit_length() + RANK_BITS)
 
     def rank_cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dealer = Dealer("any", buckets, RANK_SHIFT)
+        dealer = Dealer("any", buckets, shift)
         for part in doc_slices(batches, SLICE):
             data, offsets = text_buffer(part.column("text"))
             _, doc, rank = _sample(data, offsets, context)
@@ -94,13 +97,11 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
             data, offsets = text_buffer(part.column("text"))
             ids, answers = part.column("doc_id"), part.column("h")
             for i in range(part.num_rows):
-                if not answers[i].is_valid or not ids[i].is_valid:
-                    continue
                 own = data[offsets[i]:offsets[i + 1]]
                 if len(own) < length:
                     continue
                 at, _, rank = _sample(own, np.array([0, len(own)]), context)
-                at = at[among(rank >> np.uint64(RANK_SHIFT), unpacked(answers[i].as_py()))]
+                at = at[among(rank >> np.uint64(shift), unpack(answers[i].as_py()))]
                 # from 90 bytes before a cover place of repeated rank to the place itself
                 near = covered(np.maximum(at - COVER_MOD + 1, 0), at + 1, len(own))
                 starts = np.flatnonzero(near[:len(own) - length + 1])
@@ -116,7 +117,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
             for i in range(part.num_rows):
                 own, gone = data[offsets[i]:offsets[i + 1]], []
                 if answers[i].is_valid:
-                    tied = np.flatnonzero(among(window_hash(own, length), unpacked(answers[i].as_py())))
+                    tied = np.flatnonzero(among(window_hash(own, length), unpack(answers[i].as_py())))
                     mask = covered(tied, tied + length, len(own))
                     gone = [{"start": a, "end": b} for a, b in zip(*(x.tolist() for x in spans_of(mask)))]
                     own = own[~mask]
@@ -126,11 +127,16 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
                 [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(spans, _OUT.field("spans").type),
                  pa.array(kept, pa.binary())], schema=_OUT)
 
-    ranks = repeated(rows.filter("doc_id IS NOT NULL").mapInArrow(rank_cover, DEALT), "any")
-    # left joins on both sides keep the text exchange the same, so that it is reused
-    suffixes = rows.join(ranks, "doc_id", "left").select("doc_id", "text", "h").mapInArrow(deal_suffixes, DEALT)
-    ties = repeated(suffixes, "any")
-    return rows.join(ties, "doc_id", "left").select("doc_id", "text", "h").mapInArrow(
+    known = rows.filter("doc_id IS NOT NULL")
+    ranks = repeated(known.mapInArrow(rank_cover, DEALT), "any", buckets)
+    # texts whose least repeated rank is the same stand in one task, where copies'
+    # suffixes are settled; a crowd at one rank is split by size
+    near = (known.join(ranks, "doc_id").select("doc_id", "text", "h", F.substring("h", 2, 8).alias("least"))
+            .hint("rebalance", "least"))
+    ties = repeated(near.select("doc_id", "text", "h").mapInArrow(deal_suffixes, DEALT), "any", buckets)
+    judged = known.join(ties, "doc_id", "left").select("doc_id", "text", "h").unionByName(
+        rows.filter("doc_id IS NULL").withColumn("h", F.lit(None).cast("binary")))
+    return judged.mapInArrow(
         remove, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
 
