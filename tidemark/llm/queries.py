@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import ship_package, table
+from tidemark.llm.lang_id import op1
 from tidemark.llm.near_dedup import op4
 from tidemark.llm.packing import op2
+from tidemark.llm.quality import op5
 from tidemark.llm.substring_dedup import op8
 from tidemark.llm.suffix_dedup import op9
 
@@ -22,9 +24,20 @@ def _on_documents(fn: Callable[[SparkSession, DataFrame], DataFrame]) -> Callabl
     return run
 
 
+def _on_tables(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": _on_documents(op1),
     "op2_best_fit_packing": _on_documents(op2),
     "op4_near_dedup": _on_documents(op4),
+    "op5_quality": _on_tables(op5),
     "op8_substring_dedup": _on_documents(op8),
     "op9_suffix_dedup": _on_documents(op9),
 }
