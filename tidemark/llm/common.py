@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -60,11 +61,20 @@ def _remove(spark: SparkSession, path: str) -> None:
         delete_path(spark, path)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back (cuts lineage)."""
+def staged(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back (cuts lineage).
+
+    ``release``: then let go of the shuffle files behind ``df``.  Spark removes
+    them when the driver's garbage collector finds their plan unused, which may
+    be long after; a collection here keeps the disk at one step's shuffles.
+    """
     path = f"{stage_root(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    if release:
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -48,12 +48,12 @@ def connected_components(links: DataFrame) -> DataFrame:
                     .withColumn("component", F.col("node")), "labels")
     while not links.isEmpty():
         hooks = staged(links.groupBy("x").agg(F.min("y").alias("to")), "hooks")
-        while True:
-            up = hooks.select(F.col("x").alias("to"), F.col("to").alias("above"))
-            jumped = staged(hooks.join(up, "to", "left").select(
-                "x", F.coalesce("above", "to").alias("to"), F.col("above").isNotNull().alias("moved")), "hooks")
-            hooks = jumped.select("x", "to")
-            if jumped.filter("moved").isEmpty():
+        while True:  # two jumps at a time
+            once = _follow(hooks, hooks, "to")
+            hooks = staged(_follow(once, once, "to").join(hooks.select("x", F.col("to").alias("was")), "x"), "hooks")
+            moved = not hooks.filter("to <> was").isEmpty()
+            hooks = hooks.select("x", "to")
+            if not moved:
                 break
         labels = staged(_follow(labels, hooks, "component"), "labels")
         links = _follow(_follow(links, hooks, "x"), hooks, "y").filter("x <> y")

@@ -35,9 +35,11 @@ U = np.uint64
 PLACES, BANDS, ROWS = 257, 42, 6
 #: Bits of the random part of an offer; the step stands above them.
 FINE = 23
-#: Candidate pairs between different groups, per band entry, that are all
-#: compared at once; above it another round of pivots merges groups first.
-PAIRS_PER_ENTRY = 2
+#: Open pairs go on to their full sets if their signatures agree in this share of
+#: places: 0.8 less five standard deviations (0.025) of the estimate.
+LIKELY = 0.675
+#: Members of a band that are compared in one task.
+TILE = 2048
 SLICE = 1 << 20
 
 
@@ -96,11 +98,12 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()),
-                     ("bands", pa.list_(pa.int64()))])
+                     ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``set_key`` (digest of the set, null if empty), ``bands``."""
+    """``doc_id``, ``n_shingles``, ``set_key`` (digest of the set, null if empty),
+    ``bands``, ``sketch`` (four bytes of each band's key, then a byte of each place)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in doc_slices(batches, SLICE):
@@ -108,13 +111,41 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             n = np.diff(at)
             keys = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() if a < b else None
                     for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-            bands = band_keys(superminhash(values, at))
+            sig = superminhash(values, at)
+            bands = band_keys(sig)
+            sketch = np.concatenate((bands.astype(np.uint32).view(np.uint8).reshape(len(n), -1),
+                                     sig.astype(np.uint8)), axis=1)
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS),
                                              pa.array(bands.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), pa.array(keys, pa.binary()), bands],
-                                             schema=_SIGNED)
-
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), pa.array(keys, pa.binary()), bands,
+                                              pa.array([x.tobytes() for x in sketch], pa.binary())], schema=_SIGNED)
+
+    return docs.mapInArrow(sign, "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch binary")
+
+
+def _likely(t: pa.Table) -> pa.Table:
+    """Pairs of one tile of a band: from different groups, alike by signature, and
+    with no earlier band in common (so each pair comes from one band only)."""
+    node, group, block = (t.column(c).to_numpy() for c in ("node", "component", "block"))
+    sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+    bands, places = np.ascontiguousarray(sketch[:, :4 * BANDS]).view(np.uint32), sketch[:, 4 * BANDS:]
+    here = np.uint32(t.column("band")[0].as_py() & 0xFFFFFFFF)
+    crossed = t.column("tile_i")[0].as_py() != t.column("tile_j")[0].as_py()
+    ids, inverse, sizes = np.unique(group, return_inverse=True, return_counts=True)
+    # all but the largest group's members against all that are not in their group
+    main = inverse == sizes.argmax()
+    out = []
+    for i in np.flatnonzero(~main).tolist():
+        other = (group != group[i]) & (main | (node > node[i]))
+        if crossed:
+            other &= block != block[i]
+        other = np.flatnonzero(other)
+        other = other[(places[other] == places[i]).sum(axis=1) >= LIKELY * PLACES]
+        if len(other):
+            same = bands[other] == bands[i]
+            first = np.take(bands[i], same.argmax(axis=1))
+            out += [(min(node[i], node[j]), max(node[i], node[j])) for j in other[first == here].tolist()]
+    return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
 
 
 def verified(pairs: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
@@ -161,10 +192,11 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     links, itself included) and ``kept`` (doc_id = component_id).
 
     Equal sets are one node from the start, so copies cost one row each and are
-    never paired.  Within a shared band, members are compared with one pivot; a
-    pair is compared further only while its ends are in different groups, so a
-    large group of copies costs pairs in proportion to its size and still loses
-    no link between groups.
+    never paired.  Within a shared band, members are compared with two pivots.
+    Pairs whose ends are then still in different groups are judged tile by tile
+    within the band, by signature; only the likely ones are compared in full.  So
+    a large group of copies costs pairs in proportion to its size, and no link
+    between groups is lost.
 
     Null or empty texts and texts without words are linked with nothing.  Rows
     that repeat a ``doc_id`` are grouped by their own texts; where that id is the
@@ -174,14 +206,14 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     rows = texts(docs)
     signed = staged(signatures(rows, width), "signatures")
     with_id = signed.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    sets = staged(with_id.groupBy("set_key").agg(F.min(F.struct("doc_id", "bands")).alias("first"))
-                  .select("set_key", F.col("first.doc_id").alias("node"), F.col("first.bands").alias("bands")), "sets")
+    sets = staged(with_id.groupBy("set_key").agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("first"))
+                  .select("set_key", F.col("first.doc_id").alias("node"), "first.bands", "first.sketch"), "sets")
     entries = sets.select("node", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     members = staged(entries.join(shared.filter("low < high").select("band"), "band"), "members")
     candidates = staged(rows.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"),
                         "candidates")
-    groups = _grouped(members, candidates, width, percent)
+    groups = _grouped(members, sets.select("node", "sketch"), candidates, width, percent)
     of_set = (sets.select("set_key", "node").join(groups, "node", "left")
               .select("set_key", F.coalesce("component", "node").alias("component")))
     out = signed.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left")
@@ -190,45 +222,35 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _grouped(members: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
+def _grouped(members: DataFrame, sketches: DataFrame, candidates: DataFrame, width: int,
+             percent: int) -> DataFrame:
     """``node``, ``component`` of the nodes that share bands (``members``: band, node)."""
-    n_entries = members.count()
-    links = compared = None
-    labelled = members.withColumn("component", F.col("node"))
-    groups = members.select("node").distinct().withColumn("component", F.col("node"))
-    k = 0
-    while True:
-        # pairs that are still open: the same band, different groups
-        sizes = labelled.groupBy("band", "component").agg(F.count("*").alias("n"))
-        open_bands = staged(sizes.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("sq"))
-                            .filter("n * n > sq"), "open")
-        n_open = open_bands.agg(F.sum((F.col("n") * F.col("n") - F.col("sq")) / 2)).first()[0]
-        if not n_open:
-            return groups
-        left = staged(labelled.join(open_bands.select("band"), "band"), "open-members")
-        exhaustive = k > 0 and n_open <= PAIRS_PER_ENTRY * n_entries
-        if exhaustive:
-            other = left.select("band", F.col("node").alias("a"), F.col("component").alias("ca"))
-        else:
-            # one pivot per band: the least node, then by another order each round
-            order = F.col("node") if k == 0 else F.xxhash64("node", F.lit(k))
-            other = left.groupBy("band").agg(F.min(F.struct(order.alias("o"), "node", "component")).alias("p")).select(
-                "band", F.col("p.node").alias("a"), F.col("p.component").alias("ca"))
-        pairs = left.join(other, "band").filter("component <> ca" + (" AND a < node" if exhaustive else ""))
-        pairs = pairs.select("a", F.col("node").alias("b")).distinct()
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        checked = staged(verified(pairs, candidates, width, percent), "pairs")
-        found = checked.filter("linked").select("a", "b")
-        links = found if links is None else links.unionByName(found)
-        if exhaustive:
-            return connected_components(links)
-        both = checked.select("a", "b").unionByName(checked.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        compared = both if compared is None else compared.unionByName(both)
-        groups = connected_components(links)
-        labelled = members.join(groups, "node", "left").select(
-            "band", "node", F.coalesce("component", "node").alias("component"))
-        k += 1
+    # the least node of a band, and the least by another order, against the rest
+    order = F.struct(F.xxhash64("node").alias("o"), "node")
+    pivots = members.groupBy("band").agg(F.min("node").alias("p"), F.min(order).alias("q"))
+    pivots = pivots.select("band", F.explode(F.array_distinct(F.array("p", "q.node"))).alias("pivot"))
+    pairs = members.join(pivots, "band").filter("node <> pivot").select(
+        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    checked = staged(verified(pairs, candidates, width, percent), "pairs")
+    links = checked.filter("linked").select("a", "b")
+    groups = connected_components(links)
+    labelled = members.join(groups, "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("component"))
+    # bands whose members are in several groups still hold open pairs
+    spread = labelled.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"),
+                                          F.max("component").alias("high")).filter("low < high")
+    tiles = F.ceil(F.col("n") / TILE).cast("int")
+    dealt = (labelled.join(spread.select("band", tiles.alias("tiles")), "band").join(sketches, "node")
+             .withColumn("block", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))))
+    likely = (dealt.select("band", F.least("block", "other").alias("tile_i"), F.greatest("block", "other").alias("tile_j"),
+                           "block", "node", "component", "sketch")
+              .groupBy("band", "tile_i", "tile_j").applyInArrow(_likely, "a long, b long").distinct())
+    likely = likely.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    more = staged(verified(likely, candidates, width, percent), "pairs").filter("linked").select("a", "b")
+    roots = groups.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+                               .join(groups, "node", "left_anti").withColumn("component", F.col("node")))
+    return connected_components(more.unionByName(roots.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
 def op4(spark, docs: DataFrame) -> DataFrame:

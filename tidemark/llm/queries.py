@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import ship_package, table
+from tidemark.llm.fingerprints import op3
 from tidemark.llm.lang_id import op1
 from tidemark.llm.near_dedup import op4
 from tidemark.llm.packing import op2
@@ -36,6 +37,7 @@ def _on_tables(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": _on_documents(op1),
     "op2_best_fit_packing": _on_documents(op2),
+    "op3_fingerprints": _on_documents(op3),
     "op4_near_dedup": _on_documents(op4),
     "op5_quality": _on_tables(op5),
     "op8_substring_dedup": _on_documents(op8),

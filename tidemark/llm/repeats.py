@@ -12,6 +12,7 @@ by buckets of documents, so that rows follow tasks and documents, not windows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,14 +23,15 @@ from tidemark.llm.bytesops import mix
 
 U = np.uint64
 #: Windows that a map task holds before it sorts and deals them out.
-CHUNK = 5_000_000
+CHUNK = 4_000_000
 #: Text bytes that are hashed at a time.
 SLICE = 1 << 20
 
-ENTRY, KNOWN, ANSWER = 0, 1, 2
+ENTRY, KNOWN, ANSWER, RUNS = 0, 1, 2, 3
 DEALT = "bucket int, kind int, h binary, d binary"
 _DEALT = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("h", pa.binary()), ("d", pa.binary())])
-_ANSWERS = pa.schema([("doc_id", pa.int64()), ("h", pa.binary())])
+_ANSWERS = pa.schema([("doc_id", pa.int64()), ("h", pa.binary()), ("text_key", pa.list_(pa.int64())),
+                      ("runs", pa.list_(pa.binary()))])
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -86,22 +88,72 @@ def _answers(h: np.ndarray, d: np.ndarray, buckets: int) -> Iterator[tuple[int,
         yield int(to[a]), ANSWER, pack_ids(h[a:b].view(np.int64)), pack_ids(d[a:b])
 
 
+def text_key(text: bytes) -> int:
+    """Tells the rows that share a document id apart."""
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
+def _runs_of(d: np.ndarray, key: np.ndarray, at: np.ndarray, buckets: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """Dealt rows of answers settled in the task: runs of starts, by document and text."""
+    order = np.lexsort((at, key, d))
+    d, key, at = d[order], key[order], at[order]
+    new = np.ones(len(d), bool)
+    new[1:] = (d[1:] != d[:-1]) | (key[1:] != key[:-1]) | (at[1:] > at[:-1] + 1)
+    first = np.flatnonzero(new)
+    d, key, start, end = d[first], key[first], at[first], at[np.append(first[1:], len(at)) - 1] + 1
+    to = (mix(d.view(np.uint64)) % U(buckets)).astype(np.int32)
+    order = np.argsort(to, kind="stable")
+    d, key, start, end, to = d[order], key[order], start[order], end[order], to[order]
+    cut = np.append(_runs(to), len(to))
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        blob = b"".join(len(x).to_bytes(4, "little") + x for x in map(pack_ids, (key[a:b], start[a:b], end[a:b])))
+        yield int(to[a]), RUNS, blob, pack_ids(d[a:b])
+
+
+def _unpack_runs(blob: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(blob):
+        n = int.from_bytes(blob[at:at + 4], "little")
+        out.append(unpack_ids(blob[at + 4:at + 4 + n]))
+        at += 4 + n
+    return out
+
+
 def _collected(t: pa.Table) -> pa.Table:
-    """One row per document: its distinct answers, packed."""
-    h = np.concatenate([unpack_ids(x.as_buffer()) for x in t.column("h")]).view(np.uint64)
-    d = np.concatenate([unpack_ids(x.as_buffer()) for x in t.column("d")])
-    order = np.lexsort((h, d))
-    h, d = h[order], d[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-    h, d = h[new], d[new]
-    at = np.append(_runs(d), len(d))
-    blobs = [pack(h[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-    return pa.Table.from_arrays([pa.array(d[at[:-1]]), pa.array(blobs, pa.binary())], schema=_ANSWERS)
+    """One row per document: its distinct hash answers, and its runs by text."""
+    found: dict[int, list] = {}
+    kinds = t.column("kind").to_numpy()
+    hs, ds = t.column("h"), t.column("d")
+    hashed, placed = np.flatnonzero(kinds == ANSWER).tolist(), np.flatnonzero(kinds == RUNS).tolist()
+    if hashed:
+        h = np.concatenate([unpack_ids(hs[i].as_buffer()) for i in hashed]).view(np.uint64)
+        d = np.concatenate([unpack_ids(ds[i].as_buffer()) for i in hashed])
+        order = np.lexsort((h, d))
+        h, d = h[order], d[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+        h, d = h[new], d[new]
+        at = np.append(_runs(d), len(d))
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+            found[int(d[a])] = [pack(h[a:b]), [], []]
+    if placed:
+        parts = [(unpack_ids(ds[i].as_buffer()), *_unpack_runs(hs[i].as_py())) for i in placed]
+        d, key, start, end = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((start, key, d))
+        d, key, start, end = d[order], key[order], start[order], end[order]
+        new = np.ones(len(d), bool)
+        new[1:] = (d[1:] != d[:-1]) | (key[1:] != key[:-1])
+        at = np.append(np.flatnonzero(new), len(d))
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+            own = found.setdefault(int(d[a]), [None, [], []])
+            own[1].append(int(key[a]))
+            own[2].append(np.concatenate((start[a:b], end[a:b])).tobytes())
+    rows = [(doc, *x) for doc, x in found.items()]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ANSWERS)], schema=_ANSWERS)
 
 
 def _settle(h: np.ndarray, d: np.ndarray, known: np.ndarray | None, rule: str):
-    """Sort and group: (h, d, run starts, mask of rows to answer).
+    """Sort and group: (order, h, d, run starts, mask of rows to answer).
 
     ``known`` entries were answered where they come from and only tell others.
     """
@@ -110,26 +162,36 @@ def _settle(h: np.ndarray, d: np.ndarray, known: np.ndarray | None, rule: str):
     at = _runs(h)
     n = np.diff(np.append(at, len(h)))
     if rule == "earlier":
-        return h, d, at, d > np.repeat(np.minimum.reduceat(d, at), n)
+        return order, h, d, at, d > np.repeat(np.minimum.reduceat(d, at), n)
     if known is None:
-        return h, d, at, np.repeat(n > 1, n)
+        return order, h, d, at, np.repeat(n > 1, n)
     known = known[order]
-    return h, d, at, np.repeat((n > 1) | np.logical_or.reduceat(known, at), n) & ~known
+    return order, h, d, at, np.repeat((n > 1) | np.logical_or.reduceat(known, at), n) & ~known
 
 
 class Dealer:
-    """Gathers (hash, document) of a task's windows and yields dealt batches."""
+    """Gathers (hash, document) of a task's windows and yields dealt batches.
+
+    With the windows' places and texts' keys given too, what the task settles
+    itself is answered as runs of places, else as hashes.
+    """
 
     def __init__(self, rule: str, buckets: int, shift: int = 0):
         self.rule, self.buckets, self.shift = rule, buckets, U(shift)
         self.h: list[np.ndarray] = []
         self.d: list[np.ndarray] = []
+        self.at: list[np.ndarray] = []
+        self.key: list[np.ndarray] = []
         self.n = 0
 
-    def add(self, h: np.ndarray, d: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def add(self, h: np.ndarray, d: np.ndarray, at: np.ndarray | None = None,
+            key: int | None = None) -> Iterator[pa.RecordBatch]:
         if len(h):
             self.h.append(h)
             self.d.append(d)
+            if at is not None:
+                self.at.append(at)
+                self.key.append(np.full(len(h), key))
             self.n += len(h)
         if self.n >= CHUNK:
             yield from self.flush()
@@ -138,9 +200,16 @@ class Dealer:
         if not self.n:
             return
         h, d = np.concatenate(self.h) >> self.shift, np.concatenate(self.d)
-        self.h, self.d, self.n = [], [], 0
-        h, d, at, repeats = _settle(h, d, None, self.rule)
-        rows = list(_answers(h[repeats], d[repeats], self.buckets))
+        places = (np.concatenate(self.at), np.concatenate(self.key)) if self.at else None
+        self.h, self.d, self.at, self.key, self.n = [], [], [], [], 0
+        order, h, d, at, repeats = _settle(h, d, None, self.rule)
+        if not repeats.any():
+            rows = []
+        elif places:
+            start, key = (x[order][repeats] for x in places)
+            rows = list(_runs_of(d[repeats], key, start, self.buckets))
+        else:
+            rows = list(_answers(h[repeats], d[repeats], self.buckets))
         if self.rule == "earlier":
             sets = [(ENTRY, h[at], np.minimum.reduceat(d, at))]
         else:
@@ -167,10 +236,10 @@ def _dealt(rows: list[tuple]) -> pa.Table:
 def _meet(rule: str, buckets: int) -> Callable[[pa.Table], pa.Table]:
     def answer(t: pa.Table) -> pa.Table:
         kinds = t.column("kind").to_numpy()
-        passed = t.filter(pa.array(kinds == ANSWER)).cast(_DEALT)
+        passed = t.filter(pa.array(kinds >= ANSWER)).cast(_DEALT)
         hs, ds = t.column("h"), t.column("d")
         h, d, known = [], [], []
-        for i in np.flatnonzero(kinds != ANSWER).tolist():
+        for i in np.flatnonzero(kinds < ANSWER).tolist():
             x = unpack(hs[i].as_buffer())
             h.append(x)
             d.append(unpack_ids(ds[i].as_buffer()) if kinds[i] == ENTRY else np.zeros(len(x), np.int64))
@@ -178,20 +247,29 @@ def _meet(rule: str, buckets: int) -> Callable[[pa.Table], pa.Table]:
         if not h:
             return passed
         h, d, known = np.concatenate(h), np.concatenate(d), np.concatenate(known)
-        h, d, _, repeats = _settle(h, d, known, rule)
+        _, h, d, _, repeats = _settle(h, d, known, rule)
         return pa.concat_tables([passed, _dealt(list(_answers(h[repeats], d[repeats], buckets)))])
 
     return answer
 
 
 def repeated(dealt: DataFrame, rule: str, buckets: int) -> DataFrame:
-    """Answers by document: ``doc_id``, ``h`` (its packed repeated hashes).
+    """Answers by document: ``doc_id``, ``h`` (its packed repeated hashes), and,
+    by the key of each of its texts, ``runs`` of window places.
 
     ``rule``: ``any`` (the hash occurs at another place, in whichever document)
     or ``earlier`` (it occurs in a document with a smaller id).
     """
     met = dealt.groupBy("bucket").applyInArrow(_meet(rule, buckets), DEALT)
-    return met.groupBy("bucket").applyInArrow(_collected, "doc_id long, h binary")
+    return met.groupBy("bucket").applyInArrow(
+        _collected, "doc_id long, h binary, text_key array<long>, runs array<binary>")
+
+
+def run_places(text: bytes, keys: list[int] | None, runs: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
+    """First and last-but-one places (end exclusive) of this text's answered runs."""
+    key = text_key(text) if keys else None
+    own = [np.frombuffer(r, np.int64).reshape(2, -1) for k, r in zip(keys or [], runs or []) if k == key]
+    return tuple(np.concatenate(own, axis=1)) if own else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def among(x: np.ndarray, found: np.ndarray) -> np.ndarray:

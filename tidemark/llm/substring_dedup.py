@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytesops import covered, spans_of, word_windows, words
-from tidemark.llm.common import doc_slices, longs, n_buckets, text_buffer, texts
+from tidemark.llm.common import doc_slices, longs, n_buckets, staged, text_buffer, texts
 from tidemark.llm.repeats import DEALT, SLICE, Dealer, among, repeated, unpack
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
@@ -74,6 +74,7 @@ def substring_dedup(docs: DataFrame, width: int = 13) -> DataFrame:
                  pa.array(kept, pa.binary()).cast(pa.string())], schema=_OUT)
 
     found = repeated(rows.filter("doc_id IS NOT NULL").mapInArrow(deal, DEALT), "earlier", buckets)
+    found = staged(found.select("doc_id", "h"), "repeated-windows", release=True)
     return rows.join(found, "doc_id", "left").select("doc_id", "text", "h").mapInArrow(
         remove, "doc_id long, n_words long, spans array<struct<start: long, end: long>>, kept_text string")
 

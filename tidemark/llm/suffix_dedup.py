@@ -15,8 +15,7 @@ inside them have equal contexts of ``length - 90`` bytes.
    one bucket in memory; equal neighbours are the ties of at least ``length``.
 3. Bytes that tied suffixes cover are merged into maximal intervals and removed.
 
-The texts are dealt by document once: the plan reads that exchange in steps 2 and
-3.  In step 2 those with a candidate move once more, to stand with their copies.
+Each step's result is written to the shared folder before the next begins.
 """
 
 from __future__ import annotations
@@ -29,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytesops import covered, spans_of, window_hash
-from tidemark.llm.common import BUCKET_BYTES, doc_slices, longs, n_buckets, text_buffer, texts
-from tidemark.llm.repeats import DEALT, SLICE, Dealer, among, repeated, unpack
+from tidemark.llm.common import BUCKET_BYTES, doc_slices, longs, n_buckets, staged, text_buffer, texts
+from tidemark.llm.repeats import DEALT, SLICE, Dealer, among, repeated, run_places, text_key, unpack
 
 #: Perfect difference set: every residue modulo 91 is a difference of two of these.
 COVER_MOD, COVER = 91, (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
@@ -106,19 +105,19 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
                 near = covered(np.maximum(at - COVER_MOD + 1, 0), at + 1, len(own))
                 starts = np.flatnonzero(near[:len(own) - length + 1])
                 h = window_hash(own, length, starts)
-                yield from dealer.add(h, np.full(len(h), ids[i].as_py()))
+                yield from dealer.add(h, np.full(len(h), ids[i].as_py()), starts, text_key(own.tobytes()))
         yield from dealer.flush()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in doc_slices(batches, SLICE):
             data, offsets = text_buffer(part.column("text"))
-            answers = part.column("h")
             spans, kept = [], []
-            for i in range(part.num_rows):
+            for i, (h, keys, runs) in enumerate(zip(*(part.column(c).to_pylist() for c in ("h", "text_key", "runs")))):
                 own, gone = data[offsets[i]:offsets[i + 1]], []
-                if answers[i].is_valid:
-                    tied = np.flatnonzero(among(window_hash(own, length), unpack(answers[i].as_py())))
-                    mask = covered(tied, tied + length, len(own))
+                if h or keys:
+                    first, end = run_places(own.tobytes(), keys, runs)
+                    tied = np.flatnonzero(among(window_hash(own, length), unpack(h))) if h else first[:0]
+                    mask = covered(np.concatenate((tied, first)), np.concatenate((tied, end - 1)) + length, len(own))
                     gone = [{"start": a, "end": b} for a, b in zip(*(x.tolist() for x in spans_of(mask)))]
                     own = own[~mask]
                 spans.append(gone)
@@ -128,14 +127,14 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
                  pa.array(kept, pa.binary())], schema=_OUT)
 
     known = rows.filter("doc_id IS NOT NULL")
-    ranks = repeated(known.mapInArrow(rank_cover, DEALT), "any", buckets)
-    # texts whose least repeated rank is the same stand in one task, where copies'
-    # suffixes are settled; a crowd at one rank is split by size
-    near = (known.join(ranks, "doc_id").select("doc_id", "text", "h", F.substring("h", 2, 8).alias("least"))
-            .hint("rebalance", "least"))
-    ties = repeated(near.select("doc_id", "text", "h").mapInArrow(deal_suffixes, DEALT), "any", buckets)
-    judged = known.join(ties, "doc_id", "left").select("doc_id", "text", "h").unionByName(
-        rows.filter("doc_id IS NULL").withColumn("h", F.lit(None).cast("binary")))
+    ranks = repeated(known.mapInArrow(rank_cover, DEALT), "any", buckets).select("doc_id", "h")
+    ranks = staged(ranks, "cover-ranks", release=True)
+    # texts whose least repeated rank is the same are written side by side, so that
+    # most copies' suffixes are settled in one task; a crowd at one rank is split by size
+    near = known.join(ranks, "doc_id").select("doc_id", "text", "h", F.substring("h", 2, 8).alias("least"))
+    near = staged(near.hint("rebalance", "least").drop("least"), "suffix-texts", release=True)
+    ties = staged(repeated(near.mapInArrow(deal_suffixes, DEALT), "any", buckets), "ties", release=True)
+    judged = rows.join(ties, "doc_id", "left").select("doc_id", "text", "h", "text_key", "runs")
     return judged.mapInArrow(
         remove, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
