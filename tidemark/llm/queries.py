@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.common import ship_package, table
 from tidemark.llm.fingerprints import op3
 from tidemark.llm.lang_id import op1
+from tidemark.llm.licenses import op7
 from tidemark.llm.near_dedup import op4
 from tidemark.llm.packing import op2
 from tidemark.llm.quality import op5
+from tidemark.llm.sharding import op10
 from tidemark.llm.substring_dedup import op8
 from tidemark.llm.suffix_dedup import op9
 
@@ -40,6 +42,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": _on_documents(op3),
     "op4_near_dedup": _on_documents(op4),
     "op5_quality": _on_tables(op5),
+    "op7_license_scan": _on_documents(op7),
     "op8_substring_dedup": _on_documents(op8),
     "op9_suffix_dedup": _on_documents(op9),
+    "op10_sharding": _on_documents(op10),
 }
