@@ -111,10 +111,16 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[n
     if len(data) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     starts, ends = word_spans(data, offsets)
+    return span_hashes(data, offsets, starts, ends, _SPACE, lower), np.searchsorted(starts, offsets)
+
+
+def span_hashes(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, between: np.ndarray,
+                lower: bool) -> np.ndarray:
+    """Hash of each span; the bytes for which the table ``between`` holds are in none."""
     if lower:
         data = _LOWER[data]
     out = np.empty(len(starts), np.uint64)
-    cuts = _cuts(_SPACE[data], offsets)
+    cuts = _cuts(between[data], offsets)
     at = np.searchsorted(starts, cuts)
     for lo, hi, a, b in zip(cuts[:-1], cuts[1:], at[:-1], at[1:]):
         if a == b:
@@ -122,12 +128,12 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[n
         p, q = prefix_hash(data[lo:hi]), powers(hi - lo + 1)[1]
         s, e = starts[a:b] - lo, ends[a:b] - lo
         out[a:b] = (p[e] - p[s]) * q[s]
-    return mix(out), np.searchsorted(starts, offsets)
+    return mix(out)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end (exclusive) of every word."""
-    inside = ~_SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end (exclusive) of every run of bytes that are not ``between``."""
+    inside = ~between[data]
     first = np.empty(len(data), bool)
     first[0] = True
     np.logical_not(inside[:-1], out=first[1:])
