@@ -57,6 +57,16 @@ class Templates(NamedTuple):
     counts: np.ndarray
 
 
+def fold(data: np.ndarray) -> np.ndarray:
+    """Small letters for A-Z and the Latin-1 capitals (two bytes, 0xC3 and 0x80-0x9E but the cross)."""
+    out = data.copy()
+    out[_UPPER[data]] += 32
+    second = np.zeros(len(data), bool)
+    second[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    out[second] += 32
+    return out
+
+
 def _unit_hashes() -> np.ndarray:
     raw = [u.encode() for u in UNITS if u != "%"]
     data = np.frombuffer(b" ".join(raw), np.uint8)
@@ -80,7 +90,7 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> Templates:
     n = len(starts)
     if n == 0:
         return Templates(none, none, np.zeros(0, np.int8), counts)
-    value = span_hashes(data, offsets, starts, ends, _BETWEEN, True)
+    value = span_hashes(fold(data), offsets, starts, ends, _BETWEEN, False)
     digits = np.concatenate(([0], np.cumsum(_DIGIT[data])))
     stops = np.concatenate(([0], np.cumsum(_STOP[data])))
     number = digits[ends] > digits[starts]

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import ship_package, table
+from tidemark.llm.decontaminate import op6
 from tidemark.llm.fingerprints import op3
 from tidemark.llm.lang_id import op1
 from tidemark.llm.licenses import op7
@@ -42,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": _on_documents(op3),
     "op4_near_dedup": _on_documents(op4),
     "op5_quality": _on_tables(op5),
+    "op6_decontamination": _on_tables(op6),
     "op7_license_scan": _on_documents(op7),
     "op8_substring_dedup": _on_documents(op8),
     "op9_suffix_dedup": _on_documents(op9),
