@@ -1,16 +1,72 @@
-"""Training-data pipeline over ``documents``: each stage applies one operator of ``tidemark.llm``."""
+"""Training-data pipeline over ``documents``: each stage applies one operator of ``tidemark.llm``.
+
+Stages take (spark, docs, sf_dir) and return a DataFrame that is written as
+Parquet and read again as the next one's ``docs``.  All but the last return the
+columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged, table
+from tidemark.llm.common import ship_package, staged, table
+from tidemark.llm.decontaminate import clean_documents
+from tidemark.llm.lang_id import UNKNOWN, fit, language_id
+from tidemark.llm.near_dedup import near_dedup
+from tidemark.llm.packing import pack_documents
+from tidemark.llm.suffix_dedup import suffix_dedup
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the network knows; texts without letters and null texts go."""
+    ship_package(spark)
+    out = language_id(docs, fit(docs), *COLUMNS[1:])
+    return out.filter(F.col("lang_pred") != UNKNOWN).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group (five-word shingles, similarity 0.8): the least id."""
+    ship_package(spark)
+    gone = staged(near_dedup(docs, 5, 80).filter("NOT kept").select("doc_id"), "near-duplicates", release=True)
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 200 bytes or more that occur elsewhere; documents
+    of which nothing is left go."""
+    ship_package(spark)
+    out = suffix_dedup(docs, 200, "lang", "source")
+    out = out.filter("n_bytes = 0 OR kept_text <> ''")
+    return out.select("doc_id", F.col("kept_text").alias("text"), "lang", "source",
+                      F.length("kept_text").cast("long").alias("n_chars"))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of ``benchmark``, not with other values either."""
+    ship_package(spark)
+    return clean_documents(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their ids and their places in sequences of 1,024 tokens."""
+    ship_package(spark)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 2)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("suffix_dedup", remove_repeated_passages),
+    ("decontamination", drop_benchmark_leaks),
+    ("packing", pack_sequences),
+]
 
 #: The stages' models, signatures and packing have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
@@ -22,5 +78,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = staged(docs, name)
+            docs = staged(docs, name, release=True)
     return docs

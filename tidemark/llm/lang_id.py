@@ -164,12 +164,14 @@ def fit(labelled: DataFrame) -> Network | None:
 def language_id(docs: DataFrame, net: Network | None, *keep: str) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` and the columns named in ``keep``, by whole texts.
 
+    ``keep`` may name ``text`` (null then comes back empty).
+
     ``score`` is the mean probability of the predicted language over the text's
     windows.  A null text, a text without letters, or no network at all gives
     ``und`` with score 0.  Ties go to the first language by name.  One row per
     input row, with repeated or null ids too; extra columns are ignored.
     """
-    rows = texts(docs, *keep)
+    rows = texts(docs, *(c for c in keep if c != "text"))
     if net is None:
         return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), *keep)
     schema = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
