@@ -202,3 +202,22 @@ def test_parse_ts_strict_raises_on_bad_text(spark):
         bad = spark.createDataFrame([("nonsense",)], "s string")
         with pytest.raises(Exception):
             bad.select(parse_ts_ms("s", lenient=False)).collect()
+
+
+def test_long_labels_stay_whole(spark):
+    from tidemark.functions.text import dot_line
+    long = "x" * 70
+    df = spark.createDataFrame([(long, 5), ("ab", 7)], "l string, v int")
+    assert [r[0] for r in df.select(dot_line("l", "v")).collect()] == [long + "5", "ab" + "." * 58 + "7"]
+
+
+def test_json_containers_with_repeated_and_dotted_keys(spark):
+    from tidemark.functions.json import json_key, json_value
+    docs = ['{"k":{"a":1},"k":2}', '{"k":{"a":1,"a":2}}', '{"k":[1,2]}', '{"k":"{\\"a\\":1}"}', '{"k":"[x]"}', '{"k":null}',
+            "{broken", '{"k":3,"z":1,"z":2}', None]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, d string")
+    got = [r[0] for r in df.orderBy("i").select(json_value("d", "$['k']")).collect()]
+    assert got[1:] == [None, None, '{"a":1}', "[x]", None, None, "3", None]
+    assert got[0] in (None, "2")
+    dotted = spark.createDataFrame([('{"a.b":"x","a":{"b":"y"}}',)], "d string")
+    assert tuple(dotted.select(json_key("d", "a.b"), json_key("d", "a/b")).first()) == ("x", "y")

@@ -85,13 +85,13 @@ def test_type_filter_inside_shows_other_types_as_gaps(spark):
     assert gap_count(df, "off", "topic").first()[0] == 0
 
 
-def test_auto_width_python_and_subquery_agree(spark):
-    from tidemark.operators.gaps import auto_bucket_width, auto_bucket_width_col
-    for span in (0, 5, 2_000_000, 10**12):
-        df = spark.createDataFrame([("a", 0), ("a", span), ("b", 3)], "topic string, off long")
-        py = auto_bucket_width(df, "off", ["topic"])
-        sq = spark.range(1).select(auto_bucket_width_col(df, "off", ["topic"])).first()[0]
-        assert py == sq, span
+def test_links_across_buckets_of_buckets(spark):
+    from tidemark.operators import gaps
+    far = [0, 1, 5, 2**30, 2**30 + 1, 2**45, 2**45 + 3, 2**62]
+    df = spark.createDataFrame([("a", 0, o, None) for o in far] + [("b", 0, 9, None)], SCHEMA)
+    for width in (1, 2, 1 << 20):
+        got = gaps.offset_gaps(df, "off", "topic", bucket_width=width)
+        assert _rows(got) == _rows(gaps.offset_gaps_lead(df, "off", "topic"))
 
 
 pairs = st.lists(st.tuples(st.integers(0, 40), st.integers(1, 28)), min_size=0, max_size=40)

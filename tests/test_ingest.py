@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.ingest import IngestSpec, apply_spec, ingest_batch, skip_duplicates
@@ -203,3 +204,27 @@ def test_unfilled_topic_placeholder():
     assert IngestSpec.from_yaml(SPEC_YAML).topic is None
     assert IngestSpec.from_yaml(SPEC_YAML.replace("topic: {}", "topic: fixed.topic")).topic == "fixed.topic"
     assert IngestSpec.from_yaml(SPEC_YAML, topic="x").topic == "x"
+
+
+def test_rows_with_a_null_key_are_kept(spark):
+    schema = "kafka_topic string, kafka_offset long, melding string"
+    rows = [("t", None, "a"), ("t", None, "b"), ("t", 1, "c"), ("t", 1, "c"), (None, 1, "d")]
+    out = skip_duplicates(spark.createDataFrame(rows, schema), None, ["kafka_topic", "kafka_offset"])
+    assert sorted(r.melding for r in out.collect()) == ["a", "b", "c", "d"]
+    target = spark.createDataFrame([("t", 1, "c"), ("t", None, "a")], schema)
+    out = skip_duplicates(spark.createDataFrame(rows, schema), target, ["kafka_topic", "kafka_offset"])
+    assert sorted(r.melding for r in out.collect()) == ["a", "b", "d"]
+
+
+@pytest.mark.parametrize("topics", [1, 64, 65, 200])
+def test_target_is_cut_alike_for_any_number_of_topics(spark, topics):
+    keys = ["kafka_topic", "kafka_offset"]
+    schema = "kafka_topic string, kafka_offset long"
+    target = spark.createDataFrame([(f"t{t}", t * 1000 + o) for t in range(topics) for o in range(20)], schema)
+    batch = spark.createDataFrame([(f"t{t}", t * 1000 + o) for t in range(topics) for o in (18, 19, 20)], schema)
+    out = skip_duplicates(batch, target, keys)
+    assert sorted(map(tuple, out.collect())) == sorted((f"t{t}", t * 1000 + 20) for t in range(topics))
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LeftSemi") == 1 and text.count("LeftAnti") == 1
+
+

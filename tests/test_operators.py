@@ -1,3 +1,4 @@
+import pytest
 """Join, reshape, count and refresh operators on hand-made rows (NULL rules)."""
 
 import datetime as dt
@@ -275,3 +276,20 @@ def test_recent_counts_equal_python(spark, minutes, edge):
             sum(t >= as_of - dt.timedelta(days=7) for t in ts),
             sum(t > as_of - dt.timedelta(days=8) for t in ts))
     assert tuple(r) == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti", "right", "full"])
+def test_salt_never_changes_a_join(spark, how):
+    import datetime as dt
+    from tidemark.operators.joins import validity_join
+    day = dt.date(2024, 1, 5)
+    facts = spark.createDataFrame([(1, day), (1, day), (2, day), (None, day)], "k long, day date")
+    dim = spark.createDataFrame([(1, dt.date(2024, 1, 1), dt.date(2024, 2, 1)), (3, day, day)], "d long, f date, t date")
+    args = (facts, dim, "k", "d", "day", "f", "t", how)
+    if how in ("right", "full"):
+        with pytest.raises(ValueError):
+            validity_join(*args, salt=4)
+        return
+    plain, salted = validity_join(*args), validity_join(*args, salt=4)
+    assert plain.columns == salted.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))

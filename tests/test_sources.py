@@ -1,3 +1,4 @@
+import pytest
 """Sources and sinks: table reads, CSV export / load, table copies, envelope slices."""
 
 import datetime as dt
@@ -129,15 +130,91 @@ def test_refresh_period_with_escaped_characters(spark):
     assert sorted(tuple(r) for r in out.collect()) == [("2024-02", 2), ("2024/01:a", 9)]
 
 
-def test_csv_load_with_schema_or_sampling(spark):
+def test_csv_load_with_schema(spark):
     src = read_table(spark, f"{SF_SMALL}/customer.parquet").select("c_custkey", "c_acctbal")
     out = work_dir(spark, "t-csv-schema")
     export_csv(src, out)
     typed = load_csv(spark, out, schema="c_custkey long, c_acctbal double")
     assert dict(typed.dtypes) == {"c_custkey": "bigint", "c_acctbal": "double"}
     assert sorted(map(tuple, typed.collect())) == sorted(map(tuple, src.collect()))
-    sampled = load_csv(spark, out, sampling_ratio=0.5)
-    assert sampled.count() == 150
+
+
+def test_csv_keeps_every_value(spark):
+    texts = ["plain", "line1\nline2", "  pad  ", "", None, 'say "hi"', "a,b", "back\\slash", "\\", '"', "\t", "é", '\\"', "x\r\ny"]
+    src = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    out = work_dir(spark, "t-csv-lossless")
+    export_csv(src.repartition(3), out)
+    assert sorted(map(tuple, load_csv(spark, out, schema=src.schema).collect())) == list(enumerate(texts))
+    inferred = load_csv(spark, out)
+    assert dict(inferred.dtypes) == {"id": "int", "t": "string"}
+    assert sorted(map(tuple, inferred.collect())) == list(enumerate(texts))
+
+
+def test_replace_keeps_the_old_table_until_the_new_one_is_there(spark, monkeypatch):
+    import tidemark.sources.tables as tables
+    target = work_dir(spark, "t-replace")
+    tables.replace_table(spark.range(3), target)
+    broken = spark.range(5).selectExpr("id", "raise_error('stop') as e")
+    with pytest.raises(Exception):
+        tables.replace_table(broken, target)
+    assert spark.read.parquet(target).count() == 3
+    # the target may be read by what replaces it
+    assert tables.copy_table(spark, spark.read.parquet(target).where("id > 0"), target).count() == 2
+    rename, calls = tables.rename_path, []
+
+    def once(session, path, to):
+        calls.append(path)
+        if len(calls) == 2:
+            raise OSError("stop")
+        rename(session, path, to)
+
+    monkeypatch.setattr(tables, "rename_path", once)
+    with pytest.raises(OSError):
+        tables.replace_table(spark.range(9), target)
+    monkeypatch.setattr(tables, "rename_path", rename)
+    tables.recover_table(spark, target)
+    assert spark.read.parquet(target).count() == 2
+    assert tables.replace_table(spark.range(9), target).count() == 9
+
+
+def test_jdbc_options():
+    from tidemark.sources.tables import jdbc_options
+    split = {"url": "jdbc:x", "partitionColumn": "id", "lowerBound": 0, "upperBound": 10, "numPartitions": 4}
+    assert jdbc_options("t", split)["dbtable"] == "t"
+    assert jdbc_options("SELECT a FROM t", split)["dbtable"] == "(SELECT a FROM t) q"
+    assert jdbc_options("t", {"numPartitions": 1})["dbtable"] == "t"
+    with pytest.raises(ValueError):
+        jdbc_options("t", {"url": "jdbc:x"})
+
+
+@pytest.mark.parametrize("stop", ["write", "decide", "move", "delete"])
+def test_period_refresh_survives_a_stop(spark, monkeypatch, stop):
+    import tidemark.operators.refresh as refresh
+    schema = "periode string, v long"
+    target = work_dir(spark, f"t-refresh-{stop}")
+    old = [("202401", 1), ("202402", 2), ("202402", 3)]
+    refresh.write_periodic(spark.createDataFrame(old, schema), target, "periode")
+    source = spark.createDataFrame([("202402", 9), ("202403", 8)], schema)
+    new = [("202401", 1), ("202402", 9), ("202403", 8)]
+    name, after = {"write": ("write_periodic", 0), "decide": ("_write_text", 0), "move": ("rename_path", 2),
+                   "delete": ("delete_path", 0)}[stop]
+    whole, calls = getattr(refresh, name), []
+
+    def fail(*args, **kw):
+        calls.append(1)
+        if len(calls) > after:
+            raise OSError("stop")
+        return whole(*args, **kw)
+
+    monkeypatch.setattr(refresh, name, fail)
+    with pytest.raises(OSError):
+        refresh.period_refresh(spark, target, source, "periode", "202402")
+    monkeypatch.setattr(refresh, name, whole)
+    read = lambda: sorted(map(tuple, refresh.read_periodic(spark, target, source.schema, ["periode", "v"]).collect()))
+    assert read() == (old if stop in ("write", "decide") else new)
+    if stop in ("write", "decide"):
+        refresh.period_refresh(spark, target, source, "periode", "202402")
+    assert read() == new
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402

@@ -17,12 +17,13 @@ def _as_col(c: str | Column) -> Column:
 
 
 def json_path(*keys: str, separator: str | None = None) -> str:
-    """Build a ``$.a.b`` path from keys; ``separator`` splits a single key
-    (ingest specs use ``a/b`` for nested fields)."""
+    """Build a ``$['a']['b']`` path from keys, so that a dot in a name is part of
+    it; ``separator`` splits a single key (ingest specs use ``a/b`` for nested
+    fields).  A quote in a name is not supported by the path syntax."""
     parts: list[str] = []
     for k in keys:
         parts.extend(k.split(separator) if separator else [k])
-    return "$" + "".join(f".{p}" for p in parts)
+    return "$" + "".join(f"['{p}']" for p in parts)
 
 
 def json_value(doc: str | Column, path: str) -> Column:
@@ -30,14 +31,17 @@ def json_value(doc: str | Column, path: str) -> Column:
 
     The variant parse that tells an object or array from a string runs only for
     values whose text starts with ``{`` or ``[`` (CASE evaluates lazily), so
-    plain scalars cost one ``get_json_object`` call.
+    plain scalars cost one ``get_json_object`` call.  It refuses documents with
+    a repeated key; such a value counts as a string only if it stands in the
+    document as one, quoted and escaped, and not as itself.
     """
     d = _as_col(doc)
     text = F.get_json_object(d, path)
     looks_nested = text.startswith("{") | text.startswith("[")
     shape = F.schema_of_variant(F.try_variant_get(F.try_parse_json(d), F.lit(path), "variant"))
-    is_container = shape.startswith("OBJECT") | shape.startswith("ARRAY")
-    return F.when(looks_nested & is_container, F.lit(None).cast("string")).otherwise(text)
+    quoted = F.contains(d, F.to_json(F.array(text)).substr(F.lit(2), F.length(F.to_json(F.array(text))) - 2))
+    is_scalar = F.coalesce(~(shape.startswith("OBJECT") | shape.startswith("ARRAY")), quoted)
+    return F.when(looks_nested & ~is_scalar, F.lit(None).cast("string")).otherwise(text)
 
 
 def json_key(doc: str | Column, key: str, separator: str = "/") -> Column:

@@ -15,21 +15,15 @@ computes the same pairs with the work split into fixed-width offset buckets:
    (stream, bucket, offset), so a message landed many times - even one copy
    group holding a third of all rows - costs one row per map task in the
    shuffle;
-2. take LEAD inside each (stream, bucket); a bucket holds at most
+2. take LEAD and LAG inside each (stream, bucket); a bucket holds at most
    ``bucket_width`` distinct offsets, so no window partition can grow with the
    row count, and a hot stream spreads over all of its buckets;
-3. aggregate each bucket to (first, last) offset - partial aggregate again,
-   one row per bucket;
-4. LEAD over the bucket summary per stream links the last offset of a bucket
-   with the first offset of the next non-empty bucket.  The summary has one
-   row per non-empty bucket, so its size is bounded by the offset range divided
-   by the bucket width, not by the row count.
-
-A variant that collects each bucket's distinct offsets into an array
-(``collect_set``, map-side deduplicated) and pairs neighbours with array
-functions saves one shuffle and measured 25-35 % faster on one hot topic
-locally, but slower for many small streams, and it must hold a whole bucket
-in memory; the window form spills to disk.  The window form is kept.
+3. the rows without a neighbour on one side are the buckets' edges, at most two
+   per bucket; the same step over buckets of buckets links them, and once more
+   over each stream what is left.
+
+The input is read once: pairs and edges come from the same window, and the plan
+reuses its exchange.
 
 Duplicated offsets never form a gap (difference 0), so collapsing them keeps
 the count whenever the final filter only looks at the offset.  When a filter on
@@ -47,36 +41,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_WIDTH = 1 << 20
-MIN_BUCKET_WIDTH = 1 << 10
-MAX_BUCKET_WIDTH = 1 << 24
-
-
-def auto_bucket_width(df: DataFrame, offset: str, keys: Sequence[str]) -> int:
-    """Bucket width ~ sqrt(largest offset range of one stream), a power of two.
-
-    A bucket holds at most ``width`` distinct offsets (one window partition);
-    the per-stream summary holds ``range / width`` rows (one task per stream).
-    The square root balances the two.  One aggregate job with a one-row
-    result; clamped to [2^10, 2^24].
-    """
-    spans = df.groupBy(*keys).agg((F.max(offset) - F.min(offset)).alias("_span"))
-    row = spans.agg(F.max("_span").alias("s")).first()
-    span = int(row["s"] or 0) if row else 0
-    width = MIN_BUCKET_WIDTH
-    while width * width < span and width < MAX_BUCKET_WIDTH:
-        width <<= 1
-    return width
-
-
-def auto_bucket_width_col(df: DataFrame, offset: str, keys: Sequence[str]):
-    """``auto_bucket_width`` as a scalar subquery, evaluated once inside the query
-    that uses it (no separate driver round trip)."""
-    spans = df.groupBy(*keys).agg((F.max(offset) - F.min(offset)).alias("_span"))
-    span = F.greatest(F.max("_span"), F.lit(1)).cast("double")
-    exp = F.ceil(F.log2(F.sqrt(span)))
-    lo, hi = MIN_BUCKET_WIDTH.bit_length() - 1, MAX_BUCKET_WIDTH.bit_length() - 1
-    exp = F.least(F.greatest(exp, F.lit(lo)), F.lit(hi)).cast("int")
-    return spans.agg(F.pow(F.lit(2.0), exp).cast("long")).scalar()
+#: Buckets whose edges are linked together before the streams' last step.
+BUCKETS_TOGETHER = 1 << 16
 
 
 def _cols(by: str | Sequence[str] | None) -> list[str]:
@@ -90,16 +56,14 @@ def _cols(by: str | Sequence[str] | None) -> list[str]:
 def offset_gaps(df: DataFrame, offset: str, by: str | Sequence[str] | None = None, *,
                 min_gap: int = 1, offset_floor: int | None = None,
                 carry: str | None = None,
-                bucket_width: int | None = None,
+                bucket_width: int = DEFAULT_BUCKET_WIDTH,
                 collapse_copies: bool = True) -> DataFrame:
     """All gaps larger than ``min_gap`` between consecutive distinct offsets.
 
     Returns ``by..., gap_from, gap_to, missing`` (+ ``carry`` = max of the
     carried column over the rows at ``gap_from``).
 
-    ``bucket_width`` ``None`` picks it from the data (``auto_bucket_width_col``,
-    a scalar subquery run once inside this query; building the DataFrame runs
-    no job).
+    ``bucket_width``: offsets of a bucket; the result does not depend on it.
 
     ``collapse_copies`` (default) removes repeated offsets with a map-side
     partial aggregate before the window shuffle, so a group of copies holding a
@@ -120,45 +84,34 @@ def offset_gaps(df: DataFrame, offset: str, by: str | Sequence[str] | None = Non
     src = df.where(off.isNotNull())
     if offset_floor is not None:
         src = src.where(off > F.lit(offset_floor))
-    if bucket_width is None:
-        width = auto_bucket_width_col(src, offset, keys)
-    elif bucket_width < 1:
+    if bucket_width < 1:
         raise ValueError("bucket_width must be positive")
-    else:
-        width = F.lit(int(bucket_width)).cast("long")
-    sel = [*keys, offset] + ([carry] if carry else [])
-    rows = (src.select(*sel, width.alias("_w"))
-            .select(*sel, F.expr(f"`{offset}` div _w").alias("_bucket")))
-
-    if not collapse_copies:
-        distinct = rows
-    elif carry:
-        distinct = rows.groupBy(*keys, "_bucket", offset).agg(F.max(carry).alias(carry))
-    else:
-        distinct = rows.select(*keys, "_bucket", offset).distinct()
-
-    order = [F.col(offset)] + ([F.col(carry)] if carry and not collapse_copies else [])
-    w_in = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    inner = (distinct
-             .withColumn("_next", F.lead(offset).over(w_in))
-             .where(F.col("_next").isNotNull())
-             .select(*keys, F.col(offset).alias("gap_from"), F.col("_next").alias("gap_to"),
-                     *([F.col(carry)] if carry else [])))
-
-    aggs = [F.min(offset).alias("_first"), F.max(offset).alias("_last")]
-    if carry:
-        # carry of the last offset (the largest one among its copies)
-        aggs.append(F.max(F.struct(F.col(offset).alias("o"), F.col(carry).alias("c")))["c"]
-                    .alias(carry))
-    summary = distinct.groupBy(*keys, "_bucket").agg(*aggs)
-    w_b = Window.partitionBy(*keys).orderBy("_bucket")
-    edges = (summary
-             .withColumn("_next_first", F.lead("_first").over(w_b))
-             .where(F.col("_next_first").isNotNull())
-             .select(*keys, F.col("_last").alias("gap_from"), F.col("_next_first").alias("gap_to"),
-                     *([F.col(carry)] if carry else [])))
-
-    pairs = inner.unionByName(edges)
+    extra = [carry] if carry else []
+    rows = src.select(*keys, offset, *extra, F.expr(f"`{offset}` div {int(bucket_width)}L").alias("_bucket"))
+    if collapse_copies and carry:
+        rows = rows.groupBy(*keys, "_bucket", offset).agg(F.max(carry).alias(carry))
+    elif collapse_copies:
+        rows = rows.select(*keys, "_bucket", offset).distinct()
+
+    order = [F.col(offset), *([F.col(carry)] if carry else [])]
+
+    def linked(edges: DataFrame, *within: str) -> DataFrame:
+        w = Window.partitionBy(*keys, *within).orderBy(*order)
+        return edges.withColumn("_next", F.lead(offset).over(w)).withColumn("_first", F.lag(offset).over(w).isNull())
+
+    def found(level: DataFrame) -> DataFrame:
+        return level.where("_last AND _next IS NOT NULL").select(
+            *keys, F.col(offset).alias("gap_from"), F.col("_next").alias("gap_to"), *extra)
+
+    def edges_of(level: DataFrame) -> DataFrame:
+        # a row that is no bucket's last has its successor inside that bucket
+        return level.where("_next IS NULL OR _first").select(
+            *keys, "_bucket", offset, *extra, (F.col("_last") & F.col("_next").isNull()).alias("_last"))
+
+    inside = linked(rows.withColumn("_last", F.lit(True)), "_bucket")
+    between = linked(edges_of(inside).withColumn("_bucket", F.expr(f"_bucket div {BUCKETS_TOGETHER}L")), "_bucket")
+    across = linked(edges_of(between))
+    pairs = found(inside).unionByName(found(between)).unionByName(found(across))
     return (pairs.where((F.col("gap_to") - F.col("gap_from")) > F.lit(min_gap))
             .withColumn("missing", F.col("gap_to") - F.col("gap_from") - 1))
 
@@ -188,7 +141,7 @@ def offset_gaps_lead(df: DataFrame, offset: str, by: str | Sequence[str] | None
 def gap_count(df: DataFrame, offset: str, by: str | Sequence[str] | None = None, *,
               min_gap: int = 1, offset_floor: int | None = None,
               after: Column | None = None, carry: str | None = None,
-              name: str = "gap_count", bucket_width: int | None = None,
+              name: str = "gap_count", bucket_width: int = DEFAULT_BUCKET_WIDTH,
               collapse_copies: bool = True) -> DataFrame:
     """One row ``name`` = number of gaps; ``after`` filters gap rows after LEAD.
 
@@ -201,5 +154,4 @@ def gap_count(df: DataFrame, offset: str, by: str | Sequence[str] | None = None,
     return gaps.agg(F.count(F.lit(1)).alias(name))
 
 
-__all__ = ["offset_gaps", "offset_gaps_lead", "gap_count", "auto_bucket_width",
-           "auto_bucket_width_col", "DEFAULT_BUCKET_WIDTH"]
+__all__ = ["offset_gaps", "offset_gaps_lead", "gap_count", "DEFAULT_BUCKET_WIDTH"]

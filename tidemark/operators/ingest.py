@@ -19,6 +19,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as _dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.json import json_key
 from tidemark.functions.timez import ts_literal, unix_ms_to_local
-from tidemark.session import ensure_checkpoint_dir, path_exists
+from tidemark.session import hadoop_fs, path_exists
 
 # Fixed values of the consumer-spec format (they must equal the existing specs):
 #   envelope columns: kafka_message, kafka_topic, kafka_offset, kafka_timestamp,
@@ -138,35 +139,23 @@ def apply_spec(envelope: DataFrame, spec: IngestSpec,
     return envelope.select(*[field_column(f, spec, batch_time, cols) for f in spec.transform])
 
 
-MAX_PRUNE_TOPICS = 64
+def _in_batch_range(target: DataFrame, incoming: DataFrame, keys: Sequence[str], offset_col: str | None,
+                    topic_col: str | None) -> DataFrame:
+    """Target rows within the batch's offset range, per topic if topic is a key.
 
-
-def _target_prune(incoming: DataFrame, keys: Sequence[str], offset_col: str | None,
-                  topic_col: str | None):
-    """Filter for the target: the offset range of the batch, per topic when the
-    batch holds at most ``MAX_PRUNE_TOPICS`` topics (checked with a bounded
-    ``limit``), else one global range.  Only literals reach the driver."""
+    The ranges are an aggregate of the batch inside the plan, one row per topic
+    whatever their number; with topic as the target's partition column only the
+    batch's topics are read.
+    """
     if not offset_col or offset_col not in keys:
-        return None
-    off = F.col(offset_col)
+        return target
+    ends = [F.min(offset_col).alias("_lo"), F.max(offset_col).alias("_hi")]
     if topic_col and topic_col in keys:
-        ranges = (incoming.groupBy(topic_col)
-                  .agg(F.min(offset_col).alias("lo"), F.max(offset_col).alias("hi"))
-                  .limit(MAX_PRUNE_TOPICS + 1).collect())
-        if not ranges:
-            return F.lit(False)
-        if len(ranges) <= MAX_PRUNE_TOPICS:
-            cond = None
-            for r in ranges:
-                if r["lo"] is None:
-                    continue
-                c = (F.col(topic_col).eqNullSafe(F.lit(r[topic_col]))) & off.between(r["lo"], r["hi"])
-                cond = c if cond is None else cond | c
-            return cond if cond is not None else F.lit(False)
-    lo_hi = incoming.agg(F.min(offset_col).alias("lo"), F.max(offset_col).alias("hi")).first()
-    if lo_hi is None or lo_hi["lo"] is None:
-        return F.lit(False)
-    return off.between(lo_hi["lo"], lo_hi["hi"])
+        ranges = incoming.groupBy(F.col(topic_col).alias("_topic")).agg(*ends)
+        return target.join(ranges, (F.col(topic_col) == F.col("_topic"))
+                           & F.col(offset_col).between(F.col("_lo"), F.col("_hi")), "left_semi")
+    lo, hi = (incoming.agg(e).scalar() for e in ends)
+    return target.where(F.col(offset_col).between(lo, hi))
 
 
 def skip_duplicates(incoming: DataFrame, target: DataFrame | None, keys: Sequence[str],
@@ -174,37 +163,38 @@ def skip_duplicates(incoming: DataFrame, target: DataFrame | None, keys: Sequenc
                     topic_col: str | None = "kafka_topic") -> DataFrame:
     """Incoming rows whose key is neither repeated in the batch nor already in the target.
 
-    The target only grows; before the anti join it is pruned to the offset
-    range of the batch (per topic for a few topics), so the scan of the target
-    skips row groups and files by their statistics.  An empty key list appends
-    everything (one consumer has no duplicate check).  Rows with a NULL key
-    match nothing and are always kept.
+    The target only grows; before the anti join it is cut to the offset range of
+    the batch, per topic.  An empty key list appends everything (one consumer has
+    no duplicate check).  Rows with a NULL in their key match nothing: every one
+    of them is kept, from each replay too.
     """
     keys = list(keys)
     if not keys:
         return incoming
-    batch = incoming.dropDuplicates(keys)
-    if target is None:
-        return batch
-    tgt = target.select(*keys)
-    prune = _target_prune(incoming, keys, offset_col, topic_col)
-    if prune is not None:
-        tgt = tgt.where(prune)
-    return batch.join(tgt, keys, "left_anti")
+    whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    batch = incoming.where(whole).dropDuplicates(keys)
+    if target is not None:
+        tgt = _in_batch_range(target.select(*keys), incoming.where(whole), keys, offset_col, topic_col)
+        batch = batch.join(tgt, keys, "left_anti").select(*incoming.columns)
+    return batch.unionByName(incoming.where(~whole))
 
 
 def ingest_batch(spark: SparkSession, spec: IngestSpec, envelope: DataFrame, target_path: str,
-                 batch_time: _dt.datetime | None = None, partition_by: Sequence[str] = (),
+                 batch_time: _dt.datetime | None = None, partition_by: Sequence[str] | None = None,
                  dedupe_keys: Sequence[str] | None = None) -> DataFrame:
     """Map one batch, drop duplicates against the target and append it.
 
-    Returns the appended rows (as written).  Reruns of the same slice append
-    nothing, so retries after a lost executor or a failed run are safe.
+    Returns the appended rows, read back from the files that were written.
+    Reruns of the same slice append nothing, so retries after a lost executor or
+    a failed run are safe.  The envelope is read once: the batch is kept while
+    its ranges and its rows are used (a lost block is read again).
+
+    ``partition_by``: folders of a new landing table, by default its topics; an
+    existing table keeps its own layout.
     """
     mapped = apply_spec(envelope, spec, batch_time)
     keys = list(dedupe_keys) if dedupe_keys is not None else spec.dedupe_keys()
-    delta = skip_duplicates(mapped, _read_target(spark, target_path, mapped), keys)
-    return _append(delta, path_exists(spark, target_path), target_path, partition_by)
+    return _append_new(spark, mapped, target_path, keys, partition_by)
 
 
 def _read_target(spark: SparkSession, target_path: str, like: DataFrame) -> DataFrame | None:
@@ -215,27 +205,54 @@ def _read_target(spark: SparkSession, target_path: str, like: DataFrame) -> Data
     return spark.read.schema(like.schema).parquet(target_path)
 
 
-def _append(delta: DataFrame, target_exists: bool, target_path: str,
-            partition_by: Sequence[str]) -> DataFrame:
-    """Append the delta; rows are sorted by (topic, offset) inside each file so
-    the files' min/max statistics stay narrow and later duplicate checks skip
-    most of the target."""
-    # The delta is read twice (write + return); materialise it once when it
-    # depends on the target that the write changes.
-    if target_exists:
-        ensure_checkpoint_dir(delta.sparkSession)
-    staged = delta.checkpoint(eager=True) if target_exists else delta
-    order = [c for c in ("kafka_topic", "kafka_partition", "kafka_offset") if c in staged.columns]
-    out = staged.sortWithinPartitions(*order) if order else staged
-    w = out.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target_path)
-    return staged
+def _layout(spark: SparkSession, target_path: str, columns: Sequence[str],
+            asked: Sequence[str] | None) -> list[str]:
+    """Partition columns: the existing table's, else those asked for, else the topic."""
+    fs, p = hadoop_fs(spark, target_path)
+    found, at = [], p
+    while fs.exists(at):
+        inner = [x.getPath() for x in fs.listStatus(at) if x.isDirectory() and "=" in x.getPath().getName()]
+        if not inner:
+            break
+        found.append(inner[0].getName().split("=", 1)[0])
+        at = inner[0]
+    if found or path_exists(spark, target_path):
+        return found
+    return list(asked) if asked is not None else [c for c in ("kafka_topic",) if c in columns]
+
+
+def _append_new(spark: SparkSession, mapped: DataFrame, target_path: str, keys: Sequence[str],
+                partition_by: Sequence[str] | None) -> DataFrame:
+    """Append the rows that are new and return them.
+
+    Rows of a topic come together in few tasks (a large topic is split by size)
+    and are sorted by (topic, partition, offset) inside each file, so files are
+    neither tiny nor wide in their min/max statistics.
+    """
+    parts = _layout(spark, target_path, mapped.columns, partition_by)
+    mapped.persist()
+    try:
+        target = _read_target(spark, target_path, mapped)
+        before = set(target.inputFiles()) if target is not None else set()
+        out = skip_duplicates(mapped, target, keys)
+        near = [c for c in ("kafka_topic",) if c in out.columns] or parts
+        out = out.hint("rebalance", *near) if near else out
+        order = [c for c in ("kafka_topic", "kafka_partition", "kafka_offset") if c in out.columns]
+        out = out.sortWithinPartitions(*order) if order else out
+        w = out.write.mode("append")
+        (w.partitionBy(*parts) if parts else w).parquet(target_path)
+    finally:
+        mapped.unpersist()
+    after = spark.read.schema(mapped.schema).parquet(target_path)
+    new = [f for f in after.inputFiles() if f not in before]
+    if not new:
+        return after.limit(0).select(*mapped.columns)
+    return (spark.read.schema(mapped.schema).option("basePath", target_path).parquet(*new)
+            .select(*mapped.columns))
 
 
 def ingest_many(spark: SparkSession, parts: Sequence[tuple[IngestSpec, DataFrame]], target_path: str,
-                batch_time: _dt.datetime | None = None, partition_by: Sequence[str] = (),
+                batch_time: _dt.datetime | None = None, partition_by: Sequence[str] | None = None,
                 dedupe_keys: Sequence[str] | None = None) -> DataFrame:
     """Fan-in: several specs (one per topic) into one shared target in one job.
 
@@ -250,9 +267,7 @@ def ingest_many(spark: SparkSession, parts: Sequence[tuple[IngestSpec, DataFrame
         m = apply_spec(env, spec, batch_time)
         mapped = m if mapped is None else mapped.unionByName(m)
     keys = list(dedupe_keys) if dedupe_keys is not None else parts[0][0].dedupe_keys()
-    target = _read_target(spark, target_path, mapped)
-    delta = skip_duplicates(mapped, target, keys)
-    return _append(delta, target is not None, target_path, partition_by)
+    return _append_new(spark, mapped, target_path, keys, partition_by)
 
 
 __all__ = ["FieldMap", "IngestSpec", "apply_spec", "skip_duplicates", "ingest_batch", "ingest_many",

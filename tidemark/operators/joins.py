@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
+#: Joins that return no row of the copied side on its own.
+SALTED_JOINS = {"inner", "left", "leftouter", "leftsemi", "semi", "leftanti", "anti"}
 
 
 def _salted(facts: DataFrame, other: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
@@ -43,6 +45,8 @@ def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     ``validity_join_count`` pre-aggregates instead.
     """
     if salt > 1:
+        if how.replace("_", "").lower() not in SALTED_JOINS:
+            raise ValueError(f"salt copies the dimension, which a {how!r} join would return again; use salt=1")
         facts, dim = _salted(facts, dim, salt)
     f = facts.alias("_f")
     d = dim.alias("_d")
@@ -51,6 +55,8 @@ def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     if salt > 1:
         cond = cond & (F.col(f"_f.{SALT}") == F.col(f"_d.{SALT}"))
         out = f.join(d, cond, how)
+        if "semi" in how or "anti" in how:
+            return out.drop(SALT)
         return out.drop(F.col(f"_f.{SALT}")).drop(F.col(f"_d.{SALT}"))
     return f.join(d, cond, how)
 

@@ -7,16 +7,25 @@ rows with a NULL period stay.
 
 The table is stored partitioned by the period column, so the refresh touches
 only the partition ``p`` and the partitions the source adds to - never the
-whole table:
-
-1. the source is written to a stage below the shared checkpoint folder (this
-   also protects a source that reads the target itself);
-2. the partition folder of ``p`` is removed;
-3. the staged rows are appended (one job commit).
+whole table.  Work is kept in ``_refresh/<p>`` below the table, which readers
+skip, named after the period so that a later run finds it:
+
+1. the source is written to ``_refresh/<p>/new`` (this also protects a source
+   that reads the target itself); the table has not changed so far;
+2. the names of the old partition's files are written to ``_refresh/<p>/old``
+   (one small file, written under another name and renamed): from here on the
+   refresh is decided and can only be finished;
+3. the new files are moved into the table's folders, then the old files are
+   deleted, then ``_refresh/<p>`` is.
+
+A failure in step 1 leaves the old table.  After step 2, ``read_periodic`` and the
+next ``period_refresh`` first finish what was begun; moves already made are found
+done.  A rerun for the same period after such a failure ends there: the rows of
+other periods are not added a second time.
 
 Dynamic partition overwrite is *not* used: it would also replace every other
 period the source holds, and it would leave ``p`` untouched when the source has
-no row of ``p``.  A failed step 3 is safe to rerun from step 2.
+no row of ``p``.
 """
 
 from __future__ import annotations
@@ -26,7 +35,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import delete_path, path_exists, work_dir
+from tidemark.session import delete_path, hadoop_fs, path_exists, rename_path
 
 
 # Characters that Spark percent-escapes in partition folder names
@@ -54,10 +63,68 @@ def write_periodic(df: DataFrame, path: str, period_col: str, mode: str = "overw
 
 
 def read_periodic(spark: SparkSession, path: str, schema, columns: Sequence[str]) -> DataFrame:
-    """Read back with the given schema, so period text such as ``199806`` stays text."""
+    """Read back with the given schema, so period text such as ``199806`` stays
+    text; a refresh that was stopped half-way is finished first."""
+    finish_refreshes(spark, path)
     return spark.read.schema(schema).parquet(path).select(*columns)
 
 
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files right below ``folder``."""
+    fs, p = hadoop_fs(spark, folder)
+    return [x.getPath().getName() for x in fs.listStatus(p) if x.isFile()] if fs.exists(p) else []
+
+
+def _folders(spark: SparkSession, folder: str) -> list[str]:
+    fs, p = hadoop_fs(spark, folder)
+    return [x.getPath().getName() for x in fs.listStatus(p) if x.isDirectory()] if fs.exists(p) else []
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    fs, p = hadoop_fs(spark, f"{path}.tmp")
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename_path(spark, f"{path}.tmp", path)
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = hadoop_fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _finish(spark: SparkSession, target: str, folder: str) -> None:
+    """Step 3 for one decided refresh; every part of it may be found done."""
+    work = f"{target}/_refresh/{folder}"
+    for part in _folders(spark, f"{work}/new"):
+        fs, p = hadoop_fs(spark, f"{target}/{part}")
+        fs.mkdirs(p)
+        for name in _files(spark, f"{work}/new/{part}"):
+            if name.startswith("part-"):
+                rename_path(spark, f"{work}/new/{part}/{name}", f"{target}/{part}/{name}")
+    for name in _read_text(spark, f"{work}/old").splitlines():
+        delete_path(spark, f"{target}/{folder}/{name}")
+    if not _files(spark, f"{target}/{folder}"):
+        delete_path(spark, f"{target}/{folder}")
+    delete_path(spark, work)
+
+
+def finish_refreshes(spark: SparkSession, target_path: str) -> list[str]:
+    """Finish decided refreshes of the table; the partition folders they replaced."""
+    target = target_path.rstrip("/")
+    done = []
+    for folder in _folders(spark, f"{target}/_refresh"):
+        if path_exists(spark, f"{target}/_refresh/{folder}/old"):
+            _finish(spark, target, folder)
+            done.append(folder)
+    return done
+
+
 def period_refresh(spark: SparkSession, target_path: str, source: DataFrame, period_col: str,
                    period: str, columns: Sequence[str] | None = None,
                    strict: bool = False) -> DataFrame:
@@ -68,16 +135,13 @@ def period_refresh(spark: SparkSession, target_path: str, source: DataFrame, per
         bad = src.agg(F.count_if(~F.col(period_col).eqNullSafe(F.lit(period))).alias("n")).first()
         if bad and bad["n"]:
             raise ValueError(f"source holds {bad['n']} rows outside period {period}")
-    schema = src.schema
-    stage = work_dir(spark, "refresh-stage")
-    write_periodic(src, stage, period_col)
-    part = f"{target_path.rstrip('/')}/{partition_folder(period_col, period)}"
-    if path_exists(spark, part):
-        delete_path(spark, part)
-    staged = spark.read.schema(schema).parquet(stage).select(*cols)
-    write_periodic(staged, target_path, period_col, mode="append")
-    delete_path(spark, stage)
-    return read_periodic(spark, target_path, schema, cols)
-
-
-__all__ = ["period_refresh", "write_periodic", "read_periodic", "partition_folder"]
+    target, folder = target_path.rstrip("/"), partition_folder(period_col, period)
+    if folder not in finish_refreshes(spark, target):
+        work = f"{target}/_refresh/{folder}"
+        write_periodic(src, f"{work}/new", period_col)
+        _write_text(spark, f"{work}/old", "\n".join(_files(spark, f"{target}/{folder}")))
+        _finish(spark, target, folder)
+    return read_periodic(spark, target, src.schema, cols)
+
+
+__all__ = ["period_refresh", "finish_refreshes", "write_periodic", "read_periodic", "partition_folder"]

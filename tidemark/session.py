@@ -90,5 +90,12 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "work_dir", "path_exists",
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder; an error if the file system refuses."""
+    fs, p = hadoop_fs(spark, path)
+    if not fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+__all__ = ["rename_path", "get_session", "ensure_checkpoint_dir", "work_dir", "path_exists",
            "delete_path"]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.session import delete_path, work_dir
+from tidemark.session import delete_path, path_exists, rename_path, work_dir
 
 
 def read_table(spark: SparkSession, source: str, columns: Sequence[str] | None = None,
@@ -14,21 +15,43 @@ def read_table(spark: SparkSession, source: str, columns: Sequence[str] | None =
     """``SELECT {columns or *} FROM source``.
 
     ``source`` is a path (``fmt`` parquet / orc / csv / json), a catalog table
-    (``fmt="table"``) or a JDBC table (``fmt="jdbc"``; pass ``url``, and for a
-    parallel read ``partitionColumn``, ``lowerBound``, ``upperBound``,
-    ``numPartitions`` in ``options``).  Column selection happens before any
-    action, so only those columns are read.
+    (``fmt="table"``), free SQL over the session's tables (``fmt="sql"``) or a
+    JDBC table or query (``fmt="jdbc"``, see ``jdbc_options``).  Column selection
+    happens before any action, so only those columns are read.
     """
     opts = dict(options or {})
     if fmt == "table":
         df = spark.read.options(**opts).table(source)
+    elif fmt == "sql":
+        df = spark.sql(source)
     elif fmt == "jdbc":
-        df = spark.read.format("jdbc").option("dbtable", source).options(**opts).load()
+        df = spark.read.format("jdbc").options(**jdbc_options(source, opts)).load()
     else:
         df = spark.read.format(fmt).options(**opts).load(source)
     return df.select(*columns) if columns else df
 
 
+_PARALLEL = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
+def jdbc_options(source: str, options: Mapping[str, str]) -> dict[str, str]:
+    """Reader options for a JDBC table name or a ``SELECT``.
+
+    A read without a split is one connection and one task, so the four options
+    of a parallel read (``partitionColumn``, ``lowerBound``, ``upperBound``,
+    ``numPartitions``) are required; ``numPartitions="1"`` alone asks for a single
+    connection.  A query is passed as a derived table, because the ``query``
+    option excludes a split.
+    """
+    opts = {k: str(v) for k, v in options.items()}
+    missing = [k for k in _PARALLEL if k not in opts]
+    if missing and opts.get("numPartitions") != "1":
+        raise ValueError(f"parallel JDBC read needs {', '.join(missing)} (or numPartitions=1)")
+    words = source.split(None, 1)
+    is_query = bool(words) and words[0].lower() in ("select", "with")
+    return {"dbtable": f"({source}) q" if is_query else source, **opts}
+
+
 def stream_table(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                  max_files_per_trigger: int | None = 1000) -> DataFrame:
     """A table path as a file stream (Structured Streaming file source).
@@ -48,47 +71,80 @@ def stream_table(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return r.load(path)
 
 
+# One form of CSV for both directions: quotes are doubled, blanks stay, empty text
+# is "" and NULL is nothing between the separators.
+_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False, "emptyValue": '""', "nullValue": "", "lineSep": "\n"}
+#: What a quoted empty value is read as before it becomes empty text (the reader
+#: would take empty text for NULL).
+_EMPTY = "\x01empty text\x01"
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
     """Header CSV without index column.
 
     ``single_file`` funnels the rows through one task and is meant for small
-    extracts (such as a count); large tables are written in parallel.
+    extracts (such as a count); large tables are written in parallel.  Values
+    with line breaks are quoted; a file is read whole by one task then, so the
+    number of files bounds the work of a load.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).csv(path)
+    out.write.mode(mode).options(**_CSV, quoteAll=False, escapeQuotes=True).csv(path)
     return path
 
 
-def load_csv(spark: SparkSession, path: str, infer_schema: bool = True, schema=None,
-             sampling_ratio: float | None = None) -> DataFrame:
-    """Read header CSV.
+def load_csv(spark: SparkSession, path: str, infer_schema: bool = True, schema=None) -> DataFrame:
+    """Read header CSV as ``export_csv`` writes it, values unchanged.
+
+    Types are inferred from all rows (``autodetect``) unless ``schema`` is given;
+    inference reads the data once more before the load.  With a schema, a value
+    that does not fit it is an error, not a NULL.
+    """
+    r = spark.read.options(**_CSV | {"emptyValue": _EMPTY}, multiLine=True, mode="FAILFAST")
+    df = r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", infer_schema).csv(path)
+    return df.select(*[F.when(F.col(f"`{c}`") == _EMPTY, F.lit("")).otherwise(F.col(f"`{c}`")).alias(c)
+                       if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
+
+
+def replace_table(df: DataFrame, target_path: str, fmt: str = "parquet") -> DataFrame:
+    """Replace the table at ``target_path`` by the rows of ``df``.
 
-    Types are inferred (``autodetect``) unless ``schema`` is given.  Inference
-    reads the data once more before the load; ``sampling_ratio`` makes it read
-    a fraction of the rows instead (the load itself always reads all rows).
+    The new version is written in full beside the target, then the two change
+    places by renames, and the old version goes last.  A failed write leaves the
+    old table as it was (so ``df`` may read the target itself); a stop between
+    the renames is mended by the next call, which puts the old version back.
     """
-    r = spark.read.option("header", True)
-    if schema is not None:
-        return r.schema(schema).csv(path)
-    r = r.option("inferSchema", infer_schema)
-    if sampling_ratio is not None:
-        r = r.option("samplingRatio", sampling_ratio)
-    return r.csv(path)
+    spark, base = df.sparkSession, target_path.rstrip("/")
+    new, old = f"{base}__new", f"{base}__old"
+    recover_table(spark, target_path)
+    df.write.mode("overwrite").format(fmt).save(new)
+    if path_exists(spark, base):
+        rename_path(spark, base, old)
+    rename_path(spark, new, base)
+    delete_path(spark, old)
+    return spark.read.format(fmt).load(base)
+
+
+def recover_table(spark: SparkSession, target_path: str) -> None:
+    """Undo or finish a replacement that was stopped between its renames."""
+    base = target_path.rstrip("/")
+    if path_exists(spark, f"{base}__old"):
+        if path_exists(spark, base):
+            delete_path(spark, f"{base}__old")
+        else:
+            rename_path(spark, f"{base}__old", base)
 
 
 def load_csv_replace(spark: SparkSession, csv_path: str, target_path: str,
-                     fmt: str = "parquet", schema=None,
-                     sampling_ratio: float | None = None) -> DataFrame:
+                     fmt: str = "parquet", schema=None) -> DataFrame:
     """Load staged CSV and replace the target (``WRITE_TRUNCATE``)."""
-    (load_csv(spark, csv_path, schema=schema, sampling_ratio=sampling_ratio)
-     .write.mode("overwrite").format(fmt).save(target_path))
-    return spark.read.format(fmt).load(target_path)
+    return replace_table(load_csv(spark, csv_path, schema=schema), target_path, fmt)
 
 
 def copy_table(spark: SparkSession, source: DataFrame, target_path: str,
                columns: Sequence[str] | None = None, via_csv: bool = False,
                fmt: str = "parquet") -> DataFrame:
-    """Full-refresh copy: read, select, overwrite the target.
+    """Full-refresh copy: read, select, replace the target (``replace_table``).
 
     ``via_csv`` reproduces the staged hop (table -> CSV stage -> load with
     inferred types -> delete stage); the stage lives below the shared
@@ -101,8 +157,7 @@ def copy_table(spark: SparkSession, source: DataFrame, target_path: str,
         out = load_csv_replace(spark, stage, target_path, fmt)
         delete_path(spark, stage)
         return out
-    df.write.mode("overwrite").format(fmt).save(target_path)
-    return spark.read.format(fmt).load(target_path)
+    return replace_table(df, target_path, fmt)
 
 
 def copy_tables(spark: SparkSession, tables: Sequence[Mapping[str, object]],
@@ -123,4 +178,5 @@ def copy_tables(spark: SparkSession, tables: Sequence[Mapping[str, object]],
     return out
 
 
-__all__ = ["read_table", "stream_table", "export_csv", "load_csv", "load_csv_replace", "copy_table", "copy_tables"]
+__all__ = ["read_table", "jdbc_options", "stream_table", "export_csv", "load_csv", "load_csv_replace", "copy_table", "copy_tables",
+           "replace_table", "recover_table"]

@@ -23,7 +23,7 @@ BatchTime = _dt.datetime | Callable[[int], _dt.datetime] | None
 
 def start_ingest(envelope_stream: DataFrame, spec: IngestSpec, target_path: str,
                  checkpoint_path: str, batch_time: BatchTime = None,
-                 dedupe_keys: Sequence[str] | None = None, partition_by: Sequence[str] = (),
+                 dedupe_keys: Sequence[str] | None = None, partition_by: Sequence[str] | None = None,
                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Start the ingest query; ``batch_time`` is fixed or a function of the epoch id.
 
@@ -37,15 +37,8 @@ def start_ingest(envelope_stream: DataFrame, spec: IngestSpec, target_path: str,
         bt = batch_time(epoch_id) if callable(batch_time) else batch_time
         if bt is None:
             bt = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        # the batch is read twice (target pruning, then the write); keep it
-        # instead of reading the source again.  A lost cached block is
-        # recomputed from the batch's lineage.
-        batch.persist()
-        try:
-            ingest_batch(batch.sparkSession, spec, batch, target_path, bt,
-                         partition_by=partition_by, dedupe_keys=dedupe_keys)
-        finally:
-            batch.unpersist()
+        ingest_batch(batch.sparkSession, spec, batch, target_path, bt,
+                     partition_by=partition_by, dedupe_keys=dedupe_keys)
 
     w = (envelope_stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint_path))
@@ -61,9 +54,10 @@ def start_ingest(envelope_stream: DataFrame, spec: IngestSpec, target_path: str,
 
 def run_ingest(envelope_stream: DataFrame, spec: IngestSpec, target_path: str,
                checkpoint_path: str, batch_time: BatchTime = None,
-               dedupe_keys: Sequence[str] | None = None, timeout_s: float | None = None) -> None:
+               dedupe_keys: Sequence[str] | None = None, timeout_s: float | None = None,
+               partition_by: Sequence[str] | None = None) -> None:
     """Run an ``availableNow`` ingest to completion (the hourly scheduled run)."""
-    q = start_ingest(envelope_stream, spec, target_path, checkpoint_path, batch_time, dedupe_keys)
+    q = start_ingest(envelope_stream, spec, target_path, checkpoint_path, batch_time, dedupe_keys, partition_by)
     if timeout_s is None:
         q.awaitTermination()
     else:
