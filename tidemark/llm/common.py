@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -72,8 +73,11 @@ def staged(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     if release:
-        gc.collect()
-        df.sparkSession.sparkContext._jvm.System.gc()
+        del df
+        for _ in range(2):  # listeners hold the finished plan for a moment
+            time.sleep(0.4)
+            gc.collect()
+            out.sparkSession.sparkContext._jvm.System.gc()
     return out
 
 
