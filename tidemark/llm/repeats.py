@@ -23,7 +23,7 @@ from tidemark.llm.bytesops import mix
 
 U = np.uint64
 #: Windows that a map task holds before it sorts and deals them out.
-CHUNK = 4_000_000
+CHUNK = 3_000_000
 #: Text bytes that are hashed at a time.
 SLICE = 1 << 20
 
@@ -93,14 +93,19 @@ def text_key(text: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
 
 
-def _runs_of(d: np.ndarray, key: np.ndarray, at: np.ndarray, buckets: int) -> Iterator[tuple[int, int, bytes, bytes]]:
-    """Dealt rows of answers settled in the task: runs of starts, by document and text."""
-    order = np.lexsort((at, key, d))
-    d, key, at = d[order], key[order], at[order]
-    new = np.ones(len(d), bool)
-    new[1:] = (d[1:] != d[:-1]) | (key[1:] != key[:-1]) | (at[1:] > at[:-1] + 1)
+def _runs_of(code: np.ndarray, docs: np.ndarray, keys: np.ndarray,
+             buckets: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """Dealt rows of answers settled in the task: runs of starts, by document and text.
+
+    ``code``: ascending (row << 32 | place); ``docs`` and ``keys`` by row.
+    """
+    new = np.ones(len(code), bool)
+    new[1:] = code[1:] > code[:-1] + 1
     first = np.flatnonzero(new)
-    d, key, start, end = d[first], key[first], at[first], at[np.append(first[1:], len(at)) - 1] + 1
+    start, last = code[first], code[np.append(first[1:], len(code)) - 1]
+    row = start >> 32
+    start, end = start & 0xFFFFFFFF, (last & 0xFFFFFFFF) + 1
+    d, key = docs[row], keys[row]
     to = (mix(d.view(np.uint64)) % U(buckets)).astype(np.int32)
     order = np.argsort(to, kind="stable")
     d, key, start, end, to = d[order], key[order], start[order], end[order], to[order]
@@ -170,28 +175,18 @@ def _settle(h: np.ndarray, d: np.ndarray, known: np.ndarray | None, rule: str):
 
 
 class Dealer:
-    """Gathers (hash, document) of a task's windows and yields dealt batches.
-
-    With the windows' places and texts' keys given too, what the task settles
-    itself is answered as runs of places, else as hashes.
-    """
+    """Gathers (hash, document) of a task's windows and yields dealt batches."""
 
     def __init__(self, rule: str, buckets: int, shift: int = 0):
         self.rule, self.buckets, self.shift = rule, buckets, U(shift)
         self.h: list[np.ndarray] = []
         self.d: list[np.ndarray] = []
-        self.at: list[np.ndarray] = []
-        self.key: list[np.ndarray] = []
         self.n = 0
 
-    def add(self, h: np.ndarray, d: np.ndarray, at: np.ndarray | None = None,
-            key: int | None = None) -> Iterator[pa.RecordBatch]:
+    def add(self, h: np.ndarray, d: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(h):
             self.h.append(h)
             self.d.append(d)
-            if at is not None:
-                self.at.append(at)
-                self.key.append(np.full(len(h), key))
             self.n += len(h)
         if self.n >= CHUNK:
             yield from self.flush()
@@ -200,32 +195,68 @@ class Dealer:
         if not self.n:
             return
         h, d = np.concatenate(self.h) >> self.shift, np.concatenate(self.d)
-        places = (np.concatenate(self.at), np.concatenate(self.key)) if self.at else None
-        self.h, self.d, self.at, self.key, self.n = [], [], [], [], 0
-        order, h, d, at, repeats = _settle(h, d, None, self.rule)
-        if not repeats.any():
-            rows = []
-        elif places:
-            start, key = (x[order][repeats] for x in places)
-            rows = list(_runs_of(d[repeats], key, start, self.buckets))
-        else:
-            rows = list(_answers(h[repeats], d[repeats], self.buckets))
+        self.h, self.d, self.n = [], [], 0
+        _, h, d, at, repeats = _settle(h, d, None, self.rule)
+        rows = list(_answers(h[repeats], d[repeats], self.buckets)) if repeats.any() else []
         if self.rule == "earlier":
-            sets = [(ENTRY, h[at], np.minimum.reduceat(d, at))]
+            rows += self._entries(ENTRY, h[at], np.minimum.reduceat(d, at))
         else:
             many = repeats[at]
-            sets = [(ENTRY, h[at][~many], d[at][~many]), (KNOWN, h[at][many], None)]
-        bits = U(64) - self.shift
-        for kind, x, ids in sets:
-            # buckets are ranges of the hash, so each takes one run of the sorted hashes
-            top = (x >> (bits - U(32))) * U(self.buckets) >> U(32)
-            cut = np.searchsorted(top, np.arange(self.buckets + 1, dtype=np.uint64))
-            for b in range(self.buckets):
-                lo, hi = int(cut[b]), int(cut[b + 1])
-                if lo < hi:
-                    rows.append((b, kind, pack(x[lo:hi]), None if ids is None else pack_ids(ids[lo:hi])))
-        for i in range(0, len(rows), 2000):
-            yield from _dealt(rows[i:i + 2000]).to_batches()
+            rows += self._entries(ENTRY, h[at][~many], d[at][~many])
+            rows += self._entries(KNOWN, h[at][many], None)
+        yield from _batches(rows)
+
+    def _entries(self, kind: int, x: np.ndarray, ids: np.ndarray | None) -> list[tuple]:
+        """Buckets are ranges of the hash, so each takes one run of the ascending hashes."""
+        top = (x >> (U(32) - self.shift)) * U(self.buckets) >> U(32)
+        cut = np.searchsorted(top, np.arange(self.buckets + 1, dtype=np.uint64)).tolist()
+        return [(b, kind, pack(x[lo:hi]), None if ids is None else pack_ids(ids[lo:hi]))
+                for b, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])) if lo < hi]
+
+
+class PlacedDealer(Dealer):
+    """The same for rule ``any``, with the windows' places: what the task settles
+    itself is answered as runs of places instead of hashes."""
+
+    def __init__(self, buckets: int):
+        super().__init__("any", buckets)
+        self.docs: list[int] = []
+        self.keys: list[int] = []
+
+    def add_text(self, doc: int, text: bytes, h: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(h):
+            self.h.append(h)
+            self.d.append(places | (len(self.docs) << 32))
+            self.docs.append(doc)
+            self.keys.append(text_key(text))
+            self.n += len(h)
+        if self.n >= CHUNK:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.n:
+            return
+        h, code = np.concatenate(self.h), np.concatenate(self.d)
+        docs, keys = np.array(self.docs, np.int64), np.array(self.keys, np.int64)
+        self.h, self.d, self.docs, self.keys, self.n = [], [], [], [], 0
+        order = np.argsort(h)
+        h = h[order]
+        at = _runs(h)
+        n = np.diff(np.append(at, len(h)))
+        settled = code[order[np.repeat(n > 1, n)]]
+        settled.sort()
+        once = at[n == 1]
+        rows = self._entries(ENTRY, h[once], docs[code[order[once]] >> 32])
+        rows += self._entries(KNOWN, h[at[n > 1]], None)
+        del h, order, code
+        if len(settled):
+            rows += _runs_of(settled, docs, keys, self.buckets)
+        yield from _batches(rows)
+
+
+def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(rows), 2000):
+        yield from _dealt(rows[i:i + 2000]).to_batches()
 
 
 def _dealt(rows: list[tuple]) -> pa.Table:

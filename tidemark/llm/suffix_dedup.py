@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bytesops import covered, spans_of, window_hash
 from tidemark.llm.common import BUCKET_BYTES, doc_slices, longs, n_buckets, staged, text_buffer, texts
-from tidemark.llm.repeats import DEALT, SLICE, Dealer, among, repeated, run_places, text_key, unpack
+from tidemark.llm.repeats import DEALT, SLICE, Dealer, PlacedDealer, among, repeated, run_places, unpack
 
 #: Perfect difference set: every residue modulo 91 is a difference of two of these.
 COVER_MOD, COVER = 91, (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
@@ -37,9 +37,7 @@ COVER_MOD, COVER = 91, (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
 #: (one in 2**RANK_BITS places) only makes a candidate more.
 RANK_BITS = 10
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()),
-                  ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                  ("kept", pa.binary())])
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def cover_places(n: int) -> np.ndarray:
@@ -59,7 +57,7 @@ def _sample(data: np.ndarray, offsets: np.ndarray, context: int) -> tuple[np.nda
     return at, doc, window_hash(data, context, at)
 
 
-def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 200, *keep: str) -> DataFrame:
     """Remove each byte covered by a ``length``-byte string that also starts anywhere else.
 
     Texts are their UTF-8 bytes; strings never cross documents; the other place
@@ -68,7 +66,9 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
     cover's period.
 
     Returns one row per input row: ``doc_id``, ``n_bytes``, ``spans`` (maximal
-    removed runs of bytes, end exclusive), ``kept`` (remaining bytes, binary).
+    removed runs of bytes, end exclusive), ``kept`` (remaining bytes, binary),
+    ``kept_text`` (the same as text, without characters that a cut broke) and the
+    columns named in ``keep``.
 
     Null text counts as empty.  Texts shorter than ``length`` keep all bytes.
     Rows are separate documents even when ids repeat, so equal texts of
@@ -91,7 +91,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
         yield from dealer.flush()
 
     def deal_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dealer = Dealer("any", buckets)
+        dealer = PlacedDealer(buckets)
         for part in doc_slices(batches, SLICE):
             data, offsets = text_buffer(part.column("text"))
             ids, answers = part.column("doc_id"), part.column("h")
@@ -105,7 +105,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
                 near = covered(np.maximum(at - COVER_MOD + 1, 0), at + 1, len(own))
                 starts = np.flatnonzero(near[:len(own) - length + 1])
                 h = window_hash(own, length, starts)
-                yield from dealer.add(h, np.full(len(h), ids[i].as_py()), starts, text_key(own.tobytes()))
+                yield from dealer.add_text(ids[i].as_py(), own.tobytes(), h, starts)
         yield from dealer.flush()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,9 +122,11 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
                     own = own[~mask]
                 spans.append(gone)
                 kept.append(own.tobytes())
+            text = [x.decode("utf-8", "ignore") for x in kept]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(spans, _OUT.field("spans").type),
-                 pa.array(kept, pa.binary())], schema=_OUT)
+                [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(spans, _SPANS), pa.array(kept, pa.binary()),
+                 pa.array(text, pa.string()), *(part.column(c) for c in keep)],
+                names=["doc_id", "n_bytes", "spans", "kept", "kept_text", *keep])
 
     known = rows.filter("doc_id IS NOT NULL")
     ranks = repeated(known.mapInArrow(rank_cover, DEALT), "any", buckets).select("doc_id", "h")
@@ -134,9 +136,12 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
     near = known.join(ranks, "doc_id").select("doc_id", "text", "h", F.substring("h", 2, 8).alias("least"))
     near = staged(near.hint("rebalance", "least").drop("least"), "suffix-texts", release=True)
     ties = staged(repeated(near.mapInArrow(deal_suffixes, DEALT), "any", buckets), "ties", release=True)
-    judged = rows.join(ties, "doc_id", "left").select("doc_id", "text", "h", "text_key", "runs")
+    whole = texts(docs, *keep)
+    judged = whole.join(ties, "doc_id", "left").select("doc_id", "text", "h", "text_key", "runs", *keep)
+    kept = "".join(f", `{c}` {whole.schema[c].dataType.simpleString()}" for c in keep)
     return judged.mapInArrow(
-        remove, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+        remove, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary, "
+                "kept_text string" + kept)
 
 
 def op9(spark, docs: DataFrame) -> DataFrame:
