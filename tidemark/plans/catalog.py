@@ -38,8 +38,8 @@ from tidemark.operators.joins import (new_values, not_in_values, unmatched_count
 from tidemark.operators.reconcile import distinct_by_code, reconcile
 from tidemark.operators.refresh import period_refresh, write_periodic
 from tidemark.operators.runs import run_success_counts, run_success_report
-from tidemark.plans.reports import (gap_alert, metric_rows, report_lines, report_text,
-                                    union_metrics)
+from tidemark.plans.reports import (code_lists, gap_alert, joined_lines, metric_rows, monthly_reconciliation,
+                                    report_lines, report_text, union_metrics)
 from tidemark.session import work_dir
 from tidemark.sources.kafka import slice_envelope, table_as_envelope
 from tidemark.sources.tables import copy_table, read_table, stream_table
@@ -327,12 +327,13 @@ def q_star_distinct(spark, sf):
 
 
 def _recon(spark, sf) -> DataFrame:
-    li = table(spark, sf, "lineitem")
-    month = month_text("l_shipdate").alias("periode")
-    left = (li.groupBy(month, F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"))
-            .agg(F.count_distinct("l_suppkey").alias("n_suppliers")))
-    right = (li.where(F.col("l_discount") > 0.05)
-             .groupBy(month, F.col("l_returnflag").alias("flag"))
+    # one pass: a row per group and supplier, with whether any of its rows is discounted
+    per = (table(spark, sf, "lineitem")
+           .groupBy(month_text("l_shipdate").alias("periode"), F.col("l_returnflag").alias("flag"),
+                    F.col("l_linestatus").alias("status"), "l_suppkey")
+           .agg(F.max(F.col("l_discount") > 0.05).alias("discounted")))
+    left = per.groupBy("periode", "flag", "status").agg(F.count("l_suppkey").alias("n_suppliers"))
+    right = (per.where("discounted").groupBy("periode", "flag")
              .agg(F.count_distinct("l_suppkey").alias("n_suppliers")))
     return reconcile(left, right, ["periode", "flag"], "n_suppliers", "n_suppliers",
                      right_name="n_suppliers_right", diff="diff")
@@ -352,6 +353,33 @@ def q_reconcile_first(spark, sf):
             .orderBy(F.col("diff").desc(), "periode", "flag", "status").limit(1))
 
 
+# The facts count the same suppliers through the star; a discount
+# of exactly this size has no cell in the wide table, so its keys are missing there.
+CODE_RATES = {"TAX": ("l_tax", 0.08), "DISCOUNT": ("l_discount", 0.10)}
+
+
+def q_monthly_reconciliation(spark, sf):
+    """Suppliers per month, flag and code in the fact star (with the segment as
+    an extra key) against the unpivoted wide table; keys without wide cells are reported."""
+    wide = wide_amounts(spark, sf).where(F.col("status") == "O").select(
+        "periode", "flag", "l_suppkey", F.when(F.col("tax") < CODE_RATES["TAX"][1], F.col("tax")).alias("tax"),
+        F.when((F.col("discount") < CODE_RATES["DISCOUNT"][1]) & (F.col("flag") == "N"), F.col("discount")).alias("discount"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_tax", "l_discount")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    star = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
+            .select(month_text("l_shipdate").alias("periode"), F.col("l_returnflag").alias("flag"),
+                    F.col("c_mktsegment").alias("segment"), "l_suppkey",
+                    *[F.nullif(F.col(col), F.lit(0.0)).alias(code.lower()) for code, (col, _) in CODE_RATES.items()]))
+    codes = {code: code.lower() for code in CODE_RATES}
+    facts = distinct_by_code(star, ["periode", "flag", "segment"], codes, "l_suppkey")
+    out = monthly_reconciliation(wide, ["periode", "flag"], codes, "l_suppkey", facts, ["periode", "flag", "code"],
+                                 report_missing=True)
+    missing = F.col("n_distinct_wide").isNull()
+    return out.select("periode", "flag", "segment", "code", "n_distinct",
+                      F.coalesce("n_distinct_wide", F.lit(0)).alias("n_distinct_wide"), missing.alias("missing"))
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 def q_interval_slice(spark, sf):
@@ -568,7 +596,7 @@ DAILY_LABELS = {
     "signup_1d": "Signup messages",
     "error_1d": "Error messages",
     "users_1d": "Distinct users",
-    "events_7d": "Messages received, last 7 days",
+    "events_7d": "Messages received over the last seven days, all types and topics together",
 }
 
 
@@ -598,12 +626,23 @@ def q_report_lines(spark, sf):
     return report_lines(q_daily_report(spark, sf), DAILY_LABELS)
 
 
-DAILY_HEADER = "Daily report, messages read since 2024-01-30 00:00:00"
+def since(days: int) -> str:
+    """The report's first moment as text, from ``AS_OF``."""
+    return f"{AS_OF - _dt.timedelta(days=days):%Y-%m-%d %H:%M:%S}"
+
+
+#: Several counts on one line, as ``a/b/c``.
+JOINED_LINES = {"types_1d": ("Messages by type (click/view/purchase)", ("click_1d", "view_1d", "purchase_1d"))}
 
 
 def q_daily_report_text(spark, sf):
-    """The daily report text."""
-    return report_text(q_report_lines(spark, sf), DAILY_HEADER)
+    """The daily report text with the week's name on duty and a line of several counts."""
+    counts = daily_counts(spark, sf)
+    week = (AS_OF.isocalendar().week - 1) % len(ROSTER)
+    header = f"Daily report, messages read since {since(1)}\nOn duty this week: {ROSTER[week]}"
+    single = report_lines(metric_rows(counts, DAILY_ORDER), DAILY_LABELS)
+    joined = joined_lines(counts, JOINED_LINES, len(DAILY_ORDER))
+    return report_text(single.unionByName(joined), header)
 
 
 def q_gap_alert(spark, sf):
@@ -641,12 +680,21 @@ WEEKLY_LABELS = {
     "new_part_codes_not_in": "New part codes (NOT IN)",
     "patched_rows": "Rows changed after creation",
 }
-WEEKLY_HEADER = "Weekly report, messages read since 2024-01-24 00:00:00"
 
 
 def q_weekly_report_text(spark, sf):
     """The weekly report text."""
-    return report_text(report_lines(q_weekly_report(spark, sf), WEEKLY_LABELS), WEEKLY_HEADER)
+    return report_text(report_lines(q_weekly_report(spark, sf), WEEKLY_LABELS),
+                       f"Weekly report, messages read since {since(7)}")
+
+
+def q_weekly_new_codes(spark, sf):
+    """The new codes themselves, one row per code under its list's name."""
+    li = table(spark, sf, "lineitem")
+    sup = table(spark, sf, "supplier").where(F.col("s_acctbal") > 0)
+    return code_lists({"new_part_codes": q_new_codes(spark, sf),
+                       "new_supplier_codes": new_values(li, "l_suppkey", sup, "s_suppkey"),
+                       "new_part_codes_not_in": q_new_codes_not_in(spark, sf)})
 
 
 QUERIES: dict[str, Query] = {
@@ -673,6 +721,7 @@ QUERIES: dict[str, Query] = {
     "star_distinct": q_star_distinct,
     "reconcile_diff": q_reconcile_diff,
     "reconcile_first": q_reconcile_first,
+    "monthly_reconciliation": q_monthly_reconciliation,
     "interval_slice": q_interval_slice,
     "table_scan": q_table_scan,
     "table_scan_all": q_table_scan_all,
@@ -700,4 +749,5 @@ QUERIES: dict[str, Query] = {
     "gap_alert": q_gap_alert,
     "weekly_report": q_weekly_report,
     "weekly_report_text": q_weekly_report_text,
+    "weekly_new_codes": q_weekly_new_codes,
 }

@@ -358,18 +358,29 @@ _DAILY_LABELS = {
     "signup_1d": "Signup messages",
     "error_1d": "Error messages",
     "users_1d": "Distinct users",
-    "events_7d": "Messages received, last 7 days",
+    "events_7d": "Messages received over the last seven days, all types and topics together",
 }
+
+def _line(label: str, value: str) -> str:
+    """Label, dots up to 60 characters (none for a longer label), value."""
+    return f"{label} || repeat('.', greatest(60 - length({label}), 0)) || CAST({value} AS VARCHAR)"
+
+
 REPORT_LINES = "\nUNION ALL\n".join(
     f"SELECT {i + 1} AS pos, '{name}' AS metric, "
-    f"rpad('{_DAILY_LABELS[name]}', 60, '.') || CAST({expr.format(a=AS_OF)} AS VARCHAR) AS line "
+    f"{_line(repr(_DAILY_LABELS[name]), expr.format(a=AS_OF))} AS line "
     f"FROM events"
     for i, (name, expr) in enumerate(_DAILY_PARTS))
 
+_JOINED = " || '/' || ".join(f"CAST({expr.format(a=AS_OF)} AS VARCHAR)" for name, expr in _DAILY_PARTS
+                              if name in ("click_1d", "view_1d", "purchase_1d"))
+
 DAILY_REPORT_TEXT = f"""
-SELECT 'Daily report, messages read since 2024-01-30 00:00:00' || chr(10)
+SELECT 'Daily report, messages read since 2024-01-30 00:00:00' || chr(10) || 'On duty this week: Ada' || chr(10)
        || string_agg(line, chr(10) ORDER BY pos) AS text
-FROM ({REPORT_LINES}) r
+FROM (SELECT pos, line FROM ({REPORT_LINES}) r
+      UNION ALL
+      SELECT 99, {_line("'Messages by type (click/view/purchase)'", _JOINED)} FROM events) r
 """
 
 GAP_ALERT = f"""
@@ -411,9 +422,44 @@ _WEEKLY_LABEL_CASE = "CASE metric " + " ".join(
     f"WHEN '{m}' THEN '{t}'" for m, t in _WEEKLY_LABELS.items()) + " ELSE metric END"
 WEEKLY_REPORT_TEXT = f"""
 SELECT 'Weekly report, messages read since 2024-01-24 00:00:00' || chr(10)
-       || string_agg(rpad({_WEEKLY_LABEL_CASE}, 60, '.') || CAST(value AS VARCHAR), chr(10)
-                     ORDER BY pos) AS text
-FROM ({WEEKLY_REPORT}) w
+       || string_agg({_line("label", "value")}, chr(10) ORDER BY pos) AS text
+FROM (SELECT pos, {_WEEKLY_LABEL_CASE} AS label, value FROM ({WEEKLY_REPORT}) x) w
+"""
+
+WEEKLY_NEW_CODES = f"""
+SELECT 'new_part_codes' AS metric, CAST(COLUMNS(*) AS VARCHAR) AS code FROM ({NEW_CODES}) a
+UNION ALL
+SELECT 'new_supplier_codes', CAST(l_suppkey AS VARCHAR)
+FROM (SELECT DISTINCT l_suppkey FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)) b
+UNION ALL
+SELECT 'new_part_codes_not_in', CAST(COLUMNS(*) AS VARCHAR) FROM ({NEW_CODES_NOT_IN}) c
+"""
+
+MONTHLY_RECONCILIATION = """
+WITH wide AS (
+  SELECT strftime(l_shipdate, '%Y%m') AS periode, l_returnflag AS flag, l_suppkey,
+         CASE WHEN l_tax < 0.08 THEN NULLIF(l_tax, 0) END AS tax,
+         CASE WHEN l_discount < 0.10 AND l_returnflag = 'N' THEN NULLIF(l_discount, 0) END AS discount
+  FROM lineitem WHERE l_linestatus = 'O'
+), wide_counts AS (
+  SELECT periode, flag, code, COUNT(DISTINCT l_suppkey) AS n_distinct_wide
+  FROM (SELECT * FROM wide UNPIVOT (amount FOR code IN (tax AS 'TAX', discount AS 'DISCOUNT'))) u
+  GROUP BY periode, flag, code
+), star AS (
+  SELECT strftime(l_shipdate, '%Y%m') AS periode, l_returnflag AS flag, c_mktsegment AS segment, l_suppkey,
+         NULLIF(l_tax, 0) AS tax, NULLIF(l_discount, 0) AS discount
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+), fact_counts AS (
+  SELECT periode, flag, segment, code, COUNT(DISTINCT l_suppkey) AS n_distinct
+  FROM (SELECT * FROM star UNPIVOT (amount FOR code IN (tax AS 'TAX', discount AS 'DISCOUNT'))) u
+  GROUP BY periode, flag, segment, code
+), compared AS (
+  SELECT f.*, w.n_distinct_wide, f.n_distinct - w.n_distinct_wide AS diff_n_distinct
+  FROM fact_counts f LEFT JOIN wide_counts w USING (periode, flag, code)
+)
+SELECT periode, flag, segment, code, n_distinct, COALESCE(n_distinct_wide, 0) AS n_distinct_wide,
+       n_distinct_wide IS NULL AS missing
+FROM compared WHERE diff_n_distinct > 0 OR diff_n_distinct IS NULL
 """
 
 ORACLE_SQL: dict[str, str] = {
@@ -467,4 +513,6 @@ ORACLE_SQL: dict[str, str] = {
     "gap_alert": GAP_ALERT,
     "weekly_report": WEEKLY_REPORT,
     "weekly_report_text": WEEKLY_REPORT_TEXT,
+    "weekly_new_codes": WEEKLY_NEW_CODES,
+    "monthly_reconciliation": MONTHLY_RECONCILIATION,
 }

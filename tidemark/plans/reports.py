@@ -47,6 +47,33 @@ def report_lines(metrics: DataFrame, labels: Mapping[str, str],
                           dot_line(F.coalesce(label, F.col("metric")), F.col("value"), width).alias("line"))
 
 
+def joined_lines(row: DataFrame, lines: Mapping[str, tuple[str, Sequence[str]]], after: int = 0,
+                 width: int = REPORT_WIDTH) -> DataFrame:
+    """``(pos, metric, line)`` with several counts on one line: ``label.......a/b/c``.
+
+    ``row`` is a one-row DataFrame of named counts, ``lines`` maps a metric to its
+    label and columns; positions follow ``after``.
+    """
+    items = [F.struct(F.lit(after + i + 1).alias("pos"), F.lit(name).alias("metric"), dot_line(
+        F.lit(label), F.concat_ws("/", *[F.col(c).cast("string") for c in cols]), width).alias("line"))
+        for i, (name, (label, cols)) in enumerate(lines.items())]
+    return row.select(F.inline(F.array(*items)))
+
+
+def code_lists(lists: Mapping[str, DataFrame]) -> DataFrame:
+    """``(metric, code)``: every code of every list (first column), whatever their number.
+
+    Rows, not arrays: a list of new codes has no bound, and a cell has.
+    """
+    out = None
+    for name, df in lists.items():
+        part = df.select(F.lit(name).alias("metric"), F.col(df.columns[0]).cast("string").alias("code"))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no lists")
+    return out
+
+
 def report_text(lines: DataFrame, header: str | None = None) -> DataFrame:
     """One row ``text``: the report lines in ``pos`` order, joined by newlines,
     under an optional header.  The input has one row per metric, so the text is
@@ -94,5 +121,5 @@ def monthly_reconciliation(wide: DataFrame, wide_ids: Sequence[str], values: Map
     return out
 
 
-__all__ = ["monthly_reconciliation", "report_text", "metric_rows", "union_metrics", "report_lines",
+__all__ = ["joined_lines", "code_lists", "monthly_reconciliation", "report_text", "metric_rows", "union_metrics", "report_lines",
            "gap_alert", "NO_GAPS_TEXT", "GAPS_PREFIX", "GAPS_SUFFIX"]
