@@ -22,11 +22,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.json import json_value
+from tidemark.functions.json import json_key, json_value
 from tidemark.functions.periods import (blank_default, coupled_default, daily_window, month_text,
                                         period_range, period_type, period_window,
                                         prev_month_end, prev_period, week_cycle)
-from tidemark.functions.timez import (date_text, local_day, minute, ntz_to_unix_ms, ts_literal,
+from tidemark.functions.timez import (date_text, local_day, minute, ntz_to_unix_ms, parse_ts_ms, ts_literal,
                                       unix_ms_to_local, unix_ms_to_ntz)
 from tidemark.operators.counts import (calendar_bound, count_metrics, recent_counts,
                                        recent_distinct, rolling_bound, typed_counts)
@@ -179,6 +179,44 @@ def q_json_value(spark, sf):
                      json_value("props", "$.missing").alias("missing"))
 
 
+def json_shapes(spark, sf) -> DataFrame:
+    """Documents of eight shapes, made from the events' ids."""
+    n, k = F.col("event_id").cast("string"), F.col("event_id") % 8
+    parts = ['{"k":{"a":#}}', '{"k":[#]}', '{"k":null}', '{"k":"#"}', '{"k":#', '{"k":{"a":1,"a":#}}',
+             '{"a.b":"#","a":{"b":"y"},"k":"{#}"}', '{"z":1,"z":2,"k":#}']
+    doc = F.element_at(F.array(*[F.lit(p) for p in parts]), k.cast("int") + 1)
+    return table(spark, sf, "events").select("event_id", F.replace(doc, F.lit("#"), n).alias("doc"))
+
+
+def q_json_shapes(spark, sf):
+    """Containers, JSON null, broken text, repeated and dotted keys."""
+    return json_shapes(spark, sf).select("event_id", json_value("doc", "$['k']").alias("k"),
+                                         json_key("doc", "a.b").alias("dotted"), json_key("doc", "a/b").alias("nested"))
+
+
+def q_text_decision_day(spark, sf):
+    """Timestamp text in a payload to a timestamp, its zone, its day; bad text gives none."""
+    stamp = F.when(F.col("event_id") % 5 == 0, F.lit("2024-13-45")).otherwise(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+    ev = table(spark, sf, "events").select("event_id", F.to_json(F.struct(stamp.alias("decided"))).alias("doc"))
+    return ev.select("event_id", local_day(parse_ts_ms(json_value("doc", "$['decided']"))).cast("string").alias("decision_day"))
+
+
+def q_changed_minutes(spark, sf):
+    """rows changed in a later minute than created, on one table with two timestamps."""
+    ev = table(spark, sf, "events").select(F.col("ts").alias("created"), F.timestamp_add(
+        "SECOND", (F.col("event_id") % 50).cast("int"), F.col("ts")).alias("changed"))
+    return ev.agg(F.count_if(minute("created") != minute("changed")).alias("n_changed"),
+                  F.count_if(F.col("created") != F.col("changed")).alias("n_touched"))
+
+
+def q_gap_count_copies(spark, sf):
+    """Gaps where some offsets are there several times and others are missing."""
+    ev = table(spark, sf, "events").select("event_id", "event_type").where("event_id % 11 <> 3")
+    return gap_count(ev.unionByName(ev.where("event_id % 5 = 0")).unionByName(ev.where("event_id % 7 = 0")),
+                     "event_id", "event_type", min_gap=1)
+
+
 def q_local_decision_day(spark, sf):
     """UTC wall clock to Europe/Belgrade day."""
     ev = table(spark, sf, "events")
@@ -708,6 +746,10 @@ QUERIES: dict[str, Query] = {
     "typed_counts": q_typed_counts,
     "distinct_count": q_distinct_count,
     "json_value": q_json_value,
+    "json_shapes": q_json_shapes,
+    "text_decision_day": q_text_decision_day,
+    "changed_minutes": q_changed_minutes,
+    "gap_count_copies": q_gap_count_copies,
     "local_decision_day": q_local_decision_day,
     "unix_ms_local": q_unix_ms_local,
     "message_hash": q_message_hash,

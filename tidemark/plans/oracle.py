@@ -86,6 +86,35 @@ JSON_VALUE = f"""
 SELECT event_id, {_jv('props', '$.k')} AS k, {_jv('props', '$.missing')} AS missing FROM events
 """
 
+JSON_SHAPES = """
+SELECT event_id,
+       CASE event_id % 8 WHEN 3 THEN CAST(event_id AS VARCHAR) WHEN 6 THEN '{' || event_id || '}'
+                         WHEN 7 THEN CAST(event_id AS VARCHAR) END AS k,
+       CASE event_id % 8 WHEN 6 THEN CAST(event_id AS VARCHAR) END AS dotted,
+       CASE event_id % 8 WHEN 6 THEN 'y' END AS nested
+FROM events
+"""
+
+TEXT_DECISION_DAY = f"""
+SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN CAST(CAST({_belgrade_day("date_trunc('millisecond', ts)")} AS DATE) AS VARCHAR) END AS decision_day
+FROM events
+"""
+
+CHANGED_MINUTES = """
+SELECT COUNT(*) FILTER (WHERE date_trunc('minute', ts) <> date_trunc('minute', ts + to_seconds(event_id % 50))) AS n_changed,
+       COUNT(*) FILTER (WHERE event_id % 50 <> 0) AS n_touched
+FROM events
+"""
+
+GAP_COUNT_COPIES = """
+WITH ev AS (SELECT event_id, event_type FROM events WHERE event_id % 11 <> 3),
+copies AS (SELECT * FROM ev UNION ALL SELECT * FROM ev WHERE event_id % 5 = 0
+           UNION ALL SELECT * FROM ev WHERE event_id % 7 = 0)
+SELECT COUNT(*) AS gap_count FROM (
+  SELECT event_id, LEAD(event_id) OVER (PARTITION BY event_type ORDER BY event_id) AS nxt FROM copies)
+WHERE nxt - event_id > 1
+"""
+
 LOCAL_DECISION_DAY = f"SELECT event_id, {_belgrade_day('ts')} AS decision_day FROM events"
 
 UNIX_MS_LOCAL = f"""
@@ -473,6 +502,10 @@ ORACLE_SQL: dict[str, str] = {
     "typed_counts": TYPED_COUNTS,
     "distinct_count": DISTINCT_COUNT,
     "json_value": JSON_VALUE,
+    "json_shapes": JSON_SHAPES,
+    "text_decision_day": TEXT_DECISION_DAY,
+    "changed_minutes": CHANGED_MINUTES,
+    "gap_count_copies": GAP_COUNT_COPIES,
     "local_decision_day": LOCAL_DECISION_DAY,
     "unix_ms_local": UNIX_MS_LOCAL,
     "message_hash": MESSAGE_HASH,
