@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +35,8 @@ U = np.uint64
 PLACES, BANDS, ROWS = 257, 42, 6
 #: Bits of the random part of an offer; the step stands above them.
 FINE = 23
-#: Open pairs go on to their full sets if their signatures agree in this share of
-#: places: 0.8 less five standard deviations (0.025) of the estimate.
-LIKELY = 0.675
+#: Shingles by which sets of 32-bit hashes may misjudge a pair (two chance ties).
+SLACK = 4
 #: Members of a band that are compared in one task.
 TILE = 2048
 SLICE = 1 << 20
@@ -98,12 +97,11 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()),
-                     ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
+                     ("bands", pa.list_(pa.int64()))])
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``set_key`` (digest of the set, null if empty),
-    ``bands``, ``sketch`` (four bytes of each band's key, then a byte of each place)."""
+    """``doc_id``, ``n_shingles``, ``set_key`` (digest of the set, null if empty), ``bands``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in doc_slices(batches, SLICE):
@@ -111,41 +109,64 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             n = np.diff(at)
             keys = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() if a < b else None
                     for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-            sig = superminhash(values, at)
-            bands = band_keys(sig)
-            sketch = np.concatenate((bands.astype(np.uint32).view(np.uint8).reshape(len(n), -1),
-                                     sig.astype(np.uint8)), axis=1)
+            bands = band_keys(superminhash(values, at))
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS),
                                              pa.array(bands.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), pa.array(keys, pa.binary()), bands,
-                                              pa.array([x.tobytes() for x in sketch], pa.binary())], schema=_SIGNED)
-
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch binary")
-
-
-def _likely(t: pa.Table) -> pa.Table:
-    """Pairs of one tile of a band: from different groups, alike by signature, and
-    with no earlier band in common (so each pair comes from one band only)."""
-    node, group, block = (t.column(c).to_numpy() for c in ("node", "component", "block"))
-    sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
-    bands, places = np.ascontiguousarray(sketch[:, :4 * BANDS]).view(np.uint32), sketch[:, 4 * BANDS:]
-    here = np.uint32(t.column("band")[0].as_py() & 0xFFFFFFFF)
-    crossed = t.column("tile_i")[0].as_py() != t.column("tile_j")[0].as_py()
-    ids, inverse, sizes = np.unique(group, return_inverse=True, return_counts=True)
-    # all but the largest group's members against all that are not in their group
-    main = inverse == sizes.argmax()
-    out = []
-    for i in np.flatnonzero(~main).tolist():
-        other = (group != group[i]) & (main | (node > node[i]))
-        if crossed:
-            other &= block != block[i]
-        other = np.flatnonzero(other)
-        other = other[(places[other] == places[i]).sum(axis=1) >= LIKELY * PLACES]
-        if len(other):
-            same = bands[other] == bands[i]
-            first = np.take(bands[i], same.argmax(axis=1))
-            out += [(min(node[i], node[j]), max(node[i], node[j])) for j in other[first == here].tolist()]
-    return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), pa.array(keys, pa.binary()), bands],
+                                             schema=_SIGNED)
+
+    return docs.mapInArrow(sign, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+
+
+def short_sets(docs: DataFrame, width: int) -> DataFrame:
+    """``node``, ``hashes``: the documents' shingle sets as ascending 32-bit hashes."""
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in doc_slices(batches, SLICE):
+            values, at = shingles(*text_buffer(part.column("text")), width)
+            short = [np.unique(values[a:b].astype(np.uint32)).tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(short, pa.binary())],
+                                             names=["node", "hashes"])
+
+    return docs.mapInArrow(shorten, "node long, hashes binary")
+
+
+def _likely(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Pairs of one tile of a band, from different groups, that may be links.
+
+    A member's surest link to another group stands for all to that group; where
+    none is sure by the short hashes, all that may be one are given.
+    """
+
+    def judge(t: pa.Table) -> pa.Table:
+        node, group, block = (t.column(c).to_numpy() for c in ("node", "component", "block"))
+        crossed = t.column("tile_i")[0].as_py() != t.column("tile_j")[0].as_py()
+        sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in t.column("hashes")]
+        size = np.array([len(x) for x in sets])
+        values = np.concatenate(sets)
+        order = np.argsort(values)
+        values, owner = values[order], np.repeat(np.arange(len(node)), size)[order]
+        _, inverse, members = np.unique(group, return_inverse=True, return_counts=True)
+        main = inverse == members.argmax()  # all others against all that are not in their group
+        out = []
+        for i in np.flatnonzero(~main).tolist():
+            other = (group != group[i]) & (main | (node > node[i]))
+            if crossed:
+                other &= block != block[i]
+            lo, hi = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
+            n = hi - lo
+            at = np.arange(int(n.sum())) + np.repeat(lo - (np.cumsum(n) - n), n)
+            common = np.bincount(owner[at], minlength=len(node))
+            margin = 100 * common - percent * (size[i] + size - common)
+            other = np.flatnonzero(other & (margin >= -100 * SLACK))
+            for g in np.unique(group[other]).tolist():
+                mine = other[group[other] == g]
+                best = mine[margin[mine].argmax()]
+                for j in [best] if margin[best] > 100 * SLACK else mine.tolist():
+                    out.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
+
+    return judge
 
 
 def verified(pairs: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
@@ -193,8 +214,9 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
     Equal sets are one node from the start, so copies cost one row each and are
     never paired.  Within a shared band, members are compared with two pivots.
-    Pairs whose ends are then still in different groups are judged tile by tile
-    within the band, by signature; only the likely ones are compared in full.  So
+    Members of bands that are then still in different groups are judged tile by
+    tile within the band, by short hashes of their whole sets; one sure link
+    between a member and another group is enough, and it is compared in full.  So
     a large group of copies costs pairs in proportion to its size, and no link
     between groups is lost.
 
@@ -206,14 +228,14 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     rows = texts(docs)
     signed = staged(signatures(rows, width), "signatures")
     with_id = signed.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    sets = staged(with_id.groupBy("set_key").agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("first"))
-                  .select("set_key", F.col("first.doc_id").alias("node"), "first.bands", "first.sketch"), "sets")
+    sets = staged(with_id.groupBy("set_key").agg(F.min(F.struct("doc_id", "bands")).alias("first"))
+                  .select("set_key", F.col("first.doc_id").alias("node"), "first.bands"), "sets", release=True)
     entries = sets.select("node", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    members = staged(entries.join(shared.filter("low < high").select("band"), "band"), "members")
+    members = staged(entries.join(shared.filter("low < high").select("band"), "band"), "members", release=True)
     candidates = staged(rows.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"),
-                        "candidates")
-    groups = _grouped(members, sets.select("node", "sketch"), candidates, width, percent)
+                        "candidates", release=True)
+    groups = _grouped(members, candidates, width, percent)
     of_set = (sets.select("set_key", "node").join(groups, "node", "left")
               .select("set_key", F.coalesce("component", "node").alias("component")))
     out = signed.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left")
@@ -222,8 +244,7 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _grouped(members: DataFrame, sketches: DataFrame, candidates: DataFrame, width: int,
-             percent: int) -> DataFrame:
+def _grouped(members: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
     """``node``, ``component`` of the nodes that share bands (``members``: band, node)."""
     # the least node of a band, and the least by another order, against the rest
     order = F.struct(F.xxhash64("node").alias("o"), "node")
@@ -240,12 +261,14 @@ def _grouped(members: DataFrame, sketches: DataFrame, candidates: DataFrame, wid
     spread = labelled.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"),
                                           F.max("component").alias("high")).filter("low < high")
     tiles = F.ceil(F.col("n") / TILE).cast("int")
-    dealt = (labelled.join(spread.select("band", tiles.alias("tiles")), "band").join(sketches, "node")
+    still = staged(labelled.join(spread.select("band", tiles.alias("tiles")), "band"), "open")
+    nodes = still.select(F.col("node").alias("doc_id")).distinct()
+    dealt = (still.join(short_sets(candidates.join(nodes, "doc_id", "left_semi"), width), "node")
              .withColumn("block", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))))
     likely = (dealt.select("band", F.least("block", "other").alias("tile_i"), F.greatest("block", "other").alias("tile_j"),
-                           "block", "node", "component", "sketch")
-              .groupBy("band", "tile_i", "tile_j").applyInArrow(_likely, "a long, b long").distinct())
+                           "block", "node", "component", "hashes")
+              .groupBy("band", "tile_i", "tile_j").applyInArrow(_likely(percent), "a long, b long").distinct())
     likely = likely.join(checked.select("a", "b"), ["a", "b"], "left_anti")
     more = staged(verified(likely, candidates, width, percent), "pairs").filter("linked").select("a", "b")
     roots = groups.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
