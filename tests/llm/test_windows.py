@@ -76,7 +76,7 @@ def test_equal_brute_force(spark, make, seed, monkeypatch):
 
 def test_shared_passages(spark, make):
     r = random.Random(1)
-    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(9))
     passage = " ".join(word() for _ in range(60))
     docs = [(i, " ".join(word() for _ in range(40)) + " " + passage + " " + " ".join(word() for _ in range(i))) for i in range(30)]
     got = {x.doc_id: x for x in substring_dedup(make(docs)).collect()}
