@@ -28,9 +28,12 @@ FROM w LEFT JOIN kept USING (doc_id)
 ORACLE_SQL["op9_suffix_dedup"] = r"""
 WITH d AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents
+), part AS (  -- 1,000 starts at a time: cutting short strings out of long ones is slow
+  SELECT doc_id, base, substr(h, 2 * base + 1, 2398) AS p
+  FROM (SELECT doc_id, h, unnest(generate_series(0, n - 200, 1000)) AS base FROM d WHERE n >= 200)
 ), s AS (
-  SELECT doc_id, k, md5_number(substr(h, 2 * k + 1, 400)) AS m
-  FROM (SELECT doc_id, h, unnest(generate_series(0, n - 200)) AS k FROM d WHERE n >= 200)
+  SELECT doc_id, base + i AS k, md5_number(substr(p, 2 * i + 1, 400)) AS m
+  FROM (SELECT doc_id, base, p, unnest(generate_series(0, length(p) // 2 - 200)) AS i FROM part)
 ), rep AS (
   SELECT doc_id, k FROM s SEMI JOIN (SELECT m FROM s GROUP BY m HAVING count(*) > 1) USING (m)
 ), runs AS (
@@ -50,3 +53,31 @@ SELECT d.doc_id, d.n AS n_bytes, d.n - kept.n AS n_removed, coalesce(x.c, 0) AS
        sha256(unhex(kept.h)) AS kept_sha256
 FROM d JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS c FROM spans GROUP BY doc_id) x USING (doc_id)
 """
+
+#: sets of two-word shingles, links by their sizes, components as what links reach
+ORACLE_SQL["op4_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) = 1 THEN words[1] ELSE words[k] || ' ' || words[k + 1] END AS shingle
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 1, 1))) AS k FROM w WHERE len(words) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), link AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), edge AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.doc_id, edge.b FROM reach JOIN edge ON reach.other = edge.a
+)
+SELECT doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id,
+       doc_id = min(other) AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
