@@ -60,9 +60,11 @@ def test_templates_find_changed_questions(spark, make):
                                   "item_id long, text string")
     got = sorted((str(x.doc_id), x.item_id, x.n_matched, x.n_item, x.verbatim)
                  for x in find_contamination(make(docs), items).collect())
-    assert got[:5] == [("1", 10, 24, 24, True), ("1", 10, 24, 24, True), ("2", 10, 24, 24, False), ("3", 10, 18, 24, True),
-                       ("8", 10, 24, 24, True)] or ("8", 10, 24, 24, True) not in got
-    assert ("None", 10, 24, 24, True) in got and not {"4", "5", "6", "7"} & {x[0] for x in got}
+    # in capitals alone a name is a word like others: the run begins after it
+    assert [x for x in got if x[0] != "8"] == [
+        ("1", 10, 24, 24, True), ("1", 10, 24, 24, True), ("2", 10, 24, 24, False), ("3", 10, 18, 24, True),
+        ("None", 10, 24, 24, True)]
+    assert all(10 <= x[2] < 24 for x in got if x[0] == "8")
     assert find_contamination(make([]), items).collect() == []
     assert find_contamination(make(docs), items.limit(0)).collect() == []
 
