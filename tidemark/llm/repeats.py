@@ -264,7 +264,7 @@ def _dealt(rows: list[tuple]) -> pa.Table:
                                 schema=_DEALT)
 
 
-def _meet(rule: str, buckets: int) -> Callable[[pa.Table], pa.Table]:
+def _meet(rule: str, buckets: int, cut: int) -> Callable[[pa.Table], pa.Table]:
     def answer(t: pa.Table) -> pa.Table:
         kinds = t.column("kind").to_numpy()
         passed = t.filter(pa.array(kinds >= ANSWER)).cast(_DEALT)
@@ -279,19 +279,20 @@ def _meet(rule: str, buckets: int) -> Callable[[pa.Table], pa.Table]:
             return passed
         h, d, known = np.concatenate(h), np.concatenate(d), np.concatenate(known)
         _, h, d, _, repeats = _settle(h, d, known, rule)
-        return pa.concat_tables([passed, _dealt(list(_answers(h[repeats], d[repeats], buckets)))])
+        return pa.concat_tables([passed, _dealt(list(_answers(h[repeats] >> U(cut), d[repeats], buckets)))])
 
     return answer
 
 
-def repeated(dealt: DataFrame, rule: str, buckets: int) -> DataFrame:
+def repeated(dealt: DataFrame, rule: str, buckets: int, cut: int = 0) -> DataFrame:
     """Answers by document: ``doc_id``, ``h`` (its packed repeated hashes), and,
     by the key of each of its texts, ``runs`` of window places.
 
     ``rule``: ``any`` (the hash occurs at another place, in whichever document)
-    or ``earlier`` (it occurs in a document with a smaller id).
+    or ``earlier`` (it occurs in a document with a smaller id).  Answers may leave
+    out ``cut`` low bits: they are only compared with one document's own windows.
     """
-    met = dealt.groupBy("bucket").applyInArrow(_meet(rule, buckets), DEALT)
+    met = dealt.groupBy("bucket").applyInArrow(_meet(rule, buckets, cut), DEALT)
     return met.groupBy("bucket").applyInArrow(
         _collected, "doc_id long, h binary, text_key array<long>, runs array<binary>")
 

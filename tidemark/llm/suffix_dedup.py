@@ -36,6 +36,8 @@ COVER_MOD, COVER = 91, (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
 #: Bits that a rank has beyond those that number the input's bytes; a chance tie
 #: (one in 2**RANK_BITS places) only makes a candidate more.
 RANK_BITS = 10
+#: Low bits of a string's 64-bit hash that an answer to its document leaves out.
+ANSWER_CUT = 16
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -116,7 +118,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, *keep: str) -> DataFrame:
                 own, gone = data[offsets[i]:offsets[i + 1]], []
                 if h or keys:
                     first, end = run_places(own.tobytes(), keys, runs)
-                    tied = np.flatnonzero(among(window_hash(own, length), unpack(h))) if h else first[:0]
+                    tied = np.flatnonzero(among(window_hash(own, length) >> np.uint64(ANSWER_CUT), unpack(h))) if h else first[:0]
                     mask = covered(np.concatenate((tied, first)), np.concatenate((tied, end - 1)) + length, len(own))
                     gone = [{"start": a, "end": b} for a, b in zip(*(x.tolist() for x in spans_of(mask)))]
                     own = own[~mask]
@@ -131,11 +133,11 @@ def suffix_dedup(docs: DataFrame, length: int = 200, *keep: str) -> DataFrame:
     known = rows.filter("doc_id IS NOT NULL")
     ranks = repeated(known.mapInArrow(rank_cover, DEALT), "any", buckets).select("doc_id", "h")
     ranks = staged(ranks, "cover-ranks", release=True)
-    # texts whose least repeated rank is the same are written side by side, so that
+    # texts whose least repeated rank is the same are written one after the other, so that
     # most copies' suffixes are settled in one task; a crowd at one rank is split by size
     near = known.join(ranks, "doc_id").select("doc_id", "text", "h", F.substring("h", 2, 8).alias("least"))
-    near = staged(near.hint("rebalance", "least").drop("least"), "suffix-texts", release=True)
-    ties = staged(repeated(near.mapInArrow(deal_suffixes, DEALT), "any", buckets), "ties", release=True)
+    near = staged(near.hint("rebalance", "least").sortWithinPartitions("least").drop("least"), "suffix-texts", release=True)
+    ties = staged(repeated(near.mapInArrow(deal_suffixes, DEALT), "any", buckets, ANSWER_CUT), "ties", release=True)
     whole = texts(docs, *keep)
     judged = whole.join(ties, "doc_id", "left").select("doc_id", "text", "h", "text_key", "runs", *keep)
     kept = "".join(f", `{c}` {whole.schema[c].dataType.simpleString()}" for c in keep)
