@@ -8,7 +8,9 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidemark.plans.catalog import QUERIES
+from tidemark.plans.oracle import ORACLE_SQL
 from tests.conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -40,7 +42,7 @@ def duck():
 
 
 def test_every_query_has_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 def test_entry(spark):
@@ -57,11 +59,11 @@ def test_entry(spark):
     assert got == sorted(tuple(int(x) if not isinstance(x, str) else x for x in r) for r in want)
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
-    df = queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
-    res = duck.sql(oracle_sql()[key])
+    res = duck.sql(ORACLE_SQL[key])
     assert sorted(df.columns) == sorted(res.columns)
     assert _key(s_rows, df.columns) == _key(res.fetchall(), res.columns)
 
@@ -76,11 +78,11 @@ def test_results_do_not_depend_on_session_zone(spark, duck, key):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        df = queries()[key](spark, SF_SMALL)
+        df = QUERIES[key](spark, SF_SMALL)
         s_rows = [tuple(r) for r in df.collect()]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
-    res = duck.sql(oracle_sql()[key])
+    res = duck.sql(ORACLE_SQL[key])
     assert _key(s_rows, df.columns) == _key(res.fetchall(), res.columns)
 
 
@@ -97,11 +99,11 @@ FORBIDDEN_PLAN_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapI
                         "FlatMapGroupsInPandas", "BroadcastNestedLoopJoin", "CartesianProduct")
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_plans_have_no_python_and_no_nested_loops(spark, key):
     import contextlib
     import io
-    df = queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
@@ -128,7 +130,7 @@ def test_bounds_reach_the_parquet_scan(spark, key):
     try:
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
-            queries()[key](spark, SF_SMALL).explain("formatted")
+            QUERIES[key](spark, SF_SMALL).explain("formatted")
     finally:
         spark.conf.set("spark.sql.maxMetadataStringLength", old)
     pushed = [line for line in buf.getvalue().splitlines() if line.startswith("PushedFilters")]
@@ -146,7 +148,7 @@ def test_scans_read_only_needed_columns(spark, key):
     import re
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        queries()[key](spark, SF_SMALL).explain("formatted")
+        QUERIES[key](spark, SF_SMALL).explain("formatted")
     for line in buf.getvalue().splitlines():
         if line.startswith("ReadSchema"):
             cols = set(re.findall(r"([A-Za-z_][A-Za-z0-9_]*):", line.split("struct<", 1)[1]))
