@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -41,6 +42,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_work_roots: set[str] = set()
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -67,9 +71,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder for staged tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder below the shared checkpoint folder for staged tables.
+
+    An application's folders are removed when its Python process ends while the
+    session is up; results read from them are lazy, so not before.
+    """
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+    if base not in _work_roots:
+        _work_roots.add(base)
+        atexit.register(_remove_work, spark, base)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove_work(spark: SparkSession, base: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        delete_path(spark, base)
 
 
 def hadoop_fs(spark: SparkSession, path: str):
