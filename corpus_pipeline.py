@@ -32,10 +32,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five-word shingles, similarity 0.8): the least id."""
+    """One row of each near-duplicate group (five-word shingles, similarity 0.8): the least id.
+
+    Rows are told apart by a key of their own, so of repeated rows one stays, and rows
+    that share an id are judged by their own texts.  Rows without an id all stay.
+    """
     ship_package(spark)
-    gone = staged(near_dedup(docs, 5, 80).filter("NOT kept").select("doc_id"), "near-duplicates", release=True)
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    rows = staged(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    known = rows.filter("doc_id IS NOT NULL")
+    groups = near_dedup(known.select(F.col("row").alias("doc_id"), "text"), 5, 80)
+    groups = groups.select(F.col("doc_id").alias("row"), "component_id")
+    first = (known.select("row", "doc_id").join(groups, "row").groupBy("component_id")
+             .agg(F.min(F.struct("doc_id", "row")).alias("first")).select("first.row"))
+    first = staged(first, "first-of-groups", release=True)
+    kept = known.join(first, "row", "left_semi").unionByName(rows.filter("doc_id IS NULL"))
+    return kept.select(*COLUMNS)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,3 +132,22 @@ def test_clean_documents_go_through(spark, make):
     unique = rows.dropDuplicates(["text"])
     kept = {x.doc_id for x in cp.identify_language(spark, unique, SF).collect()}
     assert kept == {x.doc_id for x in unique.collect()}
+
+
+def test_pipeline_keeps_one_of_repeated_rows(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    rng = np.random.default_rng(5)
+    text = lambda: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(60))
+    a, b, c, d, e, item = (text() for _ in range(6))
+    rows = [(1, a), (1, a), (1, a), (2, b), (3, b), (3, c), (4, d), (4, e), (5, e), (6, d), (7, item), (7, text())]
+    other = rows[-1][1]
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema).repartition(3)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in cp.STAGES[:-1]:
+        docs = cp.staged(stage(spark, docs, str(tmp_path)), name)
+    assert sorted((x.doc_id, x.text) for x in docs.collect()) == sorted(
+        [(1, a), (2, b), (3, c), (4, d), (4, e), (7, other)])
+    assert [x.doc_id for x in cp.STAGES[-1][1](spark, docs, str(tmp_path)).select("doc_id").distinct()
+            .orderBy("doc_id").collect()] == [1, 2, 3, 4, 7]

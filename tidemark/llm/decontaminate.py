@@ -18,11 +18,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytesops import span_hashes, word_spans, word_windows
-from tidemark.llm.common import doc_slices, staged, table, text_buffer, texts
+from tidemark.llm.common import doc_slices, table, text_buffer, texts
 
 U = np.uint64
 #: Template tokens of a window, literal words that it must hold, and tokens of a
@@ -196,21 +196,51 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     judged like any other.  No documents or no items give no rows.  Extra columns
     are ignored.
     """
-    spark = docs.sparkSession
-    rows = texts(docs)
+    rows, found = texts(docs), None
+    for index in _indexes(docs.sparkSession, benchmark):
+        here = rows.mapInArrow(_matcher(index), "doc_id long, item_id long, n_matched int, n_item int, start int, "
+                                                "verbatim boolean")
+        found = here if found is None else found.unionByName(here)
+    return found
+
+
+def _indexes(spark: SparkSession, benchmark: DataFrame) -> Iterator:
+    """The broadcast index of each block of the benchmark."""
     items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(size // BLOCK_BYTES) + 1
-    found = None
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         part.sort(key=lambda r: (r["item_id"], r["text"]))
-        index = spark.sparkContext.broadcast(build_index([r["item_id"] for r in part], [r["text"] for r in part]))
-        here = rows.mapInArrow(_matcher(index), "doc_id long, item_id long, n_matched int, n_item int, start int, "
-                                                "verbatim boolean")
-        found = here if found is None else found.unionByName(here)
-    return found
+        yield spark.sparkContext.broadcast(build_index([r["item_id"] for r in part], [r["text"] for r in part]))
+
+
+def _matches(idx: Index, part: pa.RecordBatch) -> dict[tuple[int, int], tuple[int, int, bool, int]]:
+    """(row, item) of the contaminated rows of ``part``: matched tokens, -start, verbatim, the item's tokens."""
+    t = templates(*text_buffer(part.column("text")))
+    runs: dict[tuple[int, int, int], list[tuple[int, int]]] = defaultdict(list)
+    for width, hashes, item, place in idx.windows:
+        h, doc, at = _windows(t, width)
+        lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+        for k in np.flatnonzero(hi > lo).tolist():
+            for j in range(lo[k], hi[k]):  # windows on one diagonal make a run
+                runs[int(doc[k]), int(item[j]), int(at[k] - place[j])].append((int(at[k]), width))
+    best: dict[tuple[int, int], tuple[int, int, bool, int]] = {}
+    for (doc, item, shift), places in runs.items():
+        places.sort()
+        i, n_item = idx.items.counts[item], int(idx.items.counts[item + 1] - idx.items.counts[item])
+        k = 0
+        while k < len(places):
+            a, b = places[k][0], places[k][0] + places[k][1]
+            k += 1
+            while k < len(places) and places[k][0] <= b:
+                b = max(b, places[k][0] + places[k][1])
+                k += 1
+            n, start, same = _longest(t, int(t.counts[doc]) + a, idx.items, int(i) + a - shift, b - a)
+            if n >= min(RUN, n_item):
+                best[doc, item] = max(best.get((doc, item), (0,)), (n, -(a + start), same, n_item))
+    return best
 
 
 def _matcher(index):
@@ -220,41 +250,34 @@ def _matcher(index):
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idx: Index = index.value
         for part in doc_slices(batches, 1 << 20):
-            t = templates(*text_buffer(part.column("text")))
-            runs: dict[tuple[int, int, int], list[tuple[int, int]]] = defaultdict(list)
-            for width, hashes, item, place in idx.windows:
-                h, doc, at = _windows(t, width)
-                lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
-                for k in np.flatnonzero(hi > lo).tolist():
-                    for j in range(lo[k], hi[k]):  # windows on one diagonal make a run
-                        runs[int(doc[k]), int(item[j]), int(at[k] - place[j])].append((int(at[k]), width))
-            best: dict[tuple[int, int], tuple] = {}
-            for (doc, item, shift), places in runs.items():
-                places.sort()
-                i, n_item = idx.items.counts[item], int(idx.items.counts[item + 1] - idx.items.counts[item])
-                k = 0
-                while k < len(places):
-                    a, b = places[k][0], places[k][0] + places[k][1]
-                    k += 1
-                    while k < len(places) and places[k][0] <= b:
-                        b = max(b, places[k][0] + places[k][1])
-                        k += 1
-                    n, start, same = _longest(t, int(t.counts[doc]) + a, idx.items, int(i) + a - shift, b - a)
-                    if n >= min(RUN, n_item):
-                        best[doc, item] = max(best.get((doc, item), (0,)), (n, -(a + start), same, n_item))
             ids = part.column("doc_id")
             out = [(ids[doc].as_py(), int(idx.ids[item]), n, n_item, -start, same)
-                   for (doc, item), (n, start, same, n_item) in sorted(best.items())]
+                   for (doc, item), (n, start, same, n_item) in sorted(_matches(idx, part).items())]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     return match
 
 
+def _cleaner(index):
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idx: Index = index.value
+        for part in doc_slices(batches, 1 << 20):
+            keep = np.ones(part.num_rows, bool)
+            keep[[doc for doc, _ in _matches(idx, part)]] = False
+            yield part.filter(pa.array(keep))
+
+    return clean
+
+
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id ``find_contamination`` names; others stay as they are."""
-    bad = staged(find_contamination(docs, benchmark).select("doc_id").filter("doc_id IS NOT NULL").distinct(), "leaks")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows in which ``find_contamination`` finds an item; others stay as they are.
+
+    Every row is judged by its own text, with repeated or null ids too.
+    """
+    for index in _indexes(docs.sparkSession, benchmark):
+        docs = docs.mapInArrow(_cleaner(index), docs.schema)
+    return docs
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
