@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.llm import fingerprints as fp
+from tidemark.llm import decontaminate as dc
 from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.sharding import op10
 
@@ -151,3 +152,33 @@ def test_pipeline_keeps_one_of_repeated_rows(spark, tmp_path):
         [(1, a), (2, b), (3, c), (4, d), (4, e), (7, other)])
     assert [x.doc_id for x in cp.STAGES[-1][1](spark, docs, str(tmp_path)).select("doc_id").distinct()
             .orderBy("doc_id").collect()] == [1, 2, 3, 4, 7]
+
+
+def test_verbatim_copies_of_any_words(spark, make):
+    items = {1: "12 apples, 5 pears, 7 plums, 8 figs, 4 nuts, 3 kiwis, 9 limes",
+             2: "1,2,3,4,5,6,7,8,9,10,11", 3: "Alice Bob Carol Dave Erin Frank Grace Heidi Ivan Judy Mallory",
+             4: "小明有苹果和梨一共多少个", 5: "ประเทศไทยมีกี่จังหวัด", 6: "how many of these five are 3 7 11 13 17 19 23 29",
+             7: "東京は日本の首都です", 8: "7 + 5 * 3 - 2 / 9", 9: "0 " * 300}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    docs = [(i, "some text before it. " + t + " and after it") for i, t in items.items()]
+    docs += [(20, "前面" + items[4] + "后面"), (21, "小明有苹果"), (22, "9 apples, 5 pears, 7 plums"), (23, "0 " * 2000)]
+    got = find_contamination(make(docs), bench).collect()
+    assert sorted((x.doc_id, x.item_id) for x in got) == [(i, i) for i in range(1, 10)] + [(20, 4), (23, 9)]
+    assert all(x.verbatim and x.n_matched <= x.n_item for x in got)
+    assert all(x.n_matched == x.n_item for x in got if x.item_id not in (3,))
+
+
+def test_longest_shared_run_of_words():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        a, b = (rng.integers(0, 3, rng.integers(1, 30)).astype(np.uint64) for _ in range(2))
+        runs = {}
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                    n += 1
+                runs[n, -i, -j] = 1
+        n, i, j = max(runs)
+        if n:
+            assert dc._shared(a, b, 1) == (n, -i, -j)

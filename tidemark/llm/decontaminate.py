@@ -6,6 +6,11 @@ hash with the benchmark's; along a matched run the placeholders' values must map
 one to one (a number that stands for two different numbers is no re-use of the
 question with other values), and the longest consistent run decides.
 
+Verbatim copies are found besides by the words alone, whatever they are: windows
+of words as they stand are joined by hash, so items that are mostly numbers, names
+or units are not lost.  Scripts without blanks between words have their characters
+as words.
+
 The benchmark is joined block by block, each block of bounded size, so that the
 documents stay where they are and only matches leave a task.
 """
@@ -21,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytesops import span_hashes, word_spans, word_windows
+from tidemark.llm.bytesops import STEP, mix, span_hashes, word_spans, word_windows
 from tidemark.llm.common import doc_slices, table, text_buffer, texts
 
 U = np.uint64
 #: Template tokens of a window, literal words that it must hold, and tokens of a
 #: consistent run that make a document contaminated (or the whole item, if shorter).
 WINDOW, LITERALS, RUN = 8, 5, 10
+#: Words of the shortest item that is looked for verbatim; longer ones than RUN words match by any RUN of them.
+SHORTEST = 5
 #: Text bytes of the benchmark that are joined at a time (the bound of a broadcast).
 BLOCK_BYTES = 8_000_000
 LITERAL, NUMBER, NAME, UNIT = 0, 1, 2, 3
@@ -49,12 +56,16 @@ _STOP[[10, 13, *b".!?:\"|"]] = True
 
 
 class Templates(NamedTuple):
-    """Template tokens of some texts: hash of the template, hash of the value, kind, and texts' offsets."""
+    """Template tokens of some texts: hash of the template, hash of the value, kind, and texts' offsets;
+    hashes of the words in them, texts' offsets in these, and the token that each word is in."""
 
     template: np.ndarray
     value: np.ndarray
     kind: np.ndarray
     counts: np.ndarray
+    words: np.ndarray
+    word_counts: np.ndarray
+    token: np.ndarray
 
 
 def fold(data: np.ndarray) -> np.ndarray:
@@ -78,18 +89,43 @@ def _unit_hashes() -> np.ndarray:
 _UNIT_HASHES = _unit_hashes()
 
 
+def _characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each character of the scripts that put no blanks between words: Thai,
+    Lao, Tibetan, Myanmar, Khmer, Chinese and Japanese, with their wide signs."""
+    at = np.flatnonzero(data >= 0xE0)
+    lead, then = data[at], data[np.minimum(at + 1, len(data) - 1)]
+    three = ((lead == 0xE0) & (then >= 0xB8) | (lead == 0xE1) & ((then <= 0x82) | (then == 0x9E) | (then == 0x9F))
+             | (lead == 0xE3) | (lead >= 0xE4) & (lead <= 0xE9)
+             | (lead == 0xEF) & ((then >= 0xA4) & (then <= 0xAB) | (then >= 0xBC) & (then <= 0xBE)))
+    four = (lead == 0xF0) & (then >= 0xA0)
+    ok = three | four
+    return at[ok], at[ok] + np.where(four[ok], 4, 3)
+
+
+def _spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words' starts and ends; a character of a script without blanks is a word."""
+    starts, ends = word_spans(data, offsets, _BETWEEN)
+    first, last = _characters(data)
+    if len(first):
+        within = np.searchsorted(starts, first, "right") - 1
+        before, after = first[first > starts[within]], last[last < ends[within]]
+        starts = np.unique(np.concatenate((starts, first, after)))
+        ends = np.unique(np.concatenate((ends, before, last)))
+    return starts, ends
+
+
 def templates(data: np.ndarray, offsets: np.ndarray) -> Templates:
     """A number holds a digit (parts joined by a point or comma are one); a name
     begins with a capital followed by a small letter, not at the start of a
     sentence or line (neighbouring names are one); a unit follows a number."""
-    none = np.zeros(0, np.uint64)
+    none, no_words = np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     if len(data) == 0:
-        return Templates(none, none, np.zeros(0, np.int8), np.zeros(len(offsets), np.int64))
-    starts, ends = word_spans(data, offsets, _BETWEEN)
+        return Templates(none, none, np.zeros(0, np.int8), no_words, none, no_words, np.zeros(0, np.int64))
+    starts, ends = _spans(data, offsets)
     counts = np.searchsorted(starts, offsets)
     n = len(starts)
     if n == 0:
-        return Templates(none, none, np.zeros(0, np.int8), counts)
+        return Templates(none, none, np.zeros(0, np.int8), counts, none, counts, np.zeros(0, np.int64))
     value = span_hashes(fold(data), offsets, starts, ends, _BETWEEN, False)
     digits = np.concatenate(([0], np.cumsum(_DIGIT[data])))
     stops = np.concatenate(([0], np.cumsum(_STOP[data])))
@@ -124,7 +160,7 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> Templates:
         merged[k] = h
     kind = kind[head]
     template = np.where(kind == LITERAL, merged, np.array(_PLACE, np.uint64)[kind])
-    return Templates(template, merged, kind, np.searchsorted(head, counts))
+    return Templates(template, merged, kind, np.searchsorted(head, counts), value, counts, np.cumsum(~joint) - 1)
 
 
 def _windows(t: Templates, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,11 +175,13 @@ def _windows(t: Templates, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 class Index(NamedTuple):
-    """Benchmark items: their templates, and sorted windows of each width."""
+    """Benchmark items: their templates, sorted windows of each width, and the same of their words
+    (width, hashes, items; each pair once)."""
 
     ids: np.ndarray
     items: Templates
     windows: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]
+    verbatim: list[tuple[int, np.ndarray, np.ndarray]]
 
 
 def build_index(ids: list[int], items: list[str]) -> Index:
@@ -158,7 +196,51 @@ def build_index(ids: list[int], items: list[str]) -> Index:
             h, item, at = h[own], item[own], at[own]
             order = np.argsort(h, kind="stable")
             windows.append((width, h[order], item[order], at[order]))
-    return Index(np.array(ids, np.int64), t, windows)
+    verbatim, n_words = [], np.diff(t.word_counts)
+    for width in range(SHORTEST, RUN + 1):
+        h, item = word_windows(t.words, t.word_counts, width)
+        own = n_words[item] >= RUN if width == RUN else n_words[item] == width
+        if own.any():
+            verbatim.append((width, *_pairs(h[own], item[own])))
+    return Index(np.array(ids, np.int64), t, windows, verbatim)
+
+
+def _pairs(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each distinct (hash, text) once, by hash."""
+    order = np.lexsort((doc, h))
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    return h[new], doc[new]
+
+
+def _widest(words: np.ndarray, n: int) -> list[np.ndarray]:
+    """Hashes of the windows of 1, 2, 4, ... words, up to ``n``."""
+    out = [words]
+    while 2 << (len(out) - 1) <= n:
+        half, w = out[-1], 1 << (len(out) - 1)
+        out.append(mix(half[:-w] * U(STEP) + half[w:]))
+    return out
+
+
+def _shared(doc: np.ndarray, item: np.ndarray, least: int) -> tuple[int, int, int]:
+    """(words, start in the document, start in the item) of the longest run of equal
+    words, the first of these in the document; one of ``least`` words is there."""
+    most = min(len(doc), len(item))
+    levels = _widest(doc, most), _widest(item, most)
+
+    def windows(level: list[np.ndarray], n: int) -> np.ndarray:
+        k = n.bit_length() - 1
+        h, rest = level[k], n - (1 << k)  # two windows that overlap make up one of n words
+        return h if rest == 0 else mix(h[:len(h) - rest] * U(STEP) + h[rest:])
+
+    lo, hi = least, most + 1
+    while hi - lo > 1:
+        n = (lo + hi) // 2
+        lo, hi = (n, hi) if np.isin(windows(levels[0], n), windows(levels[1], n)).any() else (lo, n)
+    a, b = windows(levels[0], lo), windows(levels[1], lo)
+    at = int(np.isin(a, b).argmax())
+    return lo, at, int((b == a[at]).argmax())
 
 
 def _longest(doc: Templates, d0: int, item: Templates, i0: int, n: int) -> tuple[int, int, bool]:
@@ -189,10 +271,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     consistent run), ``n_item`` (template tokens of the item), ``start`` (the
     run's first template token in the document) and ``verbatim`` (all its values
     are the item's).  A row is given if the run has at least 10 tokens, or the
-    whole item if that is shorter.
+    whole item if that is shorter; the run's windows hold five literal words.
+
+    Else a row is given, with ``verbatim``, for a run of at least 10 words (the
+    whole item if that is shorter) that are the item's in any script and of any
+    kind; ``n_matched`` then counts the item's tokens that the longest such run
+    is in.  Characters of scripts without blanks are words.
 
-    Null and empty texts match nothing; nor do items of fewer than five literal
-    words.  Equal items give a row each; rows with repeated or null ids are
+    Null and empty texts match nothing; nor do items of fewer than five words.  Equal items give a row each; rows with repeated or null ids are
     judged like any other.  No documents or no items give no rows.  Extra columns
     are ignored.
     """
@@ -240,6 +326,19 @@ def _matches(idx: Index, part: pa.RecordBatch) -> dict[tuple[int, int], tuple[in
             n, start, same = _longest(t, int(t.counts[doc]) + a, idx.items, int(i) + a - shift, b - a)
             if n >= min(RUN, n_item):
                 best[doc, item] = max(best.get((doc, item), (0,)), (n, -(a + start), same, n_item))
+    words, known = t.word_counts, idx.items.word_counts
+    for width, hashes, item in idx.verbatim:
+        h, doc = word_windows(t.words, words, width)
+        there = np.searchsorted(hashes, h, "right") > np.searchsorted(hashes, h, "left")
+        h, doc = _pairs(h[there], doc[there])
+        lo, n = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+        n -= lo
+        at = np.arange(int(n.sum())) + np.repeat(lo - (np.cumsum(n) - n), n)
+        for d, i in sorted(set(zip(np.repeat(doc, n).tolist(), item[at].tolist())) - best.keys()):
+            size, a, b = _shared(t.words[words[d]:words[d + 1]], idx.items.words[known[i]:known[i + 1]], width)
+            token = idx.items.token[known[i] + b:known[i] + b + size]
+            best[d, i] = (int(token[-1] - token[0]) + 1, -int(t.token[words[d] + a] - t.counts[d]), True,
+                          int(idx.items.counts[i + 1] - idx.items.counts[i]))
     return best
 
 
