@@ -182,3 +182,30 @@ def test_longest_shared_run_of_words():
         n, i, j = max(runs)
         if n:
             assert dc._shared(a, b, 1) == (n, -i, -j)
+
+
+def test_longest_consistent_run():
+    rng = np.random.default_rng(9)
+    none = np.zeros(0)
+    for _ in range(2000):
+        n = int(rng.integers(1, 20))
+        kind = rng.integers(0, 2, n)
+        a, b = rng.integers(0, 4, n), rng.integers(0, 4, n)
+        b = np.where((kind == 0) | (rng.random(n) < 0.6), a, b)
+        item, doc = (dc.Templates(none, x, kind, none, none, none, none) for x in (a, b))
+        want = (0, 0, True)
+        for i in range(n):
+            for j in range(i + 1, n + 1):
+                pairs = {(x, y) for x, y, k in zip(a[i:j].tolist(), b[i:j].tolist(), kind[i:j]) if k}
+                if len({x for x, _ in pairs}) == len(pairs) == len({y for _, y in pairs}) and j - i > want[0]:
+                    want = (j - i, i, all(x == y for x, y in pairs))
+        assert dc._longest(doc, 0, item, 0, n) == want
+
+
+def test_changed_question_with_one_number_twice(spark, make):
+    words = "the farmer keeps 6 sheep beside red barns and 6 goats behind tall hedges near our old mill".split()
+    assert len(words) == 18 and words[3] == words[9] == "6"
+    words[3], words[9] = "4", "8"
+    items = spark.createDataFrame([(1, " ".join(words).replace("4", "6").replace("8", "6"))], "item_id long, text string")
+    got = find_contamination(make([(1, " ".join(words))]), items).collect()
+    assert [(x.n_matched, x.start, x.verbatim) for x in got] == [(14, 4, False)]

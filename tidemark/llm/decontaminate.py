@@ -246,20 +246,20 @@ def _shared(doc: np.ndarray, item: np.ndarray, least: int) -> tuple[int, int, in
 def _longest(doc: Templates, d0: int, item: Templates, i0: int, n: int) -> tuple[int, int, bool]:
     """(tokens, start, verbatim) of the longest stretch of n matched tokens whose
     placeholders' values map one to one."""
-    best, start, there, back, same = (0, 0, True), 0, {}, {}, True
-    for k in range(n + 1):
-        clash = False
-        if k < n and item.kind[i0 + k] != LITERAL:
-            a, b = int(item.value[i0 + k]), int(doc.value[d0 + k])
-            clash = there.setdefault(a, b) != b or back.setdefault(b, a) != a
-        if k == n or clash:
-            if k - start > best[0]:
-                best = (k - start, start, same)
-            if k == n:
-                return best
-            start, there, back, same = k, {a: b}, {b: a}, True
+    best, start, there, back, differs = (0, 0, True), 0, {}, {}, -1
+    for k in range(n):
         if item.kind[i0 + k] != LITERAL:
-            same &= a == b
+            a, b = int(item.value[i0 + k]), int(doc.value[d0 + k])
+            # a stretch with this token begins after the last one that is at odds with it
+            for seen, x, y in ((there, a, b), (back, b, a)):
+                was, at = seen.get(x, (y, -1))
+                if was != y:
+                    start = max(start, at + 1)
+                seen[x] = y, k
+            if a != b:
+                differs = k
+        if k + 1 - start > best[0]:
+            best = (k + 1 - start, start, differs < start)
     return best
 
 
