@@ -209,3 +209,24 @@ def test_changed_question_with_one_number_twice(spark, make):
     items = spark.createDataFrame([(1, " ".join(words).replace("4", "6").replace("8", "6"))], "item_id long, text string")
     got = find_contamination(make([(1, " ".join(words))]), items).collect()
     assert [(x.n_matched, x.start, x.verbatim) for x in got] == [(14, 4, False)]
+
+
+def test_groups_that_fit_stay_whole(spark, make):
+    sizes = [40, 39, 38, 36, 30, 26, 22, 20, 12, 9, 7, 5, 3, 2]  # of 41 or 40 seats a shard
+    texts = [f"group {n}" for n in sizes for _ in range(n)] + ["hot"] * 540
+    texts += [f"alone {k}" for k in range(1610 - len(texts))]
+    rows = list(enumerate(texts))
+    shards = {}
+    for x in check_shards(spark, make(rows), rows):
+        shards.setdefault(texts[x.doc_id], set()).add(x.shard)
+    assert all(len(shards[f"group {n}"]) == 1 for n in sizes)
+    assert len(shards["hot"]) == 14
+
+
+def test_all_seats_taken_by_groups(spark, make):
+    rows = [(i, f"pair {i // 5}") for i in range(400)]  # 80 groups of 5 in 40 shards of 10
+    assert len({(x.shard, dict(rows)[x.doc_id]) for x in check_shards(spark, make(rows), rows)}) == 80
+    rows = [(i, f"six {i // 6}") for i in range(396)] + [(i, str(i)) for i in range(396, 400)]
+    placed = {(x.shard, dict(rows)[x.doc_id]) for x in check_shards(spark, make(rows), rows)}
+    per = Counter(t for _, t in placed if t.startswith("six"))
+    assert sum(n == 1 for n in per.values()) == 40 and max(per.values()) <= 2
