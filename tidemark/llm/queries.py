@@ -17,6 +17,7 @@ from tidemark.llm.quality import op5
 from tidemark.llm.sharding import op10
 from tidemark.llm.substring_dedup import op8
 from tidemark.llm.suffix_dedup import op9
+from tidemark.llm.token_files import op11
 
 
 def _on_documents(fn: Callable[[SparkSession, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -48,4 +49,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": _on_documents(op8),
     "op9_suffix_dedup": _on_documents(op9),
     "op10_sharding": _on_documents(op10),
+    "op11_token_files": _on_documents(op11),
 }
