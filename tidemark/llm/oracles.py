@@ -81,3 +81,35 @@ SELECT doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(ot
        doc_id = min(other) AS kept
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
+
+#: all sequences of one to five words of a piece, counted as strings
+ORACLE_SQL["op12_collocations"] = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM piece
+), total AS (
+  SELECT lang, sum(len(words)) AS n FROM w GROUP BY lang
+), gram AS (
+  SELECT lang, m, unnest(list_transform(generate_series(1, len(words) - m + 1), lambda i: array_to_string(words[i:i + m - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3), (4), (5)) AS s(m) WHERE len(words) >= m
+), f AS (
+  SELECT lang, phrase, m, count(*) AS f FROM gram GROUP BY ALL HAVING count(*) >= 100
+), cut AS (
+  SELECT lang, phrase, f AS a, m, unnest(generate_series(1, m - 1)) AS k, string_split(phrase, ' ') AS words FROM f WHERE m > 1
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.m, c.k, x.f AS l, y.f AS r, n,
+         CAST(1000 AS HUGEINT) * c.a * n // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[k + 1:], ' ') JOIN total t ON t.lang = c.lang
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM f q WHERE q.lang = b.lang AND q.m > b.m AND 100 * q.f >= 100 * b.a
+    AND contains(' ' || q.phrase || ' ', ' ' || b.phrase || ' '))
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.alignment import op13
+from tidemark.llm.collocations import op12
 from tidemark.llm.common import ship_package, table
 from tidemark.llm.decontaminate import op6
 from tidemark.llm.fingerprints import op3
@@ -51,5 +52,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": _on_documents(op9),
     "op10_sharding": _on_documents(op10),
     "op11_token_files": _on_documents(op11),
+    "op12_collocations": _on_documents(op12),
     "op13_token_alignment": _on_documents(op13),
 }
