@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.json import json_key
 from tidemark.functions.timez import ts_literal, unix_ms_to_local
+from tidemark.operators.landing import Run, append_once, appended, candidate_files, finish_appends, read_landing
 from tidemark.session import hadoop_fs, path_exists
 
 # Fixed values of the consumer-spec format (they must equal the existing specs):
@@ -66,10 +67,10 @@ class IngestSpec:
     def from_dict(d: Mapping[str, Any], topic: str | None = None) -> "IngestSpec":
         src = d.get("source", {}) or {}
         tgt = d.get("target", {}) or {}
-        msg_type = "string"
-        for c in tgt.get("custom-config", []) or []:
-            if c.get("name") == "melding" and "BLOB" in str(c.get("value", "")).upper():
-                msg_type = "binary"
+        # the column that takes the payload, under whatever name, may be bound as BLOB
+        payload = {str(x["dst"]) for x in d.get("transform", []) if x.get("src") == "kafka_message"}
+        bound = {str(c.get("name")): str(c.get("value", "")).upper() for c in tgt.get("custom-config", []) or []}
+        msg_type = "binary" if any("BLOB" in bound.get(c, "") for c in payload) else "string"
         t = src.get("topic")
         if topic is not None:
             t = topic
@@ -164,24 +165,29 @@ def skip_duplicates(incoming: DataFrame, target: DataFrame | None, keys: Sequenc
     """Incoming rows whose key is neither repeated in the batch nor already in the target.
 
     The target only grows; before the anti join it is cut to the offset range of
-    the batch, per topic.  An empty key list appends everything (one consumer has
-    no duplicate check).  Rows with a NULL in their key match nothing: every one
-    of them is kept, from each replay too.
+    the batch, per topic (``offset_col=None``: the target is cut already).  An empty
+    key list appends everything (one consumer has no duplicate check).  Rows with a
+    NULL in their key match nothing and are all kept; a repeated run is told by its
+    name instead (``landing``).  Such rows get a key of their own, so the batch is
+    read once for its rows and once for its ranges.
     """
     keys = list(keys)
     if not keys:
         return incoming
     whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
-    batch = incoming.where(whole).dropDuplicates(keys)
+    own = F.when(~whole, F.monotonically_increasing_id())
+    batch = incoming.withColumn("_own", own).dropDuplicates([*keys, "_own"]).drop("_own")
     if target is not None:
-        tgt = _in_batch_range(target.select(*keys), incoming.where(whole), keys, offset_col, topic_col)
-        batch = batch.join(tgt, keys, "left_anti").select(*incoming.columns)
-    return batch.unionByName(incoming.where(~whole))
+        tgt = target.select(*keys)
+        if offset_col:
+            tgt = _in_batch_range(tgt, incoming.where(whole), keys, offset_col, topic_col)
+        batch = batch.join(tgt, keys, "left_anti")
+    return batch.select(*incoming.columns)
 
 
 def ingest_batch(spark: SparkSession, spec: IngestSpec, envelope: DataFrame, target_path: str,
                  batch_time: _dt.datetime | None = None, partition_by: Sequence[str] | None = None,
-                 dedupe_keys: Sequence[str] | None = None) -> DataFrame:
+                 dedupe_keys: Sequence[str] | None = None, run: Run | None = None) -> DataFrame:
     """Map one batch, drop duplicates against the target and append it.
 
     Returns the appended rows, read back from the files that were written.
@@ -189,76 +195,84 @@ def ingest_batch(spark: SparkSession, spec: IngestSpec, envelope: DataFrame, tar
     a failed run are safe.  The envelope is read once: the batch is kept while
     its ranges and its rows are used (a lost block is read again).
 
+    ``run``: the name of this append, such as a slice's.  A run that has appended
+    once never does again, also without keys and for rows with a NULL key; what it
+    appended is returned.
+
     ``partition_by``: folders of a new landing table, by default its topics; an
     existing table keeps its own layout.
     """
     mapped = apply_spec(envelope, spec, batch_time)
     keys = list(dedupe_keys) if dedupe_keys is not None else spec.dedupe_keys()
-    return _append_new(spark, mapped, target_path, keys, partition_by)
-
-
-def _read_target(spark: SparkSession, target_path: str, like: DataFrame) -> DataFrame | None:
-    """The landing table with the batch's schema, so partition columns keep
-    their types (a topic named ``123`` stays text)."""
-    if not path_exists(spark, target_path):
-        return None
-    return spark.read.schema(like.schema).parquet(target_path)
+    return _append_new(spark, mapped, target_path, keys, partition_by, run)
 
 
 def _layout(spark: SparkSession, target_path: str, columns: Sequence[str],
             asked: Sequence[str] | None) -> list[str]:
     """Partition columns: the existing table's, else those asked for, else the topic."""
-    fs, p = hadoop_fs(spark, target_path)
-    found, at = [], p
+    fs, at = hadoop_fs(spark, target_path)
+    found, empty = [], True
     while fs.exists(at):
-        inner = [x.getPath() for x in fs.listStatus(at) if x.isDirectory() and "=" in x.getPath().getName()]
+        below = [x for x in fs.listStatus(at) if not x.getPath().getName().startswith(("_", "."))]
+        empty = empty and not below
+        inner = [x.getPath() for x in below if x.isDirectory() and "=" in x.getPath().getName()]
         if not inner:
             break
         found.append(inner[0].getName().split("=", 1)[0])
         at = inner[0]
-    if found or path_exists(spark, target_path):
+    if not empty:
         return found
     return list(asked) if asked is not None else [c for c in ("kafka_topic",) if c in columns]
 
 
+def _landed(spark: SparkSession, target_path: str, batch: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """What the batch is compared with: the table's files that may hold one of its keys,
+    the table cut to the batch's ranges if it has no such index, None if it is empty."""
+    if not keys or not path_exists(spark, target_path):
+        return None
+    offset = "kafka_offset" if "kafka_offset" in keys else None
+    topic = "kafka_topic" if "kafka_topic" in keys else None
+    finish_appends(spark, target_path)
+    files = candidate_files(spark, target_path, batch, keys, offset, topic) if offset else None
+    if files is not None:
+        return read_landing(spark, target_path, batch.schema, files) if files else None
+    return _in_batch_range(read_landing(spark, target_path, batch.schema), batch, keys, offset, topic)
+
+
 def _append_new(spark: SparkSession, mapped: DataFrame, target_path: str, keys: Sequence[str],
-                partition_by: Sequence[str] | None) -> DataFrame:
+                partition_by: Sequence[str] | None, run: Run | None) -> DataFrame:
     """Append the rows that are new and return them.
 
     Rows of a topic come together in few tasks (a large topic is split by size)
     and are sorted by (topic, partition, offset) inside each file, so files are
     neither tiny nor wide in their min/max statistics.
     """
+    run = run or Run.once()
+    before = appended(spark, target_path, run, mapped.schema)
+    if before is not None:
+        return before.select(*mapped.columns)
     parts = _layout(spark, target_path, mapped.columns, partition_by)
     mapped.persist()
     try:
-        target = _read_target(spark, target_path, mapped)
-        before = set(target.inputFiles()) if target is not None else set()
-        out = skip_duplicates(mapped, target, keys)
+        out = skip_duplicates(mapped, _landed(spark, target_path, mapped, keys), keys, offset_col=None)
         near = [c for c in ("kafka_topic",) if c in out.columns] or parts
         out = out.hint("rebalance", *near) if near else out
         order = [c for c in ("kafka_topic", "kafka_partition", "kafka_offset") if c in out.columns]
         out = out.sortWithinPartitions(*order) if order else out
-        w = out.write.mode("append")
-        (w.partitionBy(*parts) if parts else w).parquet(target_path)
+        new = append_once(out, target_path, run, parts, keys, "kafka_offset", "kafka_topic")
     finally:
         mapped.unpersist()
-    after = spark.read.schema(mapped.schema).parquet(target_path)
-    new = [f for f in after.inputFiles() if f not in before]
-    if not new:
-        return after.limit(0).select(*mapped.columns)
-    return (spark.read.schema(mapped.schema).option("basePath", target_path).parquet(*new)
-            .select(*mapped.columns))
+    return new.select(*mapped.columns)
 
 
 def ingest_many(spark: SparkSession, parts: Sequence[tuple[IngestSpec, DataFrame]], target_path: str,
                 batch_time: _dt.datetime | None = None, partition_by: Sequence[str] | None = None,
-                dedupe_keys: Sequence[str] | None = None) -> DataFrame:
+                dedupe_keys: Sequence[str] | None = None, run: Run | None = None) -> DataFrame:
     """Fan-in: several specs (one per topic) into one shared target in one job.
 
     Each envelope is mapped by its own spec; the results are unioned by column
     name (the specs must produce the same columns), checked for duplicates once
-    and appended once.
+    and appended once (``run``: as in ``ingest_batch``).
     """
     if not parts:
         raise ValueError("nothing to ingest")
@@ -267,7 +281,7 @@ def ingest_many(spark: SparkSession, parts: Sequence[tuple[IngestSpec, DataFrame
         m = apply_spec(env, spec, batch_time)
         mapped = m if mapped is None else mapped.unionByName(m)
     keys = list(dedupe_keys) if dedupe_keys is not None else parts[0][0].dedupe_keys()
-    return _append_new(spark, mapped, target_path, keys, partition_by)
+    return _append_new(spark, mapped, target_path, keys, partition_by, run)
 
 
 __all__ = ["FieldMap", "IngestSpec", "apply_spec", "skip_duplicates", "ingest_batch", "ingest_many",

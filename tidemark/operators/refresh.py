@@ -35,7 +35,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import delete_path, hadoop_fs, path_exists, rename_path
+from tidemark.session import delete_path, hadoop_fs, path_exists, read_text, rename_path, write_text
 
 
 # Characters that Spark percent-escapes in partition folder names
@@ -80,24 +80,6 @@ def _folders(spark: SparkSession, folder: str) -> list[str]:
     return [x.getPath().getName() for x in fs.listStatus(p) if x.isDirectory()] if fs.exists(p) else []
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file that is there as a whole or not at all."""
-    fs, p = hadoop_fs(spark, f"{path}.tmp")
-    out = fs.create(p, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    rename_path(spark, f"{path}.tmp", path)
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = hadoop_fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
 def _finish(spark: SparkSession, target: str, folder: str) -> None:
     """Step 3 for one decided refresh; every part of it may be found done."""
     work = f"{target}/_refresh/{folder}"
@@ -107,7 +89,7 @@ def _finish(spark: SparkSession, target: str, folder: str) -> None:
         for name in _files(spark, f"{work}/new/{part}"):
             if name.startswith("part-"):
                 rename_path(spark, f"{work}/new/{part}/{name}", f"{target}/{part}/{name}")
-    for name in _read_text(spark, f"{work}/old").splitlines():
+    for name in read_text(spark, f"{work}/old").splitlines():
         delete_path(spark, f"{target}/{folder}/{name}")
     if not _files(spark, f"{target}/{folder}"):
         delete_path(spark, f"{target}/{folder}")
@@ -139,7 +121,7 @@ def period_refresh(spark: SparkSession, target_path: str, source: DataFrame, per
     if folder not in finish_refreshes(spark, target):
         work = f"{target}/_refresh/{folder}"
         write_periodic(src, f"{work}/new", period_col)
-        _write_text(spark, f"{work}/old", "\n".join(_files(spark, f"{target}/{folder}")))
+        write_text(spark, f"{work}/old", "\n".join(_files(spark, f"{target}/{folder}")))
         _finish(spark, target, folder)
     return read_periodic(spark, target, src.schema, cols)
 

@@ -17,9 +17,8 @@ sampled or capped.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.json import json_key, json_value
@@ -31,86 +30,20 @@ from tidemark.functions.timez import (date_text, local_day, minute, ntz_to_unix_
 from tidemark.operators.counts import (calendar_bound, count_metrics, recent_counts,
                                        recent_distinct, rolling_bound, typed_counts)
 from tidemark.operators.gaps import gap_count, offset_gaps
-from tidemark.operators.ingest import (FieldMap, IngestSpec, apply_spec, ingest_batch, ingest_many,
-                                       skip_duplicates)
+from tidemark.operators.ingest import apply_spec, ingest_batch, ingest_many, skip_duplicates
 from tidemark.operators.joins import (new_values, not_in_values, unmatched_count,
                                       validity_join_count)
 from tidemark.operators.reconcile import distinct_by_code, reconcile
 from tidemark.operators.refresh import period_refresh, write_periodic
 from tidemark.operators.runs import run_success_counts, run_success_report
+from tidemark.plans import landing_queries
+from tidemark.plans.inputs import (AS_OF, BATCH_TIME, OFFSET_FLOOR, REPLAY_A, REPLAY_B, REPLAY_TIME, SLICE, Query,
+                                   events_envelope, landing_spec, spec_without, table)
 from tidemark.plans.reports import (code_lists, gap_alert, joined_lines, metric_rows, monthly_reconciliation,
                                     report_lines, report_text, union_metrics)
 from tidemark.session import work_dir
-from tidemark.sources.kafka import slice_envelope, table_as_envelope
-from tidemark.sources.tables import copy_table, read_table, stream_table
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)
-BATCH_TIME = _dt.datetime(2024, 1, 31, 0, 0, 0)
-REPLAY_TIME = _dt.datetime(2024, 1, 31, 1, 0, 0)
-OFFSET_FLOOR = 1000
-N_PARTITIONS = 4
-
-
-def _ms(y: int, m: int, d: int) -> int:
-    return int(_dt.datetime(y, m, d, tzinfo=_dt.timezone.utc).timestamp() * 1000)
-
-
-SLICE = (_ms(2024, 1, 10), _ms(2024, 1, 12))
-REPLAY_A = (_ms(2024, 1, 5), _ms(2024, 1, 15))
-REPLAY_B = (_ms(2024, 1, 10), _ms(2024, 1, 20))
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def events_envelope(spark: SparkSession, sf_dir: str, start_ms: int | None = None,
-                    stop_ms: int | None = None) -> DataFrame:
-    """``events`` seen as consumed messages (slice bounds reach the scan)."""
-    return table_as_envelope(table(spark, sf_dir, "events"), message="props", topic="event_type",
-                             offset="event_id", ts="ts", partition="user_id",
-                             n_partitions=N_PARTITIONS, start_ms=start_ms, stop_ms=stop_ms)
-
-
-# Column names of the warehouse tables that users query.
-#   landing table: melding, kafka_topic, kafka_offset, kafka_mottatt_dato,
-#                  kafka_partition, lastet_dato, ytelse_type, type_stonad
-#   identity dimension: off_id, skjermet_kode, gyldig_fra_dato, gyldig_til_dato
-#   period settings: periode, periode_fom, periode_tom, max_vedtaksdato, gyldig_flagg
-# Ingest spec in the shape of the consumer configs (our own topic and literal).
-LANDING_SPEC = {
-    "source": {"type": "kafka", "batch-size": 10000, "batch-interval": 5, "topic": "{}",
-               "group-id": "tidemark", "schema": "json", "keypath-seperator": "/"},
-    "target": {"type": "parquet", "table": "events_landing",
-               "skip-duplicates-with": ["kafka_offset", "kafka_topic", "kafka_partition"]},
-    "transform": [
-        {"src": "kafka_message", "dst": "melding"},
-        {"src": "kafka_topic", "dst": "kafka_topic"},
-        {"src": "kafka_offset", "dst": "kafka_offset"},
-        {"src": "kafka_timestamp", "dst": "kafka_mottatt_dato", "fun": "int-unix-ms -> datetime-no"},
-        {"src": "kafka_partition", "dst": "kafka_partition"},
-        {"src": "$$$BATCH_TIME", "dst": "lastet_dato"},
-        {"src": "k", "dst": "ytelse_type"},
-        {"src": "$EVENTS", "dst": "type_stonad"},
-    ],
-}
-
-
-def landing_spec(topic: str | None = None, literal: str | None = None) -> IngestSpec:
-    spec = IngestSpec.from_dict(LANDING_SPEC, topic=topic)
-    if literal is None:
-        return spec
-    tr = tuple(FieldMap(f"${literal}", f.dst) if f.dst == "type_stonad" else f
-               for f in spec.transform)
-    return IngestSpec(**{**spec.__dict__, "transform": tr})
-
-
-def spec_without(spec: IngestSpec, *dst: str) -> IngestSpec:
-    tr = tuple(f for f in spec.transform if f.dst not in dst)
-    return IngestSpec(**{**spec.__dict__, "transform": tr})
-
+from tidemark.sources.kafka import slice_envelope
+from tidemark.sources.tables import copy_table, read_table
 
 # --------------------------------------------------------------------------- gaps
 
@@ -180,10 +113,11 @@ def q_json_value(spark, sf):
 
 
 def json_shapes(spark, sf) -> DataFrame:
-    """Documents of eight shapes, made from the events' ids."""
-    n, k = F.col("event_id").cast("string"), F.col("event_id") % 8
+    """Documents of ten shapes, made from the events' ids."""
+    n, k = F.col("event_id").cast("string"), F.col("event_id") % 10
     parts = ['{"k":{"a":#}}', '{"k":[#]}', '{"k":null}', '{"k":"#"}', '{"k":#', '{"k":{"a":1,"a":#}}',
-             '{"a.b":"#","a":{"b":"y"},"k":"{#}"}', '{"z":1,"z":2,"k":#}']
+             '{"a.b":"#","a":{"b":"y"},"k":"{#}"}', '{"z":1,"z":2,"k":#}',
+             '{"k":{"a":#},"x":"{\\"a\\":#}","z":1,"z":2}', '{"k":"[#]","z":1,"z":2}']
     doc = F.element_at(F.array(*[F.lit(p) for p in parts]), k.cast("int") + 1)
     return table(spark, sf, "events").select("event_id", F.replace(doc, F.lit("#"), n).alias("doc"))
 
@@ -464,9 +398,11 @@ REPEATED_FROM = _dt.datetime(2024, 1, 28)
 
 def q_skip_duplicates(spark, sf):
     """Target = messages landed before Jan 20; incoming = everything from Jan 15
-    on, with the last days delivered twice.  Result: the rows to append."""
+    on, with the last days delivered twice; some messages have no offset and are
+    all new.  Result: the rows to append."""
     env = events_envelope(spark, sf)
-    cols = [F.col("kafka_topic"), F.col("kafka_partition"), F.col("kafka_offset"),
+    offset = F.when(F.col("kafka_offset") % 97 != 0, F.col("kafka_offset"))
+    cols = [F.col("kafka_topic"), F.col("kafka_partition"), offset.alias("kafka_offset"),
             F.col("kafka_message").alias("melding")]
     ts = unix_ms_to_ntz(F.col("kafka_timestamp"))
     target = env.where(ts < ts_literal(LANDED_UNTIL)).select(*cols)
@@ -498,22 +434,6 @@ def q_replay_idempotent(spark, sf):
     return spark.read.parquet(target).select(*spec.columns)
 
 
-def q_stream_ingest(spark, sf):
-    """ST1: file stream, availableNow, foreachBatch duplicate skip and append."""
-    from tidemark.streaming.ingest import run_ingest
-
-    path = f"{sf.rstrip('/')}/events.parquet"
-    stream = stream_table(spark, path, table(spark, sf, "events").schema)
-    env = table_as_envelope(stream, message="props", topic="event_type", offset="event_id",
-                            ts="ts", partition="user_id", n_partitions=N_PARTITIONS)
-    target = work_dir(spark, "stream-target")
-    ckpt = work_dir(spark, "stream-ckpt")
-    spec = landing_spec()
-    # no time limit: the bounded availableNow run ends when the input is consumed
-    run_ingest(env, spec, target, ckpt, batch_time=BATCH_TIME)
-    return spark.read.parquet(target).select(*spec.columns)
-
-
 # ------------------------------------------------------------------- run history
 
 RUN_WINDOW = (_dt.datetime(1996, 1, 1, 10), _dt.datetime(1997, 1, 1, 10))
@@ -773,7 +693,6 @@ QUERIES: dict[str, Query] = {
     "skip_duplicates": q_skip_duplicates,
     "fan_in_ingest": q_fan_in_ingest,
     "replay_idempotent": q_replay_idempotent,
-    "stream_ingest": q_stream_ingest,
     "run_success_counts": q_run_success_counts,
     "run_success_report": q_run_success_report,
     "prev_period": q_prev_period,
@@ -792,4 +711,5 @@ QUERIES: dict[str, Query] = {
     "weekly_report": q_weekly_report,
     "weekly_report_text": q_weekly_report_text,
     "weekly_new_codes": q_weekly_new_codes,
+    **landing_queries.QUERIES,
 }

@@ -86,13 +86,22 @@ JSON_VALUE = f"""
 SELECT event_id, {_jv('props', '$.k')} AS k, {_jv('props', '$.missing')} AS missing FROM events
 """
 
-JSON_SHAPES = """
-SELECT event_id,
-       CASE event_id % 8 WHEN 3 THEN CAST(event_id AS VARCHAR) WHEN 6 THEN '{' || event_id || '}'
-                         WHEN 7 THEN CAST(event_id AS VARCHAR) END AS k,
-       CASE event_id % 8 WHEN 6 THEN CAST(event_id AS VARCHAR) END AS dotted,
-       CASE event_id % 8 WHEN 6 THEN 'y' END AS nested
-FROM events
+#: the same documents, parsed as JSON
+_SHAPES = """(SELECT event_id, replace(CASE event_id % 10 WHEN 0 THEN '{"k":{"a":#}}' WHEN 1 THEN '{"k":[#]}'
+    WHEN 2 THEN '{"k":null}' WHEN 3 THEN '{"k":"#"}' WHEN 4 THEN '{"k":#' WHEN 5 THEN '{"k":{"a":1,"a":#}}'
+    WHEN 6 THEN '{"a.b":"#","a":{"b":"y"},"k":"{#}"}' WHEN 7 THEN '{"z":1,"z":2,"k":#}'
+    WHEN 8 THEN '{"k":{"a":#},"x":"{\\"a\\":#}","z":1,"z":2}' ELSE '{"k":"[#]","z":1,"z":2}' END,
+    '#', CAST(event_id AS VARCHAR)) AS doc FROM events)"""
+
+
+def _if_json(value: str) -> str:
+    return f"CASE WHEN json_valid(doc) THEN {value} END"
+
+
+JSON_SHAPES = f"""
+SELECT event_id, {_if_json(_jv('doc', '$.k'))} AS k, {_if_json(_jv('doc', '$."a.b"'))} AS dotted,
+       {_if_json(_jv('doc', '$.a.b'))} AS nested
+FROM {_SHAPES}
 """
 
 TEXT_DECISION_DAY = f"""
@@ -259,9 +268,15 @@ FROM events
 """
 
 SKIP_DUPLICATES = """
-SELECT event_type AS kafka_topic, CAST(user_id % 4 AS INTEGER) AS kafka_partition,
-       event_id AS kafka_offset, props AS melding
-FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'
+WITH message AS (
+  SELECT event_type AS kafka_topic, CAST(user_id % 4 AS INTEGER) AS kafka_partition,
+         CASE WHEN event_id % 97 <> 0 THEN event_id END AS kafka_offset, props AS melding, ts FROM events
+)
+SELECT * EXCLUDE (ts) FROM message WHERE kafka_offset IS NOT NULL AND ts >= TIMESTAMP '2024-01-20 00:00:00'
+UNION ALL
+SELECT * EXCLUDE (ts) FROM message WHERE kafka_offset IS NULL AND ts >= TIMESTAMP '2024-01-15 00:00:00'
+UNION ALL
+SELECT * EXCLUDE (ts) FROM message WHERE kafka_offset IS NULL AND ts >= TIMESTAMP '2024-01-28 00:00:00'
 """
 
 FAN_IN_INGEST = f"""
@@ -549,3 +564,7 @@ ORACLE_SQL: dict[str, str] = {
     "weekly_new_codes": WEEKLY_NEW_CODES,
     "monthly_reconciliation": MONTHLY_RECONCILIATION,
 }
+
+from tidemark.plans.landing_oracle import ORACLE_SQL as _LANDING_SQL  # noqa: E402
+
+ORACLE_SQL |= _LANDING_SQL

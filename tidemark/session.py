@@ -113,5 +113,23 @@ def rename_path(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"cannot rename {path} to {to}")
 
 
-__all__ = ["rename_path", "get_session", "ensure_checkpoint_dir", "work_dir", "path_exists",
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    fs, p = hadoop_fs(spark, f"{path}.tmp")
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename_path(spark, f"{path}.tmp", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = hadoop_fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+__all__ = ["rename_path", "write_text", "read_text", "get_session", "ensure_checkpoint_dir", "work_dir", "path_exists",
            "delete_path"]

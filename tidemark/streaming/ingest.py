@@ -2,8 +2,9 @@
 
 ``readStream`` (Kafka, or files in tests) -> envelope -> ``foreachBatch``:
 map with the spec, skip duplicates against the target, append.  Offsets of
-the source live in the checkpoint; the duplicate check makes a replayed
-micro-batch (after a lost executor or a restart) append nothing.  Trigger
+the source live in the checkpoint.  A micro-batch is appended under the query's
+id and its number, so one that is replayed (after a lost executor or a restart)
+appends nothing, whether its spec has keys or not.  Trigger
 ``availableNow`` gives the bounded, scheduled run; ``batch-size`` becomes
 ``maxOffsetsPerTrigger`` (Kafka) or ``maxFilesPerTrigger`` (files).
 """
@@ -11,12 +12,22 @@ micro-batch (after a lost executor or a restart) append nothing.  Trigger
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.ingest import IngestSpec, ingest_batch
+from tidemark.operators.landing import Run
+from tidemark.session import read_text
+
+
+def query_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """Id of the query of a checkpoint (it is there before the first micro-batch;
+    a checkpoint that is begun anew has another one)."""
+    return json.loads(read_text(spark, f"{checkpoint_path.rstrip('/')}/metadata"))["id"]
+
 
 BatchTime = _dt.datetime | Callable[[int], _dt.datetime] | None
 
@@ -37,8 +48,9 @@ def start_ingest(envelope_stream: DataFrame, spec: IngestSpec, target_path: str,
         bt = batch_time(epoch_id) if callable(batch_time) else batch_time
         if bt is None:
             bt = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        run = Run(query_id(batch.sparkSession, checkpoint_path), epoch_id)
         ingest_batch(batch.sparkSession, spec, batch, target_path, bt,
-                     partition_by=partition_by, dedupe_keys=dedupe_keys)
+                     partition_by=partition_by, dedupe_keys=dedupe_keys, run=run)
 
     w = (envelope_stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint_path))
@@ -58,6 +70,11 @@ def run_ingest(envelope_stream: DataFrame, spec: IngestSpec, target_path: str,
                partition_by: Sequence[str] | None = None) -> None:
     """Run an ``availableNow`` ingest to completion (the hourly scheduled run)."""
     q = start_ingest(envelope_stream, spec, target_path, checkpoint_path, batch_time, dedupe_keys, partition_by)
+    finish(q, timeout_s)
+
+
+def finish(q: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for the end of a bounded query; its failure is raised."""
     if timeout_s is None:
         q.awaitTermination()
     else:
@@ -69,4 +86,4 @@ def run_ingest(envelope_stream: DataFrame, spec: IngestSpec, target_path: str,
         raise RuntimeError(str(q.exception()))
 
 
-__all__ = ["start_ingest", "run_ingest"]
+__all__ = ["start_ingest", "run_ingest", "finish", "query_id"]
