@@ -11,7 +11,7 @@ from tidemark.operators.ingest import IngestSpec, ingest_batch, skip_duplicates
 from tidemark.operators.landing import (Run, append_once, appended, candidate_files, finish_appends, index_table,
                                         read_index, read_landing)
 from tidemark.plans import landing_queries as q
-from tidemark.session import work_dir
+from tidemark.session import list_names, work_dir
 from tidemark.sources.tables import stream_table
 from tidemark.streaming.ingest import query_id, run_ingest
 from tidemark.streaming.unpack import UnpackSpec, rejected_rows, run_unpack, typed_rows, unpack
@@ -92,7 +92,7 @@ def test_old_entries_go(spark, monkeypatch):
     for n in range(4):
         append_once(_rows(spark, "a", [n]), target, Run("s", n))
     append_once(_rows(spark, "a", [9]), target, Run.once())
-    names = [n for w in ("s", landing.ONCE) for n, _ in landing._names(spark, f"{target}/_ledger/{w}") if "crc" not in n]
+    names = [n for w in ("s", landing.ONCE) for n, _ in list_names(spark, f"{target}/_ledger/{w}") if "crc" not in n]
     assert sorted(names) == ["2.done", "3.done"]
     assert read_landing(spark, target, SCHEMA).count() == 5
 
@@ -266,7 +266,7 @@ def test_stages_stop_and_go_on_by_themselves(spark, monkeypatch):
             second()
     second()
     check([1, 2, 3, 4, 5, 6, 8, 9, 12, 16, 17])
-    assert len([n for n, _ in landing._names(spark, f"{c2}/commits") if n.isdigit()]) >= 3
+    assert len([n for n, _ in list_names(spark, f"{c2}/commits") if n.isdigit()]) >= 3
     finish_appends(spark, landing_path)
 
 

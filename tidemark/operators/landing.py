@@ -33,7 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.session import delete_path, hadoop_fs, path_exists, read_text, rename_path, write_text
+from tidemark.session import (data_files, delete_path, hadoop_fs, list_names, path_exists, read_text, rename_path,
+                              write_text)
 
 LEDGER, INDEX = "_ledger", "_index"
 #: File that names the keys (with types) of which the index holds every file of the table.
@@ -69,22 +70,6 @@ class Run(NamedTuple):
         return f"{writer}/{number}"
 
 
-def _names(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
-    """(name, is a folder) of what is right below ``folder``."""
-    fs, p = hadoop_fs(spark, folder)
-    return [(x.getPath().getName(), x.isDirectory()) for x in fs.listStatus(p)] if fs.exists(p) else []
-
-
-def _data_files(spark: SparkSession, folder: str, below: str = "") -> list[str]:
-    """Data files below ``folder`` as relative names."""
-    out = []
-    for name, is_folder in _names(spark, f"{folder}/{below}"):
-        if name.startswith(("_", ".")):
-            continue
-        out += _data_files(spark, folder, f"{below}{name}/") if is_folder else [below + name]
-    return out
-
-
 def _entry(spark: SparkSession, target: str, run: Run) -> dict | None:
     for end in (".done", ".json"):
         if path_exists(spark, f"{target}/{LEDGER}/{run.path}{end}"):
@@ -117,16 +102,16 @@ def _forget(spark: SparkSession, target: str, run: Run) -> None:
         delete_path(spark, f"{target}/{LEDGER}/{run.path}.done")
         return
     writer = run.path.split("/")[0]
-    done = [int(n[:-5]) for n, _ in _names(spark, f"{target}/{LEDGER}/{writer}") if re.fullmatch(r"\d+\.done", n)]
+    done = [int(n[:-5]) for n, _ in list_names(spark, f"{target}/{LEDGER}/{writer}") if re.fullmatch(r"\d+\.done", n)]
     for n in sorted(done)[:-KEEP]:
         delete_path(spark, f"{target}/{LEDGER}/{writer}/{n}.done")
 
 
 def finish_appends(spark: SparkSession, target: str) -> None:
     """Finish every decided append of the table."""
-    for writer, is_folder in _names(spark, f"{target}/{LEDGER}"):
+    for writer, is_folder in list_names(spark, f"{target}/{LEDGER}"):
         if is_folder:
-            for name, _ in _names(spark, f"{target}/{LEDGER}/{writer}"):
+            for name, _ in list_names(spark, f"{target}/{LEDGER}/{writer}"):
                 if name.endswith(".json"):
                     _publish(spark, target, f"{writer}/{name[:-5]}")
 
@@ -176,7 +161,7 @@ def append_once(df: DataFrame, target: str, run: Run, partition_by: Sequence[str
         delete_path(spark, work + left)
     w = df.write
     (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{work}.new")
-    files = _data_files(spark, f"{work}.new")
+    files = data_files(spark, f"{work}.new")
     if keys and files and offset in keys:
         new = spark.read.schema(df.schema).parquet(f"{work}.new")
         _index(new, f"{work}.new", keys, offset, topic).write.parquet(f"{work}.index")
@@ -194,7 +179,7 @@ def _key_types(df: DataFrame, keys: Sequence[str]) -> str:
 
 
 def _holds_data(spark: SparkSession, target: str) -> bool:
-    return any(not n.startswith(("_", ".")) for n, _ in _names(spark, target))
+    return any(not n.startswith(("_", ".")) for n, _ in list_names(spark, target))
 
 
 def _keep_index_whole(df: DataFrame, target: str, keys: Sequence[str]) -> None:

@@ -62,8 +62,16 @@ WHERE (file = 4 OR file = 3 AND event_id % 2 = 0 OR file = 1 AND event_id % 3 =
   AND (file = 4 OR event_id % 7 = 2)
 """
 
+GAP_STATE_MERGE = """
+SELECT event_type, event_id AS gap_from, nxt AS gap_to, nxt - event_id - 1 AS missing, ts FROM (
+  SELECT event_type, event_id, ts, LEAD(event_id) OVER (PARTITION BY event_type ORDER BY event_id) AS nxt
+  FROM events WHERE event_id % 11 <> 3)
+WHERE nxt - event_id > 1 AND event_id > 1000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "land_then_unpack": LAND_THEN_UNPACK,
     "replay_keyless": REPLAY_KEYLESS,
+    "gap_state_merge": GAP_STATE_MERGE,
     "late_duplicates": LATE_DUPLICATES,
 }

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.ingest import IngestSpec, ingest_batch
+from tidemark.operators.gap_state import state_gaps, update_gap_state
+from tidemark.operators.ingest import IngestSpec, apply_spec, ingest_batch
 from tidemark.operators.landing import Run, read_landing
-from tidemark.plans.inputs import (BATCH_TIME, N_PARTITIONS, REPLAY_A, REPLAY_B, Query, events_envelope, landing_spec,
-                                   spec_without, table)
+from tidemark.plans.inputs import (BATCH_TIME, N_PARTITIONS, OFFSET_FLOOR, REPLAY_A, REPLAY_B, Query, events_envelope,
+                                   landing_spec, spec_without, table)
 from tidemark.session import work_dir
 from tidemark.sources.kafka import table_as_envelope
 from tidemark.sources.tables import stream_table
@@ -118,7 +119,6 @@ def q_replay_keyless(spark, sf):
 
 
 def env_schema(spark: SparkSession, spec: IngestSpec, sf: str):
-    from tidemark.operators.ingest import apply_spec
     return apply_spec(events_envelope(spark, sf), spec, BATCH_TIME).schema
 
 
@@ -141,7 +141,22 @@ def q_late_duplicates(spark, sf):
                         run=Run("weeks", FILES - 1))
 
 
+# ------------------------------------------------------------------- running states
+
+def q_gap_state_merge(spark, sf):
+    """W1-W4 by state: gaps of all messages from a state that five deliveries were merged into,
+    each read once; some messages are late, some come twice, some never."""
+    ev = delivered(table(spark, sf, "events")).select(
+        "event_type", "event_id", "ts", F.when(F.col("event_id") % 7 == 2, F.least(F.col("file") + 2, F.lit(FILES - 1)))
+        .otherwise(F.col("file")).alias("file")).where("event_id % 11 <> 3")
+    path = work_dir(spark, "gap-state")
+    for k in range(FILES):
+        update_gap_state(spark, path, ev.where(F.col("file") == k), "event_id", ["event_type"], carry="ts", bucket_width=4096)
+    return state_gaps(spark, path, ev, ["event_type"], carry="ts", offset_floor=OFFSET_FLOOR)
+
+
 QUERIES: dict[str, Query] = {
+    "gap_state_merge": q_gap_state_merge,
     "stream_ingest": q_stream_ingest,
     "land_then_unpack": q_land_then_unpack,
     "replay_keyless": q_replay_keyless,

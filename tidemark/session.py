@@ -131,5 +131,21 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-__all__ = ["rename_path", "write_text", "read_text", "get_session", "ensure_checkpoint_dir", "work_dir", "path_exists",
+def list_names(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """(name, is a folder) of what is right below ``folder``."""
+    fs, p = hadoop_fs(spark, folder)
+    return [(x.getPath().getName(), x.isDirectory()) for x in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def data_files(spark: SparkSession, folder: str, below: str = "") -> list[str]:
+    """Data files below ``folder`` as relative names."""
+    out = []
+    for name, is_folder in list_names(spark, f"{folder}/{below}"):
+        if name.startswith(("_", ".")):
+            continue
+        out += data_files(spark, folder, f"{below}{name}/") if is_folder else [below + name]
+    return out
+
+
+__all__ = ["rename_path", "write_text", "read_text", "list_names", "data_files", "get_session", "ensure_checkpoint_dir", "work_dir", "path_exists",
            "delete_path"]
