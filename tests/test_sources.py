@@ -151,30 +151,50 @@ def test_csv_keeps_every_value(spark):
 
 
 def test_replace_keeps_the_old_table_until_the_new_one_is_there(spark, monkeypatch):
-    import tidemark.sources.tables as tables
+    import tidemark.sources.versions as versions
+    from tidemark.sources.tables import copy_table, read_table, replace_table
     target = work_dir(spark, "t-replace")
-    tables.replace_table(spark.range(3), target)
+    read = lambda: read_table(spark, target, fmt="versioned")
+    replace_table(spark.range(3), target)
     broken = spark.range(5).selectExpr("id", "raise_error('stop') as e")
     with pytest.raises(Exception):
-        tables.replace_table(broken, target)
-    assert spark.read.parquet(target).count() == 3
+        replace_table(broken, target)
+    assert read().count() == 3
+    began = read()
     # the target may be read by what replaces it
-    assert tables.copy_table(spark, spark.read.parquet(target).where("id > 0"), target).count() == 2
-    rename, calls = tables.rename_path, []
+    assert copy_table(spark, read().where("id > 0"), target).count() == 2
 
-    def once(session, path, to):
-        calls.append(path)
-        if len(calls) == 2:
-            raise OSError("stop")
-        rename(session, path, to)
+    def stop(*args):
+        raise OSError("stop")
 
-    monkeypatch.setattr(tables, "rename_path", once)
+    rename = versions.rename_path
+    monkeypatch.setattr(versions, "rename_path", stop)
     with pytest.raises(OSError):
-        tables.replace_table(spark.range(9), target)
-    monkeypatch.setattr(tables, "rename_path", rename)
-    tables.recover_table(spark, target)
-    assert spark.read.parquet(target).count() == 2
-    assert tables.replace_table(spark.range(9), target).count() == 9
+        replace_table(spark.range(9), target)
+    monkeypatch.setattr(versions, "rename_path", rename)
+    assert read().count() == 2 and began.count() == 3
+    assert replace_table(spark.range(9), target).count() == 9 == read().count()
+
+
+def test_a_reader_beside_a_writer_sees_whole_versions(spark):
+    import threading
+    from tidemark.sources.tables import read_table, replace_table
+    target, sums, done = work_dir(spark, "t-beside"), [], threading.Event()
+    replace_table(spark.range(100).selectExpr("id", "0 as v"), target)
+
+    def reads():
+        while not done.is_set() or len(sums) < 3:
+            rows = read_table(spark, target, fmt="versioned").agg({"v": "sum", "id": "count"}).first()
+            sums.append(tuple(rows))
+
+    t = threading.Thread(target=reads)
+    t.start()
+    for v in range(1, 4):
+        replace_table(spark.range(100).selectExpr("id", f"{v} as v").repartition(4), target)
+    done.set()
+    t.join()
+    assert {x for s in sums for x in s if x == 100 or x % 100 == 0} >= {100}
+    assert all(100 in s and sum(s) in (100, 200, 300, 400) for s in sums)
 
 
 def test_jdbc_options():
@@ -187,7 +207,7 @@ def test_jdbc_options():
         jdbc_options("t", {"url": "jdbc:x"})
 
 
-@pytest.mark.parametrize("stop", ["write", "decide", "move", "delete"])
+@pytest.mark.parametrize("stop", ["_new_cells", "publish", "after"])
 def test_period_refresh_survives_a_stop(spark, monkeypatch, stop):
     import tidemark.operators.refresh as refresh
     schema = "periode string, v long"
@@ -196,25 +216,33 @@ def test_period_refresh_survives_a_stop(spark, monkeypatch, stop):
     refresh.write_periodic(spark.createDataFrame(old, schema), target, "periode")
     source = spark.createDataFrame([("202402", 9), ("202403", 8)], schema)
     new = [("202401", 1), ("202402", 9), ("202403", 8)]
-    name, after = {"write": ("write_periodic", 0), "decide": ("_write_text", 0), "move": ("rename_path", 2),
-                   "delete": ("delete_path", 0)}[stop]
-    whole, calls = getattr(refresh, name), []
+    name = "read_periodic" if stop == "after" else stop
+    whole = getattr(refresh, name)
 
     def fail(*args, **kw):
-        calls.append(1)
-        if len(calls) > after:
-            raise OSError("stop")
-        return whole(*args, **kw)
+        raise OSError("stop")
 
     monkeypatch.setattr(refresh, name, fail)
     with pytest.raises(OSError):
-        refresh.period_refresh(spark, target, source, "periode", "202402")
+        refresh.period_refresh(spark, target, source, "periode", "202402", run="r1")
     monkeypatch.setattr(refresh, name, whole)
-    read = lambda: sorted(map(tuple, refresh.read_periodic(spark, target, source.schema, ["periode", "v"]).collect()))
-    assert read() == (old if stop in ("write", "decide") else new)
-    if stop in ("write", "decide"):
-        refresh.period_refresh(spark, target, source, "periode", "202402")
+    read = lambda: sorted(map(tuple, refresh.read_periodic(spark, target).collect()))
+    assert read() == (new if stop == "after" else old)
+    refresh.period_refresh(spark, target, source, "periode", "202402", run="r1")
     assert read() == new
+    # another refresh of the period has its own rows, whatever happened before
+    newer = spark.createDataFrame([("202402", 77)], schema)
+    refresh.period_refresh(spark, target, newer, "periode", "202402", run="r2")
+    assert read() == [("202401", 1), ("202402", 77), ("202403", 8)]
+    assert sorted(map(tuple, refresh.read_periodic(spark, target, periods=["202402", "209901"]).collect())) == [("202402", 77)]
+
+
+def test_refresh_of_a_plain_folder_is_refused(spark):
+    target = work_dir(spark, "t-plain")
+    df = spark.createDataFrame([("202401", 1)], "periode string, v long")
+    df.write.partitionBy("periode").parquet(target)
+    with pytest.raises(ValueError):
+        period_refresh(spark, target, df, "periode", "202401")
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402

@@ -5,23 +5,13 @@ Semantics of the warehouse job: ``DELETE FROM t WHERE periode = p`` followed by
 not filtered on ``p``; its rows of other periods are added to the table, and
 rows with a NULL period stay.
 
-The table is stored partitioned by the period column, so the refresh touches
-only the partition ``p`` and the partitions the source adds to - never the
-whole table.  Work is kept in ``_refresh/<p>`` below the table, which readers
-skip, named after the period so that a later run finds it:
-
-1. the source is written to ``_refresh/<p>/new`` (this also protects a source
-   that reads the target itself); the table has not changed so far;
-2. the names of the old partition's files are written to ``_refresh/<p>/old``
-   (one small file, written under another name and renamed): from here on the
-   refresh is decided and can only be finished;
-3. the new files are moved into the table's folders, then the old files are
-   deleted, then ``_refresh/<p>`` is.
-
-A failure in step 1 leaves the old table.  After step 2, ``read_periodic`` and the
-next ``period_refresh`` first finish what was begun; moves already made are found
-done.  A rerun for the same period after such a failure ends there: the rows of
-other periods are not added a second time.
+The table is kept in versions (``sources.versions``) with a cell for each period.  A
+refresh writes the source's rows as new files and publishes a version in which the
+period's cell holds these alone and other periods' cells have theirs added; no file
+of another period is read or written.  Readers see the old version or the new one.
+A refresh that stops before its version is published has changed nothing and is run
+again; one that is named by a ``run`` is not applied twice, so rows of other periods are
+not added a second time.
 
 Dynamic partition overwrite is *not* used: it would also replace every other
 period the source holds, and it would leave ``p`` untouched when the source has
@@ -32,98 +22,79 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import delete_path, hadoop_fs, path_exists, read_text, rename_path, write_text
+from tidemark.session import list_names
+from tidemark.sources.versions import Version, current, has_run, publish, read_version, write_cells
 
+_CELL = "cell_of_version"
+#: Cell of the rows without a period; the others' begin with ``=``.
+NO_PERIOD = "none"
 
-# Characters that Spark percent-escapes in partition folder names
-# (control characters too), so a folder path can be built for any period value.
-_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
 
+def _cell_of(period_col: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(period_col).cast("string")), F.lit(NO_PERIOD))
 
-def partition_folder(column: str, value: str) -> str:
-    """``column=value`` with the escaping Spark uses for partition folders."""
-    def esc(text: str) -> str:
-        return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED or ord(ch) < 0x20 else ch
-                       for ch in text)
-    return f"{esc(column)}={esc(value)}"
 
+def _new_cells(df: DataFrame, path: str, period_col: str) -> dict[str, list[str]]:
+    return write_cells(df.withColumn(_CELL, _cell_of(period_col)), path, _CELL)
 
-def write_periodic(df: DataFrame, path: str, period_col: str, mode: str = "overwrite") -> None:
-    """Write a table partitioned by its period column.
-
-    ``REBALANCE(period)`` clusters rows of a period into few tasks (few files
-    per partition folder instead of one per task and period); AQE splits a
-    period that is larger than the advisory partition size over several tasks,
-    so a hot period does not end up in one writer.
-    """
-    df.hint("rebalance", period_col).write.mode(mode).partitionBy(period_col).parquet(path)
-
-
-def read_periodic(spark: SparkSession, path: str, schema, columns: Sequence[str]) -> DataFrame:
-    """Read back with the given schema, so period text such as ``199806`` stays
-    text; a refresh that was stopped half-way is finished first."""
-    finish_refreshes(spark, path)
-    return spark.read.schema(schema).parquet(path).select(*columns)
-
-
-def _files(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the files right below ``folder``."""
-    fs, p = hadoop_fs(spark, folder)
-    return [x.getPath().getName() for x in fs.listStatus(p) if x.isFile()] if fs.exists(p) else []
 
+def _version(spark: SparkSession, path: str) -> Version:
+    version = current(spark, path)
+    if not version.number and any(not n.startswith(("_", ".")) and n != "data" for n, _ in list_names(spark, path)):
+        raise ValueError(f"{path} is not kept in versions; write it with write_periodic first")
+    return version
 
-def _folders(spark: SparkSession, folder: str) -> list[str]:
-    fs, p = hadoop_fs(spark, folder)
-    return [x.getPath().getName() for x in fs.listStatus(p) if x.isDirectory()] if fs.exists(p) else []
 
+def write_periodic(df: DataFrame, path: str, period_col: str, mode: str = "overwrite") -> None:
+    """Write a table by its period column, replacing the rows there or adding to them.
 
-def _finish(spark: SparkSession, target: str, folder: str) -> None:
-    """Step 3 for one decided refresh; every part of it may be found done."""
-    work = f"{target}/_refresh/{folder}"
-    for part in _folders(spark, f"{work}/new"):
-        fs, p = hadoop_fs(spark, f"{target}/{part}")
-        fs.mkdirs(p)
-        for name in _files(spark, f"{work}/new/{part}"):
-            if name.startswith("part-"):
-                rename_path(spark, f"{work}/new/{part}/{name}", f"{target}/{part}/{name}")
-    for name in read_text(spark, f"{work}/old").splitlines():
-        delete_path(spark, f"{target}/{folder}/{name}")
-    if not _files(spark, f"{target}/{folder}"):
-        delete_path(spark, f"{target}/{folder}")
-    delete_path(spark, work)
+    Rows of a period come together in few files; a period that is larger than the
+    advisory partition size is split over several tasks.
+    """
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode {mode!r}")
+    spark, path = df.sparkSession, path.rstrip("/")
+    version = _version(spark, path)
+    cells = _new_cells(df, path, period_col)
+    if mode == "append":
+        cells = {c: [*version.cells.get(c, ()), *cells.get(c, ())] for c in {*version.cells, *cells}}
+    publish(spark, path, version, cells, schema=df.schema)
 
 
-def finish_refreshes(spark: SparkSession, target_path: str) -> list[str]:
-    """Finish decided refreshes of the table; the partition folders they replaced."""
-    target = target_path.rstrip("/")
-    done = []
-    for folder in _folders(spark, f"{target}/_refresh"):
-        if path_exists(spark, f"{target}/_refresh/{folder}/old"):
-            _finish(spark, target, folder)
-            done.append(folder)
-    return done
+def read_periodic(spark: SparkSession, path: str, schema=None, columns: Sequence[str] | None = None,
+                  periods: Sequence[str | None] | None = None) -> DataFrame:
+    """The table's current rows, of all periods or of those named (None: without a period);
+    only these periods' files are read."""
+    cells = None if periods is None else [NO_PERIOD if p is None else f"={p}" for p in periods]
+    rows = read_version(spark, path, schema, cells)
+    return rows.select(*columns) if columns else rows
 
 
 def period_refresh(spark: SparkSession, target_path: str, source: DataFrame, period_col: str,
                    period: str, columns: Sequence[str] | None = None,
-                   strict: bool = False) -> DataFrame:
-    """Replace period ``period`` of the table at ``target_path`` with ``source`` rows."""
+                   strict: bool = False, run: str | None = None) -> DataFrame:
+    """Replace period ``period`` of the table at ``target_path`` with ``source`` rows.
+
+    ``strict`` rejects a source with rows of other periods.  ``run`` names the refresh: a
+    repeated run (after a stop) is applied once; without a name every call is applied.
+    """
     cols = list(columns) if columns else source.columns
     src = source.select(*cols)
     if strict:
         bad = src.agg(F.count_if(~F.col(period_col).eqNullSafe(F.lit(period))).alias("n")).first()
         if bad and bad["n"]:
             raise ValueError(f"source holds {bad['n']} rows outside period {period}")
-    target, folder = target_path.rstrip("/"), partition_folder(period_col, period)
-    if folder not in finish_refreshes(spark, target):
-        work = f"{target}/_refresh/{folder}"
-        write_periodic(src, f"{work}/new", period_col)
-        write_text(spark, f"{work}/old", "\n".join(_files(spark, f"{target}/{folder}")))
-        _finish(spark, target, folder)
+    target = target_path.rstrip("/")
+    if run is None or not has_run(spark, target, run):
+        old = _version(spark, target)
+        new = _new_cells(src, target, period_col)
+        cells = {c: [*old.cells.get(c, ()), *new.get(c, ())] for c in {*old.cells, *new}}
+        cells[f"={period}"] = new.get(f"={period}", [])
+        publish(spark, target, old, cells, run, src.schema)
     return read_periodic(spark, target, src.schema, cols)
 
 
-__all__ = ["period_refresh", "finish_refreshes", "write_periodic", "read_periodic", "partition_folder"]
+__all__ = ["period_refresh", "write_periodic", "read_periodic"]

@@ -532,13 +532,18 @@ REFRESH_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "
 
 
 def q_period_refresh(spark, sf):
-    """M1: replace one period of the table with the source rows."""
-    o = table(spark, sf, "orders").withColumn("periode", month_text("o_orderdate"))
+    """M1: replace one period of the table with the source's rows.  The source holds other
+    periods too, which are added; rows without a period stay.  The refresh runs twice
+    under one name and is applied once."""
+    o = table(spark, sf, "orders").withColumn("periode", F.when(F.col("o_orderkey") % 13 != 0, month_text("o_orderdate")))
     target = work_dir(spark, "refresh-target")
     write_periodic(o.select(*REFRESH_COLUMNS), target, "periode")
-    source = (o.where(F.col("periode") == REFRESH_PERIOD)
+    source = (o.where((F.col("periode") == REFRESH_PERIOD) & (F.col("o_orderkey") % 3 != 0)
+                      | (F.col("o_orderkey") % 101 == 0))
               .withColumn("o_orderstatus", F.lit("X")).select(*REFRESH_COLUMNS))
-    return period_refresh(spark, target, source, "periode", REFRESH_PERIOD, REFRESH_COLUMNS)
+    for _ in range(2):
+        out = period_refresh(spark, target, source, "periode", REFRESH_PERIOD, REFRESH_COLUMNS, run="june")
+    return out
 
 
 # ----------------------------------------------------------------------- reports

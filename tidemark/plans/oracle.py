@@ -373,11 +373,14 @@ WHERE strftime(l_shipdate, '%Y%m') BETWEEN '199801' AND '199806'
 """
 
 PERIOD_REFRESH = """
-SELECT o_orderkey, o_custkey,
-       CASE WHEN strftime(o_orderdate, '%Y%m') = '199806' THEN 'X' ELSE o_orderstatus END
-         AS o_orderstatus,
-       o_totalprice, o_orderdate, strftime(o_orderdate, '%Y%m') AS periode
-FROM orders
+WITH o AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+         CASE WHEN o_orderkey % 13 <> 0 THEN strftime(o_orderdate, '%Y%m') END AS periode FROM orders
+)
+SELECT * FROM o WHERE periode IS DISTINCT FROM '199806'
+UNION ALL
+SELECT * REPLACE ('X' AS o_orderstatus) FROM o
+WHERE periode = '199806' AND o_orderkey % 3 <> 0 OR o_orderkey % 101 = 0
 """
 
 _DAILY_PARTS = [

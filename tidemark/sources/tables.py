@@ -7,20 +7,23 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import delete_path, path_exists, rename_path, work_dir
+from tidemark.session import delete_path, work_dir
+from tidemark.sources.versions import current, publish, read_version, write_files
 
 
 def read_table(spark: SparkSession, source: str, columns: Sequence[str] | None = None,
                fmt: str = "parquet", options: Mapping[str, str] | None = None) -> DataFrame:
     """``SELECT {columns or *} FROM source``.
 
-    ``source`` is a path (``fmt`` parquet / orc / csv / json), a catalog table
-    (``fmt="table"``), free SQL over the session's tables (``fmt="sql"``) or a
+    ``source`` is a path (``fmt`` parquet / orc / csv / json, or ``versioned`` for a table
+    that ``replace_table`` or a period refresh keeps), a catalog table (``fmt="table"``), free SQL over the session's tables (``fmt="sql"``) or a
     JDBC table or query (``fmt="jdbc"``, see ``jdbc_options``).  Column selection
     happens before any action, so only those columns are read.
     """
     opts = dict(options or {})
-    if fmt == "table":
+    if fmt == "versioned":
+        df = read_version(spark, source)
+    elif fmt == "table":
         df = spark.read.options(**opts).table(source)
     elif fmt == "sql":
         df = spark.sql(source)
@@ -109,30 +112,15 @@ def load_csv(spark: SparkSession, path: str, infer_schema: bool = True, schema=N
 def replace_table(df: DataFrame, target_path: str, fmt: str = "parquet") -> DataFrame:
     """Replace the table at ``target_path`` by the rows of ``df``.
 
-    The new version is written in full beside the target, then the two change
-    places by renames, and the old version goes last.  A failed write leaves the
-    old table as it was (so ``df`` may read the target itself); a stop between
-    the renames is mended by the next call, which puts the old version back.
+    The table is kept in versions: the rows are written as new files, then one small file
+    names them as the table.  ``read_table(spark, path, fmt="versioned")`` reads the current
+    version; a reader sees the old rows or the new ones, a failed write changes nothing,
+    and ``df`` may read the target itself.
     """
     spark, base = df.sparkSession, target_path.rstrip("/")
-    new, old = f"{base}__new", f"{base}__old"
-    recover_table(spark, target_path)
-    df.write.mode("overwrite").format(fmt).save(new)
-    if path_exists(spark, base):
-        rename_path(spark, base, old)
-    rename_path(spark, new, base)
-    delete_path(spark, old)
-    return spark.read.format(fmt).load(base)
-
-
-def recover_table(spark: SparkSession, target_path: str) -> None:
-    """Undo or finish a replacement that was stopped between its renames."""
-    base = target_path.rstrip("/")
-    if path_exists(spark, f"{base}__old"):
-        if path_exists(spark, base):
-            delete_path(spark, f"{base}__old")
-        else:
-            rename_path(spark, f"{base}__old", base)
+    old = current(spark, base)
+    publish(spark, base, old, {"all": write_files(df, base, fmt)}, schema=df.schema, fmt=fmt)
+    return read_version(spark, base)
 
 
 def load_csv_replace(spark: SparkSession, csv_path: str, target_path: str,
@@ -179,4 +167,4 @@ def copy_tables(spark: SparkSession, tables: Sequence[Mapping[str, object]],
 
 
 __all__ = ["read_table", "jdbc_options", "stream_table", "export_csv", "load_csv", "load_csv_replace", "copy_table", "copy_tables",
-           "replace_table", "recover_table"]
+           "replace_table"]

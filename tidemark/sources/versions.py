@@ -30,6 +30,8 @@ class Version(NamedTuple):
     number: int
     cells: Cells
     run: str | None  # name of the change that made it
+    schema: str | None = None  # as JSON, if the writer has told it
+    fmt: str = "parquet"
 
     def files(self, cells: Iterable[str] | None = None) -> list[str]:
         return [f for c in (self.cells if cells is None else cells) for f in self.cells.get(c, ())]
@@ -45,7 +47,7 @@ def _numbers(spark: SparkSession, path: str) -> list[int]:
 
 def _load(spark: SparkSession, path: str, number: int) -> Version:
     text = json.loads(read_text(spark, f"{path}/_versions/{number:0{DIGITS}d}"))
-    return Version(number, text["cells"], text.get("run"))
+    return Version(number, text["cells"], text.get("run"), text.get("schema"), text.get("fmt", "parquet"))
 
 
 def current(spark: SparkSession, path: str) -> Version:
@@ -65,21 +67,29 @@ def write_cells(df: DataFrame, path: str, cell: str) -> Cells:
     return out
 
 
-def write_files(df: DataFrame, path: str) -> list[str]:
+def write_files(df: DataFrame, path: str, fmt: str = "parquet") -> list[str]:
     """Write the rows as new files below ``path``; no version holds them yet."""
     folder = f"data/{uuid.uuid4().hex}"
-    df.write.parquet(f"{path.rstrip('/')}/{folder}")
+    df.write.format(fmt).save(f"{path.rstrip('/')}/{folder}")
     return [f"{folder}/{f}" for f in data_files(df.sparkSession, f"{path.rstrip('/')}/{folder}")]
 
 
-def publish(spark: SparkSession, path: str, after: Version, cells: Mapping[str, list[str]], run: str | None = None) -> Version:
+def has_run(spark: SparkSession, path: str, run: str) -> bool:
+    """Whether the change named ``run`` is among the last KEEP ones."""
+    return any(_load(spark, path.rstrip("/"), n).run == run for n in _numbers(spark, path.rstrip("/")))
+
+
+def publish(spark: SparkSession, path: str, after: Version, cells: Mapping[str, list[str]], run: str | None = None,
+            schema: StructType | None = None, fmt: str = "parquet") -> Version:
     """Make ``cells`` the table's next version after ``after``."""
     path = path.rstrip("/")
     name = f"{path}/_versions/{after.number + 1:0{DIGITS}d}"
     draft = f"{path}/_versions/_{uuid.uuid4().hex}"
     fs, p = hadoop_fs(spark, draft)
     out = fs.create(p, True)
-    out.write(bytearray(json.dumps({"cells": {c: f for c, f in cells.items() if f}, "run": run}).encode()))
+    text = {"cells": {c: f for c, f in cells.items() if f}, "run": run, "fmt": fmt,
+            "schema": schema.json() if schema is not None else after.schema}
+    out.write(bytearray(json.dumps(text).encode()))
     out.close()
     if path_exists(spark, name):
         delete_path(spark, draft)
@@ -103,15 +113,20 @@ def _clean(spark: SparkSession, path: str) -> None:
         delete_path(spark, f"{path}/data/{folder}")
 
 
-def read_version(spark: SparkSession, path: str, schema: StructType | str, cells: Iterable[str] | None = None,
-                 version: Version | None = None) -> DataFrame:
-    """Rows of the table's current version (or of the one given), of all or of some cells."""
+def read_version(spark: SparkSession, path: str, schema: StructType | str | None = None,
+                 cells: Iterable[str] | None = None, version: Version | None = None) -> DataFrame:
+    """Rows of the table's current version (or of the one given), of all or of some cells,
+    in the schema given or the version's own."""
     version = version or current(spark, path)
+    if schema is None:
+        if version.schema is None:
+            raise ValueError(f"{path} has no version that tells its schema")
+        schema = StructType.fromJson(json.loads(version.schema))
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     files = version.files(cells)
     if not files:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{path.rstrip('/')}/{f}" for f in files])
+    return spark.read.schema(schema).format(version.fmt).load([f"{path.rstrip('/')}/{f}" for f in files])
 
 
-__all__ = ["Version", "Changed", "current", "publish", "write_cells", "write_files", "read_version"]
+__all__ = ["Version", "Changed", "current", "has_run", "publish", "write_cells", "write_files", "read_version"]
