@@ -61,6 +61,61 @@ def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     return f.join(d, cond, how)
 
 
+#: Bins of the finest level are this many days wide; each level's are SPAN times the last one's.
+BIN_DAYS, SPAN, LEVELS = 7, 16, 6
+
+
+def _bin(day: Column, level: Column | int, bin_days: int) -> Column:
+    width = F.lit(int(bin_days)) * F.pow(F.lit(SPAN), level if isinstance(level, Column) else F.lit(level)).cast("long")
+    return F.floor(F.unix_date(day.cast("date")) / width)
+
+
+def binned(facts: DataFrame, dim: DataFrame, fact_day: str, valid_from: str, valid_to: str,
+           bin_days: int = BIN_DAYS) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_level`` and ``_bin``: an interval has a row for each bin that it
+    touches, at the finest level where these are SPAN + 1 at most; a fact has a row for each
+    level that intervals use (found by one aggregate inside the plan)."""
+    days = [F.unix_date(F.col(c).cast("date")) for c in (valid_from, valid_to)]
+    level = F.lit(LEVELS - 1)
+    for k in reversed(range(LEVELS - 1)):
+        level = F.when(_bin(F.col(valid_to), k, bin_days) - _bin(F.col(valid_from), k, bin_days) <= SPAN, F.lit(k)).otherwise(level)
+    d = dim.where(days[0] <= days[1]).withColumn("_level", level)
+    used = d.agg(F.sort_array(F.collect_set("_level")).alias("levels")).scalar()
+    d = d.withColumn("_bin", F.explode(F.sequence(_bin(F.col(valid_from), F.col("_level"), bin_days),
+                                                  _bin(F.col(valid_to), F.col("_level"), bin_days))))
+    f = facts.where(F.col(fact_day).isNotNull()).withColumn("_level", F.explode(used))
+    return f.withColumn("_bin", _bin(F.col(fact_day), F.col("_level"), bin_days)), d
+
+
+def validity_join_binned(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_day: str,
+                         valid_from: str, valid_to: str, bin_days: int = BIN_DAYS, salt: int = 1) -> DataFrame:
+    """``validity_join`` (inner) for keys with many intervals.
+
+    The equi join of ``validity_join`` compares every fact of a key with every interval of
+    it.  Here intervals are cut at bins of days and the sides meet on key and bin, with
+    the exact bounds as residual: a fact meets the intervals around its day, so the
+    work follows facts, intervals and matches, and a key with many facts is spread
+    over its bins.  Long and open-ended intervals go to coarser bins (``binned``), so none
+    is copied more than SPAN + 1 times.  A fact meets an interval in one bin only, so no
+    row comes twice.  Intervals with a NULL or reversed bound match nothing.  ``salt``
+    spreads a bin's facts further, as in ``validity_join``.
+    """
+    f, d = binned(facts, dim, fact_day, valid_from, valid_to, bin_days)
+    on = ["_level", "_bin"]
+    if salt > 1:
+        f, d = _salted(f, d, salt)
+        on.append(SALT)
+    f, d = f.alias("_f"), d.alias("_d")
+    cond = (F.col(f"_f.{fact_key}") == F.col(f"_d.{dim_key}")) & \
+        F.col(f"_f.{fact_day}").between(F.col(f"_d.{valid_from}"), F.col(f"_d.{valid_to}"))
+    for c in on:
+        cond = cond & (F.col(f"_f.{c}") == F.col(f"_d.{c}"))
+    out = f.join(d, cond)
+    for c in on:
+        out = out.drop(F.col(f"_f.{c}")).drop(F.col(f"_d.{c}"))
+    return out
+
+
 def validity_join_count(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                         fact_day: str, valid_from: str, valid_to: str,
                         name: str = "n_rows") -> DataFrame:
@@ -141,5 +196,5 @@ def not_in_values(values: DataFrame, col: str, domain: DataFrame, domain_col: st
     return anti.where((n_all == 0) | (F.col(out).isNotNull() & (n_null == 0)))
 
 
-__all__ = ["validity_join", "validity_join_count", "unmatched", "unmatched_count", "new_values",
+__all__ = ["validity_join", "validity_join_binned", "validity_join_count", "unmatched", "unmatched_count", "new_values",
            "not_in_values"]

@@ -69,9 +69,27 @@ SELECT event_type, event_id AS gap_from, nxt AS gap_to, nxt - event_id - 1 AS mi
 WHERE nxt - event_id > 1 AND event_id > 1000
 """
 
+DISTINCT_SEVEN_DAYS = """
+SELECT event_type, COUNT(DISTINCT user_id) AS n_users FROM events
+WHERE ts >= TIMESTAMP '2024-01-24 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00' GROUP BY event_type
+"""
+
+VALIDITY_JOIN_ROWS = """
+SELECT event_id, person, decision_day, o_orderkey, off_id, gyldig_fra_dato, gyldig_til_dato
+FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id END AS person,
+             DATE '1995-01-01' + CAST(event_id % 2400 AS INTEGER) AS decision_day FROM events)
+JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 7 ELSE o_custkey END AS off_id,
+             CAST(o_orderdate AS DATE) AS gyldig_fra_dato,
+             CASE WHEN o_orderkey % 500 = 1 THEN DATE '9999-12-31'
+                  ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 AS INTEGER) END AS gyldig_til_dato FROM orders)
+ON person = off_id AND decision_day BETWEEN gyldig_fra_dato AND gyldig_til_dato
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "land_then_unpack": LAND_THEN_UNPACK,
     "replay_keyless": REPLAY_KEYLESS,
+    "distinct_seven_days": DISTINCT_SEVEN_DAYS,
+    "validity_join_rows": VALIDITY_JOIN_ROWS,
     "gap_state_merge": GAP_STATE_MERGE,
     "late_duplicates": LATE_DUPLICATES,
 }

@@ -6,13 +6,17 @@ they were received, some delivered again with the next file.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.distinct_state import distinct_between, update_distinct_state
 from tidemark.operators.gap_state import state_gaps, update_gap_state
 from tidemark.operators.ingest import IngestSpec, apply_spec, ingest_batch
+from tidemark.operators.joins import validity_join_binned
 from tidemark.operators.landing import Run, read_landing
-from tidemark.plans.inputs import (BATCH_TIME, N_PARTITIONS, OFFSET_FLOOR, REPLAY_A, REPLAY_B, Query, events_envelope,
+from tidemark.plans.inputs import (AS_OF, BATCH_TIME, N_PARTITIONS, OFFSET_FLOOR, REPLAY_A, REPLAY_B, Query, events_envelope,
                                    landing_spec, spec_without, table)
 from tidemark.session import work_dir
 from tidemark.sources.kafka import table_as_envelope
@@ -155,7 +159,37 @@ def q_gap_state_merge(spark, sf):
     return state_gaps(spark, path, ev, ["event_type"], carry="ts", offset_floor=OFFSET_FLOOR)
 
 
+LAST_WEEK = (AS_OF.date() - _dt.timedelta(days=7), AS_OF.date() - _dt.timedelta(days=1))
+
+
+def q_distinct_seven_days(spark, sf):
+    """A2/A3 by state: distinct users of the last seven days per type, from daily sets that five
+    deliveries were united into (repeats and late rows among them)."""
+    ev = delivered(table(spark, sf, "events"))
+    path = work_dir(spark, "distinct-state")
+    for k in range(FILES):
+        update_distinct_state(spark, path, ev.where(F.col("file") == k), "ts", "user_id", ["event_type"])
+    return distinct_between(spark, path, ev, *LAST_WEEK, by=["event_type"], name="n_users")
+
+
+def q_validity_join_rows(spark, sf):
+    """Every message with every interval that holds its day.  A third of the messages and a
+    tenth of the intervals belong to one person; some intervals overlap, some never end."""
+    day = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("event_id") % 2400).cast("int"))
+    person = F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("user_id"))
+    facts = table(spark, sf, "events").select("event_id", person.alias("person"), day.alias("decision_day"))
+    owner = F.when(F.col("o_orderkey") % 10 == 0, F.lit(7)).otherwise(F.col("o_custkey"))
+    start = F.to_date("o_orderdate")
+    end = F.when(F.col("o_orderkey") % 500 == 1, F.lit("9999-12-31").cast("date")).otherwise(
+        F.date_add(start, (F.col("o_orderkey") % 5).cast("int")))
+    dim = table(spark, sf, "orders").select("o_orderkey", owner.alias("off_id"), start.alias("gyldig_fra_dato"),
+                                            end.alias("gyldig_til_dato"))
+    return validity_join_binned(facts, dim, "person", "off_id", "decision_day", "gyldig_fra_dato", "gyldig_til_dato")
+
+
 QUERIES: dict[str, Query] = {
+    "distinct_seven_days": q_distinct_seven_days,
+    "validity_join_rows": q_validity_join_rows,
     "gap_state_merge": q_gap_state_merge,
     "stream_ingest": q_stream_ingest,
     "land_then_unpack": q_land_then_unpack,
