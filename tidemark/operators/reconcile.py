@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -56,4 +57,25 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], left_value
     return j.where(cond)
 
 
-__all__ = ["unpivot_nonnull", "distinct_by_code", "reconcile"]
+def reconcile_subset(rows: DataFrame, keys: Sequence[str], extra: Sequence[str], entity: str, subset: str,
+                     name: str = "n_distinct", right_name: str | None = None, diff: str = "diff") -> DataFrame:
+    """Distinct entities per ``keys`` and ``extra`` against those of the ``subset`` rows per ``keys``.
+
+    The same rows as ``reconcile`` of the two counts, in one pass over ``rows``: a row stands
+    for itself and, if the flag ``subset`` holds, for the compared count; both are counted in
+    one aggregate, and a window over the (few) counts of a key brings them together.
+    Only differences above 0 are kept; keys without a compared count are dropped.
+    """
+    right = right_name or f"{name}_right"
+    once = rows.groupBy(*keys, *extra, entity).agg(F.max(subset).alias("_in"))
+    own = F.struct(*[F.col(c) for c in extra], F.lit(False).alias("_right"))
+    other = F.struct(*[F.lit(None).cast(t).alias(c) for c, t in once.select(*extra).dtypes], F.lit(True).alias("_right"))
+    both = once.select(*keys, entity, F.explode(F.when(F.col("_in"), F.array(own, other)).otherwise(F.array(own))).alias("_of"))
+    counts = both.groupBy(*keys, "_of").agg(F.count_distinct(entity).alias(name)).select(*keys, "_of.*", name)
+    compared = F.max(F.when(F.col("_right"), F.col(name))).over(Window.partitionBy(*keys))
+    out = counts.withColumn(right, compared).where("NOT _right").drop("_right")
+    out = out.withColumn(diff, F.col(name) - F.col(right)).where(F.col(diff) > 0)
+    return out.where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
+
+
+__all__ = ["reconcile_subset", "unpivot_nonnull", "distinct_by_code", "reconcile"]

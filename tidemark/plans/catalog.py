@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.json import json_key, json_value
@@ -33,14 +33,15 @@ from tidemark.operators.gaps import gap_count, offset_gaps
 from tidemark.operators.ingest import apply_spec, ingest_batch, ingest_many, skip_duplicates
 from tidemark.operators.joins import (new_values, not_in_values, unmatched_count,
                                       validity_join_count)
-from tidemark.operators.reconcile import distinct_by_code, reconcile
+from tidemark.operators.reconcile import distinct_by_code, reconcile_subset
 from tidemark.operators.refresh import period_refresh, write_periodic
 from tidemark.operators.runs import run_success_counts, run_success_report
 from tidemark.plans import landing_queries
+from tidemark.plans.checks import GapCheck, Tagged, domain_counts, gap_counts, person_counts, tagged_rows
 from tidemark.plans.inputs import (AS_OF, BATCH_TIME, OFFSET_FLOOR, REPLAY_A, REPLAY_B, REPLAY_TIME, SLICE, Query,
                                    events_envelope, landing_spec, spec_without, table)
 from tidemark.plans.reports import (code_lists, gap_alert, joined_lines, metric_rows, monthly_reconciliation,
-                                    report_lines, report_text, union_metrics)
+                                    report_lines, report_text)
 from tidemark.session import work_dir
 from tidemark.sources.kafka import slice_envelope
 from tidemark.sources.tables import copy_table, read_table
@@ -173,20 +174,21 @@ def q_message_hash(spark, sf):
 
 # ------------------------------------------------------------------------- joins
 
-def identity_dim(spark, sf) -> DataFrame:
-    """Validity intervals per customer (two rule-based intervals, some overlapping),
-    produced in one scan of ``customer``."""
-    c = table(spark, sf, "customer")
-    base = F.lit("2024-01-01").cast("date")
-    k = F.col("c_custkey")
+def identity_spans(lo: str, hi: str) -> Column:
+    """Two rule-based validity intervals of a customer, some overlapping."""
+    base, k = F.lit("2024-01-01").cast("date"), F.col("c_custkey")
+
+    def interval(a, b):
+        return F.struct(F.date_add(base, a.cast("int")).alias(lo), F.date_add(base, b.cast("int")).alias(hi))
+
+    return F.array(interval(k % 20, k % 20 + k % 7), interval(k % 5 + 20, k % 5 + 30))
 
-    def interval(lo, hi):
-        return F.struct(F.date_add(base, lo.cast("int")).alias("gyldig_fra_dato"),
-                        F.date_add(base, hi.cast("int")).alias("gyldig_til_dato"))
 
-    spans = F.array(interval(k % 20, k % 20 + k % 7), interval(k % 5 + 20, k % 5 + 30))
-    return c.select(k.cast("string").alias("off_id"), F.col("c_nationkey").alias("skjermet_kode"),
-                    F.inline(spans))
+def identity_dim(spark, sf) -> DataFrame:
+    """Validity intervals per customer, produced in one scan of ``customer``."""
+    c = table(spark, sf, "customer")
+    return c.select(F.col("c_custkey").cast("string").alias("off_id"), F.col("c_nationkey").alias("skjermet_kode"),
+                    F.inline(identity_spans("gyldig_fra_dato", "gyldig_til_dato")))
 
 
 def _validity_count(spark, sf, key_col) -> DataFrame:
@@ -299,16 +301,10 @@ def q_star_distinct(spark, sf):
 
 
 def _recon(spark, sf) -> DataFrame:
-    # one pass: a row per group and supplier, with whether any of its rows is discounted
-    per = (table(spark, sf, "lineitem")
-           .groupBy(month_text("l_shipdate").alias("periode"), F.col("l_returnflag").alias("flag"),
-                    F.col("l_linestatus").alias("status"), "l_suppkey")
-           .agg(F.max(F.col("l_discount") > 0.05).alias("discounted")))
-    left = per.groupBy("periode", "flag", "status").agg(F.count("l_suppkey").alias("n_suppliers"))
-    right = (per.where("discounted").groupBy("periode", "flag")
-             .agg(F.count_distinct("l_suppkey").alias("n_suppliers")))
-    return reconcile(left, right, ["periode", "flag"], "n_suppliers", "n_suppliers",
-                     right_name="n_suppliers_right", diff="diff")
+    rows = table(spark, sf, "lineitem").select(
+        month_text("l_shipdate").alias("periode"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
+        "l_suppkey", (F.col("l_discount") > 0.05).alias("discounted"))
+    return reconcile_subset(rows, ["periode", "flag"], ["status"], "l_suppkey", "discounted", name="n_suppliers")
 
 
 def q_reconcile_diff(spark, sf):
@@ -609,28 +605,46 @@ def q_daily_report_text(spark, sf):
 
 
 def q_gap_alert(spark, sf):
-    """Names of the checks that found gaps, or the all-clear text."""
-    return gap_alert({
-        "events": q_gap_count(spark, sf),
-        "events click": q_gap_count_typed(spark, sf),
-        "events since 15.01": q_gap_count_since(spark, sf),
-        "lineitem by supplier": q_gap_count_partitioned(spark, sf),
-    })
+    """Names of the checks that found gaps, or the all-clear text; one scan per table."""
+    events = gap_counts(table(spark, sf, "events"), "event_id", ["event_type"], {
+        "events": GapCheck(offset_floor=OFFSET_FLOOR),
+        "events click": GapCheck(F.col("event_type") == "click", OFFSET_FLOOR),
+        "events since 15.01": GapCheck(after=F.col("ts") > date_text("15.01.2024")),
+    }, carry="ts")
+    items = gap_counts(table(spark, sf, "lineitem"), "l_orderkey", ["l_suppkey", "l_linenumber"], {
+        "lineitem by supplier": GapCheck(F.col("l_shipdate") > date_text("16.04.1996"), min_gap=900)})
+    return gap_alert(metric_rows(events).unionByName(metric_rows(items, after=3)))
 
 
 def q_weekly_report(spark, sf):
-    """The weekly metrics."""
-    li = table(spark, sf, "lineitem")
-    sup = table(spark, sf, "supplier").where(F.col("s_acctbal") > 0)
-    return union_metrics({
-        "validity_by_payload_key": _validity_count(spark, sf, json_value("props", "$.k")),
-        "validity_by_user": _validity_count(spark, sf, F.col("user_id").cast("string")),
-        "unmatched_messages": q_unmatched_messages(spark, sf),
-        "new_part_codes": q_new_codes(spark, sf).agg(F.count(F.lit(1))),
-        "new_supplier_codes": new_values(li, "l_suppkey", sup, "s_suppkey").agg(F.count(F.lit(1))),
-        "new_part_codes_not_in": q_new_codes_not_in(spark, sf).agg(F.count(F.lit(1))),
-        "patched_rows": q_patched_rows(spark, sf),
-    })
+    """The weekly metrics; each table is read once."""
+    key, day = F.col("k"), F.col("decision_day")
+    ev = table(spark, sf, "events").select("ts", json_value("props", "$.k").alias("k"), F.col("user_id").cast("string").alias("user"),
+                                           local_day("ts", "UTC", "Europe/Belgrade").alias("decision_day"))
+    recent = rolling_bound("ts", AS_OF, 7)
+    facts = tagged_rows(ev, {
+        "validity_by_payload_key": Tagged(key, day, recent),
+        "validity_by_user": Tagged(F.col("user"), day, recent),
+        "unmatched_messages": Tagged(key, None, calendar_bound("ts", AS_OF, 7)),
+    }, "date", "string")
+    # protected persons' intervals, and a row without bounds for each unpacked case
+    persons = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("person"), F.inline(F.concat(
+        F.when(F.col("c_nationkey").isin(6, 7), identity_spans("lo", "hi")).otherwise(F.array()),
+        F.when(F.col("c_mktsegment") != UNPACKED_EXCEPT, F.array(F.struct(
+            F.lit(None).cast("date").alias("lo"), F.lit(None).cast("date").alias("hi")))).otherwise(F.array()))))
+    people = person_counts(facts, persons, ["validity_by_payload_key", "validity_by_user"], ["unmatched_messages"])
+    left = tagged_rows(table(spark, sf, "lineitem"), {
+        "part": Tagged(F.col("l_partkey"), None, F.col("l_quantity") > 49),
+        "supplier": Tagged(F.col("l_suppkey")),
+        "order": Tagged(F.col("l_orderkey"), minute("l_shipdate"), F.col("l_shipdate") >= ts_literal(PATCHED_SINCE)),
+    }, "timestamp_ntz")
+    right = [tagged_rows(table(spark, sf, name), {tag: part}, "timestamp_ntz") for name, tag, part in (
+        ("part", "part", Tagged(F.col("p_partkey"))),
+        ("supplier", "supplier", Tagged(F.col("s_suppkey"), None, F.col("s_acctbal") > 0)),
+        ("orders", "order", Tagged(F.col("o_orderkey"), minute("o_orderdate"))))]
+    codes = domain_counts(left, right[0].unionByName(right[1]).unionByName(right[2]), {"new_part_codes": "part"},
+                          {"new_supplier_codes": "supplier"}, {"new_part_codes_not_in": "part"}, {"patched_rows": "order"})
+    return metric_rows(people).unionByName(metric_rows(codes, after=3))
 
 
 # Fixed report labels of the weekly report (ours).

@@ -85,11 +85,26 @@ JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 7 ELSE o_custkey END
 ON person = off_id AND decision_day BETWEEN gyldig_fra_dato AND gyldig_til_dato
 """
 
+_SLICES = "(VALUES (TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-10'), (TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-15')) s(a, b)"
+
+LATE_MESSAGES = f"""
+SELECT event_type AS kafka_topic, event_id + 1000000 AS kafka_offset, epoch_us(ts) // 1000 AS kafka_timestamp,
+       CAST(user_id % 4 AS INTEGER) AS kafka_partition, epoch_us(a) // 1000 AS start_ms, epoch_us(b) // 1000 AS stop_ms
+FROM events JOIN {_SLICES} ON ts >= a AND ts < b
+WHERE event_id % 9 = 4 AND event_type IN ('click', 'view', 'purchase')
+"""
+
+BINARY_PAYLOAD = """
+SELECT event_type AS kafka_topic, event_id AS kafka_offset, 'binary' AS payload_type, hex(encode(props)) AS payload FROM events
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "land_then_unpack": LAND_THEN_UNPACK,
     "replay_keyless": REPLAY_KEYLESS,
     "distinct_seven_days": DISTINCT_SEVEN_DAYS,
     "validity_join_rows": VALIDITY_JOIN_ROWS,
+    "late_messages": LATE_MESSAGES,
+    "binary_payload": BINARY_PAYLOAD,
     "gap_state_merge": GAP_STATE_MERGE,
     "late_duplicates": LATE_DUPLICATES,
 }

@@ -16,6 +16,7 @@ from tidemark.operators.gap_state import state_gaps, update_gap_state
 from tidemark.operators.ingest import IngestSpec, apply_spec, ingest_batch
 from tidemark.operators.joins import validity_join_binned
 from tidemark.operators.landing import Run, read_landing
+from tidemark.operators.slices import late_messages, mark_slice
 from tidemark.plans.inputs import (AS_OF, BATCH_TIME, N_PARTITIONS, OFFSET_FLOOR, REPLAY_A, REPLAY_B, Query, events_envelope,
                                    landing_spec, spec_without, table)
 from tidemark.session import work_dir
@@ -187,7 +188,37 @@ def q_validity_join_rows(spark, sf):
     return validity_join_binned(facts, dim, "person", "off_id", "decision_day", "gyldig_fra_dato", "gyldig_til_dato")
 
 
+TOPICS = ("click", "view", "purchase")
+LATE_BY = 1_000_000
+
+
+def q_late_messages(spark, sf):
+    """Messages of three topics that are written after the slices of their time had run
+    (here every ninth: its offset is far behind the others')."""
+    late = F.col("kafka_offset") % 9 == 4
+    env = events_envelope(spark, sf).withColumn("_late", late).withColumn(
+        "kafka_offset", F.col("kafka_offset") + F.when(late, F.lit(LATE_BY)).otherwise(F.lit(0)))
+    path = work_dir(spark, "marks")
+    for topic in TOPICS:
+        for start, stop in ((REPLAY_A[0], REPLAY_B[0]), (REPLAY_B[0], REPLAY_A[1])):
+            mark_slice(spark, path, topic, env.where("NOT _late"), start, stop)
+    return late_messages(spark, path, env.drop("_late", "kafka_message"))
+
+
+def q_binary_payload(spark, sf):
+    """A spec whose payload column is bound as BLOB lands bytes (shown as hex digits)."""
+    spec = IngestSpec.from_dict({
+        "source": {"topic": "t"},
+        "target": {"table": "raw", "custom-config": [{"name": "kafka_message", "value": "oracledb.BLOB"}]},
+        "transform": [{"src": c, "dst": c} for c in ("kafka_message", "kafka_topic", "kafka_offset")]})
+    landed = ingest_batch(spark, spec, events_envelope(spark, sf), work_dir(spark, "binary"), BATCH_TIME)
+    return landed.select("kafka_topic", "kafka_offset", F.typeof("kafka_message").alias("payload_type"),
+                         F.hex("kafka_message").alias("payload"))
+
+
 QUERIES: dict[str, Query] = {
+    "late_messages": q_late_messages,
+    "binary_payload": q_binary_payload,
     "distinct_seven_days": q_distinct_seven_days,
     "validity_join_rows": q_validity_join_rows,
     "gap_state_merge": q_gap_state_merge,

@@ -17,11 +17,11 @@ from tidemark.functions.text import REPORT_WIDTH, dot_line
 from tidemark.operators.reconcile import distinct_by_code, reconcile
 
 
-def metric_rows(row: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
-    """A one-row DataFrame of named counts as ``(pos, metric, value)`` rows."""
+def metric_rows(row: DataFrame, order: Sequence[str] | None = None, after: int = 0) -> DataFrame:
+    """A one-row DataFrame of named counts as ``(pos, metric, value)`` rows; positions follow ``after``."""
     cols = list(order) if order else row.columns
-    items = [F.struct(F.lit(i + 1).alias("pos"), F.lit(c).alias("metric"),
-                      F.col(c).cast("bigint").alias("value")) for i, c in enumerate(cols)]
+    items = [F.struct(F.lit(after + i + 1).alias("pos"), F.lit(c).alias("metric"),
+                      F.col(f"`{c}`").cast("bigint").alias("value")) for i, c in enumerate(cols)]
     return row.select(F.inline(F.array(*items)))
 
 
@@ -89,9 +89,12 @@ GAPS_PREFIX = "Gaps found in: "
 GAPS_SUFFIX = ". Check the offsets by hand to find them."
 
 
-def gap_alert(gap_counts: Mapping[str, DataFrame]) -> DataFrame:
-    """One row ``alert``: the names with a gap count above 0, or the all-clear text."""
-    rows = union_metrics(gap_counts).where(F.col("value") > 0)
+def gap_alert(gap_counts: Mapping[str, DataFrame] | DataFrame) -> DataFrame:
+    """One row ``alert``: the names with a gap count above 0, or the all-clear text.
+
+    ``gap_counts``: metric rows, or a one-row DataFrame for each name."""
+    rows = gap_counts if isinstance(gap_counts, DataFrame) else union_metrics(gap_counts)
+    rows = rows.where(F.col("value") > 0)
     names = F.expr("listagg(metric, ', ') WITHIN GROUP (ORDER BY metric)")
     return rows.agg(
         F.when(F.count(F.lit(1)) == 0, F.lit(NO_GAPS_TEXT))

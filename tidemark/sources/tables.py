@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import delete_path, work_dir
@@ -55,6 +56,62 @@ def jdbc_options(source: str, options: Mapping[str, str]) -> dict[str, str]:
     return {"dbtable": f"({source}) q" if is_query else source, **opts}
 
 
+def _sql_literal(value) -> str:
+    if isinstance(value, (_dt.date, _dt.datetime)):
+        kind = "TIMESTAMP" if isinstance(value, _dt.datetime) else "DATE"
+        return f"{kind} '{value.isoformat(sep=' ') if kind == 'TIMESTAMP' else value.isoformat()}'"
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
+
+
+def split_predicates(column: str, points: Sequence) -> list[str]:
+    """Disjoint conditions that every row meets one of: below the first split point, from one
+    to below the next, from the last on, and NULL."""
+    p = [_sql_literal(x) for x in sorted(set(points))]
+    if not p:
+        return [f"{column} IS NOT NULL", f"{column} IS NULL"]
+    between = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(p, p[1:])]
+    return [f"{column} < {p[0]}", *between, f"{column} >= {p[-1]}", f"{column} IS NULL"]
+
+
+def split_points(keys: DataFrame, column: str, splits: int) -> list:
+    """Points that cut the rows of ``keys`` into about ``splits`` equal parts.
+
+    ``keys`` has the key's distribution: the table's own key column, an earlier copy or
+    the database's histogram as rows.  A value that holds more than a part of the rows is
+    a part of its own: it is a point, and so is the next larger value.  The points come to
+    the driver, at most two for each part.
+    """
+    if splits < 2:
+        return []
+    per = keys.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).agg(F.count("*").alias("n"))
+    total = per.agg(F.sum("n")).first()[0] or 0
+    hot = per.where(F.col("n") * splits > total).select("k")  # fewer than ``splits``
+    after = hot.alias("h").join(per.alias("p"), F.col("p.k") > F.col("h.k")).groupBy("h.k").agg(F.min("p.k").alias("k2"))
+    own = [r[0] for r in hot.collect()] + [r["k2"] for r in after.collect()]
+    # the quantiles of the others, by range-sorted running counts
+    rest = per.join(hot, "k", "left_anti")
+    parts = rest.sort("k").withColumn("_task", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()).persist()
+    try:
+        tasks = parts.groupBy("_task").agg(F.sum("n").alias("_n"))
+        before = F.coalesce(F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        starts = tasks.select("_task", before.alias("_before"))
+        within = F.sum("n").over(Window.partitionBy("_task").orderBy("_row"))
+        end = F.col("_before") + within
+        step = F.lit(max(total / splits, 1.0))
+        cut = F.floor(end / step) > F.floor((end - F.col("n")) / step)
+        points = [r["k"] for r in parts.join(starts, "_task").withColumn("_cut", cut).where("_cut").select("k").collect()]
+    finally:
+        parts.unpersist()
+    return sorted(set(own) | set(points))
+
+
+def read_jdbc_split(spark: SparkSession, url: str, source: str, column: str, points: Sequence,
+                    properties: Mapping[str, str] | None = None) -> DataFrame:
+    """JDBC read with one connection for each part of ``split_predicates``."""
+    return spark.read.jdbc(url, jdbc_options(source, {"numPartitions": 1})["dbtable"],
+                           predicates=split_predicates(column, points), properties=dict(properties or {}))
+
+
 def stream_table(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                  max_files_per_trigger: int | None = 1000) -> DataFrame:
     """A table path as a file stream (Structured Streaming file source).
@@ -166,5 +223,5 @@ def copy_tables(spark: SparkSession, tables: Sequence[Mapping[str, object]],
     return out
 
 
-__all__ = ["read_table", "jdbc_options", "stream_table", "export_csv", "load_csv", "load_csv_replace", "copy_table", "copy_tables",
+__all__ = ["read_table", "jdbc_options", "split_predicates", "split_points", "read_jdbc_split", "stream_table", "export_csv", "load_csv", "load_csv_replace", "copy_table", "copy_tables",
            "replace_table"]
