@@ -26,6 +26,7 @@ def run_success_report(counts: DataFrame, name: str = "success_count") -> DataFr
 
     The input has one row per job id, so the text has a bounded number of lines.
     """
+    # fixed value: the report line that the job's readers know
     line = F.concat(F.lit("DAG ID: "), F.col("dag_id").cast("string"), F.lit(", Success Count: "),
                     F.col(name).cast("string"))
     return counts.select(line.alias("_l"), F.col("dag_id")).agg(

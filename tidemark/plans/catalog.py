@@ -374,9 +374,16 @@ def q_table_copy(spark, sf):
                       COPY_COLUMNS)
 
 
+#: Names that are hard for CSV, by the customer's key: NULL, empty, quotes, line ends, blanks, backslashes, separators.
+HARD_NAMES = ("CAST(NULL AS STRING)", "''", "concat('\"', c_name, '\", he said')", "concat(c_name, '\\n', 'second; line')",
+              "concat('  ', c_name, ' ')", "concat('C:\\\\', c_name, '\\\\')", "concat(',,', c_name, '\\r\\n')", "'Å\\t\"\"'", "c_name")
+
+
 def q_csv_roundtrip(spark, sf):
-    """CSV stage and load with inferred types, replacing the target."""
-    return copy_table(spark, table(spark, sf, "customer"), work_dir(spark, "csv-customer"),
+    """CSV stage and load with inferred types, replacing the target; every ninth name is NULL,
+    others are empty or hold quotes, separators, line ends and blanks."""
+    name = F.element_at(F.array(*[F.expr(e) for e in HARD_NAMES]), (F.col("c_custkey") % len(HARD_NAMES)).cast("int") + 1)
+    return copy_table(spark, table(spark, sf, "customer").withColumn("c_name", name), work_dir(spark, "csv-customer"),
                       via_csv=True)
 
 

@@ -146,36 +146,28 @@ IDENTITY_DIM = """
 
 
 def _validity(person: str) -> str:
+    """Pairs of a recent message and a protected interval of its person around its day."""
     return f"""
-SELECT COUNT(1) AS n_rows FROM (
-  SELECT {person} AS person, {_belgrade_day('ts')} AS decision_day
-  FROM events WHERE ts >= {AS_OF} - INTERVAL 7 DAY
-) m
-INNER JOIN ({IDENTITY_DIM}) dim
-  ON m.person = dim.off_id
- AND m.decision_day BETWEEN dim.gyldig_fra_dato AND dim.gyldig_til_dato
- AND dim.skjermet_kode IN (6, 7)
+WITH message AS (
+  SELECT {person} AS off_id, {_belgrade_day('ts')} AS decision_day FROM events WHERE ts >= {AS_OF} - INTERVAL 7 DAY
+), span AS (
+  SELECT * FROM ({IDENTITY_DIM}) WHERE skjermet_kode IN (6, 7)
+)
+SELECT COUNT(*) AS n_rows FROM message JOIN span USING (off_id)
+WHERE gyldig_fra_dato <= decision_day AND gyldig_til_dato >= decision_day
 """
 
 
 VALIDITY_JOIN_COUNT = _validity(_jv("props", "$.k"))
 
 UNMATCHED_MESSAGES = f"""
-SELECT COUNT(1) AS n_unmatched
-FROM events e
-LEFT OUTER JOIN (SELECT CAST(c_custkey AS VARCHAR) AS case_id FROM customer
-                 WHERE c_mktsegment <> 'HOUSEHOLD') cases
-  ON {_jv('e.props', '$.k')} = cases.case_id
-WHERE cases.case_id IS NULL
-  AND CAST(e.ts AS DATE) >= CAST({AS_OF} AS DATE) - 7
+WITH message AS (SELECT {_jv('props', '$.k')} AS case_ref FROM events WHERE date_diff('day', CAST(ts AS DATE), CAST({AS_OF} AS DATE)) <= 7)
+SELECT COUNT(*) AS n_unmatched FROM message WHERE NOT EXISTS (
+  SELECT 1 FROM customer WHERE c_mktsegment <> 'HOUSEHOLD' AND CAST(c_custkey AS VARCHAR) = case_ref)
 """
 
 NEW_CODES = """
-SELECT u.p_partkey AS code
-FROM (SELECT DISTINCT p_partkey FROM part) u
-LEFT OUTER JOIN (SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > 49) m
-  ON u.p_partkey = m.l_partkey
-WHERE m.l_partkey IS NULL
+SELECT p_partkey AS code FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 49 AND l_partkey IS NOT NULL
 """
 
 NEW_CODES_NOT_IN = """
@@ -253,7 +245,11 @@ TABLE_SCAN = "SELECT n_nationkey, n_name FROM nation"
 TABLE_SCAN_ALL = "SELECT * FROM nation"
 TABLE_COPY = "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer"
 CSV_ROUNDTRIP = """
-SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey,
+       CASE c_custkey % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '"' || c_name || '", he said'
+         WHEN 3 THEN c_name || chr(10) || 'second; line' WHEN 4 THEN '  ' || c_name || ' ' WHEN 5 THEN 'C:\\' || c_name || '\\'
+         WHEN 6 THEN ',,' || c_name || chr(13) || chr(10) WHEN 7 THEN 'Å' || chr(9) || '""' ELSE c_name END AS c_name,
+       c_nationkey, c_acctbal, c_mktsegment
 FROM customer
 """
 
@@ -449,9 +445,7 @@ UNION ALL SELECT 2, 'validity_by_user', ({_validity('CAST(user_id AS VARCHAR)')}
 UNION ALL SELECT 3, 'unmatched_messages', ({UNMATCHED_MESSAGES})
 UNION ALL SELECT 4, 'new_part_codes', (SELECT COUNT(*) FROM ({NEW_CODES}) x)
 UNION ALL SELECT 5, 'new_supplier_codes', (
-  SELECT COUNT(*) FROM (SELECT DISTINCT l_suppkey FROM lineitem) u
-  LEFT JOIN (SELECT DISTINCT s_suppkey FROM supplier WHERE s_acctbal > 0) m
-    ON u.l_suppkey = m.s_suppkey WHERE m.s_suppkey IS NULL)
+  SELECT COUNT(*) FROM (SELECT l_suppkey FROM lineitem EXCEPT SELECT s_suppkey FROM supplier WHERE s_acctbal > 0))
 UNION ALL SELECT 6, 'new_part_codes_not_in', (SELECT COUNT(*) FROM ({NEW_CODES_NOT_IN}) x)
 UNION ALL SELECT 7, 'patched_rows', ({PATCHED_ROWS})
 """
