@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from tidemark.plans.catalog import QUERIES  # noqa: E402
 from tidemark.session import get_session  # noqa: E402
 
 
@@ -85,7 +85,7 @@ def main() -> None:
     print("pushed into the parquet reader and the number of columns read.\n")
     print("| Query | Shuffles | Broadcasts | Reused | Windows | Subqueries | Joins | Python | Scans (table: pushed filters; columns) |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for k, q in queries().items():
+    for k, q in QUERIES.items():
         df = q(spark, sf)
         # run this very DataFrame so explain shows its final adaptive plan
         # (dev tool; results at sf0.1 are at most ~100k rows)
