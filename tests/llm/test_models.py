@@ -31,6 +31,24 @@ def test_language_of_odd_texts(spark, make):
     assert lang_id.fit(make([(1, "a")]).withColumn("lang", F.lit(None).cast("string"))) is None
 
 
+def test_every_language_is_learned(spark):
+    """More languages than any fixed number of classes, each with words of its own."""
+    r = np.random.default_rng(3)
+    words = ["".join(chr(97 + c) for c in r.integers(0, 26, 4)) for _ in range(130)]
+    rows = [(k * 100 + i, " ".join([w] * 12), f"l{k:03d}") for k, w in enumerate(words) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = lang_id.fit(docs)
+    assert len(net.langs) == 130
+    got = lang_id.language_id(docs, net).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    assert got.lang_pred.nunique() > 110 and (got.lang_pred == got.lang).mean() > 0.8
+
+
+def test_a_corpus_without_labels_stays(spark, make):
+    docs = make([(1, "some text"), (2, None), (3, "")]).withColumn("lang", F.lit(None).cast("string"))
+    net = lang_id.fit(docs)
+    assert net is None and sorted(x.doc_id for x in lang_id.known_language(docs, net, "text", "lang").collect()) == [1, 2, 3]
+
+
 def test_quality_on_held_out_rows(spark):
     got = q.op5(spark, SF).toPandas()
     labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas()

@@ -168,6 +168,14 @@ def test_verbatim_copies_of_any_words(spark, make):
     assert all(x.n_matched == x.n_item for x in got if x.item_id not in (3,))
 
 
+def test_short_items_are_found_whole(spark, make):
+    items = {1: "Name the largest ocean.", 2: "What is seven cubed?", 3: "2 + 2 = 4", 4: "Yes."}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    docs = [(i, f"Question {i + 4}: {t} (answer below)") for i, t in items.items()] + [(9, "the largest ocean of all"), (10, "what is seven")]
+    got = find_contamination(make(docs), bench).collect()
+    assert sorted((x.doc_id, x.item_id) for x in got) == [(1, 1), (2, 2)]  # the others have fewer than four words
+
+
 def test_longest_shared_run_of_words():
     rng = np.random.default_rng(8)
     for _ in range(300):

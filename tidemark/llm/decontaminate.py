@@ -33,8 +33,9 @@ U = np.uint64
 #: Template tokens of a window, literal words that it must hold, and tokens of a
 #: consistent run that make a document contaminated (or the whole item, if shorter).
 WINDOW, LITERALS, RUN = 8, 5, 10
-#: Words of the shortest item that is looked for verbatim; longer ones than RUN words match by any RUN of them.
-SHORTEST = 5
+#: Words of the shortest item that is looked for verbatim (fewer words stand in too many clean texts);
+#: longer ones than RUN words match by any RUN of them.
+SHORTEST = 4
 #: Text bytes of the benchmark that are joined at a time (the bound of a broadcast).
 BLOCK_BYTES = 8_000_000
 LITERAL, NUMBER, NAME, UNIT = 0, 1, 2, 3
@@ -278,7 +279,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     kind; ``n_matched`` then counts the item's tokens that the longest such run
     is in.  Characters of scripts without blanks are words.
 
-    Null and empty texts match nothing; nor do items of fewer than five words.  Equal items give a row each; rows with repeated or null ids are
+    Null and empty texts match nothing; nor do items of fewer than four words.  Equal items give a row each; rows with repeated or null ids are
     judged like any other.  No documents or no items give no rows.  Extra columns
     are ignored.
     """

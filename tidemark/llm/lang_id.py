@@ -20,10 +20,11 @@ from tidemark.llm.common import doc_slices, text_buffer, texts
 
 #: Bytes of a window, embedding size, filter widths and filters of each width.
 WINDOW, EMBED, WIDTHS, FILTERS = 256, 6, (2, 3, 4, 5), 8
-#: Labelled documents of each language, windows of each, and languages at most
-#: that the network learns from (the bound on what the driver holds).
-SAMPLE_DOCS, SAMPLE_WINDOWS, MAX_LANGS = 800, 4, 100
-STEPS, BATCH, RATE, SEED = 300, 64, 0.015, 11
+#: Labelled documents of each language and of all languages together, and windows of
+#: each, that the network learns from (the bound on what the driver holds).
+SAMPLE_DOCS, SAMPLE_TOTAL, SAMPLE_WINDOWS = 800, 80_000, 4
+#: Training steps (as many again for every LANGS_PER_RUN languages), rows of a step, rate.
+STEPS, LANGS_PER_RUN, BATCH, RATE, SEED = 300, 16, 64, 0.015, 11
 UNKNOWN = "und"
 _WIDEST = max(WIDTHS)
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -97,7 +98,8 @@ def train(windows: np.ndarray, target: np.ndarray, langs: list[str]) -> Network:
     p[0][0] = 0  # padding
     m, v = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
     rows = [np.flatnonzero(target == k) for k in range(len(langs))]
-    for step in range(1, STEPS + 1):
+    steps = STEPS * max(1, len(langs) // LANGS_PER_RUN)
+    for step in range(1, steps + 1):
         pick = rng.integers(0, len(langs), BATCH)
         pick = np.array([rows[k][rng.integers(len(rows[k]))] for k in pick])
         x, y = windows[pick].copy(), target[pick]
@@ -121,7 +123,7 @@ def train(windows: np.ndarray, target: np.ndarray, langs: list[str]) -> Network:
         for j in range(_WIDEST):
             np.add.at(d_embed, x[np.arange(BATCH)[:, None], at + j], d_cols[:, :, j * EMBED:(j + 1) * EMBED])
         d_embed[0] = 0
-        rate = RATE * min(1.0, 2 * (1 - step / (STEPS + 1)))
+        rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
         for k, g in enumerate((d_embed, d_filters, dh.sum(0), h.T @ q, q.sum(0))):
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.99 * v[k] + 0.01 * g * g
@@ -132,18 +134,19 @@ def train(windows: np.ndarray, target: np.ndarray, langs: list[str]) -> Network:
 def fit(labelled: DataFrame) -> Network | None:
     """Train on a bounded sample of ``doc_id``, ``text``, ``lang``.
 
-    About SAMPLE_DOCS documents of each of the MAX_LANGS most frequent languages
-    are drawn by a hash of their ids, and SAMPLE_WINDOWS places of each by
-    another; only these windows reach the driver.  None if no language is there.
+    About SAMPLE_DOCS documents of each language (fewer of each if there are more than a
+    hundred languages) are drawn by a hash of their ids, and SAMPLE_WINDOWS places of
+    each by another; only these windows and a count per language reach the driver.  Every
+    language is learned, whatever their number.  None if no language is there.
     """
     labelled = labelled.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND length(text) > 0")
-    counts = (labelled.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect())
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
         return None
     langs = sorted(r["lang"] for r in counts)
+    each = min(SAMPLE_DOCS, max(SAMPLE_TOTAL // len(langs), 1))
     rates = F.broadcast(labelled.sparkSession.createDataFrame(
-        [(r["lang"], min(1.0, SAMPLE_DOCS / r["n"])) for r in counts], "lang string, rate double"))
+        [(r["lang"], min(1.0, each / r["n"])) for r in counts], "lang string, rate double"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) / 1e6
     place = F.explode(F.sequence(F.lit(0), F.lit(SAMPLE_WINDOWS - 1))).alias("k")
     windows = (labelled.join(rates, "lang").filter(draw < F.col("rate")).select("doc_id", "lang", "text", place)
@@ -154,7 +157,8 @@ def fit(labelled: DataFrame) -> Network | None:
     raw = [r["w"].encode()[:WINDOW] for r in windows]
     data = np.frombuffer(b"".join(raw), np.uint8)
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in raw])))
-    target = np.array([langs.index(r["lang"]) for r in windows])
+    number = {lang: k for k, lang in enumerate(langs)}
+    target = np.array([number[r["lang"]] for r in windows])
     here = [k for k in range(len(langs)) if (target == k).any()]
     if not here:
         return None
@@ -195,6 +199,17 @@ def language_id(docs: DataFrame, net: Network | None, *keep: str) -> DataFrame:
         predict, "doc_id long, lang_pred string, score double" + kept)
 
 
+def known_language(docs: DataFrame, net: Network | None, *columns: str) -> DataFrame:
+    """The rows of ``docs`` whose language ``net`` tells, with ``doc_id`` and the columns named.
+
+    Texts without letters, empty and null texts go.  Without a network (no labelled text
+    in the corpus) nothing can be told and every row stays.  Rows with repeated or null
+    ids are judged by their own texts; no rows give no rows."""
+    if net is None:
+        return docs.select("doc_id", *columns)
+    return language_id(docs, net, *columns).filter(F.col("lang_pred") != UNKNOWN).select("doc_id", *columns)
+
+
 def op1(spark, docs: DataFrame) -> DataFrame:
     """``language_id`` of all documents, learned from three quarters of the labelled ones."""
     labelled = texts(docs, "lang").filter(~held_out(F.col("doc_id"), 4, 2))
