@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship_package, staged, table
 from tidemark.llm.decontaminate import clean_documents
-from tidemark.llm.lang_id import UNKNOWN, fit, language_id
+from tidemark.llm.lang_id import fit, known_language
 from tidemark.llm.near_dedup import near_dedup
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.suffix_dedup import suffix_dedup
@@ -25,10 +25,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the network knows; texts without letters and null texts go."""
+    """Documents whose language the network tells; texts without letters, empty and null
+    texts go.  A corpus without labelled text stays as it is.  Rows with repeated or null
+    ids are judged by their own texts; no rows give no rows."""
     ship_package(spark)
-    out = language_id(docs, fit(docs), *COLUMNS[1:])
-    return out.filter(F.col("lang_pred") != UNKNOWN).select(*COLUMNS)
+    return known_language(docs, fit(docs), *COLUMNS[1:]).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,13 +61,15 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of ``benchmark``, not with other values either."""
+    """Documents that hold no item of ``benchmark``, not with other values either.  Null and
+    empty texts and an empty benchmark leak nothing; no rows give no rows."""
     ship_package(spark)
     return clean_documents(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their ids and their places in sequences of 1,024 tokens."""
+    """Token pieces with their ids and their places in sequences of 1,024 tokens.  Null and
+    empty texts are a piece with the end id alone; no rows give no rows."""
     ship_package(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 2)
 
