@@ -40,6 +40,77 @@ def test_likeness(spark, small):
     assert fp.likeness(empty, empty) == 1 and fp.likeness(empty, a) == 0
 
 
+def test_likeness_follows_the_length():
+    rng = np.random.default_rng(3)
+
+    def alike(a, b):
+        return fp.likeness(fp.sketch(a), fp.sketch(b))
+
+    for size in (2_000, 100_000, 1_000_000):
+        text = rng.integers(32, 127, size).astype(np.uint8)
+        header = rng.integers(32, 127, 100).astype(np.uint8)
+        parts = [x for k in range(0, size, 5_000) for x in (header, text[k:k + 5_000])]
+        assert alike(text, np.concatenate(parts)) > 0.93  # a header every 5 KB
+        moved = np.concatenate((text[size // 3:], text[:size // 3]))
+        assert alike(text, moved) > 0.95
+    one, other = (rng.integers(32, 127, 100_000).astype(np.uint8) for _ in range(2))
+    assert alike(one, other) == 0
+    other[40_000:50_000] = one[7_000:17_000]  # a tenth in common, elsewhere
+    assert 0.06 < alike(one, other) < 0.14
+    again = np.tile(one[:500], 400)  # most syncmers are copies
+    assert alike(again, one[:500]) > 0.9 and len(fp.sketch(again)[0]) >= fp.ANCHORS
+
+
+def plain_anchors(data: bytes) -> dict[int, int]:
+    """Hash and first place of each anchor, one k-mer after the other."""
+    def h(b):
+        return int(fp.mix(np.frombuffer(b, np.uint64))[0])
+
+    found, wide = {}, (1 << 64) - 1
+    at = [h(data[k:k + fp.S]) for k in range(len(data) - fp.S + 1)]
+    for k in range(len(data) - fp.K + 1):
+        inner = at[k:k + fp.K - fp.S + 1]
+        if min(inner) in (inner[0], inner[-1]):
+            z = (inner[0] * 0x9E3779B97F4A7C15 + inner[-1]) & wide
+            found.setdefault(h(z.to_bytes(8, "little")) >> 24, k)
+    least = sorted(found)
+    return {x: found[x] for k, x in enumerate(least) if k < fp.ANCHORS or x < fp.BOUND}
+
+
+def plain_likeness(a: dict[int, int], b: dict[int, int]) -> float:
+    if not a and not b:
+        return 1.0
+    least = min(max(fp.BOUND, max(z) + 1) if len(z) >= fp.ANCHORS else 1 << 40 for z in (a, b))
+    a, b = ({x: p for x, p in z.items() if x < least} for z in (a, b))
+    shifts = [p - b[x] for x, p in sorted(a.items(), key=lambda z: z[1]) if x in b]
+    n = sum(len(shifts) < 3 or any(abs(s - shifts[m]) <= fp.SLACK for m in (k - 1, k + 1) if 0 <= m < len(shifts))
+            for k, s in enumerate(shifts))
+    return round(2 * n / (len(a) + len(b)), 6)
+
+
+def test_fingerprints_equal_brute_force(spark, make, small):
+    docs = [(x.doc_id, x.text) for x in small.collect() if x.text and 16 <= len(x.text.encode()) < 6000][:25]
+    docs += [(90_000 + k, docs[k][1][len(docs[k][1]) // 3:] + docs[k][1]) for k in range(5)]
+    known = sorted(docs, reverse=True)
+    anchors = {t: plain_anchors(t.encode()) for _, t in known}
+    want = []
+    for i, (d, t) in enumerate(known):
+        nxt, n = known[(i + 1) % len(known)][1], len(t)
+        edited = plain_anchors((t[:n - n // 2] + nxt[:n // 2]).encode())
+        text = [" ".join(f"{x:010x}@{p:x}" for x, p in sorted(z.items(), key=lambda z: z[1])) for z in (anchors[t], edited)]
+        want.append((d, *text, plain_likeness(anchors[t], edited), plain_likeness(anchors[t], anchors[nxt])))
+    got = fp.op3(spark, make(docs)).select("doc_id", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    assert sorted(map(tuple, got.collect()), reverse=True) == want
+
+
+def test_rows_without_an_id_are_spread(spark, make):
+    rows = make([(None, f"text {k} " * 20) for k in range(300)] + [(1, "a"), (2, "b")])
+    rows = rows.unionByName(rows)
+    parts = {x.part for x in fp.to_ranges(rows).filter("doc_id IS NULL").select("part").collect()}
+    assert all(p < 0 for p in parts)
+    assert fp.op3(spark, rows).filter("doc_id IS NULL AND near_next = 0").count() == 600
+
+
 def test_syncmers_do_not_depend_on_the_context():
     rng = np.random.default_rng(1)
     passage = rng.integers(97, 123, 500).astype(np.uint8)

@@ -20,11 +20,12 @@ from tidemark.llm.bytesops import mix
 from tidemark.llm.common import doc_slices, n_buckets, texts
 
 U = np.uint64
-#: Bytes of an anchor and of its inner strings, and anchors that a fingerprint keeps.
+#: Bytes of an anchor and of its inner strings, and anchors that a fingerprint keeps at least.
 K, S, ANCHORS = 16, 8, 64
-#: An anchor's hash has 40 bits.
+#: An anchor's hash has 40 bits; every one below ``BOUND`` (one of 16) is kept.
 SHIFT = U(24)
-#: Places by which matched anchors may differ in their shift.
+BOUND = 1 << 36
+#: Places by which neighbours among the matched anchors may differ in their shift.
 SLACK = 64
 #: Ranges of ids at most, so that their ends stay a small list.
 MAX_RANGES = 1 << 14
@@ -55,16 +56,28 @@ def syncmers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ANCHORS distinct syncmers of least hash, ascending, with their first places."""
+    """The distinct syncmers of a hash below BOUND, or the ANCHORS of least hash if these are
+    more: ascending hashes, and the first place of each.
+
+    The bound is the same for all texts, so the number of anchors follows the text's length
+    and a passage has the same share of them in a text of any length.
+    """
     h, at = syncmers(data)
-    if len(h) > 8 * ANCHORS:  # those of least hash are among the least few, copies counted
-        cut = np.partition(h, 4 * ANCHORS)[4 * ANCHORS]
-        few = h <= cut
-        x, first = np.unique(h[few], return_index=True)
-        if len(x) > ANCHORS:
-            return x[:ANCHORS], at[few][first][:ANCHORS]
+    low = h < U(BOUND)
+    if low.sum() >= 2 * ANCHORS:  # then the bound decides, unless most are copies
+        x, first = np.unique(h[low], return_index=True)
+        if len(x) >= ANCHORS:
+            return x, at[low][first]
     x, first = np.unique(h, return_index=True)
-    return x[:ANCHORS], at[first][:ANCHORS]
+    n = max(ANCHORS, int(np.searchsorted(x, U(BOUND))))
+    return x[:n], at[first[:n]]
+
+
+def known_below(hashes: np.ndarray) -> int:
+    """All of a text's anchors with a hash below this are in its fingerprint."""
+    if len(hashes) < ANCHORS:
+        return 1 << 40
+    return max(BOUND, int(hashes[-1]) + 1)
 
 
 def to_text(anchors: tuple[np.ndarray, np.ndarray]) -> str:
@@ -75,28 +88,25 @@ def to_text(anchors: tuple[np.ndarray, np.ndarray]) -> str:
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Share of anchors in common (Dice), estimated from two fingerprints.
+    """Share of anchors in common (Dice) among the hashes that both fingerprints know.
 
-    Equal hashes match by place too: a match counts if another match has about
-    the same shift, or if there are at most two.  Two fingerprints without
-    anchors are alike (1).
+    Equal hashes match by place too: taken in the order of the first text, a match counts
+    if the one before or after it has about the same shift, or if there are at most two.
+    So passages may have moved by any distance, and each is judged by what stands around
+    it.  Two fingerprints without anchors are alike (1).
     """
     (x, p), (y, q) = a, b
     if not len(x) and not len(y):
         return 1.0
-    if not len(x) or not len(y):
-        return 0.0
-    union = np.union1d(x, y)
-    if len(x) >= ANCHORS or len(y) >= ANCHORS:
-        union = union[:ANCHORS]  # the least hashes of both together are known for both
-    both, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    inside = both <= union[-1]
-    shift = np.sort((p[i] - q[j])[inside])
-    n = len(shift)
+    least = U(min(known_below(x), known_below(y)))
+    x, y = x[x < least], y[y < least]
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    n = len(i)
     if n > 2:
-        near = np.diff(shift) <= SLACK
+        order = np.argsort(p[i])
+        near = np.abs(np.diff((p[i] - q[j])[order])) <= SLACK
         n = int((np.append(near, False) | np.insert(near, 0, False)).sum())
-    return round(2 * n / (n + len(union)), 6)
+    return round(2 * n / (len(x) + len(y)), 6)
 
 
 def to_ranges(rows: DataFrame) -> DataFrame:
@@ -105,7 +115,8 @@ def to_ranges(rows: DataFrame) -> DataFrame:
     Ranges end at ids that are quantiles.  The row at a range's greatest id also
     goes, as ``extra``, to the range above, whose last row it follows in
     descending order; the greatest of all goes to the lowest range.  So every
-    row meets its successor in its own range, and texts move once.
+    row meets its successor in its own range, and texts move once.  Rows without an
+    id meet no other and are spread over parts below 0.
     """
     ranges = min(n_buckets(rows), MAX_RANGES)
     known = rows.filter("doc_id IS NOT NULL").select("doc_id")
@@ -121,7 +132,8 @@ def to_ranges(rows: DataFrame) -> DataFrame:
         return pd.Series([[(p, False), (q, True)] if e else [(p, False)]
                           for p, q, e in zip(part.tolist(), above.tolist(), ends_here.tolist())])
 
-    alone = F.array(F.struct(F.lit(-1).alias("part"), F.lit(False).alias("extra")))
+    spread = (F.lit(-1) - F.pmod(F.xxhash64("text"), F.lit(len(ends)))).cast("int")
+    alone = F.array(F.struct(spread.alias("part"), F.lit(False).alias("extra")))
     at = rows.filter("doc_id IS NOT NULL").withColumn("to", F.explode(places("doc_id"))).unionByName(
         rows.filter("doc_id IS NULL").withColumn("to", F.explode(alone)))
     return (at.select("doc_id", "text", "to.part", "to.extra").repartition(len(ends), "part")
