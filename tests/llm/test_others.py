@@ -177,6 +177,15 @@ def test_shards(spark, make, small):
     assert op10(spark, make([])).collect() == []
 
 
+def test_shards_do_not_depend_on_the_layout(spark, make):
+    rows = [(k, f"copy {k % 7}" if k % 3 else str(k)) for k in range(400)] + [(k, "hot") for k in range(400, 640)]
+    rows += [(None, "hot"), (None, None), (5, ""), (5, ""), (6, "x"), (6, "y")]
+    docs = make(rows)
+    got = [sorted(map(tuple, op10(spark, df).collect()), key=str) for df in
+           (docs, docs.repartition(5, "text"), docs.coalesce(1).orderBy(F.desc("doc_id")))]
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(rows)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 

@@ -27,14 +27,18 @@ from tidemark.llm.common import staged, texts
 LARGE = 1 / 16
 
 
-def numbered(df: DataFrame, by: str) -> DataFrame:
+def numbered(df: DataFrame, by: str, *ties: str) -> DataFrame:
     """``df`` with ``nth``: a gapless number from 0 among the rows of equal ``by``.
 
-    Rows are numbered where they are (within the task, per value) and tasks'
-    counts are summed up before; no value's rows meet in one task.  ``df`` is
-    written out first, so that the rows stay where they were counted.
+    Rows are numbered in the order of a hash of ``ties``, so a row's number does not
+    depend on where the table keeps it.  Ranges of (``by``, hash) are sorted and counted
+    one by one and their counts summed up, so a value's rows need not meet in one task
+    (only rows equal in all of ``ties`` do).  ``df`` is written out first, so that rows
+    stay where they were counted.
     """
-    placed = staged(df.sortWithinPartitions(by).withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    order = [F.col(by), F.xxhash64(*ties), *map(F.col, ties)]
+    placed = staged(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("_row", F.monotonically_increasing_id()), "numbered")
     task = F.shiftright("_row", 33).alias("_task")
     runs = placed.groupBy(by, task).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     before = Window.partitionBy(by).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
@@ -105,12 +109,12 @@ def _settle(units: DataFrame, seats: list[int]) -> tuple[DataFrame, DataFrame, l
     whole, parts, room = min(plans, key=lambda p: sum(len(x) for x in p[1].values()))
     table = spark.createDataFrame([(n, label, *_ends(whole.get((n, label), []))) for n, label in classes],
                                   "n long, label int, to array<int>, ends array<long>")
-    placed = numbered(units.withColumn("class", F.struct("n", "label")), "class").drop("class").join(
+    placed = numbered(units.withColumn("class", F.struct("n", "label")), "class", "unit").drop("class").join(
         F.broadcast(table), ["n", "label"])
     placed = placed.withColumn("k", F.size(F.filter("ends", lambda e: e <= F.col("nth"))))
     placed = staged(placed.select("unit", "n", "large", "label", F.get("to", "k").alias("shard")), "placed")
     late = []
-    for r in placed.filter("shard IS NULL").collect():
+    for r in placed.filter("shard IS NULL").orderBy("unit").collect():
         late.append((r["unit"], *_ends(parts[r["n"], r["label"]].pop())))
     late = spark.createDataFrame(late, "unit long, to array<int>, ends array<long>")
     return placed.filter("shard IS NOT NULL").select("unit", "large", "shard"), late, room
@@ -124,7 +128,8 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     that then fits into no shard whole is spread over the fewest.  Returns one row
     per input row: ``doc_id``, ``size`` (UTF-8 bytes of the text plus 16),
     ``text_crc32``, ``law``, ``shard``, ``slot`` (gapless from 0 within the
-    shard) and ``grown_shard`` (null: counts decide, not keys).
+    shard) and ``grown_shard`` (null: counts decide, not keys).  Shards and slots
+    follow from the rows alone, not from the table's files or partitions.
 
     Null text counts as empty.  Every row is a document, with repeated or null
     ids too.  No rows give no rows.  Extra columns are ignored.
@@ -143,7 +148,7 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     rest = rows.filter("n_large IS NULL").join(counts.filter(~big), "key", "left")
     judged = staged(rest.unionByName(rows.filter("n_large IS NOT NULL").withColumn("n", F.col("n_large"))), "judged")
     alone = judged.filter("n IS NULL").select("doc_id", "size", "text_crc32")
-    cut = numbered(judged.filter(F.col("n") > quota), "key")
+    cut = numbered(judged.filter(F.col("n") > quota), "key", "doc_id")
     linked = judged.filter(F.col("n") <= quota).withColumn("part", F.lit(0).cast("long")).unionByName(
         cut.withColumn("part", F.floor(F.col("nth") / part)).drop("nth"))
     linked = staged(linked.select(
@@ -154,11 +159,12 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     settled, late, room = _settle(staged(units, "units"), seats)
     place = linked.filter("large").join(F.broadcast(settled.filter("large").drop("large")), "unit").unionByName(
         linked.filter("NOT large").join(settled.filter("NOT large").drop("large"), "unit"))
-    parted = numbered(linked.join(F.broadcast(late.select("unit")), "unit", "left_semi"), "unit").join(F.broadcast(late), "unit")
+    parted = numbered(linked.join(F.broadcast(late.select("unit")), "unit", "left_semi"), "unit", "doc_id").join(
+        F.broadcast(late), "unit")
     parted = parted.withColumn("shard", F.get("to", F.size(F.filter("ends", lambda e: e <= F.col("nth")))))
     columns = ["doc_id", "size", "text_crc32", "shard"]
-    kept = numbered(place.select(*columns).unionByName(parted.select(*columns)), "shard").withColumnRenamed("nth", "slot")
-    spread = numbered(alone.withColumn("all", F.lit(0)), "all")
+    kept = numbered(place.select(*columns).unionByName(parted.select(*columns)), "shard", *columns[:3]).withColumnRenamed("nth", "slot")
+    spread = numbered(alone.withColumn("all", F.lit(0)), "all", *columns[:3])
     # seats left, shard after shard: the k-th free document takes the k-th of them
     free, ends = 0, []
     for s in range(shards):
