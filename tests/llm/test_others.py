@@ -103,6 +103,18 @@ def test_fingerprints_equal_brute_force(spark, make, small):
     assert sorted(map(tuple, got.collect()), reverse=True) == want
 
 
+def test_fingerprints_of_a_very_long_text(spark, make):
+    words = np.random.default_rng(5).integers(0, 50_000, 300_000)
+    text = " ".join(map(str, words.tolist()))
+    docs = [(3, text), (2, "short one"), (1, text + " and more")]
+    got = {x.doc_id: x for x in fp.op3(spark, make(docs)).collect()}
+    assert got[3].n_chars == len(text) and got[2].near_next == 0
+    assert got[3].fingerprint.count("@") > len(text) / 100
+    assert set(got[3].fingerprint.split()) <= set(got[1].fingerprint.split())
+    # the edited text is the first half twice: half of the distinct anchors, so Dice is 2 * 0.5 / 1.5
+    assert abs(got[1].near_edited - 2 / 3) < 0.02
+
+
 def test_rows_without_an_id_are_spread(spark, make):
     rows = make([(None, f"text {k} " * 20) for k in range(300)] + [(1, "a"), (2, "b")])
     rows = rows.unionByName(rows)
@@ -206,6 +218,15 @@ def test_pipeline_stages(spark):
     assert {x.doc_id for x in docs.select("doc_id").distinct().collect()} == ids
 
 
+def test_stages_of_an_empty_table(spark):
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for k, (name, stage) in enumerate(cp.STAGES):
+        out = stage(spark, docs, SF)
+        assert out.collect() == [] and (k == len(cp.STAGES) - 1 or out.columns == docs.columns), name
+
+
 def test_clean_documents_go_through(spark, make):
     import corpus_pipeline as cp
 
