@@ -136,6 +136,28 @@ def test_filter_has_several_bit_maps_and_no_false_negative(spark, monkeypatch):
     assert sum(hits) <= 1  # ten bits a key: about one in a hundred by chance
 
 
+def test_index_is_made_without_sorting_or_gathering_the_keys(spark):
+    target = f"{work_dir(spark, 't-plan')}"
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 'a', 'b') AS kafka_topic", "if(id % 7 = 0, null, id) AS kafka_offset", "'m' AS melding")
+    rows.repartition(2).write.partitionBy("kafka_topic").parquet(target)
+    landed = spark.read.schema(SCHEMA).parquet(target)
+    index = landing._index(landed, target, KEYS, "kafka_offset", "kafka_topic")
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert not any(step in plan for step in ("Coalesce", "Window", "SortAggregate", "SinglePartition"))
+    # the bit maps are the ones that Spark's own aggregate makes of the same places
+    name = F.regexp_extract("_metadata.file_path", f"{target}/(.*)$", 1)
+    sizes = index.where("part IS NOT NULL").select("file", "bits").distinct()
+    place = F.col("place") + 1
+    want = (landed.select(name.alias("file"), *KEYS).dropna().join(sizes, "file")
+            .select("file", "bits", F.explode(landing._places(KEYS, F.col("bits"))).alias("place"))
+            .groupBy("file", "bits", F.bitmap_bucket_number(place).alias("part"))
+            .agg(F.hex(F.bitmap_construct_agg(F.bitmap_bit_position(place))).alias("map")))
+    got = index.where("part IS NOT NULL").select("file", "bits", "part", F.hex("map").alias("map"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 8
+    n = index.where("part IS NULL").agg(F.sum("n"), F.min("lo"), F.max("hi")).first()
+    assert tuple(n) == (landed.dropna(subset=KEYS).count(), 1, 29_999)
+
+
 def test_index_of_other_keys_or_an_older_table_is_not_used(spark):
     target = work_dir(spark, "t-old")
     _rows(spark, "ab", range(5)).write.partitionBy("kafka_topic").parquet(target)

@@ -29,7 +29,7 @@ import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -45,6 +45,8 @@ ONCE = "once"
 KEEP = 100
 #: Bloom filter: bits per key, hashes per key; bits of one bit map of Spark (fixed).
 BITS_PER_KEY, HASHES, MAP_BITS = 10, 4, 1 << 15
+#: Bits of a word, as which a filter is gathered (a long).
+WORD = 64
 #: Files whose ranges a batch meets for which it is cheaper to ask the filters than to read the files' keys.
 PROBE_FROM = 64
 #: Offsets of a batch are compared with the files' ranges in bins of this width.
@@ -214,24 +216,49 @@ def _places(keys: Sequence[str], bits: Column) -> Column:
 
 def _index(rows: DataFrame, root: str, keys: Sequence[str], offset: str, topic: str | None) -> DataFrame:
     """Index rows of files below ``root``: a row for each file and topic, and one for
-    each bit map of the file's filter (``part`` from 1)."""
+    each bit map of the file's filter (``part`` from 1).
+
+    Hash aggregates bring a task's keys down to words of ``WORD`` bits before any are
+    moved: neither a batch nor a file is sorted, or gathered in one task.
+    """
     p = hadoop_fs(rows.sparkSession, root)[1].toUri().getPath()
-    path = F.regexp_extract("_metadata.file_path", f"^.*?{re.escape(p)}/(.*)$", 1)
+    path = F.regexp_extract("_path", f"^.*?{re.escape(p)}/(.*)$", 1)
     name = F.expr("url_decode(replace(_file, '+', '%2B'))")
     topic_col = F.col(topic).cast("string") if topic in keys else F.lit(None).cast("string")
-    own = (rows.select(path.alias("_file"), *keys, topic_col.alias("topic")).withColumn("file", name)
-           .dropna(subset=list(keys)))
-    ranges = own.groupBy("file", "topic").agg(F.min(offset).alias("lo"), F.max(offset).alias("hi"), F.count("*").alias("n"))
-    # a file's keys meet in one task, which a file's size bounds
-    n = F.count("*").over(Window.partitionBy("file"))
+    own = rows.select(F.col("_metadata.file_path").alias("_path"), *keys, topic_col.alias("topic")).dropna(subset=list(keys))
+    ranges = own.groupBy("_path", "topic").agg(F.min(offset).alias("lo"), F.max(offset).alias("hi"), F.count("*").alias("n"))
+    ranges = ranges.withColumn("_file", path).withColumn("file", name)
+    # one row for each file that was written
+    n = F.col("n")
     bits = F.lit(MAP_BITS) * F.pow(F.lit(2), F.ceil(F.log2(F.greatest(n * BITS_PER_KEY / MAP_BITS, F.lit(1))))).cast("long")
-    place = F.col("place") + 1
-    maps = (own.select("file", *keys, bits.alias("bits"))
-            .select("file", "bits", F.explode(_places(keys, F.col("bits"))).alias("place"))
-            .groupBy("file", "bits", F.bitmap_bucket_number(place).alias("part"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map")))
+    files = ranges.groupBy("_path", "file").agg(F.sum("n").alias("n")).select("_path", "file", bits.alias("bits"))
+    place = F.col("place")
+    words = (own.join(F.broadcast(files), "_path")
+             .select("file", "bits", F.explode(_places(keys, F.col("bits"))).alias("place"))
+             .groupBy("file", "bits", F.floor(place / WORD).alias("word")).agg(F.bit_or(_bit(place)).alias("word_bits")))
+    per_map = MAP_BITS // WORD
+    maps = (words.groupBy("file", "bits", (F.floor(F.col("word") / per_map) + 1).alias("part"))
+            .agg(_bit_map(F.pmod("word", F.lit(per_map)), F.col("word_bits"), per_map).alias("map")))
     order = [c.split()[0] for c in _INDEX_SCHEMA.split(", ")]
-    return ranges.unionByName(maps, allowMissingColumns=True).select(*order).coalesce(1)
+    return ranges.drop("_path", "_file").unionByName(maps, allowMissingColumns=True).select(*order).hint("rebalance", "file")
+
+
+def _bit(place: Column) -> Column:
+    """The place's bit in its word; a word's bytes stand in the order of its hex digits."""
+    at = F.pmod(place, F.lit(WORD)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(WORD - 8) - F.floor(at / 8).cast("int") * 8 + F.pmod(at, F.lit(8)))
+
+
+def _bit_map(word: Column, word_bits: Column, per_map: int) -> Column:
+    """The bytes of a bit map from its words (aggregate); words that are not there are zeros."""
+    digits = WORD // 4
+    found = F.sort_array(F.collect_list(F.struct(word.cast("int").alias("word"), F.lpad(F.hex(word_bits), digits, "0").alias("hex"))))
+
+    def after_gap(x: Column, i: Column) -> Column:
+        last = F.coalesce(F.try_element_at(found, F.when(i > 0, i))["word"], F.lit(-1))
+        return F.concat(F.repeat(F.lit("0"), (x["word"] - last - 1) * digits), x["hex"])
+
+    return F.unhex(F.rpad(F.array_join(F.transform(found, after_gap), ""), per_map * digits, "0"))
 
 
 def read_index(spark: SparkSession, target: str, like: DataFrame, keys: Sequence[str]) -> DataFrame | None:
