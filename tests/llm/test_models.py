@@ -133,6 +133,19 @@ def test_licence_scan_equals_brute_force(spark, make, small):
     assert "Exchange" not in plan and "Python" not in plan
 
 
+def test_licence_scan_judges_lines_without_licence_words(make, small):
+    """No line of the first two holds licence words as a whole."""
+    docs = [(1, "Title\n\nRedistribution and\nuse in source and binary forms, with or without\nmodification, are permitted provided that the\n"
+                "following conditions are met\n\nend"),
+            (2, "x\n\nPermission is\nhereby granted, free of charge, to any person obtaining a copy of\nthis software and associated "
+                "documentation files, to deal in the\nSoftware without restriction"),
+            (3, "plain words\n\nand more")]
+    every = {(r.doc_id, r.paragraph) for r in licenses.paragraphs(make(docs), every=True).collect()}
+    assert every == {(1, 0), (1, 2), (1, 7), (2, 0), (2, 2), (3, 0), (3, 2)}
+    rows = licenses.scan_licenses(make(docs), licenses.fit(small)).collect()
+    assert {(r.doc_id, r.paragraph, r.family, r.confirmed) for r in rows} == {(1, 2, "bsd", True), (2, 2, "mit", True)}
+
+
 #: Notices in other words or line breaks than the templates', and texts of no family here.
 NOTICES = [
     ("mit", "Copyright (c) 2019 Jane Doe\n\nPermission is hereby granted, free of charge, to any person\nobtaining a copy of this "

@@ -2,7 +2,10 @@
 
 A paragraph is a line that holds licence words (``CUES``) with the short lines around it
 (one before it, three after it, none across a blank line), and what such lines join to,
-so a notice that is wrapped over lines is judged as a whole.  Its features are the word unigrams and bigrams that the templates
+so a notice that is wrapped over lines is judged as a whole.  The other lines are scanned
+too: each run of short ones and each long one is a paragraph, so no part of a text goes
+unjudged for want of licence words in one line; since the model's threshold comes from
+paragraphs with licence words, such a paragraph counts if it is confirmed.  Its features are the word unigrams and bigrams that the templates
 hold.  A softmax regression over licence families and the class ``unknown`` is trained
 on the templates, with words left out, against statements of other licences, ordinary
 sentences and paragraphs of the corpus.  Its probabilities are calibrated (temperature,
@@ -105,6 +108,8 @@ CUES = ("licen[sc]e", "licensing", "copyright", "spdx", "redistribution and use"
 #: Lines of at most this many characters may be parts of a wrapped notice; how many of them
 #: may follow a line with a licence word.
 WRAPPED, AFTER = 100, 3
+#: Kinds of lines: parts of no paragraph, of one with licence words, other short lines and long ones.
+BLANK, NOTICE, PLAIN, LONG = range(4)
 CUE = "(?i)" + "|".join(CUES)
 UNKNOWN = "unknown"
 #: Documents whose paragraphs the unknown class learns from (about as many are drawn), share of a template's
@@ -215,35 +220,39 @@ def train(paragraphs: list[set[str]]) -> Model:
     return Model(families, {vocab[i]: w[i].tolist() for i in used}, b.tolist(), best[1], round(threshold, 4))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``paragraph`` (number of its first line) and ``line`` (its lines, joined by blanks)
-    of every paragraph with licence words."""
-    some = texts(docs).filter(F.col("text").rlike(CUE)).withColumn("lines", F.split("text", "\r?\n"))
+def paragraphs(docs: DataFrame, every: bool = False) -> DataFrame:
+    """``doc_id``, ``paragraph`` (number of its first line), ``line`` (its lines, joined by blanks) and
+    ``cued`` (true) of every paragraph with licence words; with ``every`` also of what is left of the text:
+    runs of short lines, and each long line (``cued`` is false), so each line that is not blank is in one paragraph."""
+    some = texts(docs).withColumn("has", F.col("text").rlike(CUE))
+    some = (some if every else some.filter("has")).withColumn("lines", F.split("text", "\r?\n"))
     some = some.withColumn("marks", F.transform("lines", lambda x: F.struct(
-        x.rlike(CUE).alias("cue"), ((F.trim(x) != "") & (F.length(x) <= WRAPPED)).alias("short"))))
+        F.when(F.col("has"), x.rlike(CUE)).otherwise(False).alias("cue"), (F.trim(x) != "").alias("full"),
+        ((F.trim(x) != "") & (F.length(x) <= WRAPPED)).alias("short"))))
 
     def mark(i: Column, name: str) -> Column:
         return F.when(i >= 0, F.coalesce(F.get(F.col("marks"), i)[name], F.lit(False))).otherwise(False)
 
-    def belongs(m: Column, i: Column) -> Column:
+    def kind(m: Column, i: Column) -> Column:
         near, through = mark(i + 1, "cue") & mark(i + 1, "short"), F.lit(True)
         for k in range(1, AFTER + 1):
             through = through & mark(i - k, "short")
             near = near | (through & mark(i - k, "cue"))
-        return F.when(m["cue"] | (m["short"] & near), i)
+        belongs = m["cue"] | (F.col("has") & m["short"] & near)
+        rest = F.when(m["short"], F.lit(PLAIN)).when(m["full"], F.lit(LONG)).otherwise(F.lit(BLANK)) if every else F.lit(BLANK)
+        return F.when(belongs, F.lit(NOTICE)).otherwise(rest)
 
-    def joined(runs: Column, i: Column) -> Column:
-        last = F.element_at(runs, -1)
-        longer = F.struct(last["start"].alias("start"), i.alias("end"))
-        alone = F.struct(i.alias("start"), i.alias("end"))
-        return F.when((F.size(runs) > 0) & (i - last["end"] == 1), F.concat(
-            F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(longer))).otherwise(F.concat(runs, F.array(alone)))
+    def first(k: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(F.col("kinds"), i - 1)).otherwise(F.lit(BLANK))
+        return F.when((k != before) | (k == LONG), F.struct(i.alias("start"), k.alias("kind")))
 
-    at = F.filter(F.transform("marks", belongs), lambda i: i.isNotNull())
-    none = F.expr("CAST(array() AS array<struct<start: int, end: int>>)")
-    runs = some.select("doc_id", "lines", F.explode(F.aggregate(at, none, joined)).alias("run"))
-    return runs.select("doc_id", F.col("run.start").alias("paragraph"), F.array_join(
-        F.slice("lines", F.col("run.start") + 1, F.col("run.end") - F.col("run.start") + 1), " ").alias("line"))
+    some = some.withColumn("kinds", F.transform("marks", kind))
+    some = some.withColumn("firsts", F.filter(F.transform("kinds", first), lambda x: x.isNotNull()))
+    ends = F.transform("firsts", lambda x, j: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), F.coalesce(
+        F.get(F.col("firsts"), j + 1)["start"], F.size("lines")).alias("end")))
+    runs = some.select("doc_id", "lines", F.explode(F.filter(ends, lambda x: x["kind"] != BLANK)).alias("run"))
+    return runs.select("doc_id", F.col("run.start").alias("paragraph"), (F.col("run.kind") == NOTICE).alias("cued"), F.array_join(
+        F.slice("lines", F.col("run.start") + 1, F.col("run.end") - F.col("run.start")), " ").alias("line"))
 
 
 def _strings(values) -> Column:
@@ -260,13 +269,13 @@ def fit(docs: DataFrame) -> Model:
 
 
 def scan_licenses(docs: DataFrame, model: Model) -> DataFrame:
-    """Licence statements in ``docs``: one row per paragraph that states one.
+    """Licence statements in ``docs``: one row per paragraph that states one; all paragraphs are judged.
 
     ``doc_id``, ``paragraph`` (number of its first line, from 0), ``family``, ``probability``
     (calibrated), ``likeness`` (greatest share of a template's word pairs that stand in
     it), ``confirmed`` (likeness at least 0.6, and wording of this family alone) and ``line``
     (the paragraph).  Paragraphs of class unknown, by themselves or by the threshold,
-    give no row; so do null and empty texts.  Rows with repeated or null ids are scanned
+    give no row, nor do unconfirmed ones without licence words in a line; so do null and empty texts.  Rows with repeated or null ids are scanned
     like any other; extra columns are ignored.  A document is one row of one task.
     """
     families = model.families
@@ -276,23 +285,29 @@ def scan_licenses(docs: DataFrame, model: Model) -> DataFrame:
     templates = F.map_from_arrays(_strings(named), F.array(*[
         F.array(*[_strings(dict.fromkeys(pairs_of(words_of(s)))) for s in TEMPLATES[f][0] if len(words_of(s)) > 1]) for f in named]))
     keys = F.map_from_arrays(_strings(named), F.array(*[_strings(TEMPLATES[f][1]) for f in named]))
-    rows = paragraphs(docs).withColumn("words", paragraph_words(F.col("line"))).withColumn("pairs", _pairs(F.col("words")))
+    rows = paragraphs(docs, every=True).withColumn("words", paragraph_words(F.col("line")))
+    said = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
+
+    def holds(k: Column) -> Column:
+        return F.contains(said, F.concat(F.lit(" "), k, F.lit(" ")))
+
+    # no family could confirm a paragraph without any family's own wording
+    every_key = _strings(sorted({k for _, own in TEMPLATES.values() for k in own}))
+    rows = rows.filter(F.col("cued") | F.exists(every_key, holds)).withColumn("pairs", _pairs(F.col("words")))
     known = F.array_intersect(F.concat("words", "pairs"), _strings(features))
     logits = F.aggregate(known, F.array(*[F.lit(float(b)) for b in model.bias]),
                          lambda acc, f: F.zip_with(acc, F.element_at(weights, f), lambda a, b: a + b))
     rows = rows.withColumn("z", F.transform(logits, lambda z: F.exp(z / F.lit(float(model.temperature)))))
     top = F.array_max(F.zip_with("z", _strings(families), lambda z, f: F.struct(z.alias("z"), f.alias("family"))))
     rows = rows.withColumn("top", top).withColumn("total", F.aggregate("z", F.lit(0.0), lambda a, z: a + z))
-    rows = rows.select("doc_id", "paragraph", "line", "words", "pairs", F.col("top.family").alias("family"),
+    rows = rows.select("doc_id", "paragraph", "cued", "line", "words", "pairs", F.col("top.family").alias("family"),
                        F.round(F.col("top.z") / F.col("total"), 6).alias("probability"))
     rows = rows.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= model.threshold))
     share = F.array_max(F.transform(F.element_at(templates, F.col("family")),
                                     lambda t: F.size(F.array_intersect(t, F.col("pairs"))) / F.size(t)))
-    said = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
-    own = F.exists(F.element_at(keys, F.col("family")), lambda k: F.contains(said, F.concat(F.lit(" "), k, F.lit(" "))))
-    rows = rows.withColumn("likeness", F.round(share, 6)).withColumn("own", own)
-    return rows.select("doc_id", "paragraph", "family", "probability", "likeness",
-                       ((F.col("likeness") >= CONFIRM) & F.col("own")).alias("confirmed"), "line")
+    rows = rows.withColumn("likeness", F.round(share, 6)).withColumn("own", F.exists(F.element_at(keys, F.col("family")), holds))
+    rows = rows.withColumn("confirmed", (F.col("likeness") >= CONFIRM) & F.col("own")).filter(F.col("cued") | F.col("confirmed"))
+    return rows.select("doc_id", "paragraph", "family", "probability", "likeness", "confirmed", "line")
 
 
 def op7(spark, docs: DataFrame) -> DataFrame:
