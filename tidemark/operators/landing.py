@@ -238,7 +238,8 @@ def _index(rows: DataFrame, root: str, keys: Sequence[str], offset: str, topic:
              .groupBy("file", "bits", F.floor(place / WORD).alias("word")).agg(F.bit_or(_bit(place)).alias("word_bits")))
     per_map = MAP_BITS // WORD
     maps = (words.groupBy("file", "bits", (F.floor(F.col("word") / per_map) + 1).alias("part"))
-            .agg(_bit_map(F.pmod("word", F.lit(per_map)), F.col("word_bits"), per_map).alias("map")))
+            .agg(F.sort_array(F.collect_list(F.struct(F.pmod("word", F.lit(per_map)).cast("int").alias("at"), "word_bits"))).alias("words"))
+            .withColumn("map", _bit_map(F.col("words"), per_map)))
     order = [c.split()[0] for c in _INDEX_SCHEMA.split(", ")]
     return ranges.drop("_path", "_file").unionByName(maps, allowMissingColumns=True).select(*order).hint("rebalance", "file")
 
@@ -249,16 +250,15 @@ def _bit(place: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(WORD - 8) - F.floor(at / 8).cast("int") * 8 + F.pmod(at, F.lit(8)))
 
 
-def _bit_map(word: Column, word_bits: Column, per_map: int) -> Column:
-    """The bytes of a bit map from its words (aggregate); words that are not there are zeros."""
+def _bit_map(words: Column, per_map: int) -> Column:
+    """The bytes of a bit map from its words in order; words that are not there are zeros."""
     digits = WORD // 4
-    found = F.sort_array(F.collect_list(F.struct(word.cast("int").alias("word"), F.lpad(F.hex(word_bits), digits, "0").alias("hex"))))
 
     def after_gap(x: Column, i: Column) -> Column:
-        last = F.coalesce(F.try_element_at(found, F.when(i > 0, i))["word"], F.lit(-1))
-        return F.concat(F.repeat(F.lit("0"), (x["word"] - last - 1) * digits), x["hex"])
+        last = F.when(i > 0, F.get(words, i - 1)["at"]).otherwise(F.lit(-1))
+        return F.concat(F.repeat(F.lit("0"), (x["at"] - last - 1) * digits), F.lpad(F.hex(x["word_bits"]), digits, "0"))
 
-    return F.unhex(F.rpad(F.array_join(F.transform(found, after_gap), ""), per_map * digits, "0"))
+    return F.unhex(F.rpad(F.array_join(F.transform(words, after_gap), ""), per_map * digits, "0"))
 
 
 def read_index(spark: SparkSession, target: str, like: DataFrame, keys: Sequence[str]) -> DataFrame | None:
