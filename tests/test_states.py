@@ -48,6 +48,15 @@ def test_work_follows_facts_and_matches(spark):
     assert matches == 4499 and pairs < 9 * (3000 + matches)
 
 
+def test_short_intervals_are_met_on_their_days_only(spark):
+    days = spark.range(300).selectExpr("'a' AS k", "date_add(DATE '2015-01-01', CAST(id % 60 AS INT)) AS day", "id")
+    dim = days.selectExpr("k AS off", "day AS lo", "date_add(day, CAST(id % 5 AS INT)) AS hi", "CAST(id AS INT) AS code")
+    f, d = binned(days, dim, "day", "lo", "hi")
+    on = [F.col(f"f.{c}") == F.col(f"d.{c}") for c in ("_level", "_bin")]
+    pairs = f.alias("f").join(d.alias("d"), on[0] & on[1]).count()
+    assert pairs == validity_join_binned(days, dim, "k", "off", "day", "lo", "hi").count() > 300
+
+
 def test_no_interval_or_fact(spark):
     facts, dim = _sides(spark, 9)
     assert validity_join_binned(facts, dim.limit(0), "k", "off", "day", "lo", "hi").collect() == []

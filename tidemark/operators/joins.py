@@ -63,22 +63,27 @@ def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
 #: Bins of the finest level are this many days wide; each level's are SPAN times the last one's.
 BIN_DAYS, SPAN, LEVELS = 7, 16, 6
+#: Level of the intervals that have a row for each of their days; a fact of the day meets no other.
+DAILY = -1
 
 
 def _bin(day: Column, level: Column | int, bin_days: int) -> Column:
-    width = F.lit(int(bin_days)) * F.pow(F.lit(SPAN), level if isinstance(level, Column) else F.lit(level)).cast("long")
+    level = level if isinstance(level, Column) else F.lit(level)
+    width = F.when(level == DAILY, F.lit(1)).otherwise(F.lit(int(bin_days)) * F.pow(F.lit(SPAN), level).cast("long"))
     return F.floor(F.unix_date(day.cast("date")) / width)
 
 
 def binned(facts: DataFrame, dim: DataFrame, fact_day: str, valid_from: str, valid_to: str,
            bin_days: int = BIN_DAYS) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``_level`` and ``_bin``: an interval has a row for each bin that it
-    touches, at the finest level where these are SPAN + 1 at most; a fact has a row for each
+    touches, at the finest level where these are SPAN + 1 at most; one no longer than a bin
+    has a row for each of its days instead, if these are as few.  A fact has a row for each
     level that intervals use (found by one aggregate inside the plan)."""
     days = [F.unix_date(F.col(c).cast("date")) for c in (valid_from, valid_to)]
     level = F.lit(LEVELS - 1)
     for k in reversed(range(LEVELS - 1)):
         level = F.when(_bin(F.col(valid_to), k, bin_days) - _bin(F.col(valid_from), k, bin_days) <= SPAN, F.lit(k)).otherwise(level)
+    level = F.when(days[1] - days[0] < min(int(bin_days), SPAN + 1), F.lit(DAILY)).otherwise(level)
     d = dim.where(days[0] <= days[1]).withColumn("_level", level)
     used = d.agg(F.sort_array(F.collect_set("_level")).alias("levels")).scalar()
     d = d.withColumn("_bin", F.explode(F.sequence(_bin(F.col(valid_from), F.col("_level"), bin_days),
@@ -95,7 +100,7 @@ def validity_join_binned(facts: DataFrame, dim: DataFrame, fact_key: str, dim_ke
     it.  Here intervals are cut at bins of days and the sides meet on key and bin, with
     the exact bounds as residual: a fact meets the intervals around its day, so the
     work follows facts, intervals and matches, and a key with many facts is spread
-    over its bins.  Long and open-ended intervals go to coarser bins (``binned``), so none
+    over its bins.  Short intervals are met on their days alone.  Long and open-ended intervals go to coarser bins (``binned``), so none
     is copied more than SPAN + 1 times.  A fact meets an interval in one bin only, so no
     row comes twice.  Intervals with a NULL or reversed bound match nothing.  ``salt``
     spreads a bin's facts further, as in ``validity_join``.
