@@ -22,6 +22,8 @@ paragraph in its row: no shuffle, nothing written between.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 import numpy as np
@@ -285,15 +287,19 @@ def scan_licenses(docs: DataFrame, model: Model) -> DataFrame:
     templates = F.map_from_arrays(_strings(named), F.array(*[
         F.array(*[_strings(dict.fromkeys(pairs_of(words_of(s)))) for s in TEMPLATES[f][0] if len(words_of(s)) > 1]) for f in named]))
     keys = F.map_from_arrays(_strings(named), F.array(*[_strings(TEMPLATES[f][1]) for f in named]))
-    rows = paragraphs(docs, every=True).withColumn("words", paragraph_words(F.col("line")))
+    # no family could confirm a paragraph without any family's own wording (one pattern: the line is normalised once)
+    phrases = sorted({k for _, own in TEMPLATES.values() for k in own})
+    wording = " (?:" + "|".join(re.escape(k) for k in phrases) + ") "
+    # plain substrings first, of each wording its longest word
+    parts = [F.contains(F.lower("line"), F.lit(w)) for w in sorted({max(k.split(), key=len) for k in phrases})]
+    plain = F.concat(F.lit(" "), F.regexp_replace(F.lower("line"), BETWEEN, " "), F.lit(" "))
+    rows = paragraphs(docs, every=True).filter(F.col("cued") | (reduce(or_, parts) & plain.rlike(wording)))
+    rows = rows.withColumn("words", paragraph_words(F.col("line"))).withColumn("pairs", _pairs(F.col("words")))
     said = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
 
     def holds(k: Column) -> Column:
         return F.contains(said, F.concat(F.lit(" "), k, F.lit(" ")))
 
-    # no family could confirm a paragraph without any family's own wording
-    every_key = _strings(sorted({k for _, own in TEMPLATES.values() for k in own}))
-    rows = rows.filter(F.col("cued") | F.exists(every_key, holds)).withColumn("pairs", _pairs(F.col("words")))
     known = F.array_intersect(F.concat("words", "pairs"), _strings(features))
     logits = F.aggregate(known, F.array(*[F.lit(float(b)) for b in model.bias]),
                          lambda acc, f: F.zip_with(acc, F.element_at(weights, f), lambda a, b: a + b))
