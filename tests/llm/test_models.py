@@ -146,6 +146,16 @@ def test_licence_scan_judges_lines_without_licence_words(make, small):
     assert {(r.doc_id, r.paragraph, r.family, r.confirmed) for r in rows} == {(1, 2, "bsd", True), (2, 2, "mit", True)}
 
 
+def test_licence_wording_is_tested_once_a_text_and_line(make, small):
+    """A text without licence words is left out only if no line of it can be confirmed; no line is built for every word."""
+    docs = [(1, "a\n\nRedistribution -\r\nAND use in source\n\nand binary forms."), (2, "all (rights\nreserved"), (3, "É gnu/GPL"),
+            (4, "overall rights reserved, the software of the authors"), (5, "mit licenses"), (6, ""), (7, None)]
+    got = make(docs).select("doc_id", licenses.has_wording(F.col("text")).alias("has")).collect()
+    assert {r.doc_id: r.has for r in got} == {1: True, 2: True, 3: True, 4: False, 5: False, 6: False, 7: None}
+    plan = licenses.scan_licenses(make(docs), licenses.fit(small))._jdf.queryExecution().executedPlan().toString()
+    assert "Contains(lower(" not in plan
+
+
 #: Notices in other words or line breaks than the templates', and texts of no family here.
 NOTICES = [
     ("mit", "Copyright (c) 2019 Jane Doe\n\nPermission is hereby granted, free of charge, to any person\nobtaining a copy of this "

@@ -169,6 +169,20 @@ def likeness_of(words: list[str], family: str) -> float:
     return max((len(p & have) / len(p) for p in wanted if p), default=0.0)
 
 
+def has_wording(line: Column) -> Column:
+    """Whether a line, or a text of lines, holds the own wording of any family."""
+    phrases = sorted({k for _, own in TEMPLATES.values() for k in own})
+    longest = sorted({max(k.split(), key=len) for k in phrases})
+    wording = " (?:" + "|".join(re.escape(k) for k in phrases) + ") "
+
+    def holds(low: Column) -> Column:  # plain substrings first, of each wording its longest word
+        plain = F.concat(F.lit(" "), F.regexp_replace(low, BETWEEN, " "), F.lit(" "))
+        return reduce(or_, [F.contains(low, F.lit(w)) for w in longest]) & plain.rlike(wording)
+
+    # an array of one: the optimizer would put a column's expression in the place of each of its uses
+    return F.exists(F.array(F.lower(line)), holds)
+
+
 def train(paragraphs: list[set[str]]) -> Model:
     """Softmax regression on the templates (whole, with each word left out, and in halves)
     against ``paragraphs`` (sets of the vocabulary's features) and ORDINARY; calibrated
@@ -287,13 +301,9 @@ def scan_licenses(docs: DataFrame, model: Model) -> DataFrame:
     templates = F.map_from_arrays(_strings(named), F.array(*[
         F.array(*[_strings(dict.fromkeys(pairs_of(words_of(s)))) for s in TEMPLATES[f][0] if len(words_of(s)) > 1]) for f in named]))
     keys = F.map_from_arrays(_strings(named), F.array(*[_strings(TEMPLATES[f][1]) for f in named]))
-    # no family could confirm a paragraph without any family's own wording (one pattern: the line is normalised once)
-    phrases = sorted({k for _, own in TEMPLATES.values() for k in own})
-    wording = " (?:" + "|".join(re.escape(k) for k in phrases) + ") "
-    # plain substrings first, of each wording its longest word
-    parts = [F.contains(F.lower("line"), F.lit(w)) for w in sorted({max(k.split(), key=len) for k in phrases})]
-    plain = F.concat(F.lit(" "), F.regexp_replace(F.lower("line"), BETWEEN, " "), F.lit(" "))
-    rows = paragraphs(docs, every=True).filter(F.col("cued") | (reduce(or_, parts) & plain.rlike(wording)))
+    # without licence words only a confirmed paragraph counts, and none is without a family's wording: nor is then its text
+    some = texts(docs).filter(F.col("text").rlike(CUE) | has_wording(F.col("text")))
+    rows = paragraphs(some, every=True).filter(F.col("cued") | has_wording(F.col("line")))
     rows = rows.withColumn("words", paragraph_words(F.col("line"))).withColumn("pairs", _pairs(F.col("words")))
     said = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
 
